@@ -164,3 +164,110 @@ def with_ctes(upto: str, body: str) -> str:
     idx = {"raw": 0, "lz": 1, "canon": 2, "parsed": 3, "filled": 4, "prepared": 5,
            "cleaned": 6, "featured": 7, "thresh": 8, "labeled": 9}[upto]
     return "WITH " + ",\n".join(CHAIN[: idx + 1]) + "\n" + body
+
+
+# ---------------------------------------------------------------- payload ingest
+from souk.sources import fixture as FX  # noqa: E402
+from souk.sources.categories import LAZADA_CATEGORIES, TIKI_CATEGORIES, values_sql  # noqa: E402
+
+
+def _list(keys):
+    return "[" + ", ".join("'" + k.replace("'", "''") + "'" for k in keys) + "]"
+
+
+def _v(x: str) -> str:
+    return f"CAST({x} AS VARCHAR)"
+
+
+def _r(x: str) -> str:
+    return f"CAST(round({x}) AS BIGINT)"
+
+
+def _date(platform: str) -> str:
+    off = FX.PLATFORM_OFFSET[platform]
+    return f"CAST(DATE '2024-01-01' + CAST((l_orderkey * 60 + {off}) // 86400 AS INTEGER) AS VARCHAR)"
+
+
+TIKI_KEY = (f"CASE WHEN l_orderkey % {FX.TIKI_BUCKETS} < {len(TIKI_CATEGORIES)} THEN "
+            f"{_list([k for _, k, _ in TIKI_CATEGORIES])}[l_orderkey % {FX.TIKI_BUCKETS} + 1] "
+            f"ELSE 'tiki-extra-' || {_v(f'l_orderkey % {FX.TIKI_BUCKETS}')} END")
+TIKI_PAGE = f"CAST((l_orderkey // {FX.TIKI_BUCKETS}) % {FX.TIKI_PAGES} + 1 AS INTEGER)"
+LZ_KEY = (f"CASE WHEN l_orderkey % {FX.LAZADA_BUCKETS} < {len(LAZADA_CATEGORIES)} THEN "
+          f"{_list([k for _, k in LAZADA_CATEGORIES])}[l_orderkey % {FX.LAZADA_BUCKETS} + 1] "
+          f"ELSE 'lazada-extra-' || {_v(f'l_orderkey % {FX.LAZADA_BUCKETS}')} END")
+LZ_PAGE = f"CAST((l_orderkey // {FX.LAZADA_BUCKETS}) % {FX.LAZADA_PAGES} + 1 AS INTEGER)"
+SP_PAGE = f"CAST((l_orderkey // {FX.SHOPEE_PAGE_DIV}) % {FX.SHOPEE_PAGES} + 1 AS INTEGER)"
+LZ_HTML = f"l_orderkey % {FX.LAZADA_HTML_MOD} = {FX.LAZADA_HTML_REM}"
+LZ_BAD = f"l_orderkey % {FX.LAZADA_BAD_MOD} = {FX.LAZADA_BAD_REM}"
+POS = ("CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS INTEGER)"
+       " AS item_pos")
+
+ING = f"""base AS (SELECT * FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+                  JOIN supplier s ON l.l_suppkey = s.s_suppkey),
+dim AS (SELECT * FROM {values_sql()}),
+tiki_items AS (SELECT *, {POS} FROM base WHERE l_suppkey % 3 = 1),
+tiki_rows0 AS (
+  SELECT {_date('Tiki')} AS crawl_date, 'Tiki' AS platform, {_v('l_partkey')} AS id, p_name AS name,
+    {_v(_r('l_extendedprice'))} AS price,
+    CASE WHEN l_linenumber = 2 THEN {_v(_r('p_retailprice * 1000'))} ELSE {_v(_r('p_retailprice * 1100'))} END
+      AS original_price,
+    {_v(_r('l_discount * 100'))} AS discount_rate,
+    {_v('CAST(p_size % 50 AS DOUBLE) / 10')} AS rating_average,
+    {_v('(l_orderkey * 31 + l_linenumber) % 1200')} AS review_count,
+    CASE WHEN l_linenumber = 5 THEN NULL ELSE {_v(_r('l_quantity * 10'))} END AS quantity_sold_value,
+    CASE WHEN l_linenumber = 5 THEN NULL ELSE 'Đã bán ' || {_v(_r('l_quantity * 10'))} END AS quantity_sold_text,
+    CASE WHEN l_linenumber = 3 THEN NULL ELSE p_brand END AS brand, s_name AS seller_name,
+    'https://img.example/' || {_v('p_partkey')} || '.jpg' AS thumbnail_url,
+    'https://tiki.vn' || CASE WHEN l_linenumber = 4 THEN '' ELSE
+      '/p' || {_v('p_partkey')} || '-s' || {_v('l_suppkey')} || '.html' END AS url,
+    CASE WHEN l_linenumber % 3 = 0 THEN 'Freeship, ' || p_brand ELSE '' END AS badges,
+    {TIKI_KEY} AS url_key, {TIKI_PAGE} AS page, item_pos, l_orderkey AS o
+  FROM tiki_items WHERE l_orderkey % {FX.TIKI_BUCKETS} <> {FX.TIKI_EMPTY}),
+tiki_rows AS (SELECT t.*, d.category_name FROM tiki_rows0 t LEFT JOIN dim d
+              ON d.platform = t.platform AND d.url_key = t.url_key),
+lz_items AS (SELECT *, {POS} FROM base WHERE l_suppkey % 3 = 0),
+lz_rows0 AS (
+  SELECT {_date('Lazada')} AS crawl_date, 'Lazada' AS platform, {_v('l_partkey * 1000 + l_suppkey')} AS id,
+    p_brand || ' ' || p_name AS name,
+    CASE WHEN l_linenumber % 3 = 0 THEN {_v(_r('l_extendedprice'))} ELSE {_v(_r('l_extendedprice'))} || 'đ' END
+      AS price,
+    {_v(_r('p_retailprice * 1100'))} AS original_price,
+    '-' || {_v(_r('l_discount * 100'))} || '%' AS discount,
+    {_v('CAST((p_partkey * 7 + l_suppkey) % 51 AS DOUBLE) / 10')} AS rating,
+    {_v('(l_orderkey * 31 + l_linenumber) % 1200')} AS review_count,
+    CASE l_linenumber % 4 WHEN 0 THEN {_r('l_quantity')} * 1000 WHEN 1 THEN {_r('l_quantity')} END AS sold_value,
+    CASE l_linenumber % 4 WHEN 0 THEN {_v(_r('l_quantity'))} || '.' || {_v('l_linenumber')} || 'k sold'
+                          WHEN 1 THEN {_v(_r('l_quantity'))} || ' sold' END AS sold_text,
+    p_brand AS brand, 'Kho ' || {_v('s_nationkey')} AS location, s_name AS seller_name,
+    CASE WHEN l_linenumber = 6 THEN NULL ELSE 'https://www.lazada.vn//www.lazada.vn/products/i'
+      || {_v('p_partkey')} || '-s' || {_v('l_suppkey')} || '.html' END AS url,
+    'https://img.example/lz/' || {_v('p_partkey')} || '.jpg' AS image,
+    {LZ_KEY} AS url_key, {LZ_PAGE} AS page, item_pos, l_orderkey AS o
+  FROM lz_items WHERE NOT ({LZ_HTML}) AND NOT ({LZ_BAD}) AND l_orderkey % {FX.LAZADA_BUCKETS} <> {FX.LAZADA_EMPTY}),
+lz_rows AS (SELECT t.*, d.category_name FROM lz_rows0 t LEFT JOIN dim d
+            ON d.platform = t.platform AND d.url_key = t.url_key),
+sp_items AS (SELECT *, {POS} FROM base WHERE l_suppkey % 3 = 2),
+sp_rows AS (
+  SELECT {_v('l_partkey')} AS itemid, {_v('l_suppkey')} AS shopid,
+    CASE WHEN l_linenumber = 4 THEN 'N/A' ELSE p_name END AS name,
+    round({_r('l_extendedprice * 100000')} / 100000, 2) AS price,
+    {_r('l_quantity * 37')} AS historical_sold, CAST(l_orderkey % 500 AS BIGINT) AS liked_count,
+    floor(coalesce(p_retailprice / 400, 0) * 10) / 10 AS rating_star,
+    CASE WHEN l_linenumber = 3 THEN '' ELSE {_v(_r('l_discount * 100'))} || '%' END AS discount,
+    'Kho ' || {_v('s_nationkey')} AS location,
+    CASE WHEN l_linenumber = 2 THEN '' ELSE 'https://down-vn.img.susercontent.com/file/img' || {_v('p_partkey')} END
+      AS image,
+    'https://shopee.vn/product/' || {_v('l_suppkey')} || '/' || {_v('l_partkey')} AS url,
+    '{FX.SHOPEE_KEY}' AS url_key, {SP_PAGE} AS page, item_pos, l_orderkey AS o,
+    {_date('Shopee')} AS crawl_date
+  FROM sp_items WHERE l_linenumber NOT IN (6, 7) AND l_partkey <> 0 AND l_suppkey <> 0),
+pay AS (
+  SELECT DISTINCT 'Tiki' AS platform, {TIKI_KEY} AS url_key, {TIKI_PAGE} AS page, l_orderkey FROM base
+    WHERE l_suppkey % 3 = 1
+  UNION ALL SELECT DISTINCT 'Lazada', {LZ_KEY}, {LZ_PAGE}, l_orderkey FROM base WHERE l_suppkey % 3 = 0
+  UNION ALL SELECT DISTINCT 'Shopee', '{FX.SHOPEE_KEY}', {SP_PAGE}, l_orderkey FROM base WHERE l_suppkey % 3 = 2)
+"""
+
+
+def ingest_sql(body: str) -> str:
+    return "WITH " + ING + body

@@ -399,3 +399,123 @@ def q_limit_target(spark, sf_dir):
     raw = raw_listing_rows(spark, sf_dir).where(F.col("platform") == "Shopee")
     firsts = dedup_first(raw, ["id"], ["crawl_date", "ord_key", "ord_line"])
     return report.limit_rows(firsts, 800, RAW_ORDER)
+
+
+# ---------------------------------------------------------------- payload ingest
+
+from souk.operators.canonical import WANTED  # noqa: E402
+from souk.plans.ingest import ingest, merged_listings  # noqa: E402
+from souk.sources.categories import category_dim  # noqa: E402
+from souk.sources.fixture import landing_from_tables  # noqa: E402
+from souk.sources.payloads import cap_pages, empty_categories  # noqa: E402
+
+TIKI_OUT = ["crawl_date", "platform", "category_name", "id", "name", "price", "original_price", "discount_rate",
+            "rating_average", "review_count", "quantity_sold_value", "quantity_sold_text", "brand", "seller_name",
+            "thumbnail_url", "url", "badges", "url_key", "page", "item_pos"]
+LAZADA_OUT = ["crawl_date", "platform", "category_name", "id", "name", "price", "original_price", "discount",
+              "rating", "review_count", "sold_value", "sold_text", "brand", "location", "seller_name", "url",
+              "image", "url_key", "page", "item_pos"]
+SHOPEE_OUT = ["itemid", "shopid", "name", "price", "historical_sold", "liked_count", "rating_star", "discount",
+              "location", "image", "url", "url_key", "page", "item_pos"]
+
+
+def _ingested(spark, sf_dir, **kw):
+    return ingest(landing_from_tables(spark, sf_dir), category_dim(spark), **kw)
+
+
+@query("ingest_tiki", O.ingest_sql(f"SELECT {', '.join(TIKI_OUT)} FROM tiki_rows"))
+def q_ingest_tiki(spark, sf_dir):
+    """Tiki pages -> rows (listings/data fallback, null items skipped, badges joined, category attached)."""
+    return _ingested(spark, sf_dir)["tiki"].select(*TIKI_OUT)
+
+
+@query("ingest_lazada", O.ingest_sql(f"SELECT {', '.join(LAZADA_OUT)} FROM lz_rows"))
+def q_ingest_lazada(spark, sf_dir):
+    """Lazada pages -> rows (shown price first, sold text parsed, absolute links, bad pages skipped)."""
+    return _ingested(spark, sf_dir)["lazada"].select(*LAZADA_OUT)
+
+
+@query("ingest_shopee", O.ingest_sql(f"SELECT {', '.join(SHOPEE_OUT)} FROM sp_rows"))
+def q_ingest_shopee(spark, sf_dir):
+    """Shopee responses -> rows (two payload shapes, id-less items dropped, price scaled, rating truncated)."""
+    return _ingested(spark, sf_dir)["shopee"].select(*SHOPEE_OUT)
+
+
+@query("ingest_quarantine", O.ingest_sql(f"""
+SELECT platform, url_key, page, CASE WHEN {O.LZ_HTML} THEN 'not_json' ELSE 'malformed' END AS reason
+FROM pay WHERE platform = 'Lazada' AND ({O.LZ_HTML} OR {O.LZ_BAD})"""))
+def q_ingest_quarantine(spark, sf_dir):
+    """Payloads that are not JSON objects, with the reason."""
+    return _ingested(spark, sf_dir)["quarantine"].select("platform", "url_key", "page", "reason")
+
+
+@query("ingest_category", O.ingest_sql("""
+SELECT platform, url_key, category_name, count(*) AS n_rows FROM (
+  SELECT platform, url_key, category_name FROM tiki_rows UNION ALL
+  SELECT platform, url_key, category_name FROM lz_rows) GROUP BY ALL"""))
+def q_ingest_category(spark, sf_dir):
+    """Rows per category after the broadcast join to the category dimension."""
+    parts = _ingested(spark, sf_dir)
+    rows = parts["tiki"].select("platform", "url_key", "category_name").unionByName(
+        parts["lazada"].select("platform", "url_key", "category_name"))
+    return report.crawl_summary(rows, keys=("platform", "url_key", "category_name"))
+
+
+@query("empty_categories", O.ingest_sql("""
+SELECT d.platform, d.url_key, d.category_name FROM dim d WHERE NOT EXISTS (
+  SELECT 1 FROM (SELECT platform, url_key FROM tiki_rows UNION ALL SELECT platform, url_key FROM lz_rows) r
+  WHERE r.platform = d.platform AND r.url_key = d.url_key)"""))
+def q_empty_categories(spark, sf_dir):
+    """Categories of the dimension that produced no rows."""
+    parts = _ingested(spark, sf_dir)
+    rows = parts["tiki"].select("platform", "url_key").unionByName(parts["lazada"].select("platform", "url_key"))
+    return empty_categories(category_dim(spark), rows).select("platform", "url_key", "category_name")
+
+
+@query("page_cap", O.ingest_sql("SELECT platform, url_key, page FROM pay WHERE page BETWEEN 1 AND 20"))
+def q_page_cap(spark, sf_dir):
+    """Landing pages kept by a 20-page cap per category."""
+    return cap_pages(landing_from_tables(spark, sf_dir), 20).select("platform", "url_key", "page")
+
+
+@query("crawl_summary", O.ingest_sql("""
+SELECT platform, category_name, page, count(*) AS n_rows FROM (
+  SELECT platform, category_name, page FROM tiki_rows UNION ALL
+  SELECT platform, category_name, page FROM lz_rows UNION ALL
+  SELECT 'Shopee', NULL, page FROM sp_rows) GROUP BY ALL"""))
+def q_crawl_summary(spark, sf_dir):
+    """Rows per platform / category / page over all ingested rows."""
+    m = merged_listings(_ingested(spark, sf_dir))
+    return report.crawl_summary(m.withColumn("page", F.col("page").cast("int")))
+
+
+@query("dedup_itemid", O.ingest_sql(f"""
+SELECT {', '.join(SHOPEE_OUT)} FROM sp_rows
+QUALIFY row_number() OVER (PARTITION BY itemid ORDER BY o, item_pos) = 1"""))
+def q_dedup_itemid(spark, sf_dir):
+    """Shopee rows, first occurrence of each item id in arrival order."""
+    sp = _ingested(spark, sf_dir)["shopee"]
+    return dedup_first(sp, ["itemid"], ["fetched_at", "item_pos"]).select(*SHOPEE_OUT)
+
+
+_MERGE_OUT = [*WANTED, "url_key", "page", "item_pos"]
+
+
+@query("merge_platforms", O.ingest_sql(f"""
+SELECT {', '.join(_MERGE_OUT)} FROM (
+  SELECT crawl_date, platform, category_name, name AS product_name, price AS current_price, original_price,
+    discount_rate, rating_average, review_count, quantity_sold_value, quantity_sold_text, brand,
+    NULL AS seller_location, seller_name, url AS product_url, url_key, {O._v('page')} AS page,
+    {O._v('item_pos')} AS item_pos FROM tiki_rows
+  UNION ALL
+  SELECT crawl_date, platform, category_name, name, price, original_price, discount, rating, review_count,
+    {O._v('sold_value')}, sold_text, brand, location, seller_name, url, url_key, {O._v('page')},
+    {O._v('item_pos')} FROM lz_rows
+  UNION ALL
+  SELECT crawl_date, 'Shopee', NULL, name, {O._v('price')}, NULL, discount, {O._v('rating_star')}, NULL,
+    {O._v('historical_sold')}, NULL, NULL, location, NULL, url, url_key, {O._v('page')}, {O._v('item_pos')}
+  FROM sp_rows)"""))
+def q_merge_platforms(spark, sf_dir):
+    """All platforms appended by column name, then mapped to canonical columns."""
+    m = merged_listings(_ingested(spark, sf_dir))
+    return canonicalize(m, keep=["url_key", "page", "item_pos"])

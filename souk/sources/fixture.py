@@ -63,3 +63,156 @@ def raw_listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw marketplace listing rows (crawler field names, text values)."""
     return spark.sql(RAW_LISTING_SQL, lineitem=table(spark, sf_dir, "lineitem"),
                      part=table(spark, sf_dir, "part"), supplier=table(spark, sf_dir, "supplier"))
+
+
+# ---------------------------------------------------------------- payload landing
+#
+# One landing row per (order, platform): a fetched page whose items are that
+# order's lineitems for the platform (at most 7, ordered by line number, part
+# and supplier), so no payload grows with the data.  Rules below decide page layout and edge cases; the oracle SQL states
+# the rows the flatteners must recover from them.
+
+EPOCH = 1704067200  # 2024-01-01 00:00:00 UTC
+PLATFORM_OFFSET = {"Tiki": 0, "Lazada": 20, "Shopee": 40}
+TIKI_BUCKETS, TIKI_EMPTY, TIKI_PAGES = 29, 5, 23
+LAZADA_BUCKETS, LAZADA_EMPTY, LAZADA_PAGES = 23, 9, 23
+LAZADA_HTML_MOD, LAZADA_HTML_REM = 37, 3
+LAZADA_BAD_MOD, LAZADA_BAD_REM = 41, 4
+SHOPEE_KEY, SHOPEE_PAGE_DIV, SHOPEE_PAGES = "may-anh", 7, 30
+HTML_BODY = "<html><body>Traffic Error</body></html>"
+
+
+def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    pa = table(spark, sf_dir, "part")
+    su = table(spark, sf_dir, "supplier")
+    return li.join(pa, li.l_partkey == pa.p_partkey).join(su, li.l_suppkey == su.s_suppkey)
+
+
+def _payload_items(base: DataFrame, platform_rem: int, item) -> DataFrame:
+    from pyspark.sql import functions as F
+    return (base.where(F.col("l_suppkey") % 3 == platform_rem)
+            .groupBy("l_orderkey")
+            .agg(F.sort_array(F.collect_list(F.struct(F.col("l_linenumber").alias("ln"), F.col("l_partkey").alias("pk"),
+                                                      F.col("l_suppkey").alias("sk"), item.alias("it"))))
+                 .alias("arr"))
+            .select("l_orderkey", F.transform("arr", lambda x: x["it"]).alias("items")))
+
+
+def _stamp(platform: str):
+    from pyspark.sql import functions as F
+    return F.timestamp_seconds(F.lit(EPOCH) + F.col("l_orderkey") * 60 + PLATFORM_OFFSET[platform])
+
+
+def _keyed(bucket, keys: list[str], extra_prefix: str):
+    from pyspark.sql import functions as F
+    arr = F.array(*[F.lit(k) for k in keys])
+    return F.when(bucket < len(keys), F.element_at(arr, (bucket + 1).cast("int"))).otherwise(
+        F.concat(F.lit(extra_prefix), bucket.cast("string")))
+
+
+def landing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing table ``platform, url_key, page, fetched_at, body`` of JSON pages."""
+    from pyspark.sql import functions as F
+
+    from souk.sources.categories import LAZADA_CATEGORIES, TIKI_CATEGORIES
+
+    b = _base(spark, sf_dir)
+    o, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    rnd = lambda c: F.round(c).cast("bigint")
+    s = lambda c: c.cast("string")
+
+    tiki_item = F.struct(
+        F.col("l_partkey").alias("id"), F.col("p_name").alias("name"),
+        rnd(F.col("l_extendedprice")).alias("price"),
+        F.when(ln == 2, F.lit(0).cast("bigint")).otherwise(rnd(F.col("p_retailprice") * 1100)).alias("list_price"),
+        rnd(F.col("p_retailprice") * 1000).alias("original_price"),
+        rnd(F.col("l_discount") * 100).alias("discount_rate"),
+        ((F.col("p_size") % 50).cast("double") / 10).alias("rating_average"),
+        ((o * 31 + ln) % 1200).alias("review_count"),
+        F.when(ln != 5, F.struct(rnd(F.col("l_quantity") * 10).alias("value"),
+                                 F.concat(F.lit("Đã bán "), s(rnd(F.col("l_quantity") * 10))).alias("text"))
+               ).alias("quantity_sold"),
+        F.when(ln != 3, F.struct(F.col("p_brand").alias("name"))).alias("brand"),
+        F.struct(F.col("s_name").alias("name")).alias("current_seller"),
+        F.when(ln % 3 == 0, F.array(F.struct(F.lit("Freeship").alias("text")),
+                                    F.struct(F.col("p_brand").alias("text"))))
+         .when(ln % 3 == 1, F.array(F.struct(F.lit(None).cast("string").alias("text")),
+                                    F.struct(F.lit("").alias("text")))).alias("badges"),
+        F.concat(F.lit("https://img.example/"), s(F.col("p_partkey")), F.lit(".jpg")).alias("thumbnail_url"),
+        F.when(ln != 4, F.concat(F.lit("/p"), s(F.col("p_partkey")), F.lit("-s"), s(F.col("l_suppkey")),
+                                 F.lit(".html"))).alias("url_path"),
+    )
+    tk = _payload_items(b, 1, tiki_item)
+    tb = o % TIKI_BUCKETS
+    items = F.when(tb == TIKI_EMPTY, F.slice(F.col("items"), 1, 0)).otherwise(F.col("items"))
+    items = F.when(o % 6 == 1, F.array_append(items, F.lit(None))).otherwise(items)
+    tiki_body = F.when(o % 4 == 0, F.to_json(F.struct(F.slice(items, 1, 0).alias("listings"), items.alias("data")))
+                       ).otherwise(F.to_json(F.struct(items.alias("listings"))))
+    tiki = tk.select(
+        F.lit("Tiki").alias("platform"),
+        _keyed(tb, [k for _, k, _ in TIKI_CATEGORIES], "tiki-extra-").alias("url_key"),
+        F.expr(f"CAST((l_orderkey div {TIKI_BUCKETS}) % {TIKI_PAGES} + 1 AS INT)").alias("page"),
+        _stamp("Tiki").alias("fetched_at"), tiki_body.alias("body"))
+
+    q = rnd(F.col("l_quantity"))
+    lazada_item = F.struct(
+        (F.col("l_partkey") * 1000 + F.col("l_suppkey")).alias("itemId"),
+        F.concat(F.col("p_brand"), F.lit(" "), F.col("p_name")).alias("name"),
+        F.when(ln % 3 == 0, F.lit("")).otherwise(F.concat(s(rnd(F.col("l_extendedprice"))), F.lit("đ"))
+                                                  ).alias("priceShow"),
+        rnd(F.col("l_extendedprice")).alias("price"),
+        rnd(F.col("p_retailprice") * 1100).alias("originalPrice"),
+        F.concat(F.lit("-"), s(rnd(F.col("l_discount") * 100)), F.lit("%")).alias("discount"),
+        (((F.col("p_partkey") * 7 + F.col("l_suppkey")) % 51).cast("double") / 10).alias("ratingScore"),
+        ((o * 31 + ln) % 1200).alias("review"),
+        F.when(ln % 4 == 0, F.concat(F.lit(" "), s(q), F.lit("."), s(ln), F.lit("k sold ")))
+         .when(ln % 4 == 1, F.concat(s(q), F.lit(" sold")))
+         .when(ln % 4 == 2, F.lit("")).alias("itemSoldCntShow"),
+        F.col("p_brand").alias("brandName"),
+        F.concat(F.lit("Kho "), s(F.col("s_nationkey"))).alias("location"),
+        F.col("s_name").alias("sellerName"),
+        F.when(ln != 6, F.concat(F.lit("//www.lazada.vn/products/i"), s(F.col("p_partkey")), F.lit("-s"),
+                                 s(F.col("l_suppkey")), F.lit(".html"))).alias("itemUrl"),
+        F.concat(F.lit("https://img.example/lz/"), s(F.col("p_partkey")), F.lit(".jpg")).alias("image"),
+    )
+    lz = _payload_items(b, 0, lazada_item)
+    lb = o % LAZADA_BUCKETS
+    litems = F.when(lb == LAZADA_EMPTY, F.slice(F.col("items"), 1, 0)).otherwise(F.col("items"))
+    ljson = F.to_json(F.struct(F.struct(litems.alias("listItems")).alias("mods")))
+    lazada_body = (F.when(o % LAZADA_HTML_MOD == LAZADA_HTML_REM, F.lit(HTML_BODY))
+                   .when(o % LAZADA_BAD_MOD == LAZADA_BAD_REM, F.regexp_replace(ljson, "}$", ""))
+                   .otherwise(ljson))
+    lazada = lz.select(
+        F.lit("Lazada").alias("platform"),
+        _keyed(lb, [k for _, k in LAZADA_CATEGORIES], "lazada-extra-").alias("url_key"),
+        F.expr(f"CAST((l_orderkey div {LAZADA_BUCKETS}) % {LAZADA_PAGES} + 1 AS INT)").alias("page"),
+        _stamp("Lazada").alias("fetched_at"), lazada_body.alias("body"))
+
+    wrap = (o + ln) % 2 == 0
+    basic_fields = [
+        F.when(ln == 6, F.lit(0).cast("bigint")).when(ln != 5, F.col("l_partkey")).alias("itemid"),
+        F.when(ln == 5, F.col("l_partkey")).alias("item_id"),
+        F.when(ln != 7, F.col("l_suppkey")).alias("shopid"),
+        F.when(ln != 4, F.col("p_name")).alias("name"),
+        rnd(F.col("l_extendedprice") * 100000).alias("price"),
+        rnd(F.col("l_quantity") * 37).alias("historical_sold"),
+        (o % 500).alias("liked_count"),
+        F.struct((F.col("p_retailprice") / 400).alias("rating_star")).alias("item_rating"),
+        F.when(ln != 3, F.concat(s(rnd(F.col("l_discount") * 100)), F.lit("%"))).alias("discount"),
+        F.concat(F.lit("Kho "), s(F.col("s_nationkey"))).alias("shop_location"),
+        F.when(ln != 2, F.concat(F.lit("img"), s(F.col("p_partkey")))).alias("image"),
+    ]
+    names = ["itemid", "item_id", "shopid", "name", "price", "historical_sold", "liked_count",
+             "item_rating", "discount", "shop_location", "image"]
+    basic = F.struct(*basic_fields)
+    shopee_item = F.struct(F.when(wrap, basic).alias("item_basic"),
+                           *[F.when(~wrap, f).alias(n) for f, n in zip(basic_fields, names)])
+    sp = _payload_items(b, 2, shopee_item)
+    shopee_body = F.when(o % 3 == 0, F.to_json(F.struct(F.struct(F.col("items").alias("items")).alias("data")))
+                         ).otherwise(F.to_json(F.struct(F.col("items").alias("items"))))
+    shopee = sp.select(
+        F.lit("Shopee").alias("platform"), F.lit(SHOPEE_KEY).alias("url_key"),
+        F.expr(f"CAST((l_orderkey div {SHOPEE_PAGE_DIV}) % {SHOPEE_PAGES} + 1 AS INT)").alias("page"),
+        _stamp("Shopee").alias("fetched_at"), shopee_body.alias("body"))
+    return tiki.unionByName(lazada).unionByName(shopee)

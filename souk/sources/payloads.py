@@ -1,12 +1,105 @@
-"""Marketplace API payloads -> flat raw listing rows (Tiki, Lazada, Shopee)."""
+"""Marketplace API payloads -> flat raw listing rows (Tiki, Lazada, Shopee).
+
+Input is a landing table, one row per fetched page:
+``platform, url_key, page, fetched_at, body`` (body = response text).  Each
+flattener parses the body with an explicit schema (``from_json``), explodes
+the item array and projects struct paths: a narrow, shuffle-free plan.
+Payload numbers are read into string fields so every raw field stays text
+until the clean stage parses it.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from souk.functions.numbers import first_truthy, is_truthy, rating_trunc, scaled_price
 from souk.functions.text import nullif_empty, sold_text_count, strip_ws
 
+# Link prefixes the platforms' item paths are joined to.
+TIKI_HOST = "https://tiki.vn"
+LAZADA_HOST = "https://www.lazada.vn"
+SHOPEE_IMAGE_PREFIX = "https://down-vn.img.susercontent.com/file/"
+SHOPEE_PRODUCT_PREFIX = "https://shopee.vn/product/"
+SHOPEE_MISSING_TEXT = "N/A"
+
+LANDING_DDL = "platform STRING, url_key STRING, page INT, fetched_at TIMESTAMP, body STRING"
+
+TIKI_ITEM = ("STRUCT<id:STRING,name:STRING,price:STRING,list_price:STRING,original_price:STRING,"
+             "discount_rate:STRING,rating_average:STRING,review_count:STRING,"
+             "quantity_sold:STRUCT<value:STRING,text:STRING>,brand:STRUCT<name:STRING>,"
+             "current_seller:STRUCT<name:STRING>,badges:ARRAY<STRUCT<text:STRING>>,"
+             "thumbnail_url:STRING,url_path:STRING>")
+TIKI_DDL = f"listings ARRAY<{TIKI_ITEM}>, data ARRAY<{TIKI_ITEM}>"
+
+LAZADA_ITEM = ("STRUCT<itemId:STRING,name:STRING,priceShow:STRING,price:STRING,originalPriceShow:STRING,"
+               "originalPrice:STRING,discount:STRING,ratingScore:STRING,review:STRING,itemSoldCntShow:STRING,"
+               "brandName:STRING,location:STRING,sellerName:STRING,itemUrl:STRING,image:STRING>")
+LAZADA_DDL = f"mods STRUCT<listItems:ARRAY<{LAZADA_ITEM}>>"
+
+_SHOPEE_BASIC = ("itemid:STRING,item_id:STRING,shopid:STRING,shop_id:STRING,name:STRING,price:BIGINT,"
+                 "historical_sold:BIGINT,liked_count:BIGINT,item_rating:STRUCT<rating_star:DOUBLE>,"
+                 "discount:STRING,shop_location:STRING,image:STRING")
+SHOPEE_ITEM = f"STRUCT<item_basic:STRUCT<{_SHOPEE_BASIC}>,{_SHOPEE_BASIC}>"
+SHOPEE_DDL = f"items ARRAY<{SHOPEE_ITEM}>, data STRUCT<items:ARRAY<{SHOPEE_ITEM}>>"
+
+LINEAGE = ["url_key", "page", "fetched_at", "item_pos"]
+
+
+def split_malformed(landing: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split a landing table into (parseable JSON objects, quarantine).
+
+    Quarantined rows carry ``reason``: ``not_json`` when the trimmed body does
+    not start with "{" (e.g. an HTML block page), ``malformed`` when it does
+    but is not a valid JSON object.
+    """
+    body = strip_ws(F.col("body"))
+    starts = F.coalesce(body.startswith("{"), F.lit(False))
+    valid = F.expr("json_object_keys(body)").isNotNull()
+    reason = F.when(~starts, F.lit("not_json")).when(~valid, F.lit("malformed"))
+    tagged = landing.withColumn("reason", reason)
+    good = tagged.where(F.col("reason").isNull()).drop("reason")
+    bad = tagged.where(F.col("reason").isNotNull())
+    return good, bad
+
+
+def _crawl_date() -> Column:
+    return F.date_format("fetched_at", "yyyy-MM-dd")
+
+
+def _explode_items(df: DataFrame, items: Column) -> DataFrame:
+    keep = ["platform", "url_key", "page", "fetched_at"]
+    return df.select(*keep, F.posexplode(F.filter(items, lambda x: x.isNotNull())).alias("item_pos", "it"))
+
+
+def flatten_tiki(landing: DataFrame) -> DataFrame:
+    """Tiki listing pages -> one row per product.
+
+    Items come from ``listings``, or from ``data`` when ``listings`` is missing
+    or empty; NULL items are skipped.  Badge texts that are non-empty are
+    joined with ", ".
+    """
+    p = landing.where(F.col("platform") == "Tiki").withColumn("_p", F.from_json("body", TIKI_DDL))
+    items = F.when(F.size("_p.listings") > 0, F.col("_p.listings")).otherwise(F.col("_p.data"))
+    x = _explode_items(p, items)
+    it = F.col("it")
+    badge_texts = F.filter(F.transform(it["badges"], lambda b: b["text"]),
+                           lambda t: t.isNotNull() & (t != ""))
+    return x.select(
+        _crawl_date().alias("crawl_date"), F.lit("Tiki").alias("platform"),
+        it["id"].alias("id"), it["name"].alias("name"), it["price"].alias("price"),
+        first_truthy(it["list_price"], it["original_price"]).alias("original_price"),
+        it["discount_rate"].alias("discount_rate"), it["rating_average"].alias("rating_average"),
+        it["review_count"].alias("review_count"),
+        it["quantity_sold"]["value"].alias("quantity_sold_value"),
+        it["quantity_sold"]["text"].alias("quantity_sold_text"),
+        it["brand"]["name"].alias("brand"), it["current_seller"]["name"].alias("seller_name"),
+        it["thumbnail_url"].alias("thumbnail_url"),
+        F.concat(F.lit(TIKI_HOST), F.coalesce(it["url_path"], F.lit(""))).alias("url"),
+        F.concat_ws(", ", F.coalesce(badge_texts, F.array().cast("array<string>"))).alias("badges"),
+        *LINEAGE,
+    )
+
 
 def lazada_sold_fields(df: DataFrame, text_col: str = "sold_text", value_col: str = "sold_value",
                        mode: str = "parity") -> DataFrame:
@@ -16,3 +109,103 @@ def lazada_sold_fields(df: DataFrame, text_col: str = "sold_text", value_col: st
     """
     t = nullif_empty(strip_ws(F.col(text_col)))
     return df.withColumns({text_col: t, value_col: sold_text_count(t, mode=mode)})
+
+
+def flatten_lazada(landing: DataFrame, sold_mode: str = "parity") -> DataFrame:
+    """Lazada catalogue pages -> one row per product.
+
+    The shown price wins over the raw price when present; sold counts are
+    parsed from the display text; item links are made absolute.
+    """
+    p = landing.where(F.col("platform") == "Lazada").withColumn("_p", F.from_json("body", LAZADA_DDL))
+    x = _explode_items(p, F.col("_p.mods.listItems"))
+    it = F.col("it")
+    rows = x.select(
+        _crawl_date().alias("crawl_date"), F.lit("Lazada").alias("platform"),
+        it["itemId"].alias("id"), it["name"].alias("name"),
+        first_truthy(it["priceShow"], it["price"]).alias("price"),
+        first_truthy(it["originalPriceShow"], it["originalPrice"]).alias("original_price"),
+        it["discount"].alias("discount"), it["ratingScore"].alias("rating"),
+        it["review"].alias("review_count"), it["itemSoldCntShow"].alias("sold_text"),
+        it["brandName"].alias("brand"), it["location"].alias("location"),
+        it["sellerName"].alias("seller_name"),
+        F.when(is_truthy(it["itemUrl"]), F.concat(F.lit(LAZADA_HOST), it["itemUrl"])).alias("url"),
+        it["image"].alias("image"),
+        *LINEAGE,
+    )
+    rows = lazada_sold_fields(rows, mode=sold_mode)
+    cols = ["crawl_date", "platform", "id", "name", "price", "original_price", "discount", "rating",
+            "review_count", "sold_value", "sold_text", "brand", "location", "seller_name", "url", "image",
+            *LINEAGE]
+    return rows.select(*cols)
+
+
+def flatten_shopee(landing: DataFrame) -> DataFrame:
+    """Shopee search responses -> one row per item.
+
+    Items are at ``items`` or ``data.items``; an item is ``item_basic`` when
+    present, else the item itself.  Items without a (truthy) item id or shop id
+    are dropped.  Prices are scaled from minor units, ratings truncated to one
+    decimal, image and product links built.
+    """
+    p = landing.where(F.col("platform") == "Shopee").withColumn("_p", F.from_json("body", SHOPEE_DDL))
+    items = F.coalesce(F.col("_p.items"), F.col("_p.data.items"))
+    x = _explode_items(p, items)
+    it = F.col("it")
+    basic = it["item_basic"]
+    has_basic = basic.isNotNull()
+
+    def fld(name: str) -> Column:
+        return F.when(has_basic, basic[name]).otherwise(it[name])
+
+    itemid = first_truthy(fld("itemid"), fld("item_id"))
+    shopid = first_truthy(fld("shopid"), fld("shop_id"))
+    img = fld("image")
+    rows = x.select(
+        itemid.alias("itemid"), shopid.alias("shopid"),
+        F.coalesce(fld("name"), F.lit(SHOPEE_MISSING_TEXT)).alias("name"),
+        scaled_price(fld("price")).alias("price"),
+        F.coalesce(fld("historical_sold"), F.lit(0)).alias("historical_sold"),
+        F.coalesce(fld("liked_count"), F.lit(0)).alias("liked_count"),
+        rating_trunc(fld("item_rating")["rating_star"]).alias("rating_star"),
+        F.coalesce(fld("discount"), F.lit("")).alias("discount"),
+        F.coalesce(fld("shop_location"), F.lit(SHOPEE_MISSING_TEXT)).alias("location"),
+        F.when(is_truthy(img), F.concat(F.lit(SHOPEE_IMAGE_PREFIX), img)).otherwise(F.lit("")).alias("image"),
+        F.concat(F.lit(SHOPEE_PRODUCT_PREFIX), shopid, F.lit("/"), itemid).alias("url"),
+        *LINEAGE,
+    )
+    return rows.where(F.col("itemid").isNotNull() & F.col("shopid").isNotNull())
+
+
+def shopee_as_listing(rows: DataFrame) -> DataFrame:
+    """Shopee rows under the listing column names the clean stage maps:
+    historical_sold -> sold_value, rating_star -> rating, itemid -> id,
+    plus platform and crawl date."""
+    return rows.select(
+        _crawl_date().alias("crawl_date"), F.lit("Shopee").alias("platform"),
+        F.col("itemid").alias("id"), "shopid", "name", F.col("price").cast("string").alias("price"),
+        F.col("historical_sold").cast("string").alias("sold_value"),
+        F.col("rating_star").cast("string").alias("rating"), "discount", "location", "image", "url",
+        "liked_count", *LINEAGE)
+
+
+def attach_category(rows: DataFrame, dim: DataFrame) -> DataFrame:
+    """Category name of each row from the (platform, url_key) dimension.
+
+    The dimension is a fixed 44-row table, so it is broadcast: the fact side
+    is never shuffled.  Unknown keys get a NULL category.
+    """
+    return rows.join(F.broadcast(dim.select("platform", "url_key", "category_name")),
+                     ["platform", "url_key"], "left")
+
+
+def empty_categories(dim: DataFrame, rows: DataFrame) -> DataFrame:
+    """Dimension categories that produced no rows (anti join on the key)."""
+    keys = rows.select("platform", "url_key").distinct()
+    return dim.join(keys, ["platform", "url_key"], "left_anti")
+
+
+def cap_pages(landing: DataFrame, max_pages: int = 20) -> DataFrame:
+    """Keep pages 1..max_pages (a partition filter when landing is partitioned by page)."""
+    return landing.where(F.col("page").between(1, max_pages))
+
