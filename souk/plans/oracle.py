@@ -157,13 +157,17 @@ LABELED = """labeled AS (
 CHAIN = [RAW, LZ, CANON, PARSED, FILLED, PREPARED, CLEANED, FEATURED, THRESH, LABELED]
 
 
+STAGES = ["raw", "lz", "canon", "parsed", "filled", "prepared", "cleaned", "featured", "thresh", "labeled"]
+
+
 def with_ctes(upto: str, body: str) -> str:
     """``WITH`` every stage up to and including ``upto`` (by CTE name), then ``body``."""
-    names = [c.split(" AS ", 1)[0].strip() for c in CHAIN]
-    names = [n.split(",")[0] for n in names]
-    idx = {"raw": 0, "lz": 1, "canon": 2, "parsed": 3, "filled": 4, "prepared": 5,
-           "cleaned": 6, "featured": 7, "thresh": 8, "labeled": 9}[upto]
-    return "WITH " + ",\n".join(CHAIN[: idx + 1]) + "\n" + body
+    return "WITH " + ",\n".join(CHAIN[: STAGES.index(upto) + 1]) + "\n" + body
+
+
+def stages_after_canon(upto: str) -> str:
+    """The stage CTEs that follow ``canon`` (parsed .. ``upto``), comma-joined."""
+    return ",\n".join(CHAIN[STAGES.index("parsed"): STAGES.index(upto) + 1])
 
 
 # ---------------------------------------------------------------- payload ingest
@@ -271,3 +275,24 @@ pay AS (
 
 def ingest_sql(body: str) -> str:
     return "WITH " + ING + body
+
+
+# canonical rows of the merged payload ingest, ordered by fetch time and position
+_SP_OFF = FX.PLATFORM_OFFSET["Shopee"]
+_TK_OFF = FX.PLATFORM_OFFSET["Tiki"]
+_LZ_OFF = FX.PLATFORM_OFFSET["Lazada"]
+CANON_INGEST = f"""canon AS (
+  SELECT crawl_date, platform, category_name, name AS product_name, price AS current_price, original_price,
+    discount_rate, rating_average, review_count, quantity_sold_value, quantity_sold_text, brand,
+    CAST(NULL AS VARCHAR) AS seller_location, seller_name, url AS product_url,
+    o * 60 + {_TK_OFF} AS ord_key, item_pos AS ord_line, '' AS id FROM tiki_rows
+  UNION ALL
+  SELECT crawl_date, platform, category_name, name, price, original_price, discount, rating, review_count,
+    {_v('sold_value')}, sold_text, brand, location, seller_name, url, o * 60 + {_LZ_OFF}, item_pos, '' FROM lz_rows
+  UNION ALL
+  SELECT crawl_date, 'Shopee', NULL, name, {_v('price')}, NULL, discount, {_v('rating_star')}, NULL,
+    {_v('historical_sold')}, NULL, NULL, location, NULL, url, o * 60 + {_SP_OFF}, item_pos, '' FROM sp_rows)"""
+
+
+def ingest_chain(upto: str, body: str) -> str:
+    return "WITH " + ING + ", " + CANON_INGEST + ",\n" + stages_after_canon(upto) + "\n" + body

@@ -519,3 +519,108 @@ def q_merge_platforms(spark, sf_dir):
     """All platforms appended by column name, then mapped to canonical columns."""
     m = merged_listings(_ingested(spark, sf_dir))
     return canonicalize(m, keep=["url_key", "page", "item_pos"])
+
+
+# ---------------------------------------------------------------- five stages from payloads
+
+from souk.plans.run import labeled_from_landing  # noqa: E402
+
+
+@query("pipeline_labels", O.ingest_chain("labeled", """
+SELECT platform, label, count(*) AS n FROM labeled GROUP BY platform, label"""))
+def q_pipeline_labels(spark, sf_dir):
+    """All five stages from landing pages: ingest -> merge -> clean -> features -> labels; rows per label."""
+    lab = labeled_from_landing(landing_from_tables(spark, sf_dir), category_dim(spark), P.RUN_TS)
+    return report.crawl_summary(lab, keys=("platform", "label")).withColumnRenamed("n_rows", "n")
+
+
+@query("pipeline_clean", O.ingest_chain("cleaned", "SELECT * FROM cleaned"))
+def q_pipeline_clean(spark, sf_dir):
+    """Landing pages of all platforms -> cleaned, de-duplicated listing rows."""
+    from souk.operators.clean import clean_listings
+    from souk.plans.run import INGEST_ORDER
+    merged = merged_listings(_ingested(spark, sf_dir))
+    return clean_listings(merged, P.RUN_TS, order_by=INGEST_ORDER)
+
+
+# ---------------------------------------------------------------- file sources and sinks
+
+from souk.session import scratch_path  # noqa: E402
+from souk.sources.files import PANDAS_NA_TOKENS, read_table, write_table  # noqa: E402
+
+_RAW_COLS = ["crawl_date", "platform", "category_name", "id", "name", "price", "original_price", "discount",
+             "rating", "review_count", "sold_text", "brand", "seller_name", "url", "ord_key", "ord_line"]
+
+
+@query("src_json", O.with_ctes("raw", "SELECT * FROM raw"))
+def q_src_json(spark, sf_dir):
+    """Raw rows written as JSON Lines (NULL fields kept) and read back with their schema."""
+    raw = raw_listing_rows(spark, sf_dir)
+    path = write_table(raw, scratch_path(spark, "raw.json"), fmt="json")
+    return read_table(spark, path, schema=raw.schema)
+
+
+def _na_sql(col: str) -> str:
+    toks = ", ".join("'" + t.replace("'", "''") + "'" for t in PANDAS_NA_TOKENS)
+    return f"CASE WHEN CAST({col} AS VARCHAR) IN ({toks}) THEN NULL ELSE CAST({col} AS VARCHAR) END AS {col}"
+
+
+@query("src_csv", O.with_ctes("raw", f"SELECT {', '.join(_na_sql(c) for c in _RAW_COLS)} FROM raw"))
+def q_src_csv(spark, sf_dir):
+    """Raw rows written as CSV with a header and read back as text; missing-value text becomes NULL."""
+    from pyspark.sql import types as T
+    raw = raw_listing_rows(spark, sf_dir)
+    path = write_table(raw, scratch_path(spark, "raw.csv"), fmt="csv")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in raw.columns])
+    return read_table(spark, path, schema=schema)
+
+
+@query("sink_partitioned", O.with_ctes("raw", """
+SELECT platform, substr(regexp_replace(category_name, '[<>:"/\\\\|?*]', '_', 'g'), 1, 50) AS safe_category,
+       count(*) AS n_rows FROM raw GROUP BY ALL"""))
+def q_sink_partitioned(spark, sf_dir):
+    """Rows written as parquet, one folder per platform and file-safe category name, then counted per folder."""
+    raw = raw_listing_rows(spark, sf_dir).withColumn("safe_category", safe_name("category_name"))
+    path = write_table(raw, scratch_path(spark, "by_category"), fmt="parquet",
+                       partition_by=["platform", "safe_category"], run_ts="2024-01-01_00-00")
+    back = read_table(spark, path, fmt="parquet")
+    return report.crawl_summary(back, keys=("platform", "safe_category"))
+
+
+# ---------------------------------------------------------------- streaming
+
+
+def _stream_slices(spark, sf_dir, n_slices: int = 4):
+    """Shopee landing pages split into ``n_slices`` consecutive fetch-time ranges:
+    the files that land between two runs of the incremental job."""
+    land = landing_from_tables(spark, sf_dir).where(F.col("platform") == "Shopee")
+    r = land.agg(F.min("fetched_at").cast("long").alias("lo"), F.max("fetched_at").cast("long").alias("hi")).first()
+    lo, hi = r["lo"], r["hi"]
+    step = (hi - lo) // n_slices + 1
+    ts = F.col("fetched_at").cast("long")
+    return [land.where((ts >= lo + i * step) & (ts < lo + (i + 1) * step)) for i in range(n_slices)]
+
+
+def _run_incremental(spark, sf_dir, watermark=None):
+    """Land each slice, then rerun the streaming job from the same checkpoint
+    (trigger once, resume): every rerun reads only the newly landed files."""
+    from souk.streaming.ingest import stream_ingest
+    src, out, ck = (scratch_path(spark, "landing"), scratch_path(spark, "stream_out"),
+                    scratch_path(spark, "stream_ck"))
+    for i, part in enumerate(_stream_slices(spark, sf_dir)):
+        part.write.mode("append").json(src)
+        stream_ingest(spark, src, out, ck, watermark=watermark)
+    return spark.read.parquet(out)
+
+
+@query("stream_ingest", O.ingest_sql("SELECT DISTINCT itemid FROM sp_rows"))
+def q_stream_ingest(spark, sf_dir):
+    """Incremental ingest over four arrivals of files, resumed from its checkpoint; item ids written (each once)."""
+    return _run_incremental(spark, sf_dir).select("itemid")
+
+
+@query("stream_ingest_wm")
+def q_stream_ingest_wm(spark, sf_dir):
+    """Incremental ingest with a 1-hour watermark bounding the de-duplication state
+    (a repeat arriving after its first copy left the state is written again)."""
+    return _run_incremental(spark, sf_dir, watermark="1 hour").select(*SHOPEE_OUT, "batch_id")
