@@ -76,7 +76,7 @@ def clip(c, lo: float | None = None, hi: float | None = None) -> Column:
 
 def to_count(c, default: int = 0) -> Column:
     """Text -> bigint, truncating toward zero; unparseable or NULL -> ``default``."""
-    return F.coalesce(to_number(c).cast("bigint"), F.lit(default).cast("bigint"))
+    return F.coalesce(to_number(c).try_cast("bigint"), F.lit(default).cast("bigint"))
 
 
 _ZERO_TEXT_RE = r"^[+-]?0*([.]0*)?([eE][+-]?[0-9]+)?$"

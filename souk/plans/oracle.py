@@ -203,7 +203,7 @@ LZ_PAGE = f"CAST((l_orderkey // {FX.LAZADA_BUCKETS}) % {FX.LAZADA_PAGES} + 1 AS
 SP_PAGE = f"CAST((l_orderkey // {FX.SHOPEE_PAGE_DIV}) % {FX.SHOPEE_PAGES} + 1 AS INTEGER)"
 LZ_HTML = f"l_orderkey % {FX.LAZADA_HTML_MOD} = {FX.LAZADA_HTML_REM}"
 LZ_BAD = f"l_orderkey % {FX.LAZADA_BAD_MOD} = {FX.LAZADA_BAD_REM}"
-POS = ("CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS INTEGER)"
+POS = (f"CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(FX.ITEM_ORDER)}) - 1 AS INTEGER)"
        " AS item_pos")
 
 ING = f"""base AS (SELECT * FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey

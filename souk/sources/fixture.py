@@ -68,8 +68,8 @@ def raw_listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- payload landing
 #
 # One landing row per (order, platform): a fetched page whose items are that
-# order's lineitems for the platform (at most 7, ordered by line number, part
-# and supplier), so no payload grows with the data.  Rules below decide page layout and edge cases; the oracle SQL states
+# order's lineitems for the platform (at most 7, in ITEM_ORDER), so no payload
+# grows with the data.  Rules below decide page layout and edge cases; the oracle SQL states
 # the rows the flatteners must recover from them.
 
 EPOCH = 1704067200  # 2024-01-01 00:00:00 UTC
@@ -82,6 +82,11 @@ SHOPEE_KEY, SHOPEE_PAGE_DIV, SHOPEE_PAGES = "may-anh", 7, 30
 HTML_BODY = "<html><body>Traffic Error</body></html>"
 
 
+# Order of items inside a page: every lineitem field an item is built from, so
+# two items tie only when they are identical.
+ITEM_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount"]
+
+
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     pa = table(spark, sf_dir, "part")
@@ -93,8 +98,7 @@ def _payload_items(base: DataFrame, platform_rem: int, item) -> DataFrame:
     from pyspark.sql import functions as F
     return (base.where(F.col("l_suppkey") % 3 == platform_rem)
             .groupBy("l_orderkey")
-            .agg(F.sort_array(F.collect_list(F.struct(F.col("l_linenumber").alias("ln"), F.col("l_partkey").alias("pk"),
-                                                      F.col("l_suppkey").alias("sk"), item.alias("it"))))
+            .agg(F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in ITEM_ORDER], item.alias("it"))))
                  .alias("arr"))
             .select("l_orderkey", F.transform("arr", lambda x: x["it"]).alias("items")))
 
