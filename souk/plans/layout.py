@@ -1,0 +1,21 @@
+"""Partition layout helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, keys: list[str] | tuple[str, ...] = (), factor: int = 2) -> DataFrame:
+    """Hash-partition a scan that arrives in fewer partitions than the cluster
+    has cores (e.g. one large file with a single row group), so the per-row work
+    after it runs on every core.  A scan that is already split is returned
+    unchanged: at cluster scale this adds no shuffle.  Partitioning by ``keys``
+    (not round-robin) keeps the layout deterministic for retried tasks, and a
+    later grouping on those keys reuses it.
+    """
+    sc = df.sparkSession.sparkContext
+    cores = sc.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    n = cores * factor
+    return df.repartition(n, *keys) if keys else df.repartition(n)

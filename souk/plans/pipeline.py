@@ -24,8 +24,14 @@ def cleaned(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return clean_listings(listing_rows(spark, sf_dir), RUN_TS, **kw)
 
 
-def featured(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    return add_features(cleaned(spark, sf_dir, **kw))
+def featured(spark: SparkSession, sf_dir: str, persist: bool = True, **kw) -> DataFrame:
+    """Cleaned rows with features.  The table feeds several passes (threshold
+    quantiles, labelling, statistics), so by default it is checkpointed once to
+    the checkpoint folder: later passes read it instead of re-running the
+    scan, parse and de-duplication, and a lost executor does not send them
+    back to the raw input."""
+    f = add_features(cleaned(spark, sf_dir, **kw))
+    return f.checkpoint(eager=True) if persist else f
 
 
 def labeled(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:

@@ -48,8 +48,16 @@ FROM {lineitem} l JOIN {part} p ON l.l_partkey=p.p_partkey JOIN {supplier} s ON
 RAW_ORDER = ["crawl_date", "ord_key", "ord_line", "id"]
 
 
+# Fact tables and the key they are spread on when the scan is too coarse.
+FACT_KEYS = {"lineitem": ["l_orderkey"]}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in FACT_KEYS:
+        from souk.plans.layout import spread
+        df = spread(df, FACT_KEYS[name])
+    return df
 
 
 def duckdb_sql(text: str) -> str:
