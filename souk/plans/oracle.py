@@ -15,7 +15,7 @@ RUN_TS = "2024-01-01 00:00:00"
 
 
 def strip(x: str) -> str:
-    return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+    return f"trim({x}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 
 
 def num(x: str) -> str:
