@@ -72,17 +72,9 @@ def label_products(df: DataFrame, th=None, rules=DEFAULT_RULES, default: str = L
     if th is None:
         th = thresholds(df)
     vals = threshold_values(th)
-    tmp = df.withColumns({f"__th_{k}": F.lit(v).cast("double") for k, v in vals.items()})
-    renamed = []
-    for label, pred in rules:
-        if isinstance(pred, str):
-            for k in sorted(vals, key=len, reverse=True):
-                pred = _replace_word(pred, k, f"__th_{k}")
-        renamed.append((label, pred))
-    out = tmp.withColumn(label_col, compile_rules(renamed, default))
-    return out.drop(*[f"__th_{k}" for k in vals])
-
-
-def _replace_word(text: str, word: str, repl: str) -> str:
-    import re
-    return re.sub(rf"(?<![A-Za-z0-9_]){re.escape(word)}(?![A-Za-z0-9_])", repl, text)
+    clash = [k for k in vals if k in df.columns]
+    if clash:
+        raise ValueError(f"threshold names collide with columns: {clash}")
+    tmp = df.withColumns({k: F.lit(v).cast("double") for k, v in vals.items()})
+    out = tmp.withColumn(label_col, compile_rules(rules, default))
+    return out.drop(*vals)

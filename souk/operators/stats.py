@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from souk.operators.quantiles import quantiles
+from souk.plans.layout import broadcast_if_small
 
 
 def _finite(col: str):
@@ -106,8 +107,13 @@ def kde_curve(df: DataFrame, col: str, grid: int = 200, bins: int = 30, digits:
 def box_stats(df: DataFrame, group: str, y: str, whis: float = 1.5, digits: int = 6) -> DataFrame:
     """Box-plot statistics of ``y`` per ``group``: quartiles (linear), whiskers
     at the most extreme values inside Q1 - whis*IQR .. Q3 + whis*IQR (or the
-    quartile when no value lies between), outlier count, mean and n."""
-    q = quantiles(df, [("q1", y, 0.25), ("med", y, 0.5), ("q3", y, 0.75)], by=[group])
+    quartile when no value lies between), outlier count, mean and n.
+
+    The per-group quartiles (one row per group) are broadcast back to the rows
+    when their count is within the checked limit, so the rows are not
+    shuffled by group and a dominant group never lands in one task.
+    """
+    q = broadcast_if_small(quantiles(df, [("q1", y, 0.25), ("med", y, 0.5), ("q3", y, 0.75)], by=[group]))
     v = F.col(y).cast("double")
     j = df.where(_finite(y)).select(group, v.alias("_y")).join(q, group)
     lo_f = F.col("q1") - F.lit(whis) * (F.col("q3") - F.col("q1"))
@@ -131,7 +137,7 @@ def box_stats(df: DataFrame, group: str, y: str, whis: float = 1.5, digits: int
 
 def box_outliers(df: DataFrame, group: str, y: str, keep: list[str], whis: float = 1.5) -> DataFrame:
     """Rows whose ``y`` lies outside the whisker fences of their group."""
-    q = quantiles(df, [("q1", y, 0.25), ("q3", y, 0.75)], by=[group])
+    q = broadcast_if_small(quantiles(df, [("q1", y, 0.25), ("q3", y, 0.75)], by=[group]))
     lo_f = F.col("q1") - F.lit(whis) * (F.col("q3") - F.col("q1"))
     hi_f = F.col("q3") + F.lit(whis) * (F.col("q3") - F.col("q1"))
     v = F.col(y).cast("double")
@@ -159,40 +165,49 @@ def mean_ci_normal(df: DataFrame, keys: list[str], y: str, z: float = Z_95, digi
                     F.round(F.col("m") + half, digits).alias("ci_hi"))
 
 
-def mean_ci_bootstrap(df: DataFrame, keys: list[str], y: str, row_id: list[str], n_boot: int = 1000,
-                      level: float = 0.95, seed: int = 0, digits: int = 6) -> DataFrame:
-    """Bootstrap confidence interval of the mean per group (Poisson bootstrap).
-
-    Each row gets, in replicate b, a weight drawn from Poisson(1) by inverting
-    its CDF at a uniform derived from xxhash64(row id, b, seed): repeatable and
-    independent of partitioning.  Replicate means are sum(w*y)/sum(w); the
-    interval is the (1-level)/2 and (1+level)/2 quantiles of the replicates.
-    Rows are combined per (group, replicate) with partial aggregation.
-    """
-    v = F.col(y).cast("double")
-    base = df.where(_finite(y)).select(*keys, v.alias("_y"), F.xxhash64(*row_id, F.lit(seed)).alias("_rid"))
-    reps = base.select(*keys, "_y", "_rid", F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("_b"))
-    # uniform in [0, 1) from a hash of (row, replicate)
-    u = (F.pmod(F.xxhash64("_rid", "_b"), F.lit(1 << 52)).cast("double") / F.lit(float(1 << 52)))
-    # Poisson(1) inverse CDF: P(0)=e^-1, P(k)=P(k-1)/k
-    e = math.exp(-1.0)
-    cdf, p, w = [], e, None
-    acc = 0.0
-    for k in range(0, 12):
+def _poisson1(u):
+    """Poisson(1) draw by inverting its CDF at the uniform ``u`` (a Column)."""
+    cdf, p, acc = [], math.exp(-1.0), 0.0
+    for k in range(16):
         if k > 0:
             p = p / k
         acc += p
         cdf.append(acc)
-    w = F.lit(12)
-    for k in reversed(range(12)):
+    w = F.lit(16)
+    for k in reversed(range(16)):
         w = F.when(u < F.lit(cdf[k]), F.lit(k)).otherwise(w)
-    reps = reps.withColumn("_w", w)
-    per = reps.groupBy(*keys, "_b").agg(F.sum(F.col("_w") * F.col("_y")).alias("_s"),
-                                        F.sum("_w").alias("_sw"))
-    per = per.where(F.col("_sw") > 0).withColumn("_m", F.col("_s") / F.col("_sw"))
+    return w
+
+
+def mean_ci_bootstrap(df: DataFrame, keys: list[str], y: str, row_id: list[str], n_boot: int = 1000,
+                      level: float = 0.95, seed: int = 0, blocks: int = 4096, digits: int = 6) -> DataFrame:
+    """Bootstrap confidence interval of the mean per group (Poisson bootstrap).
+
+    Rows are hashed on ``row_id`` into ``blocks`` random blocks and summed per
+    (group, block) in one partially aggregated pass.  Each replicate gives every
+    block a Poisson(1) weight, drawn by inverting the CDF at a uniform from
+    xxhash64(group, block, replicate, seed): repeatable and independent of
+    partitioning.  Replicate mean = sum(w * block sum) / sum(w * block count);
+    the interval is the (1-level)/2 and (1+level)/2 quantiles of the replicate
+    means.  With at most one row per block (groups of <= ``blocks`` rows, in
+    the limit) this is exactly the row-level Poisson bootstrap; for larger
+    groups the blocks are i.i.d. random subsets, so the replicate variance of
+    the mean is preserved while the replicate work stays
+    groups x blocks x n_boot whatever the data size.
+    """
+    v = F.col(y).cast("double")
+    blk = F.pmod(F.xxhash64(*row_id, F.lit(seed)), F.lit(blocks)).alias("_blk")
+    sums = df.where(_finite(y)).groupBy(*keys, blk).agg(F.sum(v).alias("_s"), F.count(v).alias("_c"))
+    reps = sums.select(*keys, "_blk", "_s", "_c", F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("_b"))
+    u = (F.pmod(F.xxhash64(*keys, "_blk", "_b", F.lit(seed)), F.lit(1 << 52)).cast("double")
+         / F.lit(float(1 << 52)))
+    reps = reps.withColumn("_w", _poisson1(u))
+    per = reps.groupBy(*keys, "_b").agg(F.sum(F.col("_w") * F.col("_s")).alias("_ws"),
+                                        F.sum(F.col("_w") * F.col("_c")).alias("_wc"))
+    per = per.where(F.col("_wc") > 0).withColumn("_m", F.col("_ws") / F.col("_wc"))
     lo_q, hi_q = (1 - level) / 2, (1 + level) / 2
     ci = quantiles(per, [("ci_lo", "_m", lo_q), ("ci_hi", "_m", hi_q)], by=keys)
-    means = df.groupBy(*keys).agg(F.avg(F.col(y).cast("double")).alias("mean"), F.count(F.col(y)).alias("n"))
+    means = df.groupBy(*keys).agg(F.avg(v).alias("mean"), F.count(v).alias("n"))
     return means.join(ci, keys, "left").select(
         *keys, "n", F.round("mean", digits).alias("mean"),
         F.round("ci_lo", digits).alias("ci_lo"), F.round("ci_hi", digits).alias("ci_hi"))

@@ -19,3 +19,16 @@ def spread(df: DataFrame, keys: list[str] | tuple[str, ...] = (), factor: int =
         return df
     n = cores * factor
     return df.repartition(n, *keys) if keys else df.repartition(n)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast a small derived table after checking its size.
+
+    The table is checkpointed (so the count and the join read the same rows
+    and its lineage is cut), counted, and marked for broadcast only when it
+    has at most ``max_rows`` rows; otherwise it is returned for an ordinary
+    shuffle join (where AQE can still split skewed keys).
+    """
+    from pyspark.sql import functions as F
+    fixed = df.checkpoint(eager=True)
+    return F.broadcast(fixed) if fixed.count() <= max_rows else fixed

@@ -324,6 +324,16 @@ def q_price_outliers(spark, sf_dir):
     return stats.box_outliers(P.labeled(spark, sf_dir), "label", "current_price", keep=["product_url"])
 
 
+@query("rating_outliers", O.with_ctes("labeled", """
+, q AS (SELECT label, quantile_cont(rating_score, 0.25) AS q1, quantile_cont(rating_score, 0.75) AS q3
+        FROM labeled GROUP BY label)
+SELECT l.label, l.product_url, l.rating_score FROM labeled l JOIN q USING (label)
+WHERE l.rating_score < q1 - 1.5 * (q3 - q1) OR l.rating_score > q3 + 1.5 * (q3 - q1)"""))
+def q_rating_outliers(spark, sf_dir):
+    """Fliers of the rating-score box plot per label."""
+    return stats.box_outliers(P.labeled(spark, sf_dir), "label", "rating_score", keep=["product_url"])
+
+
 @query("avg_sold_by_label", O.with_ctes("labeled", """
 SELECT label, round(avg(quantity_sold_value), 6) AS mean_sold, count(quantity_sold_value) AS n
 FROM labeled GROUP BY label"""))

@@ -53,3 +53,14 @@ def stream_ingest(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: st
     if available_now:
         q.awaitTermination()
     return q
+
+
+def read_sink(spark: SparkSession, out_dir: str, limit: int | None = None,
+              order: list[str] | None = None) -> DataFrame:
+    """The ingested table; with ``limit``, exactly the first ``limit`` rows in
+    ``order`` (default: fetch time, then position in the page) - a stream has
+    no global stop-at-n, so the target count is applied when reading."""
+    df = spark.read.parquet(out_dir)
+    if limit is None:
+        return df
+    return df.orderBy(*(order or ["fetched_at", "item_pos"])).limit(limit)

@@ -196,9 +196,29 @@ def test_mean_ci(spark):
     df = spark.createDataFrame(pd.DataFrame({"g": ["a"] * 400, "y": v, "id": [str(i) for i in range(400)]}))
     normal = stats.mean_ci_normal(df, ["g"], "y").first()
     boot = stats.mean_ci_bootstrap(df, ["g"], "y", row_id=["id"], n_boot=200, seed=1).first()
+    blocked = stats.mean_ci_bootstrap(df, ["g"], "y", row_id=["id"], n_boot=200, seed=1, blocks=64).first()
     assert normal.ci_lo < v.mean() < normal.ci_hi
     assert boot.ci_lo < v.mean() < boot.ci_hi
     # both intervals describe the same spread
-    assert abs((boot.ci_hi - boot.ci_lo) - (normal.ci_hi - normal.ci_lo)) < 0.5 * (normal.ci_hi - normal.ci_lo)
+    width = normal.ci_hi - normal.ci_lo
+    assert abs((boot.ci_hi - boot.ci_lo) - width) < 0.5 * width
+    assert abs((blocked.ci_hi - blocked.ci_lo) - width) < 0.5 * width
     again = stats.mean_ci_bootstrap(df, ["g"], "y", row_id=["id"], n_boot=200, seed=1).first()
     assert again == boot  # repeatable
+
+
+def test_custom_rules_and_thresholds(spark):
+    rows = [(f"p{i}", "100", f"{i % 5}%", "4", str(i), str(i), f"/p/{i}", i) for i in range(20)]
+    f = _featured(spark, rows)
+    rules = [("discounted", "discount_percent >= 3"),
+             ("popular", F.col("popularity_score") >= F.col("p50_pop"))]
+    th = {"p50_pop": 10.0}
+    lab = {r.product_name: r.label for r in label_products(f, th, rules=rules, default="other").collect()}
+    assert lab["p3"] == "discounted" and lab["p15"] == "popular" and lab["p1"] == "other"
+
+
+def test_broadcast_if_small(spark):
+    from souk.plans.layout import broadcast_if_small
+    small = spark.range(5)
+    plan = spark.range(1000).join(broadcast_if_small(small), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
