@@ -94,3 +94,22 @@ def sold_text_count(c, mode: str = "parity") -> Column:
         val = F.nullif(num, F.lit("")).try_cast("double") * mult
         return F.floor(val).cast("bigint")
     raise ValueError(f"unknown sold-text mode {mode!r}")
+
+
+# Text formats of crawl dates, clean timestamps and file stamps.
+DATE_FORMAT = "yyyy-MM-dd"
+TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+FILE_STAMP_FORMAT = "yyyy-MM-dd_HH-mm"
+
+
+def date_text(c) -> Column:
+    return F.date_format(_c(c), DATE_FORMAT)
+
+
+def timestamp_text(c) -> Column:
+    return F.date_format(_c(c), TIMESTAMP_FORMAT)
+
+
+def file_stamp(c) -> Column:
+    """Timestamp -> the stamp used in output names (2024-01-31_13-05)."""
+    return F.date_format(_c(c), FILE_STAMP_FORMAT)

@@ -34,6 +34,9 @@ def dedup_first(df: DataFrame, keys: list[str], order: list[str] | list[Column],
     ``null_policy="collapse"`` treats NULL/'' keys as an ordinary key value (all
     rows without a key become one row); ``"keep"`` passes such rows through.
     ``count_col`` adds the number of input rows that each survivor stands for.
+    One grouped aggregate, one shuffle, in both policies: with ``"keep"`` a
+    keyless row is grouped on its own (unique) ordering values instead of the
+    key, so it forms a group by itself.
     """
     if not keys:
         return df if count_col is None else df.withColumn(count_col, F.lit(1).cast("bigint"))
@@ -43,21 +46,16 @@ def dedup_first(df: DataFrame, keys: list[str], order: list[str] | list[Column],
         raise ValueError("dedup_first needs at least one ordering column")
     if null_policy not in ("collapse", "keep"):
         raise ValueError(f"unknown null_policy {null_policy!r}")
-    src = df
-    passthrough = None
-    if null_policy == "keep":
+    if null_policy == "collapse":
+        group = [F.col(k) for k in keys]
+    else:
         miss = _missing_key(keys)
-        passthrough = df.where(miss)
-        src = df.where(~miss)
+        group = ([miss.alias("_nokey")] + [F.when(~miss, F.col(k)).alias(f"_k{i}") for i, k in enumerate(keys)]
+                 + [F.when(miss, o).alias(f"_o{i}") for i, o in enumerate(order_cols)])
     aggs = [F.min_by(F.struct(*cols), F.struct(*order_cols)).alias("_first")]
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))
-    out = src.groupBy(*keys).agg(*aggs).select("_first.*", *([count_col] if count_col else []))
-    if passthrough is not None:
-        if count_col:
-            passthrough = passthrough.withColumn(count_col, F.lit(1).cast("bigint"))
-        out = out.unionByName(passthrough)
-    return out
+    return df.groupBy(*group).agg(*aggs).select("_first.*", *([count_col] if count_col else []))
 
 
 def dedup_url(df: DataFrame, order, url_col: str = "product_url", normalize: bool = True,

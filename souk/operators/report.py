@@ -77,3 +77,14 @@ def dedup_report(deduped_with_counts: DataFrame, count_col: str, n_columns: int
 def crawl_summary(df: DataFrame, keys=("platform", "category_name", "page")) -> DataFrame:
     """Rows per platform / category / page."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def observe_rows(df: DataFrame, name: str):
+    """Attach a row counter that fills in when the plan runs (no extra pass).
+
+    Returns (df, observation); ``observation.get["rows"]`` holds the count
+    after the first action on the returned DataFrame.
+    """
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

@@ -109,3 +109,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
 def exists(path: str) -> bool:
     p = path[len("file:"):] if path.startswith("file:") else path
     return os.path.exists(p)
+
+
+def default_output_path(input_path: str) -> str:
+    """Where the clean stage writes when no output is named: the input name
+    with ``_cleaned.csv`` in place of its ``.csv`` / ``.json`` suffix."""
+    return input_path.replace(".csv", "_cleaned.csv").replace(".json", "_cleaned.csv")

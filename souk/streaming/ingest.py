@@ -16,6 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from souk.sources.payloads import LANDING_DDL, flatten_shopee, split_malformed
 
+_STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def shopee_stream(spark: SparkSession, in_dir: str, files_per_batch: int | None = None) -> DataFrame:
     r = spark.readStream.schema(LANDING_DDL)
@@ -28,7 +31,7 @@ def shopee_stream(spark: SparkSession, in_dir: str, files_per_batch: int | None
 
 def stream_ingest(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, *,
                   watermark: str | None = None, files_per_batch: int | None = None,
-                  available_now: bool = True) -> StreamingQuery:
+                  available_now: bool = True, state_store: str = "rocksdb") -> StreamingQuery:
     """Start the incremental Shopee ingest; returns the running (or, with
     ``available_now``, finished) query.
 
@@ -37,6 +40,10 @@ def stream_ingest(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: st
     ``fetched_at``) state is dropped once the watermark passes, so a duplicate
     arriving later than that may be written again.
     """
+    if state_store == "rocksdb" and not spark.conf.get(_STATE_PROVIDER_KEY, None):
+        # the seen-id state grows with the data: keep it in RocksDB (off-heap,
+        # spilled to local disk, checkpointed incrementally), not on the JVM heap
+        spark.conf.set(_STATE_PROVIDER_KEY, _ROCKSDB_PROVIDER)
     rows = shopee_stream(spark, in_dir, files_per_batch)
     if watermark:
         rows = rows.withWatermark("fetched_at", watermark).dropDuplicatesWithinWatermark(["itemid"])

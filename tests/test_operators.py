@@ -222,3 +222,35 @@ def test_broadcast_if_small(spark):
     small = spark.range(5)
     plan = spark.range(1000).join(broadcast_if_small(small), "id")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_dedup_keep_policy_single_pass(spark):
+    df = spark.createDataFrame([("", 1), (None, 2), ("u", 3), ("u", 4), ("", 5)], "k string, o int")
+    out = dedup_first(df, ["k"], ["o"], null_policy="keep", count_col="n")
+    got = sorted(((r.k or "-"), r.o, r.n) for r in out.collect())
+    assert got == [("-", 1, 1), ("-", 2, 1), ("-", 5, 1), ("u", 3, 2)]
+    fresh = dedup_first(df, ["k"], ["o"], null_policy="keep")
+    plan = fresh._jdf.queryExecution().executedPlan().toString()  # not yet run: one plan
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_one_row_and_empty_labels(spark):
+    one = _featured(spark, [("p", "10", "5%", "4", "3", "2", "/p/1", 1)])
+    lab = label_products(one).collect()
+    assert len(lab) == 1 and lab[0].label == "uu_dai"  # every threshold equals the only value
+    empty = _featured(spark, [])
+    assert label_products(empty).count() == 0
+    assert thresholds(empty).first().p80_sold is None
+
+
+def test_observe_rows(spark):
+    df, obs = report.observe_rows(spark.range(17), "n")
+    df.write.format("noop").mode("overwrite").save()
+    assert obs.get["rows"] == 17
+
+
+def test_file_stamp_and_formats(spark):
+    from souk.functions.text import date_text, file_stamp, timestamp_text
+    r = spark.sql("SELECT timestamp_ntz'2024-01-31 13:05:09' AS t").select(
+        file_stamp("t").alias("a"), date_text("t").alias("b"), timestamp_text("t").alias("c")).first()
+    assert (r.a, r.b, r.c) == ("2024-01-31_13-05", "2024-01-31", "2024-01-31 13:05:09")

@@ -103,3 +103,18 @@ def test_json_array_file(spark):
         json.dump([{"name": "Á", "price": "1"}, {"name": "B", "price": None}], f, ensure_ascii=False)
     df = FI.read_table(spark, p, schema="name string, price string", multi_line=True)
     assert sorted(tuple(r) for r in df.collect()) == [("B", None), ("Á", "1")]
+
+
+def test_csv_with_bom_header(spark):
+    d = tempfile.mkdtemp(prefix="souk-test-")
+    p = os.path.join(d, "bom.csv")
+    with open(p, "w", encoding="utf-8-sig") as f:
+        f.write("name,price\nÁo,\"1,234\"\nB,N/A\n")
+    df = FI.read_table(spark, p)
+    assert df.columns == ["name", "price"]
+    assert sorted(tuple(r) for r in df.collect()) == [("B", None), ("Áo", "1,234")]
+
+
+def test_default_output_path():
+    assert FI.default_output_path("data/lazada_all.csv") == "data/lazada_all_cleaned.csv"
+    assert FI.default_output_path("x/merged.json") == "x/merged_cleaned.csv"
