@@ -28,13 +28,30 @@ def _as_text(c) -> Column:
     return c.cast("string")
 
 
+# Each parser is split into a text step (``*_text``: drop characters, trim)
+# and ``guarded_double`` on that text.  ``guarded_double`` reads its input
+# twice (test, then cast); applied to a column that an earlier projection has
+# already computed, the text step runs once per row instead of twice - the
+# clean stage parses that way (see ``souk.operators.clean.parse_fields``).
+
+
+def number_text(c) -> Column:
+    """Text step of ``to_number``: surrounding whitespace removed."""
+    return strip_ws(_as_text(c))
+
+
+def guarded_double(s) -> Column:
+    """Prepared text -> double when it is a plain decimal, else NULL (no NaN)."""
+    s = F.col(s) if isinstance(s, str) else s
+    return F.when(s.rlike(NUMERIC_RE), s.try_cast("double"))
+
+
 def to_number(c) -> Column:
     """Text (or number) -> double, NULL when the text is not a plain decimal.
 
     Surrounding whitespace is ignored; NaN never comes out (see NUMERIC_RE).
     """
-    s = strip_ws(_as_text(c))
-    return F.when(s.rlike(NUMERIC_RE), s.try_cast("double"))
+    return guarded_double(number_text(c))
 
 
 def _remove_chars(s: Column, chars: str) -> Column:
@@ -43,6 +60,16 @@ def _remove_chars(s: Column, chars: str) -> Column:
     return s
 
 
+def money_text(c, mode: str = "parity") -> Column:
+    """Text step of ``parse_money``."""
+    s = _remove_chars(_as_text(c), MONEY_STRIP_CHARS)
+    if mode == "vnd":
+        s = _remove_chars(s, VND_EXTRA_STRIP)
+    elif mode != "parity":
+        raise ValueError(f"unknown money mode {mode!r}")
+    return strip_ws(s)
+
+
 def parse_money(c, mode: str = "parity") -> Column:
     """Money text -> double.
 
@@ -50,17 +77,17 @@ def parse_money(c, mode: str = "parity") -> Column:
     ``vnd``: also drop "₫" and "." group separators, for dong amounts written
     with dot grouping.
     """
-    s = _remove_chars(_as_text(c), MONEY_STRIP_CHARS)
-    if mode == "vnd":
-        s = _remove_chars(s, VND_EXTRA_STRIP)
-    elif mode != "parity":
-        raise ValueError(f"unknown money mode {mode!r}")
-    return to_number(s)
+    return guarded_double(money_text(c, mode))
+
+
+def percent_text(c) -> Column:
+    """Text step of ``parse_percent``."""
+    return strip_ws(F.replace(_as_text(c), F.lit("%"), F.lit("")))
 
 
 def parse_percent(c) -> Column:
     """Percent text -> double: drop every "%", trim, parse ("10% Off" -> NULL)."""
-    return to_number(F.replace(_as_text(c), F.lit("%"), F.lit("")))
+    return guarded_double(percent_text(c))
 
 
 def clip(c, lo: float | None = None, hi: float | None = None) -> Column:
@@ -76,7 +103,13 @@ def clip(c, lo: float | None = None, hi: float | None = None) -> Column:
 
 def to_count(c, default: int = 0) -> Column:
     """Text -> bigint, truncating toward zero; unparseable or NULL -> ``default``."""
-    return F.coalesce(to_number(c).try_cast("bigint"), F.lit(default).cast("bigint"))
+    return count_of(to_number(c), default)
+
+
+def count_of(x, default: int = 0) -> Column:
+    """Parsed double -> bigint, truncating toward zero; NULL/out of range -> ``default``."""
+    x = F.col(x) if isinstance(x, str) else x
+    return F.coalesce(x.try_cast("bigint"), F.lit(default).cast("bigint"))
 
 
 _ZERO_TEXT_RE = r"^[+-]?0*([.]0*)?([eE][+-]?[0-9]+)?$"

@@ -35,38 +35,83 @@ def nullif_empty(c) -> Column:
     return F.nullif(_c(c), F.lit(""))
 
 
-def url_repair(c, host: str = DEFAULT_HOST, mode: str = "parity") -> Column:
-    """Collapse repeated slashes, then make root-relative links absolute.
+def _collapse_slashes(u: Column) -> Column:
+    return F.regexp_replace(u, "//+", "/")
 
-    ``parity`` collapses every run of slashes, the scheme's "//" included, so
-    "https://x/a" becomes "https:/x/a" and "//host/p" becomes host + "host/p".
-    ``fixed`` keeps the scheme (and a protocol-relative "//") intact and only
-    collapses slashes in the rest of the link.
-    """
-    u = _c(c)
-    if mode == "parity":
-        u = F.regexp_replace(u, "//+", "/")
-        return F.regexp_replace(u, "^/", host)
-    if mode == "fixed":
+
+def _absolute(host: str):
+    def step(u: Column) -> Column:
+        return F.when(u.startswith("/"), F.concat(F.lit(host), F.substring(u, 2, 1 << 30))).otherwise(u)
+    return step
+
+
+def _scheme_https(u: Column) -> Column:
+    return F.regexp_replace(u, r"^https?://(www\.)?", "https://")
+
+
+def _no_trailing_slash(u: Column) -> Column:
+    return F.rtrim(u, F.lit("/"))
+
+
+def _fixed_repair(host: str):
+    def step(u: Column) -> Column:
         scheme = F.regexp_extract(u, r"^([A-Za-z][A-Za-z0-9+.-]*:)?//", 0)
         rest = F.substring(u, F.length(scheme) + 1, 1 << 30)
         rest = F.regexp_replace(rest, "//+", "/")
         absolute = F.when(scheme == "//", F.concat(F.lit("https:"), scheme, rest))
         rel = F.when(scheme == "", F.regexp_replace(rest, "^/", host))
         return F.coalesce(absolute, rel, F.concat(scheme, rest))
+    return step
+
+
+def url_repair_steps(host: str = DEFAULT_HOST, mode: str = "parity") -> list:
+    """``url_repair`` as a list of Column -> Column steps (apply one projection each)."""
+    if mode == "parity":
+        return [_collapse_slashes, _absolute(host)]
+    if mode == "fixed":
+        return [_fixed_repair(host)]
     raise ValueError(f"unknown url mode {mode!r}")
 
 
+def url_normalize_steps() -> list:
+    """``url_normalize`` as a list of Column -> Column steps."""
+    return [strip_ws, _scheme_https, _no_trailing_slash]
+
+
+def _compose(c, steps) -> Column:
+    u = _c(c)
+    for f in steps:
+        u = f(u)
+    return u
+
+
+def url_repair(c, host: str = DEFAULT_HOST, mode: str = "parity") -> Column:
+    """Collapse repeated slashes, then make root-relative links absolute.
+
+    ``parity`` collapses every run of slashes, the scheme's "//" included, so
+    "https://x/a" becomes "https:/x/a" and "//host/p" becomes host + "host/p".
+    ``fixed`` keeps the scheme (and a protocol-relative "//") intact and only
+    collapses slashes in the rest of the link.
+    """
+    return _compose(c, url_repair_steps(host, mode))
+
+
 def url_normalize(c) -> Column:
     """Key form of a link: trim, unify scheme to https, drop "www.", drop trailing "/"."""
-    u = strip_ws(_c(c))
-    u = F.regexp_replace(u, r"^https?://(www\.)?", "https://")
-    return F.regexp_replace(u, "/+$", "")
+    return _compose(c, url_normalize_steps())
 
 
 def url_key(c, host: str = DEFAULT_HOST, mode: str = "parity") -> Column:
     """Repair then normalise: the full chain used as the dedup key."""
-    return url_normalize(url_repair(c, host=host, mode=mode))
+    return _compose(c, url_repair_steps(host, mode) + url_normalize_steps())
+
+
+def apply_steps(df, col: str, steps):
+    """Apply Column steps to one column, one projection per step, so a step
+    that reads its input more than once does not repeat the earlier steps."""
+    for f in steps:
+        df = df.withColumn(col, f(F.col(col)))
+    return df
 
 
 def safe_name(c, max_len: int = SAFE_NAME_MAX) -> Column:

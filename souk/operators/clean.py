@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from souk.functions.numbers import clip, flag_positive, parse_money, parse_percent, to_count, to_number
-from souk.functions.text import DEFAULT_HOST, url_repair
+from souk.functions.numbers import (clip, count_of, flag_positive, guarded_double, money_text, number_text,
+                                    percent_text)
+from souk.functions.text import DEFAULT_HOST, apply_steps, url_repair_steps
 from souk.operators.canonical import ALIASES, WANTED, canonicalize, sources_for
 from souk.operators.dedup import dedup_fallback, dedup_id, dedup_url
 
@@ -43,18 +44,30 @@ FILL_DEFAULTS: list[tuple[str, object]] = [
 ]
 
 
+# Per field: (text step, step after the guarded cast).
+_PARSERS = {
+    "current_price": (money_text, None),
+    "original_price": (money_text, None),
+    "discount_rate": (percent_text, lambda c: clip(c, 0.0, 100.0)),
+    "rating_average": (number_text, lambda c: clip(c, 0.0, 5.0)),
+    "review_count": (number_text, count_of),
+    "quantity_sold_value": (number_text, count_of),
+}
+
+
 def parse_fields(df: DataFrame) -> DataFrame:
-    """Type the text fields: prices, discount (clipped 0..100), rating (0..5), counts."""
-    conv = {
-        "current_price": lambda c: parse_money(c),
-        "original_price": lambda c: parse_money(c),
-        "discount_rate": lambda c: clip(parse_percent(c), 0.0, 100.0),
-        "rating_average": lambda c: clip(to_number(c), 0.0, 5.0),
-        "review_count": lambda c: to_count(c),
-        "quantity_sold_value": lambda c: to_count(c),
-    }
-    present = {k: f(F.col(k)) for k, f in conv.items() if k in df.columns}
-    return df.withColumns(present) if present else df
+    """Type the text fields: prices, discount (clipped 0..100), rating (0..5), counts.
+
+    Three projections (text step, guarded cast, clip/truncate): each step reads
+    the previous one's column, so no string work is repeated inside a CASE.
+    """
+    present = [k for k in _PARSERS if k in df.columns]
+    if not present:
+        return df
+    df = df.withColumns({k: _PARSERS[k][0](F.col(k)) for k in present})
+    df = df.withColumns({k: guarded_double(k) for k in present})
+    post = {k: _PARSERS[k][1](F.col(k)) for k in present if _PARSERS[k][1] is not None}
+    return df.withColumns(post) if post else df
 
 
 def fill_defaults(df: DataFrame, defaults=FILL_DEFAULTS) -> DataFrame:
@@ -88,7 +101,7 @@ def prepare_listings(raw: DataFrame, run_ts: str, *, host: str = DEFAULT_HOST,
     df = parse_fields(df)
     df = fill_defaults(df)
     if "product_url" in df.columns:
-        df = df.withColumn("product_url", url_repair("product_url", host=host, mode=url_mode))
+        df = apply_steps(df, "product_url", url_repair_steps(host, url_mode))
     if "crawl_date" in df.columns:
         df = df.withColumn("crawl_date", F.col("crawl_date").try_cast("date"))
     df = stamp(df, run_ts)

@@ -63,8 +63,8 @@ def dedup_url(df: DataFrame, order, url_col: str = "product_url", normalize: boo
     """Keep-first by product link; the link is first normalised (trim, https,
     no "www.", no trailing "/") and the normalised form is what is kept."""
     if normalize:
-        from souk.functions.text import url_normalize
-        df = df.withColumn(url_col, url_normalize(url_col))
+        from souk.functions.text import apply_steps, url_normalize_steps
+        df = apply_steps(df, url_col, url_normalize_steps())
     return dedup_first(df, [url_col], order, null_policy=null_policy, count_col=count_col)
 
 
