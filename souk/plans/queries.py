@@ -360,7 +360,7 @@ def q_avg_sold_ci_boot(spark, sf_dir):
 
 
 _TOP_ROWS = """
-SELECT label, product_name, product_url, quantity_sold_value AS sold, rn AS rank FROM (
+SELECT label, product_name, product_url, quantity_sold_value AS sold, CAST(rn AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY label ORDER BY quantity_sold_value DESC NULLS LAST,
                                product_url) AS rn FROM labeled) WHERE rn <= 3"""
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -70,10 +69,4 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, "souk", uuid.uuid4().hex, *parts])
 
 
-def local_path(p: str) -> str:
-    """Strip a ``file:`` scheme for local-only helpers (tests)."""
-    return p[len("file:"):] if p.startswith("file:") else p
-
-
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "checkpoint_base",
-           "local_path", "DEFAULT_CONF", "os"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "checkpoint_base", "DEFAULT_CONF"]

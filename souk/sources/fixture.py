@@ -80,7 +80,7 @@ def raw_listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # grows with the data.  Rules below decide page layout and edge cases; the oracle SQL states
 # the rows the flatteners must recover from them.
 
-EPOCH = 1704067200  # 2024-01-01 00:00:00 UTC
+EPOCH_DATE = "2024-01-01"
 PLATFORM_OFFSET = {"Tiki": 0, "Lazada": 20, "Shopee": 40}
 TIKI_BUCKETS, TIKI_EMPTY, TIKI_PAGES = 29, 5, 23
 LAZADA_BUCKETS, LAZADA_EMPTY, LAZADA_PAGES = 23, 9, 23
@@ -112,8 +112,14 @@ def _payload_items(base: DataFrame, platform_rem: int, item) -> DataFrame:
 
 
 def _stamp(platform: str):
+    """Fetch time 2024-01-01 00:00 + (orderkey minutes + platform offset seconds),
+    built from calendar fields so it reads the same in every session time zone."""
     from pyspark.sql import functions as F
-    return F.timestamp_seconds(F.lit(EPOCH) + F.col("l_orderkey") * 60 + PLATFORM_OFFSET[platform])
+    secs = F.col("l_orderkey") * 60 + PLATFORM_OFFSET[platform]
+    day = F.date_add(F.lit(EPOCH_DATE).cast("date"), (secs / 86400).cast("int"))
+    sod = secs % 86400
+    return F.make_timestamp(F.year(day), F.month(day), F.dayofmonth(day), (sod / 3600).cast("int"),
+                            ((sod % 3600) / 60).cast("int"), (sod % 60).cast("decimal(16,6)"))
 
 
 def _keyed(bucket, keys: list[str], extra_prefix: str):
