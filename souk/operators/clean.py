@@ -25,6 +25,13 @@ CLEANED_COLUMNS = [
     "product_url", "clean_date",
 ]
 
+# Types of the cleaned columns (for reading a cleaned table back from text files).
+CLEANED_DDL = ("crawl_date DATE, platform STRING, category_name STRING, product_name STRING, "
+               "current_price DOUBLE, original_price DOUBLE, discount_rate DOUBLE, has_discount INT, "
+               "rating_average DOUBLE, review_count BIGINT, quantity_sold_value BIGINT, "
+               "quantity_sold_text STRING, is_sold INT, brand STRING, seller_location STRING, "
+               "seller_name STRING, product_url STRING, clean_date TIMESTAMP_NTZ")
+
 UNKNOWN_TEXT = "Không xác định"
 
 # Defaults for missing values, applied in this order.  A callable

@@ -23,13 +23,15 @@ def add_features(df: DataFrame, sold: str = "quantity_sold_value", rating: str =
     Missing inputs count as 0.  ``ln`` of a non-positive argument is NULL.
     """
     def val(name):
-        return F.coalesce(F.col(name), F.lit(0)) if name in df.columns else F.lit(0)
+        if name not in df.columns:
+            return F.lit(0.0)
+        return F.coalesce(F.col(name).try_cast("double"), F.lit(0.0))
 
     q, r, n, d = val(sold), val(rating), val(reviews), val(discount)
     return df.withColumns({
         "sold_velocity": F.round(F.ln(q + 1), 4),
         "rating_score": F.round(r * F.ln(n + 1), 4),
-        "discount_percent": F.round(d.cast("double"), 2),
+        "discount_percent": F.round(d, 2),
         "popularity_score": F.round(F.lit(POPULARITY_SOLD_WEIGHT) * q
                                     + F.lit(POPULARITY_REVIEW_WEIGHT) * n, 2),
     })

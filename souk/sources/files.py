@@ -44,14 +44,27 @@ def na_to_null(df: DataFrame, tokens=PANDAS_NA_TOKENS) -> DataFrame:
     return df.select(*out)
 
 
+def is_json_array(spark: SparkSession, path: str) -> bool:
+    """True when the JSON input starts with "[" (one array of records, not JSON Lines).
+    Reads only the first line."""
+    first = spark.read.text(path).limit(1).collect()
+    return bool(first) and first[0][0].lstrip().startswith("[")
+
+
 def read_table(spark: SparkSession, path: str, fmt: str | None = None, schema=None, *,
-               multi_line: bool = False, na_tokens: bool = True) -> DataFrame:
-    """Read a stage file: JSON (lines, or one array with ``multi_line``), CSV with
-    a header (quoted fields may span lines; pandas' NA text -> NULL) or parquet.
+               multi_line: bool | None = False, na_tokens: bool = True) -> DataFrame:
+    """Read a stage file: JSON (lines, or one array with ``multi_line``; ``None``
+    detects which), CSV with a header (quoted fields may span lines; pandas' NA
+    text -> NULL) or parquet.
 
     A missing path raises ``FileNotFoundError``.
     """
     fmt = fmt or detect_format(path)
+    if fmt == "json" and multi_line is None:
+        try:
+            multi_line = is_json_array(spark, path)
+        except AnalysisException as e:
+            raise FileNotFoundError(f"File not found: {path}") from e
     r = spark.read
     if schema is not None:
         r = r.schema(schema)

@@ -118,3 +118,21 @@ def test_csv_with_bom_header(spark):
 def test_default_output_path():
     assert FI.default_output_path("data/lazada_all.csv") == "data/lazada_all_cleaned.csv"
     assert FI.default_output_path("x/merged.json") == "x/merged_cleaned.csv"
+
+
+def test_cli_clean_features_label_report(spark, tmp_path):
+    from souk.__main__ import main
+    src = tmp_path / "crawl.json"
+    rows = [{"name": f"p{i}", "price": f"{100 + i},000đ", "discount": f"{i % 4}0%", "rating": "4.5",
+             "review_count": str(i), "sold_text": f"{i} sold", "sold_value": str(i * 3),
+             "url": f"//www.lazada.vn/p/{i % 7}", "platform": "Lazada", "crawl_date": "2024-05-01"}
+            for i in range(30)]
+    src.write_text(json.dumps(rows, ensure_ascii=False))
+    out = tmp_path / "clean.csv"
+    assert main(["clean", str(src), str(out), "--run-ts", "2024-05-02 00:00:00"]) == 0
+    cleaned = FI.read_table(spark, str(out))
+    assert cleaned.count() == 7  # seven distinct links, first occurrence kept
+    assert main(["features", str(out), str(tmp_path / "f.parquet")]) == 0
+    assert main(["label", str(tmp_path / "f.parquet"), str(tmp_path / "l.parquet")]) == 0
+    assert main(["report", str(tmp_path / "l.parquet"), str(tmp_path / "rep")]) == 0
+    assert (tmp_path / "rep" / "label_distribution").exists()
