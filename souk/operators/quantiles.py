@@ -59,7 +59,10 @@ def quantiles(df: DataFrame, specs: list[tuple[str, str, float]], by: list[str]
     )
     wp = Window.partitionBy("_pid", *grp).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     ranked = ranged.withColumn("_before", F.coalesce(F.sum("c").over(wp), F.lit(0)))
-    ranked = ranked.join(part, ["_pid", *grp])
+    # null-safe on the group keys: a NULL group is a group like any other
+    part = part.select(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(["_pid", *grp])], "_off", "_n")
+    cond = [ranked[c].eqNullSafe(part[f"_p{i}"]) for i, c in enumerate(["_pid", *grp])]
+    ranked = ranked.join(part, cond).drop(*[f"_p{i}" for i in range(len(grp) + 1)])
     ranked = ranked.withColumns({
         "_start": F.col("_off") + F.col("_before"),
     }).withColumn("_end", F.col("_start") + F.col("c") - 1)
@@ -90,5 +93,6 @@ def quantiles(df: DataFrame, specs: list[tuple[str, str, float]], by: list[str]
         # groups without any non-null value get no row: left-join from all groups
         result = picked.groupBy(*by).agg(*wide)
         groups = df.select(*by).distinct()
-        return groups.join(result, by, "left")
+        cond = [groups[c].eqNullSafe(result[c]) for c in by]
+        return groups.join(result, cond, "left").select(*[groups[c] for c in by], *[result[n] for n in names])
     return picked.agg(*wide)

@@ -18,7 +18,7 @@ from souk.operators.clean import CLEANED_COLUMNS, fill_defaults, parse_fields, p
 from souk.operators.dedup import dedup_fallback, dedup_first, dedup_id, dedup_url
 from souk.operators.labels import thresholds as thresholds_op
 from souk.plans import oracle as O
-from souk.plans import pipeline as P
+from souk.plans import stages as P
 from souk.sources.fixture import RAW_ORDER, raw_listing_rows, table
 
 QUERIES: dict = {}
@@ -536,16 +536,16 @@ def q_merge_platforms(spark, sf_dir):
 from souk.plans.run import labeled_from_landing  # noqa: E402
 
 
-@query("pipeline_labels", O.ingest_chain("labeled", """
+@query("landing_to_labels", O.ingest_chain("labeled", """
 SELECT platform, label, count(*) AS n FROM labeled GROUP BY platform, label"""))
-def q_pipeline_labels(spark, sf_dir):
+def q_landing_to_labels(spark, sf_dir):
     """All five stages from landing pages: ingest -> merge -> clean -> features -> labels; rows per label."""
     lab = labeled_from_landing(landing_from_tables(spark, sf_dir), category_dim(spark), P.RUN_TS)
     return report.crawl_summary(lab, keys=("platform", "label")).withColumnRenamed("n_rows", "n")
 
 
-@query("pipeline_clean", O.ingest_chain("cleaned", "SELECT * FROM cleaned"))
-def q_pipeline_clean(spark, sf_dir):
+@query("landing_to_clean", O.ingest_chain("cleaned", "SELECT * FROM cleaned"))
+def q_landing_to_clean(spark, sf_dir):
     """Landing pages of all platforms -> cleaned, de-duplicated listing rows."""
     from souk.operators.clean import clean_listings
     from souk.plans.run import INGEST_ORDER

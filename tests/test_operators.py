@@ -254,3 +254,9 @@ def test_file_stamp_and_formats(spark):
     r = spark.sql("SELECT timestamp_ntz'2024-01-31 13:05:09' AS t").select(
         file_stamp("t").alias("a"), date_text("t").alias("b"), timestamp_text("t").alias("c")).first()
     assert (r.a, r.b, r.c) == ("2024-01-31_13-05", "2024-01-31", "2024-01-31 13:05:09")
+
+
+def test_quantiles_null_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 10.0)], "g string, v double")
+    got = {r.g: r.m for r in quantiles(df, [("m", "v", 0.5)], by=["g"]).collect()}
+    assert got == {None: 2.0, "a": 10.0}

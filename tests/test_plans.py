@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from souk.operators import report, stats
 from souk.operators.dedup import dedup_first
-from souk.plans import pipeline as P
+from souk.plans import stages as P
 from souk.sources.categories import category_dim
 from souk.sources.fixture import landing_from_tables, raw_listing_rows
 from souk.sources.payloads import attach_category, flatten_tiki
