@@ -7,6 +7,17 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# JVM option for driver and executors: let HotSpot JIT-compile methods above
+# 8000 bytecodes.  The clean stage fuses scan, join, parsing and URL repair
+# into one whole-stage-codegen method that is larger than that; without the
+# flag the JVM runs it in the bytecode interpreter (measured at sf0.1: clean
+# stage 3.7 s -> 2.0 s warm; headline total, median of 3 runs, 113 s -> 103 s).
+# Falling back to per-operator codegen (spark.sql.codegen.hugeMethodLimit=8000)
+# measured 113 s.  The compile cost is paid once per plan and task lifetime,
+# so the flag matters most for long tasks on large inputs.
+JIT_OPTION = "-XX:-DontCompileHugeMethods"
+JIT_HUGE_METHODS = True
+
 # Settings every souk job relies on.  AQE re-plans joins from runtime sizes
 # (so broadcast choices are made on measured, not guessed, sizes), coalesces
 # tiny shuffle partitions and splits skewed ones.
@@ -25,8 +36,13 @@ def get_session(master: str | None = "local[*]", app: str = "souk",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+    user = dict(conf or {})
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
+    if JIT_HUGE_METHODS:
+        for k in ("spark.driver.extraJavaOptions", "spark.executor.extraJavaOptions"):
+            b = b.config(k, (user.pop(k, "") + " " + JIT_OPTION).strip())
+    conf = user
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (conf or {}).items():
