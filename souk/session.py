@@ -53,6 +53,33 @@ def get_session(master: str | None = "local[*]", app: str = "souk",
     return spark
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20,
+                 max_shuffle_partitions: int = 200_000) -> dict[str, str]:
+    """Settings for a large run, sized from the input volume and the cluster's cores.
+
+    Scan splits and shuffle partitions target ``partition_bytes`` each (so a
+    task's working set fits an executor core's memory share and spills stay
+    small); the shuffle starts with enough partitions for the whole input and
+    AQE coalesces the small ones and splits skewed ones at run time.
+    E.g. 100 TB on 1000 executors x 8 cores: 256 MB scan splits, 200,000
+    initial shuffle partitions.
+    """
+    parts = min(max_shuffle_partitions, max(2 * total_cores, input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        "spark.executor.extraJavaOptions": JIT_OPTION,
+        "spark.driver.extraJavaOptions": JIT_OPTION,
+    }
+
+
 def checkpoint_base(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints, if any."""
     sc = spark.sparkContext
@@ -85,4 +112,5 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, "souk", uuid.uuid4().hex, *parts])
 
 
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "checkpoint_base", "DEFAULT_CONF"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "checkpoint_base", "cluster_conf",
+           "DEFAULT_CONF"]

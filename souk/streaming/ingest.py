@@ -16,8 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from souk.sources.payloads import LANDING_DDL, flatten_shopee, split_malformed
 
+from souk.session import ROCKSDB_PROVIDER as _ROCKSDB_PROVIDER  # noqa: E402
+
 _STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def shopee_stream(spark: SparkSession, in_dir: str, files_per_batch: int | None = None) -> DataFrame:

@@ -260,3 +260,12 @@ def test_quantiles_null_group(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 10.0)], "g string, v double")
     got = {r.g: r.m for r in quantiles(df, [("m", "v", 0.5)], by=["g"]).collect()}
     assert got == {None: 2.0, "a": 10.0}
+
+
+def test_cluster_conf_sizes():
+    from souk.session import cluster_conf
+    c = cluster_conf(100 * 10**12, 8000)
+    assert c["spark.sql.shuffle.partitions"] == "200000"
+    assert c["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    small = cluster_conf(10 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
