@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from souk.functions.text import url_key
-
 # Fallback duplicate key when there is no URL column.
 FALLBACK_KEYS = ["product_name", "current_price", "seller_name", "category_name"]
 
@@ -83,4 +81,4 @@ def dedup_id(df: DataFrame, order, id_col: str = "id", count_col: str | None = N
     return dedup_first(df, [id_col], order, count_col=count_col)
 
 
-__all__ = ["dedup_first", "dedup_url", "dedup_fallback", "dedup_id", "FALLBACK_KEYS", "url_key"]
+__all__ = ["dedup_first", "dedup_url", "dedup_fallback", "dedup_id", "FALLBACK_KEYS"]

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.operators.quantiles import quantiles
@@ -214,4 +214,4 @@ def mean_ci_bootstrap(df: DataFrame, keys: list[str], y: str, row_id: list[str],
 
 
 __all__ = ["column_range", "histogram", "kde_curve", "box_stats", "box_outliers", "group_mean",
-           "mean_ci_normal", "mean_ci_bootstrap", "Window"]
+           "mean_ci_normal", "mean_ci_bootstrap"]

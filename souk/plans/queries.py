@@ -13,13 +13,19 @@ from pyspark.sql import functions as F
 from souk.functions import (clip, first_truthy, parse_money, parse_percent, rating_trunc, safe_name,
                             sold_text_count, to_count, to_number, url_key, url_repair)
 from souk.operators import report, stats
-from souk.operators.canonical import canonicalize
+from souk.operators.canonical import WANTED, canonicalize
 from souk.operators.clean import CLEANED_COLUMNS, fill_defaults, parse_fields, prepare_listings
 from souk.operators.dedup import dedup_fallback, dedup_first, dedup_id, dedup_url
 from souk.operators.labels import thresholds as thresholds_op
 from souk.plans import oracle as O
 from souk.plans import stages as P
-from souk.sources.fixture import RAW_ORDER, raw_listing_rows, table
+from souk.plans.ingest import ingest, merged_listings
+from souk.plans.run import labeled_from_landing
+from souk.session import scratch_path
+from souk.sources.categories import category_dim
+from souk.sources.files import PANDAS_NA_TOKENS, read_table, write_table
+from souk.sources.fixture import RAW_ORDER, landing_from_tables, raw_listing_rows, table
+from souk.sources.payloads import cap_pages, empty_categories
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -413,11 +419,6 @@ def q_limit_target(spark, sf_dir):
 
 # ---------------------------------------------------------------- payload ingest
 
-from souk.operators.canonical import WANTED  # noqa: E402
-from souk.plans.ingest import ingest, merged_listings  # noqa: E402
-from souk.sources.categories import category_dim  # noqa: E402
-from souk.sources.fixture import landing_from_tables  # noqa: E402
-from souk.sources.payloads import cap_pages, empty_categories  # noqa: E402
 
 TIKI_OUT = ["crawl_date", "platform", "category_name", "id", "name", "price", "original_price", "discount_rate",
             "rating_average", "review_count", "quantity_sold_value", "quantity_sold_text", "brand", "seller_name",
@@ -533,7 +534,6 @@ def q_merge_platforms(spark, sf_dir):
 
 # ---------------------------------------------------------------- five stages from payloads
 
-from souk.plans.run import labeled_from_landing  # noqa: E402
 
 
 @query("landing_to_labels", O.ingest_chain("labeled", """
@@ -555,8 +555,6 @@ def q_landing_to_clean(spark, sf_dir):
 
 # ---------------------------------------------------------------- file sources and sinks
 
-from souk.session import scratch_path  # noqa: E402
-from souk.sources.files import PANDAS_NA_TOKENS, read_table, write_table  # noqa: E402
 
 _RAW_COLS = ["crawl_date", "platform", "category_name", "id", "name", "price", "original_price", "discount",
              "rating", "review_count", "sold_text", "brand", "seller_name", "url", "ord_key", "ord_line"]
