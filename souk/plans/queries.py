@@ -360,7 +360,7 @@ def q_avg_sold_ci(spark, sf_dir):
 
 @query("avg_sold_ci_boot")
 def q_avg_sold_ci_boot(spark, sf_dir):
-    """Bootstrap (1000 Poisson replicates) CI of mean sold per label."""
+    """Bootstrap CI of mean sold per label (1000 replicates of a block Poisson bootstrap)."""
     lab = P.labeled(spark, sf_dir).withColumn("sold", F.col("quantity_sold_value"))
     return stats.mean_ci_bootstrap(lab, ["label"], "sold", row_id=["product_url"], n_boot=1000, seed=42)
 
