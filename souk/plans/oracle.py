@@ -192,13 +192,17 @@ def _date(platform: str) -> str:
     return f"CAST(DATE '2024-01-01' + CAST((l_orderkey * 60 + {off}) // 86400 AS INTEGER) AS VARCHAR)"
 
 
-TIKI_KEY = (f"CASE WHEN l_orderkey % {FX.TIKI_BUCKETS} < {len(TIKI_CATEGORIES)} THEN "
-            f"{_list([k for _, k, _ in TIKI_CATEGORIES])}[l_orderkey % {FX.TIKI_BUCKETS} + 1] "
-            f"ELSE 'tiki-extra-' || {_v(f'l_orderkey % {FX.TIKI_BUCKETS}')} END")
+TIKI_CAT_KEY = (f"CASE WHEN l_orderkey % {FX.TIKI_BUCKETS} < {len(TIKI_CATEGORIES)} THEN "
+                f"{_list([k for _, k, _ in TIKI_CATEGORIES])}[l_orderkey % {FX.TIKI_BUCKETS} + 1] "
+                f"ELSE 'tiki-extra-' || {_v(f'l_orderkey % {FX.TIKI_BUCKETS}')} END")
+TIKI_KEY = (f"CASE WHEN l_orderkey % {FX.TIKI_BUCKETS} = {FX.TIKI_EMPTY} THEN 'tiki-extra-{FX.TIKI_EMPTY}' "
+            f"ELSE {TIKI_CAT_KEY} END")
 TIKI_PAGE = f"CAST((l_orderkey // {FX.TIKI_BUCKETS}) % {FX.TIKI_PAGES} + 1 AS INTEGER)"
-LZ_KEY = (f"CASE WHEN l_orderkey % {FX.LAZADA_BUCKETS} < {len(LAZADA_CATEGORIES)} THEN "
-          f"{_list([k for _, k in LAZADA_CATEGORIES])}[l_orderkey % {FX.LAZADA_BUCKETS} + 1] "
-          f"ELSE 'lazada-extra-' || {_v(f'l_orderkey % {FX.LAZADA_BUCKETS}')} END")
+LZ_CAT_KEY = (f"CASE WHEN l_orderkey % {FX.LAZADA_BUCKETS} < {len(LAZADA_CATEGORIES)} THEN "
+              f"{_list([k for _, k in LAZADA_CATEGORIES])}[l_orderkey % {FX.LAZADA_BUCKETS} + 1] "
+              f"ELSE 'lazada-extra-' || {_v(f'l_orderkey % {FX.LAZADA_BUCKETS}')} END")
+LZ_KEY = (f"CASE WHEN l_orderkey % {FX.LAZADA_BUCKETS} = {FX.LAZADA_EMPTY} THEN 'lazada-extra-{FX.LAZADA_EMPTY}' "
+          f"ELSE {LZ_CAT_KEY} END")
 LZ_PAGE = f"CAST((l_orderkey // {FX.LAZADA_BUCKETS}) % {FX.LAZADA_PAGES} + 1 AS INTEGER)"
 SP_PAGE = f"CAST((l_orderkey // {FX.SHOPEE_PAGE_DIV}) % {FX.SHOPEE_PAGES} + 1 AS INTEGER)"
 LZ_HTML = f"l_orderkey % {FX.LAZADA_HTML_MOD} = {FX.LAZADA_HTML_REM}"
@@ -226,7 +230,7 @@ tiki_rows0 AS (
       '/p' || {_v('p_partkey')} || '-s' || {_v('l_suppkey')} || '.html' END AS url,
     CASE WHEN l_linenumber % 3 = 0 THEN 'Freeship, ' || p_brand ELSE '' END AS badges,
     {TIKI_KEY} AS url_key, {TIKI_PAGE} AS page, item_pos, l_orderkey AS o
-  FROM tiki_items WHERE l_orderkey % {FX.TIKI_BUCKETS} <> {FX.TIKI_EMPTY}),
+  FROM tiki_items),
 tiki_rows AS (SELECT t.*, d.category_name FROM tiki_rows0 t LEFT JOIN dim d
               ON d.platform = t.platform AND d.url_key = t.url_key),
 lz_items AS (SELECT *, {POS} FROM base WHERE l_suppkey % 3 = 0),
@@ -247,7 +251,7 @@ lz_rows0 AS (
       || {_v('p_partkey')} || '-s' || {_v('l_suppkey')} || '.html' END AS url,
     'https://img.example/lz/' || {_v('p_partkey')} || '.jpg' AS image,
     {LZ_KEY} AS url_key, {LZ_PAGE} AS page, item_pos, l_orderkey AS o
-  FROM lz_items WHERE NOT ({LZ_HTML}) AND NOT ({LZ_BAD}) AND l_orderkey % {FX.LAZADA_BUCKETS} <> {FX.LAZADA_EMPTY}),
+  FROM lz_items),
 lz_rows AS (SELECT t.*, d.category_name FROM lz_rows0 t LEFT JOIN dim d
             ON d.platform = t.platform AND d.url_key = t.url_key),
 sp_items AS (SELECT *, {POS} FROM base WHERE l_suppkey % 3 = 2),
@@ -265,10 +269,17 @@ sp_rows AS (
     '{FX.SHOPEE_KEY}' AS url_key, {SP_PAGE} AS page, item_pos, l_orderkey AS o,
     {_date('Shopee')} AS crawl_date
   FROM sp_items WHERE l_linenumber NOT IN (6, 7) AND l_partkey <> 0 AND l_suppkey <> 0),
+lz_orders AS (SELECT DISTINCT l_orderkey FROM base WHERE l_suppkey % 3 = 0),
 pay AS (
   SELECT DISTINCT 'Tiki' AS platform, {TIKI_KEY} AS url_key, {TIKI_PAGE} AS page, l_orderkey FROM base
     WHERE l_suppkey % 3 = 1
-  UNION ALL SELECT DISTINCT 'Lazada', {LZ_KEY}, {LZ_PAGE}, l_orderkey FROM base WHERE l_suppkey % 3 = 0
+  UNION ALL SELECT DISTINCT 'Tiki', {TIKI_CAT_KEY}, {TIKI_PAGE}, l_orderkey FROM base
+    WHERE l_suppkey % 3 = 1 AND l_orderkey % {FX.TIKI_BUCKETS} = {FX.TIKI_EMPTY}
+  UNION ALL SELECT 'Lazada', {LZ_KEY}, {LZ_PAGE}, l_orderkey FROM lz_orders
+  UNION ALL SELECT 'Lazada', {LZ_CAT_KEY}, {LZ_PAGE}, l_orderkey FROM lz_orders
+    WHERE l_orderkey % {FX.LAZADA_BUCKETS} = {FX.LAZADA_EMPTY}
+  UNION ALL SELECT 'Lazada', {LZ_KEY}, {LZ_PAGE}, l_orderkey FROM lz_orders WHERE {LZ_HTML}
+  UNION ALL SELECT 'Lazada', {LZ_KEY}, {LZ_PAGE}, l_orderkey FROM lz_orders WHERE {LZ_BAD}
   UNION ALL SELECT DISTINCT 'Shopee', '{FX.SHOPEE_KEY}', {SP_PAGE}, l_orderkey FROM base WHERE l_suppkey % 3 = 2)
 """
 

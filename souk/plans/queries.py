@@ -453,8 +453,10 @@ def q_ingest_shopee(spark, sf_dir):
 
 
 @query("ingest_quarantine", O.ingest_sql(f"""
-SELECT platform, url_key, page, CASE WHEN {O.LZ_HTML} THEN 'not_json' ELSE 'malformed' END AS reason
-FROM pay WHERE platform = 'Lazada' AND ({O.LZ_HTML} OR {O.LZ_BAD})"""))
+SELECT 'Lazada' AS platform, {O.LZ_KEY} AS url_key, {O.LZ_PAGE} AS page, 'not_json' AS reason
+FROM lz_orders WHERE {O.LZ_HTML}
+UNION ALL
+SELECT 'Lazada', {O.LZ_KEY}, {O.LZ_PAGE}, 'malformed' FROM lz_orders WHERE {O.LZ_BAD}"""))
 def q_ingest_quarantine(spark, sf_dir):
     """Payloads that are not JSON objects, with the reason."""
     return _ingested(spark, sf_dir)["quarantine"].select("platform", "url_key", "page", "reason")

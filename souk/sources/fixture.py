@@ -88,6 +88,8 @@ LAZADA_HTML_MOD, LAZADA_HTML_REM = 37, 3
 LAZADA_BAD_MOD, LAZADA_BAD_REM = 41, 4
 SHOPEE_KEY, SHOPEE_PAGE_DIV, SHOPEE_PAGES = "may-anh", 7, 30
 HTML_BODY = "<html><body>Traffic Error</body></html>"
+TIKI_EMPTY_BODY = '{"listings":[],"data":[]}'
+LAZADA_EMPTY_BODY = '{"mods":{"listItems":[]}}'
 
 
 # Order of items inside a page: every lineitem field an item is built from, so
@@ -163,15 +165,20 @@ def landing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     tk = _payload_items(b, 1, tiki_item)
     tb = o % TIKI_BUCKETS
-    items = F.when(tb == TIKI_EMPTY, F.slice(F.col("items"), 1, 0)).otherwise(F.col("items"))
-    items = F.when(o % 6 == 1, F.array_append(items, F.lit(None))).otherwise(items)
+    tiki_keys = [k for _, k, _ in TIKI_CATEGORIES]
+    tiki_page = F.expr(f"CAST((l_orderkey div {TIKI_BUCKETS}) % {TIKI_PAGES} + 1 AS INT)")
+    items = F.when(o % 6 == 1, F.array_append(F.col("items"), F.lit(None))).otherwise(F.col("items"))
     tiki_body = F.when(o % 4 == 0, F.to_json(F.struct(F.slice(items, 1, 0).alias("listings"), items.alias("data")))
                        ).otherwise(F.to_json(F.struct(items.alias("listings"))))
-    tiki = tk.select(
-        F.lit("Tiki").alias("platform"),
-        _keyed(tb, [k for _, k, _ in TIKI_CATEGORIES], "tiki-extra-").alias("url_key"),
-        F.expr(f"CAST((l_orderkey div {TIKI_BUCKETS}) % {TIKI_PAGES} + 1 AS INT)").alias("page"),
-        _stamp("Tiki").alias("fetched_at"), tiki_body.alias("body"))
+    # items of the TIKI_EMPTY bucket are filed under an unknown key; their
+    # category only ever returns empty pages (no item is left out)
+    tiki_item_key = F.when(tb == TIKI_EMPTY, F.concat(F.lit("tiki-extra-"), tb.cast("string"))).otherwise(
+        _keyed(tb, tiki_keys, "tiki-extra-"))
+    tiki = tk.select(F.lit("Tiki").alias("platform"), tiki_item_key.alias("url_key"), tiki_page.alias("page"),
+                     _stamp("Tiki").alias("fetched_at"), tiki_body.alias("body"))
+    tiki_empty = tk.where(tb == TIKI_EMPTY).select(
+        F.lit("Tiki").alias("platform"), _keyed(tb, tiki_keys, "tiki-extra-").alias("url_key"),
+        tiki_page.alias("page"), _stamp("Tiki").alias("fetched_at"), F.lit(TIKI_EMPTY_BODY).alias("body"))
 
     q = rnd(F.col("l_quantity"))
     lazada_item = F.struct(
@@ -196,16 +203,26 @@ def landing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     lz = _payload_items(b, 0, lazada_item)
     lb = o % LAZADA_BUCKETS
-    litems = F.when(lb == LAZADA_EMPTY, F.slice(F.col("items"), 1, 0)).otherwise(F.col("items"))
-    ljson = F.to_json(F.struct(F.struct(litems.alias("listItems")).alias("mods")))
-    lazada_body = (F.when(o % LAZADA_HTML_MOD == LAZADA_HTML_REM, F.lit(HTML_BODY))
-                   .when(o % LAZADA_BAD_MOD == LAZADA_BAD_REM, F.regexp_replace(ljson, "}$", ""))
-                   .otherwise(ljson))
-    lazada = lz.select(
-        F.lit("Lazada").alias("platform"),
-        _keyed(lb, [k for _, k in LAZADA_CATEGORIES], "lazada-extra-").alias("url_key"),
-        F.expr(f"CAST((l_orderkey div {LAZADA_BUCKETS}) % {LAZADA_PAGES} + 1 AS INT)").alias("page"),
-        _stamp("Lazada").alias("fetched_at"), lazada_body.alias("body"))
+    lazada_keys = [k for _, k in LAZADA_CATEGORIES]
+    lazada_page = F.expr(f"CAST((l_orderkey div {LAZADA_BUCKETS}) % {LAZADA_PAGES} + 1 AS INT)")
+    ljson = F.to_json(F.struct(F.struct(F.col("items").alias("listItems")).alias("mods")))
+    lazada_item_key = F.when(lb == LAZADA_EMPTY, F.concat(F.lit("lazada-extra-"), lb.cast("string"))).otherwise(
+        _keyed(lb, lazada_keys, "lazada-extra-"))
+
+    def lazada_pages(df, key, body):
+        return df.select(F.lit("Lazada").alias("platform"), key.alias("url_key"), lazada_page.alias("page"),
+                         _stamp("Lazada").alias("fetched_at"), body.alias("body"))
+
+    # every page arrives once intact; some fetches also failed before the retry
+    # (an HTML block page, a truncated body) and some categories only return
+    # empty pages - those come as extra landing rows
+    lazada = (lazada_pages(lz, lazada_item_key, ljson)
+              .unionByName(lazada_pages(lz.where(lb == LAZADA_EMPTY), _keyed(lb, lazada_keys, "lazada-extra-"),
+                                        F.lit(LAZADA_EMPTY_BODY)))
+              .unionByName(lazada_pages(lz.where(o % LAZADA_HTML_MOD == LAZADA_HTML_REM), lazada_item_key,
+                                        F.lit(HTML_BODY)))
+              .unionByName(lazada_pages(lz.where(o % LAZADA_BAD_MOD == LAZADA_BAD_REM), lazada_item_key,
+                                        F.regexp_replace(ljson, "}$", ""))))
 
     wrap = (o + ln) % 2 == 0
     basic_fields = [
@@ -233,4 +250,4 @@ def landing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("Shopee").alias("platform"), F.lit(SHOPEE_KEY).alias("url_key"),
         F.expr(f"CAST((l_orderkey div {SHOPEE_PAGE_DIV}) % {SHOPEE_PAGES} + 1 AS INT)").alias("page"),
         _stamp("Shopee").alias("fetched_at"), shopee_body.alias("body"))
-    return tiki.unionByName(lazada).unionByName(shopee)
+    return tiki.unionByName(tiki_empty).unionByName(lazada).unionByName(shopee)
