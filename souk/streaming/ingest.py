@@ -14,10 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from souk.session import ROCKSDB_PROVIDER as _ROCKSDB_PROVIDER
 from souk.sources.payloads import LANDING_DDL, flatten_shopee, split_malformed
 
-from souk.session import ROCKSDB_PROVIDER as _ROCKSDB_PROVIDER  # noqa: E402
-
 _STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 
 
