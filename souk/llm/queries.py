@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing, quality, sharding
+from . import mixing, neardup, quality, sharding
 
 QUERIES = {
     "op5_quality_classifier": quality.op5,
     "op6_sharding": sharding.op6,
+    "op9_minhash_neardup": neardup.op9,
     "op10_mixing": mixing.op10,
 }
 
