@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.llm import mixing, quality, sharding
+from souk.llm import decontam, mixing, neardup, quality, sharding
 from souk.llm.common import stash, table
 
 
@@ -17,6 +17,16 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class."""
+    return neardup.drop_near_duplicates(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: documents as often as weighted fair queueing takes them."""
     return mixing.mixed_rows(docs)
@@ -29,6 +39,8 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality", quality_filter),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", decontaminate),
     ("mixing", mix_sources),
     ("sharding", shard),
 ]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import mixing, neardup, quality, sharding
+from . import decontam, mixing, neardup, quality, sharding
 
 QUERIES = {
+    "op4_decontamination": decontam.op4,
     "op5_quality_classifier": quality.op5,
     "op6_sharding": sharding.op6,
     "op9_minhash_neardup": neardup.op9,
