@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontam, mixing, neardup, quality, sharding
+from . import ann, decontam, langid, mixing, neardup, quality, sharding
 
 QUERIES = {
+    "op3_nearest_neighbours": ann.op3,
     "op4_decontamination": decontam.op4,
     "op5_quality_classifier": quality.op5,
     "op6_sharding": sharding.op6,
+    "op8_language_id": langid.op8,
     "op9_minhash_neardup": neardup.op9,
     "op10_mixing": mixing.op10,
 }
