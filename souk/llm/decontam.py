@@ -153,9 +153,9 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, id_co
     mask = (1 << FILTER_BITS) - 1
     bit = F.explode(F.array(F.col("seed").bitwiseAND(F.lit(mask)), F.shiftrightunsigned("seed", 32).bitwiseAND(F.lit(mask))))
     set_words = (by_seed.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("at"))
-                 .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("word")).toPandas())
+                 .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("word")).toArrow())
     filled = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    filled[set_words["at"].to_numpy(np.int64)] = set_words["word"].to_numpy(np.int64)
+    filled[set_words.column("at").to_numpy()] = set_words.column("word").to_numpy()
     bits = np.unpackbits(filled.view(np.uint8), bitorder="little").astype(bool)
 
     kind_d = base.schema["id"].dataType.simpleString()

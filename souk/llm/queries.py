@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import ann, decontam, langid, mixing, neardup, quality, sharding
+from . import ann, decontam, html_text, langid, mixing, neardup, quality, sharding
 
 QUERIES = {
+    "op2_html_text": html_text.op2,
     "op3_nearest_neighbours": ann.op3,
     "op4_decontamination": decontam.op4,
     "op5_quality_classifier": quality.op5,
