@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, decontam, html_text, langid, mixing, neardup, quality, sharding
+from . import ann, decontam, html_text, langid, mixing, neardup, pseudonyms, quality, sharding
 
 QUERIES = {
     "op2_html_text": html_text.op2,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_decontamination": decontam.op4,
     "op5_quality_classifier": quality.op5,
     "op6_sharding": sharding.op6,
+    "op7_pseudonyms": pseudonyms.op7,
     "op8_language_id": langid.op8,
     "op9_minhash_neardup": neardup.op9,
     "op10_mixing": mixing.op10,
