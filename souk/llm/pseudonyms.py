@@ -51,6 +51,19 @@ def _int(c: Column) -> Column:
     return c.cast("int")
 
 
+def _let(value: Column, use) -> Column:
+    """use(value), with value computed once: it becomes the variable of a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _is_digit(c: Column) -> Column:
+    return c.between("0", "9")
+
+
+def _chars(s: Column) -> Column:
+    return F.filter(F.split(s, ""), lambda c: c != "")
+
+
 def _keyed(key: str, *parts: Column) -> Column:
     """32 bits of SHA-256 of the key and the parts."""
     return F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(key), *parts).cast("binary"), 256), 1, 8), 16, 10).cast("long")
@@ -58,136 +71,158 @@ def _keyed(key: str, *parts: Column) -> Column:
 
 def feistel(values: Column, radix: Column, key: str, kind: str, inverse: bool = False, rounds: int = ROUNDS) -> Column:
     """Permutation of arrays ``values`` (each number from 0 below its radix), keyed by key and kind."""
-    half = _int(F.floor(F.size(values) / 2))
     turns = F.sequence(F.lit(rounds - 1), F.lit(0), F.lit(-1)) if inverse else F.sequence(F.lit(0), F.lit(rounds - 1))
 
     def turn(state: Column, r: Column) -> Column:
+        half = _int(F.floor(F.size(state) / 2))
         first = r % 2 == 0  # in even rounds the second half keys the first
-        other = F.when(first, F.slice(state, half + 1, F.size(state))).otherwise(F.slice(state, 1, half))
-        seed = F.array_join(F.transform(other, lambda x: x.cast("string")), ",")
+        other = F.when(first, F.slice(state, half + 1, F.size(state))).otherwise(F.slice(state, F.lit(1), half))
 
-        def step(x: Column, i: Column) -> Column:
-            k = _keyed(key, F.lit(kind), r.cast("string"), i.cast("string"), seed)
-            m = F.get(radix, i).cast("long")
-            return F.when((i < half) == first, _int(F.pmod((x - k) if inverse else (x + k), m))).otherwise(x)
+        def with_seed(seed: Column) -> Column:
+            def step(x: Column, i: Column) -> Column:
+                k = _keyed(key, F.lit(kind), r.cast("string"), i.cast("string"), seed)
+                m = F.get(radix, i).cast("long")
+                return F.when((i < half) == first, _int(F.pmod((x - k) if inverse else (x + k), m))).otherwise(x)
+            return F.transform(state, step)
 
-        return F.transform(state, step)
+        return _let(F.array_join(F.transform(other, lambda x: x.cast("string")), ","), with_seed)
 
     return F.aggregate(turns, values, turn)
 
 
 def _digits(s: Column) -> Column:
-    return F.transform(F.filter(F.split(s, ""), lambda c: c.rlike("^[0-9]$")), lambda c: c.cast("int"))
+    return F.transform(F.filter(F.split(s, ""), _is_digit), lambda c: c.cast("int"))
 
 
 def _refill(s: Column, digits: Column) -> Column:
     """s with its digits replaced, in order."""
-    chars = F.filter(F.split(s, ""), lambda c: c != "")
     start = F.struct(F.lit("").alias("t"), F.lit(0).alias("k"))
-    put = lambda a, c: F.when(c.rlike("^[0-9]$"), F.struct(F.concat(a["t"], F.get(digits, a["k"]).cast("string")).alias("t"), (a["k"] + 1).alias("k"))
+    put = lambda a, c: F.when(_is_digit(c), F.struct(F.concat(a["t"], F.get(digits, a["k"]).cast("string")).alias("t"), (a["k"] + 1).alias("k"))
                               ).otherwise(F.struct(F.concat(a["t"], c).alias("t"), a["k"].alias("k")))
-    return F.aggregate(chars, start, put, lambda a: a["t"])
+    return F.aggregate(_chars(s), start, put, lambda a: a["t"])
 
 
 def _luhn(d: Column) -> Column:
     """Luhn sum of an array of digits, the last one weighing 1."""
-    n = F.size(d)
-    twice = lambda x, i: F.when((n - i) % 2 == 0, x * 2 - F.when(x > 4, 9).otherwise(0)).otherwise(x)
+    twice = lambda x, i: F.when((F.size(d) - i) % 2 == 0, x * 2 - F.when(x > 4, 9).otherwise(0)).otherwise(x)
     return F.aggregate(F.transform(d, twice), F.lit(0), lambda a, x: a + x)
 
 
 def _mod97(s: Column) -> Column:
     """The number that letters (A = 10 ...) and digits of s spell, modulo 97."""
-    value = lambda c: F.when(c.rlike("^[0-9]$"), c.cast("int")).otherwise(F.instr(F.lit(LETTERS), c) + 9)
-    chars = F.filter(F.split(s, ""), lambda c: c != "")
-    return F.aggregate(chars, F.lit(0), lambda a, c: (a * F.when(c.rlike("^[0-9]$"), 10).otherwise(100) + value(c)) % 97)
+    value = lambda c: F.when(_is_digit(c), c.cast("int")).otherwise(F.instr(F.lit(LETTERS), c) + 9)
+    return F.aggregate(_chars(s), F.lit(0), lambda a, c: (a * F.when(_is_digit(c), 10).otherwise(100) + value(c)) % 97)
+
+
+def _permute_chars(chars: Column, key: str, kind: str, inverse: bool) -> Column:
+    """Letters among letters of their case, digits among digits, other characters as they are; joined."""
+    base = lambda c: F.when(_is_digit(c), 48).when(c.between("a", "z"), 97).when(c.between("A", "Z"), 65).otherwise(F.ascii(c))
+    radix = lambda cs: F.transform(cs, lambda c: F.when(_is_digit(c), 10).when(base(c).isin(65, 97) & (c.rlike("^[A-Za-z]$")), 26).otherwise(1))
+    new = lambda cs: feistel(F.transform(cs, lambda c: F.ascii(c) - base(c)), radix(cs), key, kind, inverse)
+    return _let(chars, lambda cs: _let(new(cs), lambda n: F.array_join(F.zip_with(cs, n, lambda c, x: F.char(base(c) + x)), "")))
 
 
 def _email(m: Column, key: str, inverse: bool) -> Column:
-    local = F.substring_index(m, "@", 1)
-    chars = F.filter(F.split(local, ""), lambda c: c != "")
-    code = lambda c: F.ascii(c)
-    radix = F.transform(chars, lambda c: F.when(c.rlike("^[0-9]$"), 10).when(c.rlike("^[A-Za-z]$"), 26).otherwise(1))
-    base = lambda c: F.when(c.rlike("^[0-9]$"), 48).when(c.rlike("^[a-z]$"), 97).when(c.rlike("^[A-Z]$"), 65).otherwise(F.ascii(c))
-    new = feistel(F.transform(chars, lambda c: code(c) - base(c)), radix, key, "email", inverse)
-    text = F.array_join(F.zip_with(chars, new, lambda c, x: F.char(base(c) + x)), "")
-    return F.concat(text, F.substring(m, F.length(local) + 1, F.length(m)))
+    at = F.instr(m, "@")
+    return F.concat(_permute_chars(_chars(F.substring(m, F.lit(1), at - 1)), key, "email", inverse), F.substring(m, at, F.length(m)))
 
 
 def _iban(m: Column, key: str, inverse: bool) -> Column:
-    plain = F.translate(m, " ", "")
-    land = F.substring(plain, 1, 2)
-    chars = F.filter(F.split(F.substring(plain, 5, 40), ""), lambda c: c != "")
-    radix = F.transform(chars, lambda c: F.when(c.rlike("^[0-9]$"), 10).otherwise(26))
-    base = lambda c: F.when(c.rlike("^[0-9]$"), 48).otherwise(65)
-    new = feistel(F.transform(chars, lambda c: F.ascii(c) - base(c)), radix, key, "iban", inverse)
-    body = F.array_join(F.zip_with(chars, new, lambda c, x: F.char(base(c) + x)), "")
-    check = F.lpad((98 - _mod97(F.concat(body, land, F.lit("00")))).cast("string"), 2, "0")
-    whole = F.concat(land, check, body)
-    # the spaces go back to where they stood
-    start = F.struct(F.lit("").alias("t"), F.lit(1).alias("k"))
-    put = lambda a, c: F.when(c == " ", F.struct(F.concat(a["t"], c).alias("t"), a["k"].alias("k"))
-                              ).otherwise(F.struct(F.concat(a["t"], F.substring(whole, a["k"], F.lit(1))).alias("t"), (a["k"] + 1).alias("k")))
-    spaced = F.aggregate(F.filter(F.split(m, ""), lambda c: c != ""), start, put, lambda a: a["t"])
-    valid = (_mod97(F.concat(F.substring(plain, 5, 40), F.substring(plain, 1, 4))) == 1) & F.length(plain).between(15, 34)
-    return F.when(valid, spaced)
+    def of(plain: Column) -> Column:
+        land = F.substring(plain, 1, 2)
+        valid = F.length(plain).between(15, 34) & (_mod97(F.concat(F.substring(plain, 5, 40), F.substring(plain, 1, 4))) == 1)
+
+        def rebuilt(body: Column) -> Column:
+            check = F.lpad((98 - _mod97(F.concat(body, land, F.lit("00")))).cast("string"), 2, "0")
+            return F.concat(land, check, body)
+
+        def spaced(whole: Column) -> Column:  # the spaces go back to where they stood
+            start = F.struct(F.lit("").alias("t"), F.lit(1).alias("k"))
+            put = lambda a, c: F.when(c == " ", F.struct(F.concat(a["t"], c).alias("t"), a["k"].alias("k"))
+                                      ).otherwise(F.struct(F.concat(a["t"], F.substring(whole, a["k"], F.lit(1))).alias("t"), (a["k"] + 1).alias("k")))
+            return F.aggregate(_chars(m), start, put, lambda a: a["t"])
+
+        body = _permute_chars(_chars(F.substring(plain, 5, 40)), key, "iban", inverse)
+        return F.when(valid, _let(_let(body, rebuilt), spaced))
+
+    return _let(F.translate(m, " ", ""), of)
 
 
 def _ipv4(m: Column, key: str, inverse: bool) -> Column:
-    octets = F.transform(F.split(m, r"\."), lambda x: x.cast("int"))
-    new = feistel(octets, F.array(*[F.lit(256)] * 4), key, "ipv4", inverse)
-    return F.when(F.forall(octets, lambda x: x < 256) & ~m.rlike(r"(^|\.)0\d"), F.array_join(F.transform(new, lambda x: x.cast("string")), "."))
+    def of(octets: Column) -> Column:
+        new = feistel(octets, F.array(*[F.lit(256)] * 4), key, "ipv4", inverse)
+        return F.when(F.forall(octets, lambda x: x < 256) & ~m.rlike(r"(^|\.)0\d"), F.array_join(F.transform(new, lambda x: x.cast("string")), "."))
+    return _let(F.transform(F.split(m, r"\."), lambda x: x.cast("int")), of)
 
 
 def _date(m: Column, key: str, inverse: bool) -> Column:
-    mark = F.when(m.rlike("^[0-9]{4}-"), "-").when(F.instr(m, "/") > 0, "/").otherwise(".")
-    part = F.split(m, "[-/.]")
-    iso = mark == "-"
-    year, month, day = F.when(iso, F.get(part, F.lit(0))).otherwise(F.get(part, F.lit(2))), F.get(part, F.lit(1)), F.when(iso, F.get(part, F.lit(2))).otherwise(F.get(part, F.lit(0)))
-    real = F.try_to_date(F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")), "yyyy-MM-dd")
-    days = F.datediff(real, F.lit("0001-01-01").cast("date"))
-    cycle, rest = F.floor(days / CYCLE), F.pmod(days, F.lit(CYCLE))
-    new = feistel(F.array(_int(F.floor(rest / CYCLE_B)), _int(rest % CYCLE_B)), F.array(F.lit(CYCLE_A), F.lit(CYCLE_B)), key, "date", inverse)
-    other = F.date_add(F.lit("0001-01-01").cast("date"), _int(cycle * CYCLE + F.get(new, F.lit(0)) * CYCLE_B + F.get(new, F.lit(1))))
-    text = F.date_format(other, "yyyy-MM-dd")
-    y, mo, d = F.substring(text, 1, 4), F.substring(text, 6, 2), F.substring(text, 9, 2)
-    out = F.when(iso, F.concat(y, F.lit("-"), mo, F.lit("-"), d)).otherwise(F.concat(d, mark, mo, mark, y))
-    return F.when(real.isNotNull() & F.year(real).between(1000, 9600), out)
+    iso = F.substring(m, 5, 1) == "-"
+    mark = F.when(F.instr(m, "/") > 0, "/").otherwise(".")
+    first = F.lit("0001-01-01").cast("date")
+
+    def of(part: Column) -> Column:
+        at = lambda i: F.get(part, F.lit(i))
+        return F.try_to_date(F.concat_ws("-", F.when(iso, at(0)).otherwise(at(2)), F.lpad(at(1), 2, "0"),
+                                         F.lpad(F.when(iso, at(2)).otherwise(at(0)), 2, "0")), "yyyy-MM-dd")
+
+    def moved(days: Column) -> Column:
+        rest = F.pmod(days, F.lit(CYCLE))
+        new = feistel(F.array(_int(F.floor(rest / CYCLE_B)), _int(rest % CYCLE_B)), F.array(F.lit(CYCLE_A), F.lit(CYCLE_B)), key, "date", inverse)
+        start = F.floor(days / CYCLE) * CYCLE
+        return _let(new, lambda n: F.date_format(F.date_add(first, _int(start + F.get(n, F.lit(0)) * CYCLE_B + F.get(n, F.lit(1)))), "yyyy-MM-dd"))
+
+    def written(t: Column) -> Column:
+        return F.when(iso, t).otherwise(F.concat(F.substring(t, 9, 2), mark, F.substring(t, 6, 2), mark, F.substring(t, 1, 4)))
+
+    def checked(real: Column) -> Column:
+        return F.when(real.isNotNull() & F.year(real).between(1000, 9600), _let(_let(F.datediff(real, first), moved), written))
+
+    return _let(_let(F.split(m, "[-/.]"), of), checked)
 
 
 def _ssn(m: Column, key: str, inverse: bool) -> Column:
-    area, group, serial = (_int(F.get(F.split(m, "-"), F.lit(i))) for i in range(3))
-    valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
-    new = feistel(F.array(area - F.when(area > 666, 2).otherwise(1), group - 1, serial - 1), F.array(F.lit(898), F.lit(99), F.lit(9999)), key, "ssn", inverse)
-    a = F.get(new, F.lit(0))
     pad = lambda c, n: F.lpad(c.cast("string"), n, "0")
-    return F.when(valid, F.concat_ws("-", pad(a + F.when(a >= 665, 2).otherwise(1), 3), pad(F.get(new, F.lit(1)) + 1, 2), pad(F.get(new, F.lit(2)) + 1, 4)))
+
+    def of(p: Column) -> Column:
+        area, group, serial = (F.get(p, F.lit(i)) for i in range(3))
+        valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
+        new = feistel(F.array(area - F.when(area > 666, 2).otherwise(1), group - 1, serial - 1), F.array(F.lit(898), F.lit(99), F.lit(9999)), key, "ssn", inverse)
+        back = lambda n: F.concat_ws("-", pad(F.get(n, F.lit(0)) + F.when(F.get(n, F.lit(0)) >= 665, 2).otherwise(1), 3),
+                                     pad(F.get(n, F.lit(1)) + 1, 2), pad(F.get(n, F.lit(2)) + 1, 4))
+        return F.when(valid, _let(new, back))
+
+    return _let(F.transform(F.split(m, "-"), lambda x: x.cast("int")), of)
 
 
 def _phone(m: Column, key: str, inverse: bool) -> Column:
     """North America: ten digits, area and exchange from 2."""
-    every = _digits(m)
-    d = F.slice(every, F.size(every) - 9, 10)
     low = F.array(*[F.lit(2 if i in (0, 3) else 0) for i in range(10)])
-    new = feistel(F.zip_with(d, low, lambda x, b: x - b), F.array(*[F.lit(8 if i in (0, 3) else 10) for i in range(10)]), key, "phone", inverse)
-    new = F.zip_with(new, low, lambda x, b: x + b)
-    valid = F.size(every).between(10, 11) & (F.get(d, F.lit(0)) > 1) & (F.get(d, F.lit(3)) > 1)
-    return F.when(valid, _refill(m, F.concat(F.slice(every, F.lit(1), F.size(every) - 10), new)))
+
+    def of(every: Column) -> Column:
+        n = F.size(every)
+        d = F.slice(every, n - 9, F.lit(10))
+        new = feistel(F.zip_with(d, low, lambda x, b: x - b), F.array(*[F.lit(8 if i in (0, 3) else 10) for i in range(10)]), key, "phone", inverse)
+        new = F.concat(F.slice(every, F.lit(1), n - 10), F.zip_with(new, low, lambda x, b: x + b))
+        valid = n.between(10, 11) & (F.get(every, n - 10) > 1) & (F.get(every, n - 7) > 1)
+        return F.when(valid, _let(new, lambda x: _refill(m, x)))
+
+    return _let(_digits(m), of)
 
 
 def _abroad(m: Column, key: str, inverse: bool) -> Column:
-    d = _digits(m)
-    rest = F.slice(d, F.lit(4), F.size(d))
-    new = feistel(rest, F.transform(rest, lambda _: F.lit(10)), key, "abroad", inverse)
-    return F.when(F.size(d).between(8, 15), _refill(m, F.concat(F.slice(d, 1, 3), new)))
+    def of(d: Column) -> Column:
+        new = _let(F.slice(d, F.lit(4), F.size(d)), lambda r: feistel(r, F.transform(r, lambda _: F.lit(10)), key, "abroad", inverse))
+        return F.when(F.size(d).between(8, 15), _let(F.concat(F.slice(d, 1, 3), new), lambda x: _refill(m, x)))
+    return _let(_digits(m), of)
 
 
 def _card(m: Column, key: str, inverse: bool) -> Column:
-    d = _digits(m)
-    inner = F.slice(d, F.lit(2), F.size(d) - 2)
-    new = F.concat(F.slice(d, 1, 1), feistel(inner, F.transform(inner, lambda _: F.lit(10)), key, "card", inverse))
-    check = (10 - _luhn(F.concat(new, F.array(F.lit(0)))) % 10) % 10
-    return F.when(F.size(d).between(13, 19) & (_luhn(d) % 10 == 0), _refill(m, F.concat(new, F.array(check))))
+    def of(d: Column) -> Column:
+        new = _let(F.slice(d, F.lit(2), F.size(d) - 2), lambda r: feistel(r, F.transform(r, lambda _: F.lit(10)), key, "card", inverse))
+        check = lambda n: F.concat(n, F.array((10 - _luhn(F.concat(n, F.array(F.lit(0)))) % 10) % 10))
+        whole = _let(F.concat(F.slice(d, 1, 1), new), check)
+        return F.when(F.size(d).between(13, 19) & (_luhn(d) % 10 == 0), _let(whole, lambda x: _refill(m, x)))
+    return _let(_digits(m), of)
 
 
 def pseudonym(m: Column, key: str = KEY, inverse: bool = False) -> Column:
@@ -197,10 +232,9 @@ def pseudonym(m: Column, key: str = KEY, inverse: bool = False) -> Column:
             .when(whole(IPV4), _ipv4(m, key, inverse))
             .when(whole(DATE), _date(m, key, inverse))
             .when(whole(SSN), _ssn(m, key, inverse))
-            .when(whole(PHONE) & _phone(m, key, inverse).isNotNull(), _phone(m, key, inverse))
-            .when(m.startswith("+"), _abroad(m, key, inverse))
             .when(m.rlike("^[A-Z]"), _iban(m, key, inverse))
-            .otherwise(_card(m, key, inverse)))
+            .otherwise(F.coalesce(F.when(whole(PHONE), _phone(m, key, inverse)), F.when(m.startswith("+"), _abroad(m, key, inverse)),
+                                  F.when(~m.startswith("+"), _card(m, key, inverse)))))
 
 
 def pseudonymise(docs: DataFrame, key: str = KEY, inverse: bool = False, text_col: str = "text") -> DataFrame:
