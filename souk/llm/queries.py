@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import ann, decontam, html_text, langid, mixing, neardup, pseudonyms, quality, sharding
+from . import ann, decontam, html_text, langid, mixing, neardup, pseudonyms, quality, sharding, toolcalls
 
 QUERIES = {
+    "op1_tool_calls": toolcalls.op1,
     "op2_html_text": html_text.op2,
     "op3_nearest_neighbours": ann.op3,
     "op4_decontamination": decontam.op4,
