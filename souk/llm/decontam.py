@@ -74,7 +74,7 @@ def _passages(bits: np.ndarray, sizes: list[int], reach: int):
             out = []
             for d, fp, text in zip(b.column("id"), b.column("fp").to_pylist(), b.column("text").to_pylist(), strict=True):
                 w = words_of(text)
-                at, seed, end = [], [], []
+                at, seed, end = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
                 for n in sizes:
                     h = grams(w, n)
                     one, two = probes(h)

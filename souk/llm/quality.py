@@ -134,10 +134,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed:
     rows = sample.mapInArrow(_features_of, "quality int, x binary").toPandas()
     if not len(rows):
         return None
+    rows = rows.sort_values(["quality", "x"])  # the same order on every run
     x = np.stack([np.frombuffer(b, np.float32) for b in rows["x"]])
-    y = rows["quality"].to_numpy()
-    order = np.lexsort((*x.T[:20], y))  # the same order on every run
-    return fit(x[order], y[order], seed=seed)
+    return fit(x, rows["quality"].to_numpy(), seed=seed)
 
 
 def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
