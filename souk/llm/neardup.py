@@ -46,7 +46,8 @@ LOOSE = 0.64  # four standard deviations of 108 draws below 0.8
 BLOCK = 1024
 SKETCH = 1 << 17
 IDF_RANGE = 0.2
-DRAWS = 1 << 15  # rows of random variates; a shingle's row is chosen by its hash
+FILTER_BITS = 26
+DRAWS = 1 << 13  # rows of random variates; a shingle's row is chosen by its hash
 
 WORD = re.compile(r"\w+")
 PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -105,12 +106,18 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     A task sends SKETCH counts, whatever it has read; the driver gets SKETCH sums.
     """
     def count(batches):
-        cells, n = np.zeros(SKETCH + 1, np.int64), 0
+        cells, n, held, size = np.zeros(SKETCH + 1, np.int64), 0, [], 0
         for b in batches:
             for t in b.column(0).to_pylist():
                 h = np.unique(shingles(t))
-                np.add.at(cells, ((h >> np.uint64(20)) & np.uint64(SKETCH - 1)).astype(np.int64), 1)
+                held.append(((h >> np.uint64(20)) & np.uint64(SKETCH - 1)).astype(np.int64))
+                size += len(h)
                 n += 1
+                if size > 1 << 18:
+                    cells += np.bincount(np.concatenate(held), minlength=SKETCH + 1)
+                    held, size = [], 0
+        if held:
+            cells += np.bincount(np.concatenate(held), minlength=SKETCH + 1)
         if n:
             cells[SKETCH] = n
             yield pa.record_batch([pa.array([cells], pa.list_(pa.int64()))], names=["cells"])
@@ -153,13 +160,18 @@ class Sampler:
         row = (h & np.uint64(DRAWS - 1)).astype(np.int64)
         columns = np.arange(SAMPLES)
         low, key = None, None
-        for at in range(0, len(h), 1024):  # bounds the working memory for long texts
-            i = row[at:at + 1024]
-            level = np.floor(log_s[at:at + 1024, None] * inv[i] + beta[i])
-            a = base[i] - r[i] * level
+        for at in range(0, len(h), 256):  # keeps the working memory in cache, and bounded for long texts
+            i = row[at:at + 256]
+            level = inv[i]
+            level *= log_s[at:at + 256, None]
+            level += beta[i]
+            np.floor(level, out=level)
+            a = r[i]
+            a *= level
+            np.subtract(base[i], a, out=a)
             first = a.argmin(0)
             best = a[first, columns]
-            k = h[at:at + 1024][first] + PRIME * level[first, columns].astype(np.int64).astype(np.uint64)
+            k = h[at:at + 256][first] + PRIME * level[first, columns].astype(np.int64).astype(np.uint64)
             if low is None:
                 low, key = best, k
             else:
@@ -298,6 +310,33 @@ def fingerprint(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
+def member_filter(fps: DataFrame) -> np.ndarray:
+    """Bits at two places of every fingerprint: a Bloom filter of eight bits a fingerprint, 2 ** FILTER_BITS at most."""
+    n = max(16, 8 * fps.count())
+    mask = (1 << min(FILTER_BITS, (n - 1).bit_length())) - 1
+    place = lambda at: F.conv(F.substring(F.hex("fp"), at, 8), 16, 10).cast("long").bitwiseAND(F.lit(mask))
+    words = (fps.select(F.explode(F.array(place(1), place(9))).alias("bit")).groupBy(F.shiftright("bit", 6).alias("at"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("word")).toArrow())
+    out = np.zeros(max(1, (mask + 1) >> 6), np.int64)
+    out[words.column("at").to_numpy()] = words.column("word").to_numpy()
+    return out.view(np.uint8)
+
+
+def _members(bits: np.ndarray, inside: bool = True):
+    """Keeps the rows whose fingerprint is in the filter, or those that are certainly not in it."""
+    mask = len(bits) * 8 - 1
+
+    def run(batches):
+        for b in batches:
+            fp = np.frombuffer(b"".join(b.column("fp").to_pylist()), np.uint8).reshape(-1, 16).astype(np.int64)
+            keep = np.ones(len(fp), bool)
+            for at in (0, 4):
+                bit = (fp[:, at] << 24 | fp[:, at + 1] << 16 | fp[:, at + 2] << 8 | fp[:, at + 3]) & mask
+                keep &= (bits[bit >> 3] >> (bit & 7) & 1).astype(bool)
+            yield b.filter(pa.array(keep if inside else ~keep))
+    return run
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text",
             block: int = BLOCK) -> DataFrame:
     """(fp, root): every distinct text that has a near copy, by fingerprint, with its class."""
@@ -319,7 +358,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id
     # one row with the text of every grouped fingerprint
     one = base.select("fp", "id").join(named.select("fp"), "fp", "left_semi").groupBy("fp").agg(F.min("id").alias("id"))
     one = stash(one.join(named, "fp"), "neardup_members")
-    t = base.select("id", "fp", "text")
+    kind = base.schema["id"].dataType.simpleString()
+    t = base.select("id", "fp", "text").mapInArrow(_members(member_filter(one.select("fp"))), f"id {kind}, fp binary, text string")
     members = (t.join(one.withColumnsRenamed({"fp": "_f", "id": "_i"}), t["fp"].eqNullSafe(F.col("_f")) & t["id"].eqNullSafe(F.col("_i")))
                .select("fp", "root", "n", "text").dropDuplicates(["fp"]))
     verified = (_blocks(members, "root", "n", block).groupBy("root", "i", "j")
@@ -339,18 +379,27 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     rows = rows.join(found, rows["fp"] == found["_f"], "left").select("id", "fp", F.coalesce("root", "fp").alias("root"))
     rows = stash(rows, "neardup_rows")
     best = rows.groupBy("root").agg(F.min(F.struct("id", "fp")).alias("best"), F.count("*").alias("class_size"))
-    best = best.select(F.col("root").alias("_r"), "best", "class_size")
+    # written, so that the join's two sides are plain and a hot class can be split
+    best = stash(best.select(F.col("root").alias("_r"), "best", "class_size"), "neardup_best")
     return (rows.join(best, rows["root"] == best["_r"])
             .select("id", "fp", F.col("best.id").alias("class_id"), "class_size",
                     (F.col("id").eqNullSafe(F.col("best.id")) & (F.col("fp") == F.col("best.fp"))).alias("kept")))
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, one of each class."""
-    kept = (near_duplicates(docs, threshold, id_col, text_col).filter("kept").select(F.col("id").alias("_i"), F.col("fp").alias("_f")).distinct())
+    """The rows of docs, one of each class.
+
+    Rows whose text is surely in no class of two or more stay where they are;
+    only the others meet the list of what goes.
+    """
+    found = stash(near_duplicates(docs, threshold, id_col, text_col).select("id", "fp", "class_size", "kept"), "neardup_found")
+    bits = member_filter(found.filter("class_size > 1").select("fp").distinct())
     rows = docs.select(packed(docs, "row"), F.col(id_col).alias("id"), fingerprint(F.col(text_col)).alias("fp"))
-    return (rows.join(kept, rows["fp"].eqNullSafe(kept["_f"]) & rows["id"].eqNullSafe(kept["_i"]))
-            .dropDuplicates(["id", "fp"]).select("row.*"))
+    alone = rows.mapInArrow(_members(bits, inside=False), rows.schema)
+    close = rows.mapInArrow(_members(bits), rows.schema)
+    gone = found.filter("not kept").select(F.col("id").alias("_i"), F.col("fp").alias("_f")).distinct()
+    close = close.join(gone, (close["fp"] == gone["_f"]) & close["id"].eqNullSafe(gone["_i"]), "left_anti").dropDuplicates(["id", "fp"])
+    return alone.unionAll(close).select("row.*")
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
