@@ -6,7 +6,6 @@ from souk.functions.numbers import (  # noqa: F401
     first_truthy,
     flag_positive,
     is_truthy,
-    nonzero,
     parse_money,
     parse_percent,
     rating_trunc,

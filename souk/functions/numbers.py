@@ -112,17 +112,18 @@ def count_of(x, default: int = 0) -> Column:
     return F.coalesce(x.try_cast("bigint"), F.lit(default).cast("bigint"))
 
 
-_ZERO_TEXT_RE = r"^[+-]?0*([.]0*)?([eE][+-]?[0-9]+)?$"
+# A number whose digits are all zero, with at least one digit before any exponent.
+_ZERO_TEXT_RE = r"^[+-]?(0+[.]?0*|[.]0+)([eE][+-]?[0-9]+)?$"
 
 
 def is_truthy(c) -> Column:
     """Python truthiness of a payload value: NULL, '' and numeric zero are false.
 
     Payload numbers are landed as text, so zero written as a number ("0",
-    "0.0") counts as false as well.
+    "0.0") counts as false as well; text that is no number ("-", ".") is true.
     """
     s = _as_text(c)
-    return F.coalesce(~s.rlike(_ZERO_TEXT_RE), F.lit(False))
+    return F.coalesce((s != "") & ~s.rlike(_ZERO_TEXT_RE), F.lit(False))
 
 
 def truthy(c) -> Column:
@@ -136,12 +137,6 @@ def first_truthy(*cols) -> Column:
     return F.coalesce(*[truthy(c) for c in cols])
 
 
-def nonzero(c) -> Column:
-    """NULL for 0, the value otherwise (numeric truthiness)."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.when(c != 0, c)
-
-
 def rating_trunc(c) -> Column:
     """Truncate a rating to one decimal; NULL -> 0.0 (floor(r*10)/10)."""
     c = F.col(c) if isinstance(c, str) else c

@@ -18,12 +18,13 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# ASCII whitespace removed by ``strip_ws`` (space, \t, \n, \v, \f, \r).
-WHITESPACE = " \t\n\x0b\x0c\r"
+# The characters Python's ``str.strip`` takes as white space.
+WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+              "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def strip_ws(c) -> Column:
-    """Remove leading and trailing ASCII whitespace (Python ``str.strip`` on ASCII text).
+    """Remove leading and trailing white space, no-break and other Unicode spaces included.
 
     ``btrim`` with an explicit character set: no regex engine per row.
     """

@@ -14,8 +14,12 @@ HOST = "https://www.lazada.vn/"
 RUN_TS = "2024-01-01 00:00:00"
 
 
+# Everything Unicode calls a separator, the control characters that end lines or pages, and U+0085.
+_SPACE = r"[\p{Z}\x09-\x0d\x1c-\x1f\x{85}]+"
+
+
 def strip(x: str) -> str:
-    return f"trim({x}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+    return f"regexp_replace(regexp_replace({x}, '^{_SPACE}', ''), '{_SPACE}$', '')"
 
 
 def num(x: str) -> str:
@@ -71,7 +75,8 @@ def url_norm(u: str) -> str:
 
 def truthy(x: str) -> str:
     s = f"CAST({x} AS VARCHAR)"
-    return f"(CASE WHEN NOT regexp_matches({s}, '^[+-]?0*([.]0*)?([eE][+-]?[0-9]+)?$') THEN {x} END)"
+    zero = f"(regexp_matches({s}, '{NUM_RE}') AND TRY_CAST({s} AS DOUBLE) = 0)"
+    return f"(CASE WHEN {s} = '' OR coalesce({zero}, false) THEN NULL ELSE {x} END)"
 
 
 RAW = f"raw AS ({duckdb_sql(RAW_LISTING_SQL)})"
@@ -258,7 +263,7 @@ sp_items AS (SELECT *, {POS} FROM base WHERE l_suppkey % 3 = 2),
 sp_rows AS (
   SELECT {_v('l_partkey')} AS itemid, {_v('l_suppkey')} AS shopid,
     CASE WHEN l_linenumber = 4 THEN 'N/A' ELSE p_name END AS name,
-    round({_r('l_extendedprice * 100000')} / 100000, 2) AS price,
+    round(({_r('l_extendedprice * 100000')} + CASE WHEN l_linenumber = 1 THEN 0.5 ELSE 0 END)::DOUBLE / 100000, 2) AS price,
     {_r('l_quantity * 37')} AS historical_sold, CAST(l_orderkey % 500 AS BIGINT) AS liked_count,
     floor(coalesce(p_retailprice / 400, 0) * 10) / 10 AS rating_star,
     CASE WHEN l_linenumber = 3 THEN '' ELSE {_v(_r('l_discount * 100'))} || '%' END AS discount,
@@ -280,7 +285,11 @@ pay AS (
     WHERE l_orderkey % {FX.LAZADA_BUCKETS} = {FX.LAZADA_EMPTY}
   UNION ALL SELECT 'Lazada', {LZ_KEY}, {LZ_PAGE}, l_orderkey FROM lz_orders WHERE {LZ_HTML}
   UNION ALL SELECT 'Lazada', {LZ_KEY}, {LZ_PAGE}, l_orderkey FROM lz_orders WHERE {LZ_BAD}
-  UNION ALL SELECT DISTINCT 'Shopee', '{FX.SHOPEE_KEY}', {SP_PAGE}, l_orderkey FROM base WHERE l_suppkey % 3 = 2)
+  UNION ALL SELECT DISTINCT 'Tiki', {TIKI_KEY}, {TIKI_PAGE}, l_orderkey FROM base WHERE l_suppkey % 3 = 1 AND l_orderkey % {FX.TIKI_TEXT_MOD} = 1
+  UNION ALL SELECT DISTINCT 'Tiki', {TIKI_KEY}, {TIKI_PAGE}, l_orderkey FROM base WHERE l_suppkey % 3 = 1 AND l_orderkey % {FX.TIKI_OBJECT_MOD} = 1
+  UNION ALL SELECT 'Lazada', {LZ_KEY}, {LZ_PAGE}, l_orderkey FROM lz_orders WHERE l_orderkey % {FX.TRAILING_MOD} = 1
+  UNION ALL SELECT DISTINCT 'Shopee', '{FX.SHOPEE_KEY}', {SP_PAGE}, l_orderkey FROM base WHERE l_suppkey % 3 = 2
+  UNION ALL SELECT DISTINCT 'Shopee', '{FX.SHOPEE_KEY}', {SP_PAGE}, l_orderkey FROM base WHERE l_suppkey % 3 = 2 AND l_orderkey % {FX.SHOPEE_OBJECT_MOD} = 1)
 """
 
 

@@ -456,7 +456,17 @@ def q_ingest_shopee(spark, sf_dir):
 SELECT 'Lazada' AS platform, {O.LZ_KEY} AS url_key, {O.LZ_PAGE} AS page, 'not_json' AS reason
 FROM lz_orders WHERE {O.LZ_HTML}
 UNION ALL
-SELECT 'Lazada', {O.LZ_KEY}, {O.LZ_PAGE}, 'malformed' FROM lz_orders WHERE {O.LZ_BAD}"""))
+SELECT 'Lazada', {O.LZ_KEY}, {O.LZ_PAGE}, 'malformed' FROM lz_orders WHERE {O.LZ_BAD}
+UNION ALL
+SELECT 'Lazada', {O.LZ_KEY}, {O.LZ_PAGE}, 'trailing_text' FROM lz_orders WHERE l_orderkey % {O.FX.TRAILING_MOD} = 1
+UNION ALL
+SELECT platform, url_key, page, 'not_a_list' FROM (
+  SELECT DISTINCT 'Tiki' AS platform, {O.TIKI_KEY} AS url_key, {O.TIKI_PAGE} AS page, l_orderkey FROM base
+    WHERE l_suppkey % 3 = 1 AND l_orderkey % {O.FX.TIKI_TEXT_MOD} = 1
+  UNION ALL SELECT DISTINCT 'Tiki', {O.TIKI_KEY}, {O.TIKI_PAGE}, l_orderkey FROM base
+    WHERE l_suppkey % 3 = 1 AND l_orderkey % {O.FX.TIKI_OBJECT_MOD} = 1
+  UNION ALL SELECT DISTINCT 'Shopee', '{O.FX.SHOPEE_KEY}', {O.SP_PAGE}, l_orderkey FROM base
+    WHERE l_suppkey % 3 = 2 AND l_orderkey % {O.FX.SHOPEE_OBJECT_MOD} = 1)"""))
 def q_ingest_quarantine(spark, sf_dir):
     """Payloads that are not JSON objects, with the reason."""
     return _ingested(spark, sf_dir)["quarantine"].select("platform", "url_key", "page", "reason")

@@ -21,17 +21,19 @@ SELECT
   p.p_type AS category_name,
   concat(cast(l.l_partkey AS varchar(20)),'-',cast(l.l_suppkey AS varchar(20))) AS id,
   concat(p.p_brand,' ',p.p_name) AS name,
-  CASE l.l_orderkey % 7
+  CASE WHEN l.l_orderkey % 97 = 0 THEN cast(cast(round(l.l_extendedprice*1000) AS bigint) AS varchar(20)) ELSE CASE l.l_orderkey % 7
     WHEN 0 THEN concat(substr(cast(cast(round(p.p_retailprice*1000) AS bigint) AS varchar(20)),1,3),',',substr(cast(cast(round(p.p_retailprice*1000) AS bigint) AS varchar(20)),4,3))
     WHEN 1 THEN concat(cast(cast(round(p.p_retailprice*1000) AS bigint) AS varchar(20)),'đ')
     WHEN 2 THEN 'N/A'
     WHEN 3 THEN NULL
-    ELSE cast(cast(round(l.l_extendedprice) AS bigint) AS varchar(20)) END AS price,
-  CASE l.l_orderkey % 5 WHEN 0 THEN NULL ELSE cast(cast(round(p.p_retailprice*1100) AS bigint) AS varchar(20)) END AS original_price,
+    ELSE cast(cast(round(l.l_extendedprice) AS bigint) AS varchar(20)) END END AS price,
+  CASE WHEN l.l_orderkey % 5 = 0 THEN NULL WHEN l.l_orderkey % 31 = 0 THEN '-' ELSE cast(cast(round(p.p_retailprice*1100) AS bigint) AS varchar(20)) END AS original_price,
   CASE WHEN l.l_orderkey % 11 = 0 THEN '-5%' WHEN l.l_orderkey % 13 = 0 THEN '150%' WHEN l.l_orderkey % 17 = 0 THEN '10% Off'
+       WHEN l.l_orderkey % 23 = 0 THEN concat(chr(160),'10%',chr(160))
        ELSE concat(' ',cast(cast(round(l.l_discount*100) AS bigint)*(l.l_orderkey % 9) AS varchar(20)),'% ') END AS discount,
   CASE WHEN l.l_partkey % 10 = 0 THEN NULL ELSE cast((l.l_partkey*7 + l.l_suppkey) % 58 AS double)/10 END AS rating,
-  CASE WHEN l.l_orderkey % 6 = 0 THEN NULL ELSE cast((l.l_orderkey*31 + l.l_linenumber) % 1200 AS varchar(20)) END AS review_count,
+  CASE WHEN l.l_orderkey % 6 = 0 THEN NULL WHEN l.l_orderkey % 89 = 0 THEN cast(900000000 + l.l_orderkey AS varchar(20))
+       ELSE cast((l.l_orderkey*31 + l.l_linenumber) % 1200 AS varchar(20)) END AS review_count,
   CASE l.l_linenumber % 4 WHEN 0 THEN concat('Da ban ',cast(cast(l.l_quantity AS bigint) AS varchar(20)),'k+')
        WHEN 1 THEN concat(cast(cast(l.l_quantity AS bigint) AS varchar(20)),' sold')
        WHEN 2 THEN concat('1,',cast(cast(l.l_quantity AS bigint)+100 AS varchar(20)),' sold') ELSE NULL END AS sold_text,
@@ -87,6 +89,11 @@ LAZADA_BUCKETS, LAZADA_EMPTY, LAZADA_PAGES = 23, 9, 23
 LAZADA_HTML_MOD, LAZADA_HTML_REM = 37, 3
 LAZADA_BAD_MOD, LAZADA_BAD_REM = 41, 4
 SHOPEE_KEY, SHOPEE_PAGE_DIV, SHOPEE_PAGES = "may-anh", 7, 30
+ODD_MOD, ODD_REM = 8, 3  # pages whose item array also holds text, a number, NULL (and, for Tiki, {})
+TIKI_TEXT_MOD, TIKI_OBJECT_MOD, SHOPEE_OBJECT_MOD, TRAILING_MOD = 43, 47, 53, 59  # extra pages that hold no list, or more than an object
+TIKI_TEXT_BODY = '{"listings":"blocked"}'
+TIKI_OBJECT_BODY = '{"listings":{"id":1}}'
+SHOPEE_OBJECT_BODY = '{"items":{"itemid":1}}'
 HTML_BODY = "<html><body>Traffic Error</body></html>"
 TIKI_EMPTY_BODY = '{"listings":[],"data":[]}'
 LAZADA_EMPTY_BODY = '{"mods":{"listItems":[]}}'
@@ -131,6 +138,18 @@ def _keyed(bucket, keys: list[str], extra_prefix: str):
         F.concat(F.lit(extra_prefix), bucket.cast("string")))
 
 
+def _plain(body):
+    """Text fields written as "@...@" become bare JSON values (a number where others have text, and so on)."""
+    from pyspark.sql import functions as F
+    return F.regexp_replace(body, '"@([^@"]*)@"', "$1")
+
+
+def _odd(body, key: str, odd: str):
+    """On some pages the item array starts with elements that are no items."""
+    from pyspark.sql import functions as F
+    return F.when(F.col("l_orderkey") % ODD_MOD == ODD_REM, F.replace(body, F.lit(f'"{key}":[{{'), F.lit(f'"{key}":[{odd},{{'))).otherwise(body)
+
+
 def landing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing table ``platform, url_key, page, fetched_at, body`` of JSON pages."""
     from pyspark.sql import functions as F
@@ -150,9 +169,9 @@ def landing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         rnd(F.col("l_discount") * 100).alias("discount_rate"),
         ((F.col("p_size") % 50).cast("double") / 10).alias("rating_average"),
         ((o * 31 + ln) % 1200).alias("review_count"),
-        F.when(ln != 5, F.struct(rnd(F.col("l_quantity") * 10).alias("value"),
+        F.when(ln != 5, F.struct(s(rnd(F.col("l_quantity") * 10)).alias("value"),
                                  F.concat(F.lit("Đã bán "), s(rnd(F.col("l_quantity") * 10))).alias("text"))
-               ).alias("quantity_sold"),
+               ).otherwise(F.struct(F.lit(None).cast("string").alias("value"), F.lit("scalar").alias("text"))).alias("quantity_sold"),
         F.when(ln != 3, F.struct(F.col("p_brand").alias("name"))).alias("brand"),
         F.struct(F.col("s_name").alias("name")).alias("current_seller"),
         F.when(ln % 3 == 0, F.array(F.struct(F.lit("Freeship").alias("text")),
@@ -170,6 +189,9 @@ def landing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = F.when(o % 6 == 1, F.array_append(F.col("items"), F.lit(None))).otherwise(F.col("items"))
     tiki_body = F.when(o % 4 == 0, F.to_json(F.struct(F.slice(items, 1, 0).alias("listings"), items.alias("data")))
                        ).otherwise(F.to_json(F.struct(items.alias("listings"))))
+    # a bare number where others have an object
+    tiki_body = F.replace(tiki_body, F.lit('"quantity_sold":{"text":"scalar"}'), F.lit('"quantity_sold":7'))
+    tiki_body = _odd(_odd(tiki_body, "listings", '"junk",{},null,7'), "data", '"junk",{},null,7')
     # items of the TIKI_EMPTY bucket are filed under an unknown key; their
     # category only ever returns empty pages (no item is left out)
     tiki_item_key = F.when(tb == TIKI_EMPTY, F.concat(F.lit("tiki-extra-"), tb.cast("string"))).otherwise(
@@ -179,6 +201,10 @@ def landing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     tiki_empty = tk.where(tb == TIKI_EMPTY).select(
         F.lit("Tiki").alias("platform"), _keyed(tb, tiki_keys, "tiki-extra-").alias("url_key"),
         tiki_page.alias("page"), _stamp("Tiki").alias("fetched_at"), F.lit(TIKI_EMPTY_BODY).alias("body"))
+    for mod, text in ((TIKI_TEXT_MOD, TIKI_TEXT_BODY), (TIKI_OBJECT_MOD, TIKI_OBJECT_BODY)):
+        tiki_empty = tiki_empty.unionByName(tk.where(o % mod == 1).select(
+            F.lit("Tiki").alias("platform"), tiki_item_key.alias("url_key"), tiki_page.alias("page"),
+            _stamp("Tiki").alias("fetched_at"), F.lit(text).alias("body")))
 
     q = rnd(F.col("l_quantity"))
     lazada_item = F.struct(
@@ -205,7 +231,7 @@ def landing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     lb = o % LAZADA_BUCKETS
     lazada_keys = [k for _, k in LAZADA_CATEGORIES]
     lazada_page = F.expr(f"CAST((l_orderkey div {LAZADA_BUCKETS}) % {LAZADA_PAGES} + 1 AS INT)")
-    ljson = F.to_json(F.struct(F.struct(F.col("items").alias("listItems")).alias("mods")))
+    ljson = _odd(F.to_json(F.struct(F.struct(F.col("items").alias("listItems")).alias("mods"))), "listItems", '"junk",null,7')
     lazada_item_key = F.when(lb == LAZADA_EMPTY, F.concat(F.lit("lazada-extra-"), lb.cast("string"))).otherwise(
         _keyed(lb, lazada_keys, "lazada-extra-"))
 
@@ -222,7 +248,9 @@ def landing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
               .unionByName(lazada_pages(lz.where(o % LAZADA_HTML_MOD == LAZADA_HTML_REM), lazada_item_key,
                                         F.lit(HTML_BODY)))
               .unionByName(lazada_pages(lz.where(o % LAZADA_BAD_MOD == LAZADA_BAD_REM), lazada_item_key,
-                                        F.regexp_replace(ljson, "}$", ""))))
+                                        F.regexp_replace(ljson, "}$", "")))
+              .unionByName(lazada_pages(lz.where(o % TRAILING_MOD == 1), lazada_item_key,
+                                        F.concat(ljson, F.lit(" <html>")))))
 
     wrap = (o + ln) % 2 == 0
     basic_fields = [
@@ -230,10 +258,13 @@ def landing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ln == 5, F.col("l_partkey")).alias("item_id"),
         F.when(ln != 7, F.col("l_suppkey")).alias("shopid"),
         F.when(ln != 4, F.col("p_name")).alias("name"),
-        rnd(F.col("l_extendedprice") * 100000).alias("price"),
-        rnd(F.col("l_quantity") * 37).alias("historical_sold"),
+        # a price with a fraction, counts and ratings in quotes on some items
+        F.concat(F.lit("@"), s(rnd(F.col("l_extendedprice") * 100000)), F.when(ln == 1, F.lit(".5")).otherwise(F.lit("")), F.lit("@")).alias("price"),
+        F.when(ln == 2, s(rnd(F.col("l_quantity") * 37))).otherwise(
+            F.concat(F.lit("@"), s(rnd(F.col("l_quantity") * 37)), F.lit("@"))).alias("historical_sold"),
         (o % 500).alias("liked_count"),
-        F.struct((F.col("p_retailprice") / 400).alias("rating_star")).alias("item_rating"),
+        F.struct(F.when(ln == 1, s(F.col("p_retailprice") / 400)).otherwise(
+            F.concat(F.lit("@"), s(F.col("p_retailprice") / 400), F.lit("@"))).alias("rating_star")).alias("item_rating"),
         F.when(ln != 3, F.concat(s(rnd(F.col("l_discount") * 100)), F.lit("%"))).alias("discount"),
         F.concat(F.lit("Kho "), s(F.col("s_nationkey"))).alias("shop_location"),
         F.when(ln != 2, F.concat(F.lit("img"), s(F.col("p_partkey")))).alias("image"),
@@ -246,8 +277,10 @@ def landing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     sp = _payload_items(b, 2, shopee_item)
     shopee_body = F.when(o % 3 == 0, F.to_json(F.struct(F.struct(F.col("items").alias("items")).alias("data")))
                          ).otherwise(F.to_json(F.struct(F.col("items").alias("items"))))
+    shopee_body = _odd(_plain(shopee_body), "items", '"junk",null,7')
     shopee = sp.select(
         F.lit("Shopee").alias("platform"), F.lit(SHOPEE_KEY).alias("url_key"),
         F.expr(f"CAST((l_orderkey div {SHOPEE_PAGE_DIV}) % {SHOPEE_PAGES} + 1 AS INT)").alias("page"),
-        _stamp("Shopee").alias("fetched_at"), shopee_body.alias("body"))
+        _stamp("Shopee").alias("fetched_at"), shopee_body.alias("body"), "l_orderkey")
+    shopee = shopee.unionAll(shopee.where(o % SHOPEE_OBJECT_MOD == 1).withColumn("body", F.lit(SHOPEE_OBJECT_BODY))).drop("l_orderkey")
     return tiki.unionByName(tiki_empty).unionByName(lazada).unionByName(shopee)

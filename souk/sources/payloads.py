@@ -1,11 +1,12 @@
 """Marketplace API payloads -> flat raw listing rows (Tiki, Lazada, Shopee).
 
 Input is a landing table, one row per fetched page:
-``platform, url_key, page, fetched_at, body`` (body = response text).  Each
-flattener parses the body with an explicit schema (``from_json``), explodes
-the item array and projects struct paths: a narrow, shuffle-free plan.
-Payload numbers are read into string fields so every raw field stays text
-until the clean stage parses it.
+``platform, url_key, page, fetched_at, body`` (body = response text).  The
+item array is read as an array of raw JSON texts and exploded; then each element
+that is an object is parsed on its own, all its values as text.  So an odd
+element (text, number, null) costs that element and not the page, and an odd
+type (a price with decimals, a rating in quotes) is not turned into NULL.  The
+plan is narrow: no shuffle.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from souk.functions.numbers import first_truthy, is_truthy, rating_trunc, scaled_price
+from souk.functions.numbers import first_truthy, is_truthy, rating_trunc, scaled_price, to_count, to_number
 from souk.functions.text import nullif_empty, sold_text_count, strip_ws
 
 # Link prefixes the platforms' item paths are joined to.
@@ -25,41 +26,64 @@ SHOPEE_MISSING_TEXT = "N/A"
 
 LANDING_DDL = "platform STRING, url_key STRING, page INT, fetched_at TIMESTAMP, body STRING"
 
-TIKI_ITEM = ("STRUCT<id:STRING,name:STRING,price:STRING,list_price:STRING,original_price:STRING,"
-             "discount_rate:STRING,rating_average:STRING,review_count:STRING,"
-             "quantity_sold:STRUCT<value:STRING,text:STRING>,brand:STRUCT<name:STRING>,"
-             "current_seller:STRUCT<name:STRING>,badges:ARRAY<STRUCT<text:STRING>>,"
-             "thumbnail_url:STRING,url_path:STRING>")
-TIKI_DDL = f"listings ARRAY<{TIKI_ITEM}>, data ARRAY<{TIKI_ITEM}>"
+# Payload field names.  Every value is read as text.
+TIKI_ITEM = ("id STRING, name STRING, price STRING, list_price STRING, original_price STRING, discount_rate STRING, "
+             "rating_average STRING, review_count STRING, quantity_sold STRUCT<value:STRING,text:STRING>, "
+             "brand STRUCT<name:STRING>, current_seller STRUCT<name:STRING>, badges ARRAY<STRUCT<text:STRING>>, "
+             "thumbnail_url STRING, url_path STRING")
+LAZADA_ITEM = ("itemId STRING, name STRING, priceShow STRING, price STRING, originalPriceShow STRING, originalPrice STRING, "
+               "discount STRING, ratingScore STRING, review STRING, itemSoldCntShow STRING, brandName STRING, "
+               "location STRING, sellerName STRING, itemUrl STRING, image STRING")
+SHOPEE_ITEM = ("itemid STRING, item_id STRING, shopid STRING, shop_id STRING, name STRING, price STRING, "
+               "historical_sold STRING, liked_count STRING, item_rating STRUCT<rating_star:STRING>, discount STRING, "
+               "shop_location STRING, image STRING")
+# Where the payloads hold their items.
+TOP = "listings STRING, data STRING, mods STRING, items STRING"
 
-LAZADA_ITEM = ("STRUCT<itemId:STRING,name:STRING,priceShow:STRING,price:STRING,originalPriceShow:STRING,"
-               "originalPrice:STRING,discount:STRING,ratingScore:STRING,review:STRING,itemSoldCntShow:STRING,"
-               "brandName:STRING,location:STRING,sellerName:STRING,itemUrl:STRING,image:STRING>")
-LAZADA_DDL = f"mods STRUCT<listItems:ARRAY<{LAZADA_ITEM}>>"
+LINEAGE = ["url_key", "page", "fetched_at", "item_pos"]
 
-_SHOPEE_BASIC = ("itemid:STRING,item_id:STRING,shopid:STRING,shop_id:STRING,name:STRING,price:BIGINT,"
-                 "historical_sold:BIGINT,liked_count:BIGINT,item_rating:STRUCT<rating_star:DOUBLE>,"
-                 "discount:STRING,shop_location:STRING,image:STRING")
-SHOPEE_ITEM = f"STRUCT<item_basic:STRUCT<{_SHOPEE_BASIC}>,{_SHOPEE_BASIC}>"
-SHOPEE_DDL = f"items ARRAY<{SHOPEE_ITEM}>, data STRUCT<items:ARRAY<{SHOPEE_ITEM}>>"
 
-LINEAGE = ["url_key", "page", "fetched_at", "item_pos"]
+def _given(text: Column) -> Column:
+    """Whether a JSON value read as text is truthy (not missing, null, false, 0 or empty)."""
+    return F.coalesce(~text.rlike(r"^\s*(null|false|0|\[\s*\]|\{\s*\})?\s*$"), F.lit(False))
+
+
+def _with_items(landing: DataFrame) -> DataFrame:
+    """Adds ``_items`` (the value at the platform's place for items, as JSON text) and ``_holder`` (what it stands in).
+
+    Tiki: ``listings``, or ``data`` when that is missing or empty.  Lazada:
+    ``mods.listItems``.  Shopee: ``items``, or ``data.items``.
+    """
+    df = landing.withColumn("_top", F.from_json("body", TOP))
+    top = F.col("_top")
+    platform = F.col("platform")
+    df = df.withColumn("_holder", F.when(platform == "Lazada", top["mods"]).when((platform == "Shopee") & ~_given(top["items"]), top["data"]))
+    inner = F.from_json("_holder", "listItems STRING, items STRING")
+    items = (F.when(platform == "Tiki", F.when(_given(top["listings"]), top["listings"]).otherwise(top["data"]))
+             .when(platform == "Lazada", inner["listItems"])
+             .when(platform == "Shopee", F.when(_given(top["items"]), top["items"]).otherwise(inner["items"])))
+    return df.withColumn("_items", items).drop("_top")
 
 
 def split_malformed(landing: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split a landing table into (parseable JSON objects, quarantine).
+    """Split a landing table into (parseable pages, quarantine).
 
     Quarantined rows carry ``reason``: ``not_json`` when the trimmed body does
-    not start with "{" (e.g. an HTML block page), ``malformed`` when it does
-    but is not a valid JSON object.
+    not start with "{" (e.g. an HTML block page), ``malformed`` when it is no
+    valid JSON object, ``trailing_text`` when something follows the object,
+    ``not_a_list`` when something other than an array stands where the
+    platform's items should be.  Good pages keep the items' text in ``_items``.
     """
     body = strip_ws(F.col("body"))
-    starts = F.coalesce(body.startswith("{"), F.lit(False))
-    valid = F.expr("json_object_keys(body)").isNotNull()
-    reason = F.when(~starts, F.lit("not_json")).when(~valid, F.lit("malformed"))
-    tagged = landing.withColumn("reason", reason)
-    good = tagged.where(F.col("reason").isNull()).drop("reason")
-    bad = tagged.where(F.col("reason").isNotNull())
+    items, holder = F.col("_items"), F.col("_holder")
+    odd = (_given(items) & ~F.ltrim(items).startswith("[")) | ((F.col("platform") == "Lazada") & _given(holder) & ~F.ltrim(holder).startswith("{"))
+    reason = (F.when(~F.coalesce(body.startswith("{"), F.lit(False)), F.lit("not_json"))
+              .when(F.expr("json_object_keys(body)").isNull(), F.lit("malformed"))
+              .when(~body.endswith("}"), F.lit("trailing_text"))
+              .when(F.coalesce(odd, F.lit(False)), F.lit("not_a_list")))
+    tagged = _with_items(landing).withColumn("reason", reason)
+    good = tagged.where(F.col("reason").isNull()).drop("reason", "_holder")
+    bad = tagged.where(F.col("reason").isNotNull()).drop("_items", "_holder")
     return good, bad
 
 
@@ -67,21 +91,25 @@ def _crawl_date() -> Column:
     return F.date_format("fetched_at", "yyyy-MM-dd")
 
 
-def _explode_items(df: DataFrame, items: Column) -> DataFrame:
+def _explode_items(landing: DataFrame, platform: str, item: str, empty: bool = True) -> DataFrame:
+    """One row per element that is an object (and, unless ``empty``, not an empty one): ``raw`` is its JSON text, ``it`` the parsed item."""
+    df = landing.where(F.col("platform") == platform)
+    if "_items" not in df.columns:
+        df = _with_items(df)
     keep = ["platform", "url_key", "page", "fetched_at"]
-    return df.select(*keep, F.posexplode(F.filter(items, lambda x: x.isNotNull())).alias("item_pos", "it"))
+    pattern = r"^\s*\{" if empty else r"^\s*\{\s*[^\s}]"
+    objects = F.filter(F.from_json("_items", "ARRAY<STRING>"), lambda x: x.rlike(pattern))
+    return df.select(*keep, F.posexplode(objects).alias("item_pos", "raw")).withColumn("it", F.from_json("raw", item))
 
 
 def flatten_tiki(landing: DataFrame) -> DataFrame:
     """Tiki listing pages -> one row per product.
 
     Items come from ``listings``, or from ``data`` when ``listings`` is missing
-    or empty; NULL items are skipped.  Badge texts that are non-empty are
-    joined with ", ".
+    or empty; elements that are NULL, empty or no object are skipped.  Badge
+    texts that are non-empty are joined with ", ".
     """
-    p = landing.where(F.col("platform") == "Tiki").withColumn("_p", F.from_json("body", TIKI_DDL))
-    items = F.when(F.size("_p.listings") > 0, F.col("_p.listings")).otherwise(F.col("_p.data"))
-    x = _explode_items(p, items)
+    x = _explode_items(landing, "Tiki", TIKI_ITEM, empty=False)
     it = F.col("it")
     badge_texts = F.filter(F.transform(it["badges"], lambda b: b["text"]),
                            lambda t: t.isNotNull() & (t != ""))
@@ -117,8 +145,7 @@ def flatten_lazada(landing: DataFrame, sold_mode: str = "parity") -> DataFrame:
     The shown price wins over the raw price when present; sold counts are
     parsed from the display text; item links are made absolute.
     """
-    p = landing.where(F.col("platform") == "Lazada").withColumn("_p", F.from_json("body", LAZADA_DDL))
-    x = _explode_items(p, F.col("_p.mods.listItems"))
+    x = _explode_items(landing, "Lazada", LAZADA_ITEM)
     it = F.col("it")
     rows = x.select(
         _crawl_date().alias("crawl_date"), F.lit("Lazada").alias("platform"),
@@ -148,9 +175,7 @@ def flatten_shopee(landing: DataFrame) -> DataFrame:
     are dropped.  Prices are scaled from minor units, ratings truncated to one
     decimal, image and product links built.
     """
-    p = landing.where(F.col("platform") == "Shopee").withColumn("_p", F.from_json("body", SHOPEE_DDL))
-    items = F.coalesce(F.col("_p.items"), F.col("_p.data.items"))
-    x = _explode_items(p, items)
+    x = _explode_items(landing, "Shopee", f"{SHOPEE_ITEM}, item_basic STRUCT<{SHOPEE_ITEM.replace(' STRUCT', ':STRUCT').replace(' STRING', ':STRING')}>")
     it = F.col("it")
     basic = it["item_basic"]
     has_basic = basic.isNotNull()
@@ -164,10 +189,10 @@ def flatten_shopee(landing: DataFrame) -> DataFrame:
     rows = x.select(
         itemid.alias("itemid"), shopid.alias("shopid"),
         F.coalesce(fld("name"), F.lit(SHOPEE_MISSING_TEXT)).alias("name"),
-        scaled_price(fld("price")).alias("price"),
-        F.coalesce(fld("historical_sold"), F.lit(0)).alias("historical_sold"),
-        F.coalesce(fld("liked_count"), F.lit(0)).alias("liked_count"),
-        rating_trunc(fld("item_rating")["rating_star"]).alias("rating_star"),
+        scaled_price(to_number(fld("price"))).alias("price"),
+        to_count(fld("historical_sold")).alias("historical_sold"),
+        to_count(fld("liked_count")).alias("liked_count"),
+        rating_trunc(to_number(fld("item_rating")["rating_star"])).alias("rating_star"),
         F.coalesce(fld("discount"), F.lit("")).alias("discount"),
         F.coalesce(fld("shop_location"), F.lit(SHOPEE_MISSING_TEXT)).alias("location"),
         F.when(is_truthy(img), F.concat(F.lit(SHOPEE_IMAGE_PREFIX), img)).otherwise(F.lit("")).alias("image"),
@@ -192,11 +217,10 @@ def shopee_as_listing(rows: DataFrame) -> DataFrame:
 def attach_category(rows: DataFrame, dim: DataFrame) -> DataFrame:
     """Category name of each row from the (platform, url_key) dimension.
 
-    The dimension is a fixed 44-row table, so it is broadcast: the fact side
-    is never shuffled.  Unknown keys get a NULL category.
+    The dimension has one row per category of a platform; Spark broadcasts it
+    or not by its measured size.  Unknown keys get a NULL category.
     """
-    return rows.join(F.broadcast(dim.select("platform", "url_key", "category_name")),
-                     ["platform", "url_key"], "left")
+    return rows.join(dim.select("platform", "url_key", "category_name"), ["platform", "url_key"], "left")
 
 
 def empty_categories(dim: DataFrame, rows: DataFrame) -> DataFrame:
