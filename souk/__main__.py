@@ -7,8 +7,10 @@
   python -m souk ingest   LANDING OUTPUT    landing pages (JSON Lines) -> listing rows (parquet)
   python -m souk run      LANDING OUTDIR    all stages from landing pages
 
-INPUT may be .json (JSON Lines or one array), .csv or .parquet.  The session
-comes from the environment (spark-submit / defaults); a local one otherwise.
+INPUT may be .json / .jsonl (JSON Lines), .csv or .parquet; --multi-line reads a JSON
+array a file, or CSV fields that span lines (such files are read by one task each).
+An output that is, holds or lies in the input is refused.  The session is the one
+spark-submit describes; its master and settings are left as they are.
 """
 
 from __future__ import annotations
@@ -26,13 +28,8 @@ def _session() -> SparkSession:
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
-    from souk.session import get_session
-    return get_session(master=None if "spark.master" in _submit_conf() else "local[*]")
-
-
-def _submit_conf() -> dict:
-    from pyspark import SparkConf
-    return dict(SparkConf().getAll())
+    from souk.session import submitted_session
+    return submitted_session()
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -42,6 +39,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("output", nargs="?")
     ap.add_argument("--run-ts", default=None, help="clean timestamp (default: now)")
     ap.add_argument("--order-by", default=None, help="comma-separated input order columns for keep-first dedup")
+    ap.add_argument("--multi-line", action="store_true", help="JSON arrays, or CSV fields that span lines")
+    ap.add_argument("--stamped", action="store_true", help="ingest: add the rows under run_ts=STAMP and keep earlier runs")
     a = ap.parse_args(argv)
     run_ts = a.run_ts or datetime.now().strftime(RUN_TS_FORMAT)
 
@@ -50,42 +49,52 @@ def main(argv: list[str] | None = None) -> int:
     from souk.operators.clean import CLEANED_DDL, clean_listings
     from souk.operators.features import add_features
     from souk.operators.labels import label_products
-    from souk.operators.report import null_audit
+    from souk.operators.report import null_audit_observed
     from souk.plans.ingest import ingest, merged_listings
     from souk.plans.run import report_tables, run
     from souk.sources.categories import category_dim
-    from souk.sources.files import default_output_path, read_table, write_table
+    from souk.sources.files import default_output_path, read_table, refuse_overwrite, write_table
     from souk.sources.payloads import LANDING_DDL
 
+    from souk.session import clean_scratch
+
+    path = a.output or (default_output_path(a.input) if a.stage == "clean" else None)
+    if path is None:
+        ap.error(f"{a.stage} needs an OUTPUT")
+    refuse_overwrite(a.input, path)
     spark = _session()
-    if a.stage == "clean":
-        raw = read_table(spark, a.input, multi_line=None)
-        if a.order_by:
-            order = a.order_by.split(",")
-        else:
-            raw = raw.withColumn("_ord", F.monotonically_increasing_id())  # file order, taken at the scan
-            order = ["_ord"]
-        out = clean_listings(raw, run_ts, order_by=order)
-        path = a.output or default_output_path(a.input)
-        write_table(out, path, fmt="csv")
-        null_audit(read_table(spark, path, schema=out.schema, na_tokens=False)).show(50, truncate=False)
-        print(f"cleaned rows written to {path}")
-    elif a.stage == "features":
-        schema = CLEANED_DDL if a.input.rstrip("/").endswith(".csv") else None
-        write_table(add_features(read_table(spark, a.input, schema=schema, multi_line=None)), a.output)
-    elif a.stage == "label":
-        write_table(label_products(read_table(spark, a.input, multi_line=None)), a.output)
-    elif a.stage == "report":
-        for name, df in report_tables(read_table(spark, a.input, multi_line=None)).items():
-            write_table(df, f"{a.output.rstrip('/')}/{name}", fmt="csv")
-    elif a.stage in ("ingest", "run"):
-        landing = spark.read.schema(LANDING_DDL).json(a.input)
-        if a.stage == "ingest":
-            write_table(merged_listings(ingest(landing, category_dim(spark))), a.output)
+    try:
+        if a.stage == "clean":
+            raw = read_table(spark, a.input, multi_line=a.multi_line, text=True)
+            if a.order_by:
+                order = a.order_by.split(",")
+            else:  # by file, place of the split in the file, and row in the split
+                raw = raw.withColumns({"_file": F.col("_metadata.file_path"), "_at": F.col("_metadata.file_block_start"),
+                                       "_row": F.monotonically_increasing_id()})
+                order = ["_file", "_at", "_row"]
+            out, audit = null_audit_observed(clean_listings(raw, run_ts, order_by=order))
+            write_table(out, path, fmt="csv")
+            for column, n in audit.get.items():
+                print(f"{column}: {n} missing")
+            print(f"cleaned rows written to {path}")
+        elif a.stage == "features":
+            schema = CLEANED_DDL if a.input.rstrip("/").endswith(".csv") else None
+            write_table(add_features(read_table(spark, a.input, schema=schema, multi_line=a.multi_line)), path)
+        elif a.stage == "label":
+            write_table(label_products(read_table(spark, a.input, multi_line=a.multi_line)), path)
+        elif a.stage == "report":
+            for name, df in report_tables(read_table(spark, a.input, multi_line=a.multi_line)).items():
+                write_table(df, f"{path.rstrip('/')}/{name}", fmt="csv")
+        elif a.stage == "ingest":
+            landing = spark.read.schema(LANDING_DDL).json(a.input)
+            stamp = datetime.strptime(run_ts, RUN_TS_FORMAT).strftime("%Y-%m-%d_%H-%M") if a.stamped else None
+            write_table(merged_listings(ingest(landing, category_dim(spark))), path, run_ts=stamp)
         else:
-            out = run(landing, category_dim(spark), run_ts)
-            for name, df in out.items():
-                write_table(df, f"{a.output.rstrip('/')}/{name}", fmt="parquet" if name == "labeled" else "csv")
+            landing = spark.read.schema(LANDING_DDL).json(a.input)
+            for name, df in run(landing, category_dim(spark), run_ts).items():
+                write_table(df, f"{path.rstrip('/')}/{name}", fmt="parquet" if name == "labeled" else "csv")
+    finally:
+        clean_scratch(spark)
     return 0
 
 

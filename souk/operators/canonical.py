@@ -73,15 +73,3 @@ def canonicalize(df: DataFrame, mapping=ALIASES, wanted=WANTED, add_missing: boo
             out.append(F.lit(None).cast("string").alias(target))
     out.extend(F.col(k) for k in keep if k not in wanted)
     return df.select(*out)
-
-
-def select_existing(df: DataFrame, wanted: list[str], add_missing: bool = False,
-                    missing_type: str = "string") -> DataFrame:
-    """Keep the wanted columns that exist, in the wanted order (schema-only)."""
-    cols = []
-    for c in wanted:
-        if c in df.columns:
-            cols.append(F.col(c))
-        elif add_missing:
-            cols.append(F.lit(None).cast(missing_type).alias(c))
-    return df.select(*cols)

@@ -6,6 +6,9 @@ steps); the de-duplication is the only shuffle.
 
 from __future__ import annotations
 
+import inspect
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +41,7 @@ UNKNOWN_TEXT = "Không xác định"
 # default computes the fill from the (already filled) row.
 FILL_DEFAULTS: list[tuple[str, object]] = [
     ("current_price", 0.0),
-    ("original_price", lambda: F.coalesce(F.col("current_price"), F.lit(0.0))),
+    ("original_price", lambda df: F.coalesce(df["current_price"], F.lit(0.0))),
     ("discount_rate", 0.0),
     ("rating_average", 0.0),
     ("review_count", 0),
@@ -78,12 +81,13 @@ def parse_fields(df: DataFrame) -> DataFrame:
 
 
 def fill_defaults(df: DataFrame, defaults=FILL_DEFAULTS) -> DataFrame:
-    """Fill NULLs with constants, or with a Column built from the row so far."""
+    """Fill NULLs with constants, or with what a callable gives: a Column (or
+    value), built from the row so far; it may take the DataFrame."""
     for col, default in defaults:
         if col not in df.columns:
             continue
         if callable(default):
-            d = default()
+            d = default(df) if inspect.signature(default).parameters else default()
             filler: Column = d if isinstance(d, Column) else F.lit(d)
         else:
             filler = F.lit(default)
@@ -92,11 +96,13 @@ def fill_defaults(df: DataFrame, defaults=FILL_DEFAULTS) -> DataFrame:
 
 
 def stamp(df: DataFrame, run_ts: str) -> DataFrame:
-    """Flags and the clean timestamp (``run_ts`` is an argument: runs are repeatable)."""
+    """Flags and the clean timestamp (``run_ts`` is an argument: runs are
+    repeatable; one that is no timestamp raises)."""
+    datetime.fromisoformat(run_ts)
     return df.withColumns({
         "has_discount": flag_positive("discount_rate"),
         "is_sold": flag_positive("quantity_sold_value"),
-        "clean_date": F.lit(run_ts).try_cast("timestamp_ntz"),
+        "clean_date": F.lit(run_ts).cast("timestamp_ntz"),
     })
 
 

@@ -35,17 +35,6 @@ def thresholds(df: DataFrame, specs=THRESHOLD_SPECS) -> DataFrame:
     return quantiles(df, specs)
 
 
-def threshold_values(th) -> dict[str, float | None]:
-    """Threshold values as a dict.  A DataFrame argument must hold exactly one
-    row (the output of ``thresholds``); only that row reaches the driver."""
-    if isinstance(th, dict):
-        return dict(th)
-    rows = th.limit(2).collect()
-    if len(rows) != 1:
-        raise ValueError(f"thresholds must be a single row, got {len(rows)}")
-    return rows[0].asDict()
-
-
 def compile_rules(rules=DEFAULT_RULES, default: str = LABEL_NORMAL) -> Column:
     """Ordered (label, predicate) pairs -> one CASE WHEN column.
 
@@ -59,22 +48,21 @@ def compile_rules(rules=DEFAULT_RULES, default: str = LABEL_NORMAL) -> Column:
     return F.lit(default) if out is None else out.otherwise(F.lit(default))
 
 
-def with_thresholds(df: DataFrame, th) -> DataFrame:
-    """Attach threshold values to every row as literal columns (no join)."""
-    vals = threshold_values(th)
-    return df.withColumns({k: F.lit(v).cast("double") for k, v in vals.items()})
-
-
 def label_products(df: DataFrame, th=None, rules=DEFAULT_RULES, default: str = LABEL_NORMAL,
                    label_col: str = "label") -> DataFrame:
     """Append ``label``.  Thresholds are computed from ``df`` unless given
-    (dict or one-row DataFrame)."""
+    (dict, or DataFrame of exactly one row, which is joined to every row)."""
     if th is None:
         th = thresholds(df)
-    vals = threshold_values(th)
-    clash = [k for k in vals if k in df.columns]
+    names = list(th) if isinstance(th, dict) else th.columns
+    clash = [k for k in names if k in df.columns]
     if clash:
         raise ValueError(f"threshold names collide with columns: {clash}")
-    tmp = df.withColumns({k: F.lit(v).cast("double") for k, v in vals.items()})
-    out = tmp.withColumn(label_col, compile_rules(rules, default))
-    return out.drop(*vals)
+    if isinstance(th, dict):
+        tmp = df.withColumns({k: F.lit(v).cast("double") for k, v in th.items()})
+    else:
+        # an aggregate without keys has one row; more than one threshold row is an error, not more rows
+        bad = F.raise_error(F.lit("thresholds must be a single row")).cast("double")
+        one = th.agg(*[F.when(F.count(F.lit(1)) <= 1, F.max(k).cast("double")).otherwise(bad).alias(k) for k in names])
+        tmp = df.crossJoin(F.broadcast(one))
+    return tmp.withColumn(label_col, compile_rules(rules, default)).drop(*names)

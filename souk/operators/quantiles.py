@@ -25,11 +25,12 @@ from pyspark.sql import functions as F
 
 
 def quantiles(df: DataFrame, specs: list[tuple[str, str, float]], by: list[str] | tuple = (),
-              num_partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
+              num_partitions: int | None = None, checkpoint: bool = True, weight: str | None = None) -> DataFrame:
     """Quantiles of several columns, optionally per group.
 
     ``specs`` is a list of (output name, column, q).  Returns one row per group
     of ``by`` (one row overall without groups) with one double column per spec.
+    With ``weight`` a row stands for that many rows (a table of counts).
     """
     by = list(by)
     if not specs:
@@ -37,9 +38,9 @@ def quantiles(df: DataFrame, specs: list[tuple[str, str, float]], by: list[str]
     value_cols = list(dict.fromkeys(c for _, c, _ in specs))
     stacked = df.select(*by, F.explode(F.array(*[
         F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in value_cols
-    ])).alias("_kv")).select(*by, "_kv.k", "_kv.v")
+    ])).alias("_kv"), *([F.col(weight).alias("_w")] if weight else [F.lit(1).alias("_w")])).select(*by, "_kv.k", "_kv.v", "_w")
     stacked = stacked.where(F.col("v").isNotNull() & ~F.isnan("v"))
-    counts = stacked.groupBy(*by, "k", "v").agg(F.count(F.lit(1)).alias("c"))
+    counts = stacked.groupBy(*by, "k", "v").agg(F.sum("_w").alias("c") if weight else F.count(F.lit(1)).alias("c"))
 
     keys = [*by, "k", "v"]
     ranged = (counts.repartitionByRange(num_partitions, *keys) if num_partitions

@@ -63,6 +63,14 @@ def null_audit(df: DataFrame, stage: str | None = None) -> DataFrame:
     return out
 
 
+def null_audit_observed(df: DataFrame):
+    """The NULL counts of every column as an observation of the pass that runs
+    ``df`` anyway: (df, observation); ``observation.get`` has them after it."""
+    from pyspark.sql import Observation
+    obs = Observation()
+    return df.observe(obs, *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]), obs
+
+
 def dedup_report(deduped_with_counts: DataFrame, count_col: str, n_columns: int | None = None) -> DataFrame:
     """Rows before/after de-duplication from a ``dedup_first(count_col=...)``
     result: one aggregate over the survivors, no second pass over the input."""

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.operators.quantiles import quantiles
-from souk.plans.layout import broadcast_if_small
+from souk.session import hand_off
 
 
 def _finite(col: str):
@@ -65,43 +65,59 @@ def histogram(df: DataFrame, col: str, bins: int = 30, digits: int = 6) -> DataF
         "bin", "bin_lo", "bin_hi", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
+def value_counts(df: DataFrame, keys: list[str], y: str) -> DataFrame:
+    """Rows of every group and distinct finite value of ``y``: keys, _y, _c.
+
+    One pass over the rows with partial aggregation; written, because several
+    steps read it.
+    """
+    v = F.col(y).cast("double").alias("_y")
+    return hand_off(df.where(_finite(y)).groupBy(*keys, v).agg(F.count(F.lit(1)).alias("_c")), "value_counts")
+
+
 def kde_curve(df: DataFrame, col: str, grid: int = 200, bins: int = 30, digits: int = 6) -> DataFrame:
     """Gaussian KDE over [min, max] on ``grid`` points, Scott's bandwidth
     (n^(-1/5) x sample stddev), scaled to histogram counts (x n x bin width).
 
-    The sum over data points runs on distinct values weighted by their count:
-    every distinct value adds its kernel at each grid point and the per-grid
-    sums are partially aggregated before the (tiny) shuffle.
+    Works on distinct values weighted by their count: one pass over the rows
+    counts them; every distinct value then adds its kernel to ``grid`` running
+    sums (one aggregate, no row per value and grid point).
     Columns: grid_idx (0-based), x, density (count scale).
     """
-    stats = df.where(_finite(col)).agg(
-        F.min(F.col(col).cast("double")).alias("lo"), F.max(F.col(col).cast("double")).alias("hi"),
-        F.count(F.lit(1)).alias("n"), F.stddev_samp(F.col(col).cast("double")).alias("sd")).first()
     spark = df.sparkSession
-    lo, hi, n, sd = stats["lo"], stats["hi"], int(stats["n"]), stats["sd"]
-    if n < 2 or sd is None or sd == 0:
+    counts = value_counts(df, [], col)
+    c, v = F.col("_c"), F.col("_y")
+    first = counts.agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.sum(c).alias("n"), F.sum(c * v).alias("s")).first()
+    n = int(first["n"] or 0)
+    mean = first["s"] / n if n else 0.0
+    square = counts.agg(F.sum(c * (v - F.lit(mean)) * (v - F.lit(mean))).alias("q")).first()["q"] if n > 1 else 0.0
+    if n < 2 or not square:
         return spark.range(0).select(F.col("id").cast("int").alias("grid_idx"),
                                      F.lit(None).cast("double").alias("x"),
                                      F.lit(None).cast("double").alias("density"))
+    lo, hi, sd = first["lo"], first["hi"], math.sqrt(square / (n - 1))
     h = sd * n ** (-1.0 / 5.0)
     blo, bhi = histogram_edges(lo, hi)
     scale = n * (bhi - blo) / bins
     norm = 1.0 / (n * h * math.sqrt(2 * math.pi))
     step = (hi - lo) / (grid - 1)
-    vc = df.where(_finite(col)).groupBy(F.col(col).cast("double").alias("v")).agg(
-        F.count(F.lit(1)).alias("c"))
-    g = F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("grid_idx")
-    pts = vc.select("v", "c", g)
-    gx = F.when(F.col("grid_idx") == grid - 1, F.lit(hi)).otherwise(
-        F.lit(lo) + F.col("grid_idx") * F.lit(step))
-    contrib = F.col("c") * F.exp(F.lit(-0.5) * F.pow((gx - F.col("v")) / F.lit(h), 2))
-    out = pts.groupBy("grid_idx").agg(F.sum(contrib).alias("s"))
-    return out.select(
-        F.col("grid_idx").cast("int").alias("grid_idx"),
-        F.round(F.when(F.col("grid_idx") == grid - 1, F.lit(hi)).otherwise(
-            F.lit(lo) + F.col("grid_idx") * F.lit(step)), digits).alias("x"),
-        F.round(F.col("s") * F.lit(norm * scale), digits).alias("density"),
-    )
+    xs = [hi if i == grid - 1 else lo + i * step for i in range(grid)]
+    sums = counts.agg(*[F.sum(c * F.exp(F.lit(-0.5) * F.pow((F.lit(x) - v) / F.lit(h), 2))).alias(f"s{i}") for i, x in enumerate(xs)])
+    points = F.array(*[F.struct(F.lit(i).alias("grid_idx"), F.lit(x).alias("x"), F.col(f"s{i}").alias("s")) for i, x in enumerate(xs)])
+    return sums.select(F.inline(points)).select(
+        "grid_idx", F.round("x", digits).alias("x"), F.round(F.col("s") * F.lit(norm * scale), digits).alias("density"))
+
+
+def _same_group(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on the group keys; a NULL group is a group like any other."""
+    renamed = right.withColumnsRenamed({k: f"_g{i}" for i, k in enumerate(keys)})
+    cond = [left[k].eqNullSafe(renamed[f"_g{i}"]) for i, k in enumerate(keys)]
+    return left.join(renamed, cond, how).drop(*[f"_g{i}" for i in range(len(keys))])
+
+
+def _fences(whis: float):
+    width = F.lit(whis) * (F.col("q3") - F.col("q1"))
+    return F.col("q1") - width, F.col("q3") + width
 
 
 def box_stats(df: DataFrame, group: str, y: str, whis: float = 1.5, digits: int = 6) -> DataFrame:
@@ -109,22 +125,21 @@ def box_stats(df: DataFrame, group: str, y: str, whis: float = 1.5, digits: int
     at the most extreme values inside Q1 - whis*IQR .. Q3 + whis*IQR (or the
     quartile when no value lies between), outlier count, mean and n.
 
-    The per-group quartiles (one row per group) are broadcast back to the rows
-    when their count is within the checked limit, so the rows are not
-    shuffled by group and a dominant group never lands in one task.
+    The rows are read once, into counts of distinct values; quartiles, fences
+    and sums come from the counts.
     """
-    q = broadcast_if_small(quantiles(df, [("q1", y, 0.25), ("med", y, 0.5), ("q3", y, 0.75)], by=[group]))
-    v = F.col(y).cast("double")
-    j = df.where(_finite(y)).select(group, v.alias("_y")).join(q, group)
-    lo_f = F.col("q1") - F.lit(whis) * (F.col("q3") - F.col("q1"))
-    hi_f = F.col("q3") + F.lit(whis) * (F.col("q3") - F.col("q1"))
+    counts = value_counts(df, [group], y)
+    q = quantiles(counts, [("q1", "_y", 0.25), ("med", "_y", 0.5), ("q3", "_y", 0.75)], by=[group], weight="_c")
+    j = _same_group(counts, q, [group])
+    lo_f, hi_f = _fences(whis)
+    v, c = F.col("_y"), F.col("_c")
     agg = j.groupBy(group).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.sum(c).alias("n"),
         F.first("q1").alias("q1"), F.first("med").alias("median"), F.first("q3").alias("q3"),
-        F.min(F.when(F.col("_y") >= lo_f, F.col("_y"))).alias("_wlo"),
-        F.max(F.when(F.col("_y") <= hi_f, F.col("_y"))).alias("_whi"),
-        F.count(F.when((F.col("_y") < lo_f) | (F.col("_y") > hi_f), 1)).alias("n_outliers"),
-        F.avg("_y").alias("mean"),
+        F.min(F.when(v >= lo_f, v)).alias("_wlo"),
+        F.max(F.when(v <= hi_f, v)).alias("_whi"),
+        F.coalesce(F.sum(F.when((v < lo_f) | (v > hi_f), c)), F.lit(0)).alias("n_outliers"),
+        (F.sum(v * c) / F.sum(c)).alias("mean"),
     )
     whislo = F.when(F.col("_wlo").isNull() | (F.col("_wlo") > F.col("q1")), F.col("q1")).otherwise(F.col("_wlo"))
     whishi = F.when(F.col("_whi").isNull() | (F.col("_whi") < F.col("q3")), F.col("q3")).otherwise(F.col("_whi"))
@@ -137,11 +152,10 @@ def box_stats(df: DataFrame, group: str, y: str, whis: float = 1.5, digits: int
 
 def box_outliers(df: DataFrame, group: str, y: str, keep: list[str], whis: float = 1.5) -> DataFrame:
     """Rows whose ``y`` lies outside the whisker fences of their group."""
-    q = broadcast_if_small(quantiles(df, [("q1", y, 0.25), ("q3", y, 0.75)], by=[group]))
-    lo_f = F.col("q1") - F.lit(whis) * (F.col("q3") - F.col("q1"))
-    hi_f = F.col("q3") + F.lit(whis) * (F.col("q3") - F.col("q1"))
+    q = quantiles(value_counts(df, [group], y), [("q1", "_y", 0.25), ("q3", "_y", 0.75)], by=[group], weight="_c")
+    lo_f, hi_f = _fences(whis)
     v = F.col(y).cast("double")
-    return (df.where(_finite(y)).join(q, group)
+    return (_same_group(df.where(_finite(y)), q, [group])
             .where((v < lo_f) | (v > hi_f))
             .select(group, *keep, v.alias(y)))
 
@@ -166,7 +180,8 @@ def mean_ci_normal(df: DataFrame, keys: list[str], y: str, z: float = Z_95, digi
 
 
 def _poisson1(u):
-    """Poisson(1) draw by inverting its CDF at the uniform ``u`` (a Column)."""
+    """Poisson(1) draw by inverting its CDF at the uniform ``u`` (a Column);
+    draws above 16, of probability below 1e-14, count as 16."""
     cdf, p, acc = [], math.exp(-1.0), 0.0
     for k in range(16):
         if k > 0:
@@ -179,28 +194,30 @@ def _poisson1(u):
     return w
 
 
+def _hash_number(digits: int, *parts):
+    """The first ``digits`` hex digits of md5 of the parts (joined by "|", NULL as "") as a number."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(p).cast("string"), F.lit("")) if isinstance(p, str) else F.lit(str(p)) for p in parts])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, digits), 16, 10).cast("bigint")
+
+
 def mean_ci_bootstrap(df: DataFrame, keys: list[str], y: str, row_id: list[str], n_boot: int = 1000,
-                      level: float = 0.95, seed: int = 0, blocks: int = 4096, digits: int = 6) -> DataFrame:
-    """Bootstrap confidence interval of the mean per group (Poisson bootstrap).
+                      level: float = 0.95, seed: int = 0, blocks: int = 1024, digits: int = 6) -> DataFrame:
+    """Confidence interval of the mean per group by a Poisson bootstrap of blocks.
 
-    Rows are hashed on ``row_id`` into ``blocks`` random blocks and summed per
-    (group, block) in one partially aggregated pass.  Each replicate gives every
-    block a Poisson(1) weight, drawn by inverting the CDF at a uniform from
-    xxhash64(group, block, replicate, seed): repeatable and independent of
+    Rows are dealt by a hash of ``row_id`` to ``blocks`` random blocks (the same
+    number at every size) and summed per group and block in one partially
+    aggregated pass.  Each replicate gives every block a Poisson(1) weight from
+    a hash of group, block, replicate and seed, so it is repeatable whatever the
     partitioning.  Replicate mean = sum(w * block sum) / sum(w * block count);
     the interval is the (1-level)/2 and (1+level)/2 quantiles of the replicate
-    means.  With at most one row per block (groups of <= ``blocks`` rows, in
-    the limit) this is exactly the row-level Poisson bootstrap; for larger
-    groups the blocks are i.i.d. random subsets, so the replicate variance of
-    the mean is preserved while the replicate work stays
-    groups x blocks x n_boot whatever the data size.
+    means.  Blocks are random subsets, so the variance of the mean is that of
+    the rows; the replicates cost groups x blocks x n_boot whatever the size.
     """
     v = F.col(y).cast("double")
-    blk = F.pmod(F.xxhash64(*row_id, F.lit(seed)), F.lit(blocks)).alias("_blk")
+    blk = (_hash_number(8, *row_id, seed) % blocks).alias("_blk")
     sums = df.where(_finite(y)).groupBy(*keys, blk).agg(F.sum(v).alias("_s"), F.count(v).alias("_c"))
     reps = sums.select(*keys, "_blk", "_s", "_c", F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("_b"))
-    u = (F.pmod(F.xxhash64(*keys, "_blk", "_b", F.lit(seed)), F.lit(1 << 52)).cast("double")
-         / F.lit(float(1 << 52)))
+    u = _hash_number(13, *keys, "_blk", "_b", seed).cast("double") / F.lit(float(1 << 52))
     reps = reps.withColumn("_w", _poisson1(u))
     per = reps.groupBy(*keys, "_b").agg(F.sum(F.col("_w") * F.col("_s")).alias("_ws"),
                                         F.sum(F.col("_w") * F.col("_c")).alias("_wc"))
@@ -208,10 +225,10 @@ def mean_ci_bootstrap(df: DataFrame, keys: list[str], y: str, row_id: list[str],
     lo_q, hi_q = (1 - level) / 2, (1 + level) / 2
     ci = quantiles(per, [("ci_lo", "_m", lo_q), ("ci_hi", "_m", hi_q)], by=keys)
     means = df.groupBy(*keys).agg(F.avg(v).alias("mean"), F.count(v).alias("n"))
-    return means.join(ci, keys, "left").select(
+    return _same_group(means, ci, keys, "left").select(
         *keys, "n", F.round("mean", digits).alias("mean"),
         F.round("ci_lo", digits).alias("ci_lo"), F.round("ci_hi", digits).alias("ci_hi"))
 
 
-__all__ = ["column_range", "histogram", "kde_curve", "box_stats", "box_outliers", "group_mean",
+__all__ = ["column_range", "histogram", "value_counts", "kde_curve", "box_stats", "box_outliers", "group_mean",
            "mean_ci_normal", "mean_ci_bootstrap"]

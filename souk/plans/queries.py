@@ -72,7 +72,7 @@ def q_label_products(spark, sf_dir):
 
 @query("features", O.with_ctes("featured", "SELECT * FROM featured"))
 def q_features(spark, sf_dir):
-    return P.featured(spark, sf_dir)
+    return P.featured(spark, sf_dir, persist=False)
 
 
 @query("clean_listings", O.with_ctes("cleaned", "SELECT * FROM cleaned"))
@@ -358,7 +358,29 @@ def q_avg_sold_ci(spark, sf_dir):
     return stats.mean_ci_normal(lab, ["label"], "sold")
 
 
-@query("avg_sold_ci_boot")
+def _poisson_sql(u: str) -> str:
+    """Poisson(1) by inversion: the cumulated probabilities as literals."""
+    import math
+    total, cases = 0.0, []
+    p = math.exp(-1.0)
+    for k in range(16):
+        p = p / k if k else p
+        total += p
+        cases.append(f"WHEN {u} < {total!r}::DOUBLE THEN {k}")
+    return "CASE " + " ".join(cases) + " ELSE 16 END"
+
+
+@query("avg_sold_ci_boot", O.with_ctes("labeled", f"""
+, blk AS (SELECT label, ('0x' || substr(md5(product_url || '|42'), 1, 8))::BIGINT % 1024 AS b,
+                 sum(quantity_sold_value::DOUBLE) AS s, count(quantity_sold_value) AS c FROM labeled GROUP BY 1, 2),
+rep AS (SELECT label, r.i, s, c, ('0x' || substr(md5(label || '|' || b::VARCHAR || '|' || r.i::VARCHAR || '|42'), 1, 13))::BIGINT::DOUBLE
+               / 4503599627370496::DOUBLE AS u FROM blk CROSS JOIN range(1, 1001) AS r(i)),
+m AS (SELECT label, i, sum(w * s) / sum(w * c) AS m FROM (SELECT *, {_poisson_sql('u')} AS w FROM rep)
+      GROUP BY label, i HAVING sum(w * c) > 0),
+ci AS (SELECT label, quantile_cont(m, 0.025) AS lo, quantile_cont(m, 0.975) AS hi FROM m GROUP BY label)
+SELECT l.label, count(quantity_sold_value) AS n, round(avg(quantity_sold_value::DOUBLE), 6) AS mean,
+       round(any_value(lo), 6) AS ci_lo, round(any_value(hi), 6) AS ci_hi
+FROM labeled l LEFT JOIN ci ON ci.label IS NOT DISTINCT FROM l.label GROUP BY l.label"""))
 def q_avg_sold_ci_boot(spark, sf_dir):
     """Bootstrap CI of mean sold per label (1000 replicates of a block Poisson bootstrap)."""
     lab = P.labeled(spark, sf_dir).withColumn("sold", F.col("quantity_sold_value"))
@@ -556,6 +578,33 @@ def q_landing_to_labels(spark, sf_dir):
     return report.crawl_summary(lab, keys=("platform", "label")).withColumnRenamed("n_rows", "n")
 
 
+_REPORT_SQL = """
+, qp AS (SELECT label, quantile_cont(current_price, 0.25) AS q1, quantile_cont(current_price, 0.75) AS q3,
+                quantile_cont(rating_score, 0.25) AS r1, quantile_cont(rating_score, 0.75) AS r3 FROM labeled GROUP BY label),
+o AS (SELECT count(*) FILTER (WHERE current_price < q1 - 1.5 * (q3 - q1) OR current_price > q3 + 1.5 * (q3 - q1)) AS price,
+             count(*) FILTER (WHERE rating_score < r1 - 1.5 * (r3 - r1) OR rating_score > r3 + 1.5 * (r3 - r1)) AS rating
+      FROM labeled l JOIN qp ON qp.label IS NOT DISTINCT FROM l.label),
+g AS (SELECT count(DISTINCT label) AS n FROM labeled),
+t AS (SELECT count(*) AS n FROM (SELECT DISTINCT label, product_name FROM (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY quantity_sold_value DESC NULLS LAST, product_url) AS rn FROM labeled) WHERE rn <= 3))
+SELECT 'labeled' AS dataset, count(*) AS n FROM labeled
+UNION ALL SELECT 'price_vs_sold', count(*) FROM labeled
+UNION ALL SELECT x.dataset, g.n FROM g, (VALUES ('label_distribution'), ('price_by_label'), ('rating_by_label'), ('avg_sold_by_label'), ('avg_sold_ci')) AS x(dataset)
+UNION ALL SELECT 'price_histogram', 30 UNION ALL SELECT 'price_kde', 200
+UNION ALL SELECT 'price_outliers', price FROM o UNION ALL SELECT 'rating_outliers', rating FROM o
+UNION ALL SELECT 'top_products', n FROM t"""
+
+
+@query("report_run", O.ingest_chain("labeled", _REPORT_SQL))
+def q_report_run(spark, sf_dir):
+    """All stages from landing pages to the report: rows of every dataset."""
+    from functools import reduce
+
+    from souk.plans.run import run
+    out = run(landing_from_tables(spark, sf_dir), category_dim(spark), P.RUN_TS)
+    return reduce(DataFrame.unionByName, [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("dataset"), "n") for k, df in out.items()])
+
+
 @query("landing_to_clean", O.ingest_chain("cleaned", "SELECT * FROM cleaned"))
 def q_landing_to_clean(spark, sf_dir):
     """Landing pages of all platforms -> cleaned, de-duplicated listing rows."""
@@ -621,26 +670,57 @@ def _stream_slices(spark, sf_dir, n_slices: int = 4):
     return [land.where((ts >= lo + i * step) & (ts < lo + (i + 1) * step)) for i in range(n_slices)]
 
 
-def _run_incremental(spark, sf_dir, watermark=None):
+def _stream_sink(spark, sf_dir, watermark=None) -> str:
     """Land each slice, then rerun the streaming job from the same checkpoint
     (trigger once, resume): every rerun reads only the newly landed files."""
     from souk.streaming.ingest import stream_ingest
     src, out, ck = (scratch_path(spark, "landing"), scratch_path(spark, "stream_out"),
                     scratch_path(spark, "stream_ck"))
-    for i, part in enumerate(_stream_slices(spark, sf_dir)):
+    for part in _stream_slices(spark, sf_dir):
         part.write.mode("append").json(src)
         stream_ingest(spark, src, out, ck, watermark=watermark)
-    return spark.read.parquet(out)
+    return out
 
 
-@query("stream_ingest", O.ingest_sql("SELECT DISTINCT itemid FROM sp_rows"))
-def q_stream_ingest(spark, sf_dir):
-    """Incremental ingest over four arrivals of files, resumed from its checkpoint; item ids written (each once)."""
-    return _run_incremental(spark, sf_dir).select("itemid")
+def _run_incremental(spark, sf_dir, watermark=None):
+    return spark.read.parquet(_stream_sink(spark, sf_dir, watermark))
+
+
+_STREAM_OUT = f"{', '.join(SHOPEE_OUT)}"
 
 
-@query("stream_ingest_wm")
+@query("stream_ingest", O.ingest_sql(f"""
+SELECT {_STREAM_OUT} FROM sp_rows QUALIFY row_number() OVER (PARTITION BY itemid ORDER BY o, item_pos) = 1"""))
+def q_stream_ingest(spark, sf_dir):
+    """Incremental ingest over four arrivals of files, resumed from its checkpoint: the rows the batch de-duplication keeps."""
+    return _run_incremental(spark, sf_dir).select(*SHOPEE_OUT)
+
+
+def _watermark_sql() -> str:
+    """The watermark rule slice by slice: a first row is written unless its id stands
+    in a row written before it within an hour of the latest written one."""
+    ts = f"(o * 60 + {O.FX.PLATFORM_OFFSET['Shopee']})"
+    parts = [f""", lim AS (SELECT min(l_orderkey) * 60 + {O.FX.PLATFORM_OFFSET['Shopee']} AS lo, (max(l_orderkey) - min(l_orderkey)) * 60 // 4 + 1 AS step
+       FROM base WHERE l_suppkey % 3 = 2),
+f AS (SELECT *, {ts} AS ts, CAST(({ts} - lo) // step AS INTEGER) AS batch_id FROM sp_rows, lim
+      QUALIFY row_number() OVER (PARTITION BY CAST(({ts} - lo) // step AS INTEGER), itemid ORDER BY o, item_pos) = 1),
+a0 AS (SELECT * FROM f WHERE batch_id = 0)"""]
+    for k in (1, 2, 3):
+        parts.append(f"""a{k} AS (SELECT * FROM a{k - 1} UNION ALL SELECT * FROM f WHERE batch_id = {k} AND itemid NOT IN (
+  SELECT itemid FROM a{k - 1} WHERE ts > (SELECT max(ts) FROM a{k - 1}) - 3600))""")
+    return O.ingest_sql(",\n".join(parts) + f"\nSELECT {_STREAM_OUT}, batch_id FROM a3")
+
+
+@query("stream_ingest_wm", _watermark_sql())
 def q_stream_ingest_wm(spark, sf_dir):
-    """Incremental ingest with a 1-hour watermark bounding the de-duplication state
-    (a repeat arriving after its first copy left the state is written again)."""
+    """Incremental ingest that remembers the last hour only: a repeat after that is written again, a first-seen item always."""
     return _run_incremental(spark, sf_dir, watermark="1 hour").select(*SHOPEE_OUT, "batch_id")
+
+
+@query("stream_target", O.ingest_sql(f"""
+SELECT {_STREAM_OUT} FROM (SELECT * FROM sp_rows QUALIFY row_number() OVER (PARTITION BY itemid ORDER BY o, item_pos) = 1)
+ORDER BY o, item_pos LIMIT 800"""))
+def q_stream_target(spark, sf_dir):
+    """The first 800 rows of the ingested table, in arrival order (the run's target count)."""
+    from souk.streaming.ingest import read_sink
+    return read_sink(spark, _stream_sink(spark, sf_dir), limit=800).select(*SHOPEE_OUT)

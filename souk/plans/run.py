@@ -10,6 +10,7 @@ from souk.operators.clean import clean_listings
 from souk.operators.features import add_features
 from souk.operators.labels import label_products
 from souk.plans.ingest import ingest, merged_listings
+from souk.session import hand_off
 
 # Input order of ingested rows: fetch time, then position in the page.
 INGEST_ORDER = ["crawl_date", "fetched_at", "item_pos"]
@@ -20,20 +21,20 @@ def labeled_from_landing(landing: DataFrame, dim: DataFrame, run_ts: str, *, max
     """Landing pages of all platforms -> labelled listing rows.
 
     The featured table feeds both the threshold quantiles and the labelling
-    pass; it is checkpointed once (reliably, to the checkpoint folder) so the
-    ingest + clean plan runs a single time.
+    pass; it is handed off once as Parquet, so ingest and clean run a single
+    time and later passes read only their columns.
     """
     parts = ingest(landing, dim, max_pages=max_pages)
     merged = merged_listings(parts)
     cleaned = clean_listings(merged, run_ts, order_by=INGEST_ORDER)
     featured = add_features(cleaned)
     if persist:
-        featured = featured.checkpoint(eager=True)
+        featured = hand_off(featured, "featured")
     return label_products(featured)
 
 
 def report_tables(labeled: DataFrame) -> dict[str, DataFrame]:
-    """Datasets behind the seven charts."""
+    """Datasets behind the seven charts, outliers and confidence intervals included."""
     with_sold = labeled.withColumn("sold", labeled["quantity_sold_value"])
     top = report.top_k_per_group(with_sold, "label", [F.desc_nulls_last("sold"), F.asc("product_url")], k=3)
     return {
@@ -42,6 +43,9 @@ def report_tables(labeled: DataFrame) -> dict[str, DataFrame]:
         "price_kde": stats.kde_curve(labeled, "current_price"),
         "price_by_label": stats.box_stats(labeled, "label", "current_price"),
         "rating_by_label": stats.box_stats(labeled, "label", "rating_score"),
+        "price_outliers": stats.box_outliers(labeled, "label", "current_price", keep=["product_url"]),
+        "rating_outliers": stats.box_outliers(labeled, "label", "rating_score", keep=["product_url"]),
+        "avg_sold_ci": stats.mean_ci_normal(with_sold, ["label"], "sold"),
         "avg_sold_by_label": stats.group_mean(with_sold, ["label"], "sold", out="mean_sold"),
         "price_vs_sold": report.scatter_data(with_sold, "current_price", "sold", "label"),
         "top_products": stats.group_mean(top, ["label", "product_name"], "sold", out="mean_sold"),

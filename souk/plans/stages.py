@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from souk.operators.clean import clean_listings
 from souk.operators.features import add_features
 from souk.operators.labels import label_products
+from souk.session import hand_off
 from souk.sources.fixture import RAW_ORDER, raw_listing_rows
 from souk.sources.payloads import lazada_sold_fields
 
@@ -26,12 +27,11 @@ def cleaned(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
 
 def featured(spark: SparkSession, sf_dir: str, persist: bool = True, **kw) -> DataFrame:
     """Cleaned rows with features.  The table feeds several passes (threshold
-    quantiles, labelling, statistics), so by default it is checkpointed once to
-    the checkpoint folder: later passes read it instead of re-running the
-    scan, parse and de-duplication, and a lost executor does not send them
-    back to the raw input."""
+    quantiles, labelling, statistics), so by default it is handed off once as
+    Parquet: later passes read the columns they need and do not run the scan,
+    parse and de-duplication again."""
     f = add_features(cleaned(spark, sf_dir, **kw))
-    return f.checkpoint(eager=True) if persist else f
+    return hand_off(f, "featured") if persist else f
 
 
 def labeled(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # JVM option for driver and executors: let HotSpot JIT-compile methods above
 # 8000 bytecodes.  The clean stage fuses scan, join, parsing and URL repair
@@ -33,19 +35,19 @@ DEFAULT_CONF = {
 
 def get_session(master: str | None = "local[*]", app: str = "souk",
                 shuffle_partitions: int | None = 8, conf: dict | None = None) -> SparkSession:
+    """A session of this process's own.  ``conf`` wins over the defaults here."""
+    user = dict(conf or {})
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    user = dict(conf or {})
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
     if JIT_HUGE_METHODS:
         for k in ("spark.driver.extraJavaOptions", "spark.executor.extraJavaOptions"):
             b = b.config(k, (user.pop(k, "") + " " + JIT_OPTION).strip())
-    conf = user
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in (conf or {}).items():
+    for k, v in user.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -53,21 +55,32 @@ def get_session(master: str | None = "local[*]", app: str = "souk",
     return spark
 
 
+def submitted_session(app: str = "souk") -> SparkSession:
+    """The session spark-submit (or the environment) describes: master, JVM
+    options and settings are the submission's.  Only settings of DEFAULT_CONF
+    that it leaves open and that can change in a running session are filled in."""
+    spark = SparkSession.builder.appName(app).getOrCreate()
+    given = spark.sparkContext.getConf()
+    for k, v in DEFAULT_CONF.items():
+        if k.startswith("spark.sql.") and not given.contains(k):
+            spark.conf.set(k, v)
+    return spark
+
+
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20,
-                 max_shuffle_partitions: int = 200_000) -> dict[str, str]:
+def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a large run, sized from the input volume and the cluster's cores.
 
     Scan splits and shuffle partitions target ``partition_bytes`` each (so a
     task's working set fits an executor core's memory share and spills stay
     small); the shuffle starts with enough partitions for the whole input and
     AQE coalesces the small ones and splits skewed ones at run time.
-    E.g. 100 TB on 1000 executors x 8 cores: 256 MB scan splits, 200,000
+    E.g. 100 TB on 1000 executors x 8 cores: 256 MB scan splits, 372,529
     initial shuffle partitions.
     """
-    parts = min(max_shuffle_partitions, max(2 * total_cores, input_bytes // partition_bytes))
+    parts = max(2 * total_cores, input_bytes // partition_bytes)
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),
@@ -92,25 +105,62 @@ def checkpoint_base(spark: SparkSession) -> str | None:
         return None
 
 
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint folder; only when none is set (local runs,
-    tests) create one under the system temp folder."""
+    """Use the configured checkpoint folder.
+
+    Only a local session, whose driver and executors are one process, may go
+    without: it gets a folder under the system temp folder, removed at exit.  On
+    a cluster such a folder would be on one machine, so this raises.
+    """
     d = checkpoint_base(spark)
     sc = spark.sparkContext
     if d:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(d)
         return sc.getCheckpointDir() or d
+    if not _is_local(spark):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="souk-ckpt-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([base, "souk", uuid.uuid4().hex, *parts])
+    folder = "/".join([base, "souk", uuid.uuid4().hex])
+    _SCRATCH.append(folder)
+    return "/".join([folder, *parts])
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this process has made; returns how many there were."""
+    jvm, n = spark.sparkContext._jvm, 0
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += bool(path.getFileSystem(hadoop).delete(path, True))
+    return n
+
+
+def hand_off(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that several passes read as Parquet in the shared scratch
+    folder, and read it back: later passes read the columns they need, filters
+    reach the scan, and a lost executor does not send them back to the input."""
+    path = scratch_path(df.sparkSession, name)
+    schema = df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "checkpoint_base", "cluster_conf",
-           "DEFAULT_CONF"]
+__all__ = ["get_session", "submitted_session", "ensure_checkpoint_dir", "scratch_path", "clean_scratch", "hand_off",
+           "checkpoint_base", "cluster_conf", "DEFAULT_CONF"]

@@ -1,8 +1,9 @@
 """File sources and sinks for stage hand-offs.
 
 Readers always take an explicit schema when one is known (no inference pass
-over the data).  JSON is read as JSON Lines unless ``multi_line`` is asked for:
-a single JSON array per file cannot be split across tasks.
+over the data).  JSON is read as JSON Lines and CSV as one record per line
+unless ``multi_line`` is asked for: a JSON array, or a CSV whose quoted fields
+span lines, cannot be split across tasks.
 """
 
 from __future__ import annotations
@@ -44,35 +45,46 @@ def na_to_null(df: DataFrame, tokens=PANDAS_NA_TOKENS) -> DataFrame:
     return df.select(*out)
 
 
-def is_json_array(spark: SparkSession, path: str) -> bool:
-    """True when the JSON input starts with "[" (one array of records, not JSON Lines).
-    Reads only the first line."""
-    first = spark.read.text(path).limit(1).collect()
-    return bool(first) and first[0][0].lstrip().startswith("[")
+def _starts_as_array(spark: SparkSession, path: str) -> bool:
+    """Whether a file of a JSON input starts with "[": looks at 64 bytes of every file."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.globStatus(p) or []:
+        files = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+        for f in files:
+            if f.isFile() and f.getLen() and not f.getPath().getName().startswith(("_", ".")):
+                stream = fs.open(f.getPath())
+                try:
+                    head = bytes(b & 0xFF for b in (stream.read() for _ in range(min(64, f.getLen()))))
+                finally:
+                    stream.close()
+                if head.lstrip(b"\xef\xbb\xbf \t\r\n").startswith(b"["):
+                    return True
+    return False
 
 
 def read_table(spark: SparkSession, path: str, fmt: str | None = None, schema=None, *,
-               multi_line: bool | None = False, na_tokens: bool = True) -> DataFrame:
-    """Read a stage file: JSON (lines, or one array with ``multi_line``; ``None``
-    detects which), CSV with a header (quoted fields may span lines; pandas' NA
-    text -> NULL) or parquet.
-
-    A missing path raises ``FileNotFoundError``.
+               multi_line: bool = False, na_tokens: bool = True, text: bool = False) -> DataFrame:
+    """Read a stage file: JSON Lines (or, with ``multi_line``, one array a file),
+    CSV with a header (``multi_line``: quoted fields may span lines; pandas' NA
+    text -> NULL) or parquet.  ``text`` reads JSON values as text when no schema
+    is given.
+
+    A missing path raises ``FileNotFoundError``; a JSON array that is read as
+    JSON Lines raises ``ValueError``.
     """
     fmt = fmt or detect_format(path)
-    if fmt == "json" and multi_line is None:
-        try:
-            multi_line = is_json_array(spark, path)
-        except AnalysisException as e:
-            raise FileNotFoundError(f"File not found: {path}") from e
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
     try:
         if fmt == "json":
-            df = r.option("multiLine", multi_line).json(path)
+            if not multi_line and _starts_as_array(spark, path):
+                raise ValueError(f"{path} holds a JSON array: read it with multi_line=True")
+            df = r.option("multiLine", multi_line).option("primitivesAsString", text).json(path)
         elif fmt == "csv":
-            df = (r.option("header", True).option("multiLine", True).option("escape", '"')
+            df = (r.option("header", True).option("multiLine", multi_line).option("escape", '"')
                   .option("nullValue", None).csv(path))
             if na_tokens:
                 df = na_to_null(df)
@@ -119,12 +131,20 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     return path
 
 
-def exists(path: str) -> bool:
-    p = path[len("file:"):] if path.startswith("file:") else path
-    return os.path.exists(p)
-
-
 def default_output_path(input_path: str) -> str:
-    """Where the clean stage writes when no output is named: the input name
-    with ``_cleaned.csv`` in place of its ``.csv`` / ``.json`` suffix."""
-    return input_path.replace(".csv", "_cleaned.csv").replace(".json", "_cleaned.csv")
+    """Where the clean stage writes when no output is named: beside the input,
+    ``_cleaned.csv`` in place of its suffix."""
+    p = input_path.rstrip("/")
+    suffix = next((x for x in FORMATS if p.endswith(x)), None)
+    if suffix is None:
+        detect_format(input_path)  # raises
+    return f"{p[:-len(suffix)]}_cleaned.csv"
+
+
+def refuse_overwrite(input_path: str, output_path: str) -> None:
+    """Raise when the output is the input, holds it, or lies in it."""
+    a, b = (x.removeprefix("file:").rstrip("/") + "/" for x in (input_path, output_path))
+    if "://" not in a:
+        a, b = (os.path.realpath(x) + "/" for x in (a, b))
+    if a.startswith(b) or b.startswith(a):
+        raise ValueError(f"output {output_path!r} would overwrite input {input_path!r}")

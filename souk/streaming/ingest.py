@@ -1,23 +1,28 @@
 """Incremental ingest with Structured Streaming.
 
 Landing files (JSON Lines, one fetched page per line) are picked up as they
-arrive, flattened, de-duplicated on the item id against everything seen so far
-(keyed state in the state store, not a list scan), and appended to a parquet
-table after each micro-batch.  The checkpoint makes the job resumable and
-exactly-once with respect to the sink: every micro-batch writes its own
-``batch_id=N`` folder, and a batch replayed after a failure overwrites that
-folder instead of appending a second copy.
+arrive and flattened; every micro-batch keeps the first row of each item id (by
+fetch time and place in the page, combined map-side), drops the ids that are in
+the sink already and appends the rest.  So the rows are those the batch job keeps
+if files arrive in fetch order: the first seen wins, and an item seen for the
+first time is written however late it comes.
+
+The sink is the state: one folder per micro-batch (``batch_id=N``), of which later
+batches read the id column.  The checkpoint makes the job resumable; a batch that
+is replayed after a failure reads only earlier folders and overwrites its own, so
+the output is exactly-once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from souk.session import ROCKSDB_PROVIDER as _ROCKSDB_PROVIDER
+from souk.operators.dedup import dedup_first
 from souk.sources.payloads import LANDING_DDL, flatten_shopee, split_malformed
 
-_STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+ARRIVAL = ["fetched_at", "item_pos"]
 
 
 def shopee_stream(spark: SparkSession, in_dir: str, files_per_batch: int | None = None) -> DataFrame:
@@ -29,30 +34,42 @@ def shopee_stream(spark: SparkSession, in_dir: str, files_per_batch: int | None
     return flatten_shopee(good)
 
 
+def _written(spark: SparkSession, out_dir: str, before: int, schema) -> DataFrame | None:
+    """Rows of the sink's batches before ``before``; None while there are none."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if before == 0 or not fs.exists(path):
+        return None
+    from pyspark.sql import types as T
+    full = T.StructType([*schema.fields, T.StructField("batch_id", T.IntegerType())])
+    return spark.read.schema(full).parquet(out_dir).where(F.col("batch_id") < before)
+
+
 def stream_ingest(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, *,
                   watermark: str | None = None, files_per_batch: int | None = None,
-                  available_now: bool = True, state_store: str = "rocksdb") -> StreamingQuery:
+                  available_now: bool = True) -> StreamingQuery:
     """Start the incremental Shopee ingest; returns the running (or, with
     ``available_now``, finished) query.
 
-    Without ``watermark`` every item id is kept once forever (unbounded state,
-    like the reference's seen-list).  With ``watermark`` (e.g. "1 hour" on
-    ``fetched_at``) state is dropped once the watermark passes, so a duplicate
-    arriving later than that may be written again.
+    Without ``watermark`` an id is written once.  With it (e.g. "1 hour") a batch
+    compares with the rows written before it whose fetch time is later than the
+    latest written one less the watermark: a repeat that comes after that is
+    written again, and what has to be remembered is bounded.
     """
-    if state_store == "rocksdb" and not spark.conf.get(_STATE_PROVIDER_KEY, None):
-        # the seen-id state grows with the data: keep it in RocksDB (off-heap,
-        # spilled to local disk, checkpointed incrementally), not on the JVM heap
-        spark.conf.set(_STATE_PROVIDER_KEY, _ROCKSDB_PROVIDER)
     rows = shopee_stream(spark, in_dir, files_per_batch)
-    if watermark:
-        rows = rows.withWatermark("fetched_at", watermark).dropDuplicatesWithinWatermark(["itemid"])
-    else:
-        rows = rows.dropDuplicates(["itemid"])
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        first = dedup_first(batch, ["itemid"], ARRIVAL)
+        seen = _written(session, out_dir, batch_id, batch.schema)
+        if seen is not None:
+            if watermark:
+                latest = seen.agg(F.max("fetched_at").alias("_latest"))  # one row
+                seen = (seen.crossJoin(F.broadcast(latest))
+                        .where(F.col("fetched_at") > F.col("_latest") - F.expr(f"INTERVAL {watermark}")))
+            first = first.join(seen.select("itemid").distinct(), "itemid", "left_anti").select(*batch.columns)
         # one folder per batch, overwritten on replay: exactly-once output
-        batch.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch_id={batch_id}")
+        first.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch_id={batch_id}")
 
     w = rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
@@ -70,4 +87,4 @@ def read_sink(spark: SparkSession, out_dir: str, limit: int | None = None,
     df = spark.read.parquet(out_dir)
     if limit is None:
         return df
-    return df.orderBy(*(order or ["fetched_at", "item_pos"])).limit(limit)
+    return df.orderBy(*(order or ARRIVAL)).limit(limit)

@@ -94,3 +94,14 @@ def test_round_half_up_documented(spark, v):
     # Spark rounds half up on the decimal form (Python's round would give half-even)
     out = col_values(spark, [v], lambda c: F.round(c, 2), "double")[0]
     assert math.isclose(out, {0.125: 0.13, 2.675: 2.68}[v])
+
+
+def test_unicode_white_space_and_false_text(spark):
+    from souk.functions import first_truthy, parse_percent, strip_ws
+    nbsp = "\u00a0"
+    df = spark.createDataFrame([(f"10%{nbsp}", f"\u2003{nbsp}x y{nbsp}\n"), ("5%", "\x1f")], "p string, t string")
+    assert [r[0] for r in df.select(parse_percent("p")).collect()] == [10.0, 5.0]
+    assert [r[0] for r in df.select(strip_ws("t")).collect()] == ["x y", ""]
+    v = spark.createDataFrame([(x,) for x in ("-", "+", ".", "e5", "0", "0.0", "-0", ".0", "0e5", "", None)], "a string")
+    got = [r[0] for r in v.select(first_truthy("a", F.lit("next"))).collect()]
+    assert got == ["-", "+", ".", "e5", "next", "next", "next", "next", "next", "next", "next"]

@@ -2,10 +2,11 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from souk.operators.canonical import canonicalize
-from souk.operators.clean import CLEANED_COLUMNS, clean_listings
+from souk.operators.clean import CLEANED_COLUMNS, clean_listings, fill_defaults
 from souk.operators.dedup import dedup_first
 from souk.operators.features import add_features
 from souk.operators.labels import LABELS, label_products, thresholds
@@ -217,11 +218,33 @@ def test_custom_rules_and_thresholds(spark):
     assert lab["p3"] == "discounted" and lab["p15"] == "popular" and lab["p1"] == "other"
 
 
-def test_broadcast_if_small(spark):
-    from souk.plans.layout import broadcast_if_small
-    small = spark.range(5)
-    plan = spark.range(1000).join(broadcast_if_small(small), "id")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+def test_threshold_table_of_two_rows_fails(spark):
+    f = _featured(spark, [("p", "10", "5%", "4", "3", "2", "/p/1", 1)])
+    th = thresholds(f)
+    with pytest.raises(Exception, match="single row"):
+        label_products(f, th.unionAll(th)).collect()
+    assert label_products(f, th).count() == 1
+
+
+def test_null_group_in_box_statistics(spark):
+    rows = [(None, float(i)) for i in range(10)] + [(None, 1000.0), ("a", 1.0), ("a", 2.0), ("a", float("nan"))]
+    df = spark.createDataFrame(rows, "g string, y double").withColumn("id", F.monotonically_increasing_id())
+    box = {r.g: r for r in stats.box_stats(df, "g", "y").collect()}
+    assert (box[None].n, box[None].n_outliers, box["a"].n) == (11, 1, 2)
+    assert [(r.g, r.y) for r in stats.box_outliers(df, "g", "y", keep=[]).collect()] == [(None, 1000.0)]
+    boot = {r.g: r for r in stats.mean_ci_bootstrap(df.where("not isnan(y)"), ["g"], "y", row_id=["id"], n_boot=50).collect()}
+    assert boot[None].ci_lo is not None and boot["a"].ci_hi is not None
+
+
+def test_callable_defaults_may_take_the_frame(spark):
+    df = spark.createDataFrame([(None, 2.0)], "a double, b double")
+    assert fill_defaults(df, [("a", lambda d: d["b"] * 2)]).first().a == 4.0
+    assert fill_defaults(df, [("a", lambda: 7.0)]).first().a == 7.0
+
+
+def test_bad_clean_timestamp_raises(spark):
+    with pytest.raises(ValueError):
+        clean_listings(spark.createDataFrame([("p", 1)], "name string, o int"), "yesterday", order_by=["o"])
 
 
 def test_dedup_keep_policy_single_pass(spark):
@@ -265,7 +288,7 @@ def test_quantiles_null_group(spark):
 def test_cluster_conf_sizes():
     from souk.session import cluster_conf
     c = cluster_conf(100 * 10**12, 8000)
-    assert c["spark.sql.shuffle.partitions"] == "200000"
+    assert c["spark.sql.shuffle.partitions"] == str(100 * 10**12 // (256 << 20))
     assert c["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     small = cluster_conf(10 << 20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"

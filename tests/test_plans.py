@@ -40,7 +40,7 @@ def test_top_k_limits_below_the_shuffle(spark):
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
-def test_payload_flatten_has_no_shuffle_and_broadcasts_dimension(spark, sf_small):
+def test_payload_flatten_has_no_shuffle(spark, sf_small):
     landing = landing_from_tables(spark, sf_small).checkpoint(eager=True)
     p = plan(attach_category(flatten_tiki(landing), category_dim(spark)))
     assert "Exchange hashpartitioning" not in p
@@ -48,11 +48,21 @@ def test_payload_flatten_has_no_shuffle_and_broadcasts_dimension(spark, sf_small
     assert not any(n in p for n in PYTHON_NODES)
 
 
-def test_box_stats_broadcasts_group_quartiles(spark):
-    df = spark.range(5000).select((F.col("id") % 4).cast("string").alias("label"),
-                                  (F.col("id") * 7 % 1000).cast("double").alias("y"))
-    p = plan(stats.box_stats(df, "label", "y"))
-    assert "BroadcastHashJoin" in p
+def test_charts_read_their_columns_only(spark, sf_small):
+    p = plan(P.labeled(spark, sf_small).select("current_price"))
+    assert "ReadSchema: struct<current_price:double>" in p
+    assert "featured" not in plan(P.featured(spark, sf_small, persist=False))
+
+
+def test_box_stats_reads_the_rows_once(spark, tmp_path):
+    spark.range(5000).select((F.col("id") % 4).cast("string").alias("label"),
+                             (F.col("id") * 7 % 1000).cast("double").alias("y"), F.lit("wide").alias("w")).write.parquet(str(tmp_path / "t"))
+    sc = spark.sparkContext
+    sc.setJobGroup("box", "box")
+    box = stats.box_stats(spark.read.parquet(str(tmp_path / "t")), "label", "y")
+    jobs = sc.statusTracker().getJobIdsForGroup("box")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert str(tmp_path / "t") not in plan(box) and len(jobs) < 10
 
 
 def test_raw_rows_push_filters_to_scan(spark, sf_small):

@@ -75,6 +75,31 @@ def test_quarantine(spark):
     assert sorted((r.page, r.reason) for r in bad.collect()) == [(1, "not_json"), (2, "malformed"), (4, "not_json")]
 
 
+def test_odd_elements_cost_only_themselves(spark):
+    rows = landing(spark, [
+        ("Tiki", "k", 1, {"listings": [{"id": 1}, "junk", None, {}, 7, [], {"id": 2, "quantity_sold": 5, "price": 1.5}]}),
+        ("Lazada", "k", 1, {"mods": {"listItems": ["junk", {"itemId": 3}, None]}}),
+        ("Shopee", "k", 1, {"items": ["junk", {"itemid": 4, "shopid": 1, "price": 100000.5, "historical_sold": "12",
+                                               "item_rating": {"rating_star": "4.97"}}]})])
+    good, bad = split_malformed(rows)
+    assert bad.count() == 0
+    assert [(r.id, r.price, r.quantity_sold_value, r.item_pos) for r in flatten_tiki(good).orderBy("id").collect()] == [
+        ("1", None, None, 0), ("2", "1.5", None, 1)]
+    assert [r.id for r in flatten_lazada(good).collect()] == ["3"]
+    s = flatten_shopee(good).first()
+    assert (s.itemid, s.price, s.historical_sold, s.rating_star) == ("4", 1.0, 12, 4.9)
+
+
+def test_wrong_shapes_are_quarantined(spark):
+    bodies = [("Tiki", {"listings": "blocked"}), ("Tiki", {"listings": {"id": 1}}), ("Tiki", {"listings": None, "data": 5}),
+              ("Lazada", {"mods": {"listItems": {"a": 1}}}), ("Lazada", {"mods": "blocked"}), ("Shopee", {"items": {"a": 1}}),
+              ("Shopee", {"data": {"items": "x"}}), ("Tiki", '{"listings":[{"id":1}]} <html>'),
+              ("Tiki", {"listings": [], "data": []}), ("Tiki", {"listings": 0}), ("Lazada", {}), ("Shopee", {"data": "x"})]
+    good, bad = split_malformed(landing(spark, [(p, "k", i, b) for i, (p, b) in enumerate(bodies)]))
+    assert sorted((r.page, r.reason) for r in bad.collect()) == [(i, "not_a_list") for i in range(7)] + [(7, "trailing_text")]
+    assert good.count() == 4
+
+
 def test_empty_categories(spark):
     dim = category_dim(spark)
     rows = spark.createDataFrame([("Tiki", "nha-sach-tiki")], "platform string, url_key string")
@@ -92,7 +117,7 @@ def test_csv_round_trip_keeps_blanks_and_na(spark):
     d = tempfile.mkdtemp(prefix="souk-test-")
     df = spark.createDataFrame([(" 16% ", "N/A", 'a "q", b'), ("x\ny", None, "")], "a string, b string, c string")
     p = FI.write_table(df, os.path.join(d, "t.csv"), fmt="csv")
-    back = sorted(FI.read_table(spark, p, schema=df.schema).collect(), key=lambda r: r.a)
+    back = sorted(FI.read_table(spark, p, schema=df.schema, multi_line=True).collect(), key=lambda r: r.a)
     assert [tuple(r) for r in back] == [(" 16% ", None, 'a "q", b'), ("x\ny", None, None)]
 
 
@@ -105,6 +130,22 @@ def test_json_array_file(spark):
     assert sorted(tuple(r) for r in df.collect()) == [("B", None), ("Á", "1")]
 
 
+    with pytest.raises(ValueError, match="array"):
+        FI.read_table(spark, p, schema="name string, price string")
+
+
+def test_csv_is_split(spark, tmp_path):
+    p = tmp_path / "big.csv"
+    p.write_text("a,b\n" + "".join(f"{i},{'x' * 50}\n" for i in range(40000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        df = FI.read_table(spark, str(p))
+        assert df.rdd.getNumPartitions() > 1 and df.count() == 40000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_csv_with_bom_header(spark):
     d = tempfile.mkdtemp(prefix="souk-test-")
     p = os.path.join(d, "bom.csv")
@@ -118,6 +159,93 @@ def test_csv_with_bom_header(spark):
 def test_default_output_path():
     assert FI.default_output_path("data/lazada_all.csv") == "data/lazada_all_cleaned.csv"
     assert FI.default_output_path("x/merged.json") == "x/merged_cleaned.csv"
+    assert FI.default_output_path("x/merged.jsonl") == "x/merged_cleaned.csv"
+    assert FI.default_output_path("in.json/x.parquet/") == "in.json/x_cleaned.csv"
+    with pytest.raises(ValueError):
+        FI.default_output_path("x.xlsx")
+
+
+def test_output_never_overwrites_input():
+    for a, b in (("d/in.parquet", "d/in.parquet/"), ("d/in.parquet", "d"), ("d/in", "d/in/out"), ("/a/b", "/a/x/../b")):
+        with pytest.raises(ValueError):
+            FI.refuse_overwrite(a, b)
+    FI.refuse_overwrite("d/in.parquet", "d/in_cleaned.csv")
+
+
+def _listing(i, **kw):
+    return {"name": f"p{i}", "price": f"{100 + i},000đ", "discount": f"{i % 4}0%", "rating": "4.5", "review_count": str(i),
+            "sold_text": f"{i} sold", "sold_value": str(i * 3), "url": f"//www.lazada.vn/p/{i % 7}", "platform": "Lazada",
+            "crawl_date": "2024-05-01"} | kw
+
+
+def test_cli_clean_keeps_a_parquet_input(spark, tmp_path):
+    from souk.__main__ import main
+    src = tmp_path / "in.parquet"
+    spark.createDataFrame([_listing(i) for i in range(20)]).write.parquet(str(src))
+    assert main(["clean", str(src), "--run-ts", "2024-05-02 00:00:00"]) == 0
+    assert spark.read.parquet(str(src)).count() == 20
+    assert FI.read_table(spark, str(tmp_path / "in_cleaned.csv")).count() == 7
+    with pytest.raises(ValueError):
+        main(["clean", str(src), str(src)])
+
+
+def test_cli_first_file_wins_whatever_its_size(spark, tmp_path):
+    from souk.__main__ import main
+    src = tmp_path / "crawl.jsonl"
+    src.mkdir()
+    (src / "a.jsonl").write_text(json.dumps(_listing(1, name="first")) + "\n")
+    (src / "b.jsonl").write_text("".join(json.dumps(_listing(1 + 7 * i, name="second" + "x" * 500)) + "\n" for i in range(200)))
+    assert main(["clean", str(src), "--run-ts", "2024-05-02 00:00:00"]) == 0
+    rows = FI.read_table(spark, str(tmp_path / "crawl_cleaned.csv")).collect()
+    assert [r.product_name for r in rows] == ["first"]
+
+
+def test_cli_ingest_and_run(spark, tmp_path):
+    from souk.__main__ import main
+    src = tmp_path / "landing.json"
+    pages = [{"platform": "Tiki", "url_key": "nha-sach-tiki", "page": i, "fetched_at": f"2024-05-01T00:0{i}:00",
+              "body": json.dumps({"listings": [{"id": i * 10 + k, "name": f"n{k}", "price": 10 * k, "url_path": f"/{i}-{k}"} for k in range(5)]})}
+             for i in range(3)]
+    src.write_text("".join(json.dumps(p) + "\n" for p in pages))
+    for ts in ("2024-05-02 00:00:00", "2024-05-02 01:00:00"):
+        assert main(["ingest", str(src), str(tmp_path / "rows"), "--stamped", "--run-ts", ts]) == 0
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    assert {(r["run_ts"], r["count"]) for r in rows.groupBy("run_ts").count().collect()} == {("2024-05-02_00-00", 15), ("2024-05-02_01-00", 15)}
+    assert main(["run", str(src), str(tmp_path / "all"), "--run-ts", "2024-05-02 00:00:00"]) == 0
+    assert spark.read.parquet(str(tmp_path / "all" / "labeled")).count() == 15
+    for name in ("price_outliers", "rating_outliers", "avg_sold_ci", "price_kde"):
+        assert (tmp_path / "all" / name).exists()
+
+
+def test_session_is_the_submitted_one(tmp_path):
+    import subprocess
+    import sys
+    code = ("from souk.session import submitted_session as s; c = s(); "
+            "print([c.sparkContext.master, c.conf.get('spark.sql.shuffle.partitions'), c.conf.get('spark.sql.session.timeZone'), "
+            "c.sparkContext._jvm.System.getProperty('x')])")
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.sql.shuffle.partitions=500 --conf spark.ui.enabled=false "
+                        "--conf spark.driver.extraJavaOptions=-Dx=1 pyspark-shell", "PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__)))}
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120)
+    assert out.stdout.strip() == "['local[2]', '500', 'UTC', '1']", out.stderr[-500:]
+
+
+def test_cluster_without_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from souk.session import ensure_checkpoint_dir
+
+    def get(_):
+        raise KeyError
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=get)))
+
+
+def test_scratch_is_removed(spark, tmp_path):
+    from souk.session import clean_scratch, hand_off
+    df = hand_off(spark.range(3), "t")
+    path = df.inputFiles()[0].removeprefix("file:").removeprefix("//")
+    assert os.path.exists(path) and clean_scratch(spark) >= 1 and not os.path.exists(path)
 
 
 def test_cli_clean_features_label_report(spark, tmp_path):
@@ -129,7 +257,7 @@ def test_cli_clean_features_label_report(spark, tmp_path):
             for i in range(30)]
     src.write_text(json.dumps(rows, ensure_ascii=False))
     out = tmp_path / "clean.csv"
-    assert main(["clean", str(src), str(out), "--run-ts", "2024-05-02 00:00:00"]) == 0
+    assert main(["clean", str(src), str(out), "--multi-line", "--run-ts", "2024-05-02 00:00:00"]) == 0
     cleaned = FI.read_table(spark, str(out))
     assert cleaned.count() == 7  # seven distinct links, first occurrence kept
     assert main(["features", str(out), str(tmp_path / "f.parquet")]) == 0
