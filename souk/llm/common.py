@@ -55,3 +55,10 @@ def ship(spark: SparkSession) -> None:
                     full = os.path.join(folder, name)
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
     sc.addPyFile(path)
+
+
+def sliced(batches, rows: int = 256):
+    """Arrow batches cut into short ones: few texts are Python objects at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, ship, stash, table
+from .common import packed, ship, sliced, stash, table
 from .neardup import MIX, PRIME, WORD, _hashes, fingerprint, mixed
 
 SEED = 4
@@ -56,7 +56,7 @@ def probes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _item_seeds(batches):
-    for b in batches:
+    for b in sliced(batches):
         rows = []
         for item, text in zip(b.column("item_id").to_pylist(), b.column("text").to_pylist(), strict=True):
             w = words_of(text)
@@ -70,7 +70,7 @@ def _item_seeds(batches):
 
 def _passages(bits: np.ndarray, sizes: list[int], reach: int):
     def find(batches):
-        for b in batches:
+        for b in sliced(batches):
             out = []
             for d, fp, text in zip(b.column("id"), b.column("fp").to_pylist(), b.column("text").to_pylist(), strict=True):
                 w = words_of(text)
@@ -126,7 +126,7 @@ def align(item: list[str], passage: list[str]) -> tuple[float, int, int]:
 
 def _aligned(threshold: float):
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             found = [align(i.split(" "), p.split(" ")) for i, p in zip(b.column("item").to_pylist(), b.column("passage").to_pylist(), strict=True)]
             keep = pa.array([s >= threshold for s, _, _ in found], pa.bool_())
             start = b.column("start").to_pylist()

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import packed, ship, table
+from .common import packed, ship, sliced, table
 
 TAG = re.compile(r"""<(?:!--(?:.*?-->|.*\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*?)(?:>|\Z))""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
@@ -221,11 +221,9 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     schema = T.StructType([*src.schema.fields, T.StructField("main_text", T.StringType())])
 
     def run(batches):
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                found = [main_text(p) for p in part.column("row").field(html_col).to_pylist()]
-                yield pa.record_batch([part.column("row"), pa.array(found, pa.string())], names=["row", "main_text"])
+        for b in sliced(batches):
+            found = [main_text(p) for p in b.column("row").field(html_col).to_pylist()]
+            yield pa.record_batch([b.column("row"), pa.array(found, pa.string())], names=["row", "main_text"])
 
     return src.mapInArrow(run, schema)
 

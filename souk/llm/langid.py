@@ -29,14 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_mod, packed, ship, table
+from .common import crc_mod, packed, ship, sliced, table
 
 PER_LANG = 800
 BUCKETS, DIM = 1 << 15, 16
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 PRECISION = 0.99
-CACHED_WORDS = 300_000
+CACHED_WORDS = 50_000
 
 
 def subwords(word: str) -> list[int]:
@@ -167,7 +167,7 @@ def fit(bags: list[np.ndarray], y: np.ndarray, held: np.ndarray, langs: list[str
 
 def _bags_of(batches):
     made = Bags()
-    for b in batches:
+    for b in sliced(batches):
         out = []
         for lang, pick, text in zip(*(b.column(c).to_pylist() for c in ("lang", "pick", "text")), strict=True):
             words = words_of(text)
@@ -218,13 +218,11 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
 
     def run(batches):
         reader = Reader(model)
-        for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                found = [reader.predict(t) for t in part.column("row").field(text_col).to_pylist()]
-                yield pa.record_batch([
-                    part.column("row"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),
-                    pa.array([f[0] != UNKNOWN and f[1] >= model.floor for f in found], pa.bool_())], names=["row", "lang_pred", "score", "accepted"])
+        for b in sliced(batches):
+            found = [reader.predict(t) for t in b.column("row").field(text_col).to_pylist()]
+            yield pa.record_batch([
+                b.column("row"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),
+                pa.array([f[0] != UNKNOWN and f[1] >= model.floor for f in found], pa.bool_())], names=["row", "lang_pred", "score", "accepted"])
 
     return src.mapInArrow(run, schema)
 

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, ship, stash, table
+from .common import packed, ship, sliced, stash, table
 from .components import components
 
 SHINGLE = 5
@@ -61,10 +61,10 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 class _WordHashes(dict):
-    """64-bit hash of a word; forgets all when it holds a million words."""
+    """64-bit hash of a word; forgets all when it holds 20,000 words (more would leave the processor's cache)."""
 
     def __missing__(self, word):
-        if len(self) > 1_000_000:
+        if len(self) > 20_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -107,7 +107,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     """
     def count(batches):
         cells, n, held, size = np.zeros(SKETCH + 1, np.int64), 0, [], 0
-        for b in batches:
+        for b in sliced(batches):
             for t in b.column(0).to_pylist():
                 h = np.unique(shingles(t))
                 held.append(((h >> np.uint64(20)) & np.uint64(SKETCH - 1)).astype(np.int64))
@@ -191,7 +191,7 @@ def bands_of(draws: np.ndarray) -> np.ndarray:
 def _signer(weights: Weights):
     def sign(batches):
         sampler = Sampler(weights)
-        for b in batches:
+        for b in sliced(batches):
             draws = [sampler.sample(shingles(t)) for t in b.column("text").to_pylist()]
             yield pa.record_batch([
                 b.column("fp"),

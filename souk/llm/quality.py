@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_mod, packed, ship, table
+from .common import crc_mod, packed, ship, sliced, table
 
 PER_CLASS = 6000
 CUT = 0.3
@@ -114,7 +114,7 @@ def fit(x: np.ndarray, y: np.ndarray, pairs: int = 40_000, epochs: int = 30, bat
 
 
 def _features_of(batches):
-    for b in batches:
+    for b in sliced(batches):
         x = [features(t) for t in b.column("text").to_pylist()]
         yield pa.record_batch([b.column("quality"), pa.array([v.tobytes() for v in x], pa.binary())], names=["quality", "x"])
 
@@ -148,12 +148,9 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataF
     schema = T.StructType([*src.schema.fields, T.StructField("score", T.DoubleType())])
 
     def scored(batches):
-        for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                text = part.column("row").field(text_col).to_pylist()
-                x = np.stack([features(t) for t in text])
-                yield pa.record_batch([part.column("row"), pa.array(model.score(x))], names=["row", "score"])
+        for b in sliced(batches):
+            x = np.stack([features(t) for t in b.column("row").field(text_col).to_pylist()])
+            yield pa.record_batch([b.column("row"), pa.array(model.score(x))], names=["row", "score"])
 
     return src.mapInArrow(scored, schema)
 

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from .common import packed, ship, table
 
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
 
 
 def text_size(text: Column) -> Column:
