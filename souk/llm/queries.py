@@ -18,5 +18,6 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_tool_calls": toolcalls.SQL,
     "op10_mixing": mixing.SQL,
 }

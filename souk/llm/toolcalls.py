@@ -151,10 +151,10 @@ def conversation_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     The call's tool is the message's role, its arguments are the message; a
     message that does not start a conversation waits for the call of its
-    predecessor or, where the text's checksum is odd, for none.
+    predecessor or, where the text's md5 begins with 8 to f, for none.
     """
     m = messages.select("conv_id", "turn", "role", "text")
-    odd = F.crc32(F.coalesce("text", F.lit("")).cast("binary")) % 2 == 1
+    odd = F.substring(F.md5(F.coalesce("text", F.lit("")).cast("binary")), 1, 1) >= "8"
     name = lambda t: F.concat(F.lit("call_"), t.cast("string"))
     lines = F.split("text", "\n")
     arguments = F.to_json(F.struct(F.col("text"), F.when(odd, F.size(lines)).alias("lines"), F.col("turn").cast("string").alias("turn")))
@@ -178,3 +178,47 @@ def op1(spark, sf_dir: str) -> DataFrame:
     schemas = spark.createDataFrame(SCHEMAS, "name string, schema string")
     out = link(calls, results, schemas)
     return out.select("conv_id", "call_id", "turn", "status", "level", "position", "valid", F.array_join("errors", "; ").alias("errors"), "json")
+
+
+#: the same in SQL; one level of waiting a message, so a level is one more than that of the message before
+SQL = """
+WITH RECURSIVE m AS (
+  SELECT conv_id, turn, role, text, substr(md5(coalesce(text, '')), 1, 1) >= '8' AS odd FROM conversations
+), args AS (
+  SELECT *, 'call_' || turn AS call_id,
+    '{' || concat_ws(',', CASE WHEN odd AND text IS NOT NULL THEN '"lines":' || len(string_split(text, chr(10))) END, '"text":' || to_json(text)::VARCHAR, '"turn":"' || turn || '"') || '}' AS arguments,
+    CASE WHEN turn > 0 AND NOT odd THEN 'call_' || (turn - 1) END AS wait,
+    row_number() OVER (PARTITION BY conv_id, turn ORDER BY role, text) AS copy
+  FROM m
+), calls AS (SELECT * FROM args WHERE copy = 1 AND conv_id IS NOT NULL AND call_id IS NOT NULL
+), answers AS (
+  SELECT conv_id, 'call_' || (turn - 1) AS call_id, turn, text AS content FROM m
+), first_answer AS (
+  SELECT * FROM answers WHERE conv_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY conv_id, call_id ORDER BY turn, content NULLS FIRST) = 1
+), lev AS (
+  SELECT c.conv_id, c.call_id, 0 AS level FROM calls c WHERE c.wait IS NULL OR NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.call_id = c.wait)
+  UNION ALL
+  SELECT c.conv_id, c.call_id, l.level + 1 FROM lev l JOIN calls c ON c.conv_id = l.conv_id AND c.wait = l.call_id
+), placed AS (
+  SELECT c.*, l.level, row_number() OVER (PARTITION BY c.conv_id ORDER BY l.level, c.turn, c.call_id) - 1 AS position,
+    a.conv_id IS NOT NULL AS answered, a.content,
+    CASE WHEN c.wait IS NOT NULL AND NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.call_id = c.wait) THEN 'waits for unknown ' || c.wait END AS lost,
+    odd AND text IS NOT NULL AS lines
+  FROM calls c JOIN lev l USING (conv_id, call_id) LEFT JOIN first_answer a USING (conv_id, call_id)
+), judged AS (
+  SELECT *, concat_ws('; ', CASE role
+      WHEN 'user' THEN CASE WHEN text IS NULL THEN 'missing text' END
+      WHEN 'assistant' THEN nullif(concat_ws('; ', CASE WHEN NOT lines THEN 'missing lines' END, CASE WHEN text IS NULL THEN 'missing text' END), '')
+      WHEN 'system' THEN concat_ws('; ', 'type turn', CASE WHEN lines THEN 'unknown lines' END)
+      ELSE 'no schema' END, lost) AS errors
+  FROM placed
+)
+SELECT conv_id, call_id, turn, CASE WHEN answered THEN 'linked' ELSE 'unanswered' END AS status, level, position, errors = '' AS valid, errors,
+  '{"after":[' || coalesce('"' || wait || '"', '') || '],"arguments":' || arguments || ',"id":"' || call_id || '","name":' || coalesce(to_json(role)::VARCHAR, 'null')
+    || ',"position":' || position || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}' AS json
+FROM judged
+UNION ALL SELECT conv_id, call_id, turn, CASE WHEN conv_id IS NULL OR call_id IS NULL THEN 'unanswered' ELSE 'duplicate' END AS status, NULL, NULL, false,
+  CASE WHEN conv_id IS NULL OR call_id IS NULL THEN 'unanswered' ELSE 'duplicate' END, NULL FROM args WHERE copy > 1 OR conv_id IS NULL OR call_id IS NULL
+UNION ALL SELECT a.conv_id, a.call_id, a.turn, 'orphan', NULL, NULL, false, 'orphan', NULL FROM answers a
+  WHERE NOT EXISTS (SELECT 1 FROM calls c WHERE c.conv_id = a.conv_id AND c.call_id = a.call_id)
+"""

@@ -63,12 +63,14 @@ def test_held_out_language(spark):
     assert np.mean([r["lang_pred"] == langs[r["doc_id"]] for r in rows]) > 0.97
 
 
-def test_mixing_equals_its_sql(spark, sf_small):
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_equals_its_sql(spark, sf_small, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_small}/documents.parquet'")
-    df = QUERIES["op10_mixing"](spark, sf_small)
-    got = sorted(tuple(r) for r in df.collect())
-    assert got == sorted(con.sql(f"SELECT {', '.join(df.columns)} FROM ({ORACLE['op10_mixing']})").fetchall())
+    for t in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_small}/{t}.parquet'")
+    df = QUERIES[name](spark, sf_small)
+    got = sorted(map(str, (tuple(r) for r in df.collect())))
+    assert got == sorted(map(str, con.sql(f"SELECT {', '.join(df.columns)} FROM ({ORACLE[name]})").fetchall()))
 
 
 def test_pipeline_against_brute_force(spark, sf_small):
