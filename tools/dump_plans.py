@@ -19,16 +19,16 @@ from souk.sources.categories import category_dim  # noqa: E402
 from souk.sources.fixture import landing_from_tables  # noqa: E402
 
 NOTES = {
-    "clean_listings": "scan (pruned, filters pushed) -> spread exchange (only because the test file is one row "
+    "clean_listings": "scan (pruned, filters pushed) -> exchange that deals out the stand-in input (the test file is one row "
                       "group) -> broadcast joins to part/supplier -> parsing projections -> partial min_by "
                       "(sort aggregate) -> one hash exchange on the link -> final min_by.",
-    "thresholds (after the featured checkpoint)": "distinct-value counts with partial aggregation; the range "
+    "thresholds (after the hand-off)": "distinct-value counts with partial aggregation; the range "
                       "layout is checkpointed inside the operator, so the plan below starts from that checkpoint.",
-    "label_products": "a projection over the checkpointed featured table; thresholds are literals.",
+    "label_products": "a pruned scan of the handed-off featured table, joined to the one row of thresholds.",
     "top_products_rows": "partial WindowGroupLimit before the exchange: at most 3 rows per label per task move.",
-    "price_by_label": "per-label quartiles broadcast (checked count) -> no exchange of the rows by label.",
-    "ingest_tiki": "from_json + posexplode + projection, broadcast join to the 44-row dimension; no exchange "
-                   "after the landing table.",
+    "price_by_label": "starts from the counts of distinct values per label (the rows are read once, before); quartiles joined null-safely.",
+    "ingest_tiki": "items as raw JSON texts, posexplode, from_json of each, projection, broadcast join to the 44-row "
+                   "dimension; no exchange after the landing table.",
 }
 
 
@@ -41,7 +41,7 @@ def main():
     landing = landing_from_tables(spark, sf).checkpoint(eager=True)
     plans = {
         "clean_listings": P.cleaned(spark, sf),
-        "thresholds (after the featured checkpoint)": thresholds(feat),
+        "thresholds (after the hand-off)": thresholds(feat),
         "label_products": lab,
         "top_products_rows": report.top_k_per_group(sold, "label", [F.desc_nulls_last("sold"), F.asc("product_url")], 3),
         "price_by_label": stats.box_stats(lab, "label", "current_price"),
@@ -50,7 +50,7 @@ def main():
     out = ["# Physical plans", "",
            f"Generated by `python tools/dump_plans.py {sf}` (plans before execution; AQE may still",
            "turn shuffle joins into broadcast joins and coalesce partitions at run time).",
-           "`<ws>` stands for the ASCII whitespace set trimmed by `strip_ws`.", ""]
+           "`<ws>` stands for the white space trimmed by `strip_ws`.", ""]
     for name, df in plans.items():
         tree = df._jdf.queryExecution().executedPlan().treeString().replace(WHITESPACE, "<ws>")
         out += [f"## {name}", "", NOTES.get(name, ""), "", "```", tree.rstrip(), "```", ""]
