@@ -21,7 +21,7 @@ gives no rows.
 from __future__ import annotations
 
 import re
-import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,37 +30,38 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import crc_mod, packed, ship, sliced, table
+from .neardup import PRIME, mixed
 
 PER_LANG = 800
 BUCKETS, DIM = 1 << 15, 16
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 PRECISION = 0.99
-CACHED_WORDS = 50_000
-
-
-def subwords(word: str) -> list[int]:
-    w = f"<{word}>"
-    parts = [w, *(w[i:i + n] for n in (2, 3, 4) for i in range(len(w) - n + 1))]
-    return [zlib.crc32(p.encode("utf-8", "surrogatepass")) % BUCKETS for p in parts]
+CACHED_WORDS = 300_000
+
+
+def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the subwords of all words, and the place in the list of the word each belongs to."""
+    c = np.frombuffer(("<" + "><".join(words) + ">").encode("utf-32-le", "surrogatepass"), np.uint32)
+    opens = c == ord("<")
+    word, start = np.cumsum(opens) - 1, np.flatnonzero(opens)
+    letter = mixed(c.astype(np.uint64) + np.uint64(1))
+    place = (np.arange(len(c)) - start[word]).astype(np.uint64)
+    buckets, owner = [mixed(np.add.reduceat(mixed(letter + PRIME * place), start))], [np.arange(len(words))]
+    for n in (2, 3, 4):
+        h = np.full(max(0, len(c) - n + 1), n, np.uint64)
+        for k in range(n):
+            h = h * PRIME + letter[k:k + len(h)]
+        inside = word[:len(h)] == word[n - 1:]
+        buckets.append(mixed(h[inside]))
+        owner.append(word[:len(h)][inside])
+    return (np.concatenate(buckets) & np.uint64(BUCKETS - 1)).astype(np.int64), np.concatenate(owner)
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
-
-
-class Bags:
-    """Subword counts of word lists, with the words seen before at hand."""
-
-    def __init__(self):
-        self.known: dict[str, np.ndarray] = {}
-
-    def of(self, words: list[str]) -> np.ndarray:
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        for w in set(words) - self.known.keys():
-            self.known[w] = np.array(subwords(w))
-        return np.concatenate([self.known[w] for w in words])
+    """The text's runs of letters; none if only other signs (like superscript digits) look like letters."""
+    words = WORD.findall(text.lower()) if text else []
+    return words if any(any(map(str.isalpha, w)) for w in words) else []
 
 
 class Model:
@@ -88,30 +89,44 @@ class Reader:
         self.place: dict[str, int] = {}
         self.rows = np.zeros((1024, len(self.model.langs) + 1))
 
-    def _row(self, word: str) -> int:
-        k = self.place.get(word)
-        if k is None:
-            k = self.place[word] = len(self.place)
-            if k == len(self.rows):
-                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            bag = subwords(word)
-            self.rows[k, :-1] = self.model.table[bag].sum(0)
-            self.rows[k, -1] = len(bag)
-        return k
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words = words_of(text)
-        if not words:
-            return UNKNOWN, 0.0
+    def _learn(self, words: list[str]) -> None:
+        bucket, owner = subwords(words)
+        at, end = len(self.place), len(self.place) + len(words)
+        self.place.update(zip(words, range(at, end), strict=True))
+        while end > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        for k in range(len(self.model.langs)):
+            self.rows[at:end, k] = np.bincount(owner, self.model.table[bucket, k], len(words))
+        self.rows[at:end, -1] = np.bincount(owner, minlength=len(words))
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        out, held, n = [], [], 0
+        for t in texts:
+            held.append(words_of(t))
+            n += len(held[-1])
+            if n >= 16384:
+                out += self._predict(held)
+                held, n = [], 0
+        return out + self._predict(held)
+
+    def _predict(self, lists: list[list[str]]) -> list[tuple[str, float]]:
         if len(self.place) > CACHED_WORDS:
             self._reset()
-        total = np.zeros(len(self.model.langs) + 1)
-        for at in range(0, len(words), 8192):
-            idx = [self._row(w) for w in words[at:at + 8192]]
-            total += self.rows[idx].sum(0)
-        p = self.model.probabilities(total[:-1] / total[-1] + self.model.bias)
-        best = int(p.argmax())
-        return self.model.langs[best], float(p[best])
+        new = [w for w in dict.fromkeys(chain.from_iterable(lists)) if w not in self.place]
+        for at in range(0, len(new), 8192):
+            self._learn(new[at:at + 8192])
+        out = []
+        for words in lists:
+            if not words:
+                out.append((UNKNOWN, 0.0))
+                continue
+            total = np.zeros(len(self.model.langs) + 1)
+            for at in range(0, len(words), 8192):
+                total += self.rows[[self.place[w] for w in words[at:at + 8192]]].sum(0)
+            p = self.model.probabilities(total[:-1] / total[-1] + self.model.bias)
+            best = int(p.argmax())
+            out.append((self.model.langs[best], float(p[best])))
+        return out
 
 
 def fit(bags: list[np.ndarray], y: np.ndarray, held: np.ndarray, langs: list[str], epochs: int = 8, batch: int = 64,
@@ -166,7 +181,6 @@ def fit(bags: list[np.ndarray], y: np.ndarray, held: np.ndarray, langs: list[str
 
 
 def _bags_of(batches):
-    made = Bags()
     for b in sliced(batches):
         out = []
         for lang, pick, text in zip(*(b.column(c).to_pylist() for c in ("lang", "pick", "text")), strict=True):
@@ -174,10 +188,10 @@ def _bags_of(batches):
             if not words:
                 continue
             held = pick % 5 == 0
-            out.append((lang, held, made.of(words)))
+            out.append((lang, held, subwords(words)[0]))
             n = 1 + (pick >> 8) % 12
             at = (pick >> 16) % max(1, len(words) - n + 1)
-            out.append((lang, held, made.of(words[at:at + n])))
+            out.append((lang, held, subwords(words[at:at + n])[0]))
         packed_bags = [np.stack(np.unique(x[2], return_counts=True)).astype(np.int32) for x in out]
         yield pa.record_batch([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.bool_()),
                                pa.array([x.tobytes() for x in packed_bags], pa.binary())], names=["lang", "held", "bag"])
@@ -195,7 +209,7 @@ def train(docs: DataFrame, per_lang: int = PER_LANG, seed: int = 9, id_col: str
     sample = known.withColumn("pick", pick).filter(F.col("pick") < share * F.lit(float(1 << 40))).select("lang", "pick", "text")
     sample = sample.withColumn("pick", F.pmod(F.xxhash64("pick"), F.lit(1 << 40)))  # fresh digits: the sample has small ones
     ship(docs.sparkSession)
-    rows = sample.mapInArrow(_bags_of, "lang string, held boolean, bag binary").toPandas()
+    rows = sample.mapInArrow(_bags_of, "lang string, held boolean, bag binary").toArrow().to_pandas()
     if not len(rows):
         return None
     rows = rows.sort_values(["lang", "held", "bag"], kind="stable")  # the same order on every run
@@ -219,7 +233,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
     def run(batches):
         reader = Reader(model)
         for b in sliced(batches):
-            found = [reader.predict(t) for t in b.column("row").field(text_col).to_pylist()]
+            found = reader.predict(b.column("row").field(text_col).to_pylist())
             yield pa.record_batch([
                 b.column("row"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),
                 pa.array([f[0] != UNKNOWN and f[1] >= model.floor for f in found], pa.bool_())], names=["row", "lang_pred", "score", "accepted"])

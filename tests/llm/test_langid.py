@@ -14,7 +14,7 @@ def text(lang, seed, n):
 
 def table(docs):
     rows = [(i, text(lang, i, 5 + i % 60), lang, "s") for i, lang in ((i, ("aa", "bb", "cc")[i % 3]) for i in range(600))]
-    return docs(rows + [(900, None, "aa", "s"), (901, "", None, "s"), (902, "123 !!", "bb", "s"), (903, text("cc", 1, 30_000), None, "s"), (None, text("aa", 5, 30), None, "s"),
+    return docs(rows + [(900, None, "aa", "s"), (901, "", None, "s"), (902, "123 !! ² ①", "bb", "s"), (903, text("cc", 1, 30_000), None, "s"), (None, text("aa", 5, 30), None, "s"),
                         (5, rows[5][1], rows[5][2], "s")])
 
 
@@ -36,8 +36,17 @@ def test_word_cache_equals_direct_sum():
     g = np.random.default_rng(0)
     m = langid.Model(["x", "y"], g.normal(size=(langid.BUCKETS, 2)), np.zeros(2))
     t = text("aa", 3, 9000)
-    p = m.probabilities(m.logits(langid.Bags().of(langid.words_of(t))))
-    assert np.isclose(langid.Reader(m).predict(t)[1], p.max())
+    p = m.probabilities(m.logits(langid.subwords(langid.words_of(t))[0]))
+    assert np.isclose(langid.Reader(m).predict([t])[0][1], p.max())
+
+
+def test_subwords_of_a_word_do_not_depend_on_its_neighbours():
+    words = ["a", "straße", "été", "été", "\U00010400x"]
+    bucket, owner = langid.subwords(words)
+    for i, w in enumerate(words):
+        alone = langid.subwords([w])[0]
+        assert sorted(bucket[owner == i]) == sorted(alone)
+        assert len(alone) == 1 + sum(max(0, len(w) + 2 - n + 1) for n in (2, 3, 4))
 
 
 def test_rejection_holds_its_precision(docs):
