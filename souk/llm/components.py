@@ -1,8 +1,9 @@
 """Connected components of an edge table, by alternating large and small stars.
 
-Every step is a grouped minimum and a join, so neither a component nor the
-neighbours of a hub are ever gathered in one task; the number of rounds grows
-with the logarithm of the component size.
+Every step is a grouped minimum, written, and a join of two plain tables, which
+Spark splits where a hub has many neighbours; so neither a component nor the
+neighbours of a hub are gathered in one task.  The number of rounds grows with
+the logarithm of the component size.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from .common import stash
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.select("a", "b").unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
+    least = stash(least, "cc_least")
     return (both.join(least, both["a"] == least["k"]).filter("b > a")
             .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
 
@@ -23,6 +25,7 @@ def _large_star(e: DataFrame) -> DataFrame:
 def _small_star(e: DataFrame) -> DataFrame:
     down = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), "m")
+    least = stash(least, "cc_least")
     linked = down.join(least, down["a"] == least["k"]).filter("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return linked.unionAll(least.select(F.col("k").alias("a"), F.col("m").alias("b"))).distinct()
 

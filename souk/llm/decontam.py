@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import packed, ship, sliced, stash, table
-from .neardup import MIX, PRIME, WORD, _hashes, fingerprint, mixed
+from .neardup import MIX, PRIME, WORD, _hashes, fingerprint, mixed, split_by_members
 
 SEED = 4
 THRESHOLD = 0.5
@@ -180,10 +180,16 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, id_co
 
 def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text",
                   **options) -> DataFrame:
-    """The rows of docs that hold no item."""
-    bad = leaks(docs, items, threshold, id_col, text_col, **options).select(F.col("id").alias("_i"), F.col("fp").alias("_f")).distinct()
+    """The rows of docs that hold no item.
+
+    Rows whose text surely holds none stay where they are; the others meet the
+    list of what goes.
+    """
+    bad = stash(leaks(docs, items, threshold, id_col, text_col, **options).select(F.col("id").alias("_i"), F.col("fp").alias("_f")).distinct(), "decontam_bad")
     rows = docs.select(packed(docs, "row"), F.col(id_col).alias("id"), fingerprint(F.col(text_col)).alias("fp"))
-    return rows.join(bad, (rows["fp"] == bad["_f"]) & rows["id"].eqNullSafe(bad["_i"]), "left_anti").select("row.*")
+    close, alone = split_by_members(rows, bad.select(F.col("_f").alias("fp")).distinct())
+    close = close.join(bad, (close["fp"] == bad["_f"]) & close["id"].eqNullSafe(bad["_i"]), "left_anti")
+    return alone.unionAll(close).select("row.*")
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

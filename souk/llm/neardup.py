@@ -124,9 +124,9 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 
     ship(texts.sparkSession)
     sums = (texts.mapInArrow(count, "cells array<bigint>").select(F.posexplode("cells").alias("cell", "n"))
-            .groupBy("cell").agg(F.sum("n").alias("n")).toPandas())
+            .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
     cells = np.zeros(SKETCH + 1, np.int64)
-    cells[sums["cell"].to_numpy()] = sums["n"].to_numpy()
+    cells[sums.column("cell").to_numpy()] = sums.column("n").to_numpy()
     return cells[:SKETCH], int(cells[SKETCH])
 
 
@@ -337,6 +337,13 @@ def _members(bits: np.ndarray, inside: bool = True):
     return run
 
 
+def split_by_members(rows: DataFrame, fps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """rows(fp, ...) that may be among fps(fp), and those that surely are not: the second need no join."""
+    ship(rows.sparkSession)
+    bits = member_filter(fps)
+    return rows.mapInArrow(_members(bits), rows.schema), rows.mapInArrow(_members(bits, inside=False), rows.schema)
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text",
             block: int = BLOCK) -> DataFrame:
     """(fp, root): every distinct text that has a near copy, by fingerprint, with its class."""
@@ -393,10 +400,8 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col:
     only the others meet the list of what goes.
     """
     found = stash(near_duplicates(docs, threshold, id_col, text_col).select("id", "fp", "class_size", "kept"), "neardup_found")
-    bits = member_filter(found.filter("class_size > 1").select("fp").distinct())
     rows = docs.select(packed(docs, "row"), F.col(id_col).alias("id"), fingerprint(F.col(text_col)).alias("fp"))
-    alone = rows.mapInArrow(_members(bits, inside=False), rows.schema)
-    close = rows.mapInArrow(_members(bits), rows.schema)
+    close, alone = split_by_members(rows, found.filter("class_size > 1").select("fp").distinct())
     gone = found.filter("not kept").select(F.col("id").alias("_i"), F.col("fp").alias("_f")).distinct()
     close = close.join(gone, (close["fp"] == gone["_f"]) & close["id"].eqNullSafe(gone["_i"]), "left_anti").dropDuplicates(["id", "fp"])
     return alone.unionAll(close).select("row.*")

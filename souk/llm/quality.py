@@ -131,7 +131,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed:
     ids = lab.filter("quality = 0").orderBy(pick).limit(per_class).unionAll(lab.filter("quality = 1").orderBy(pick).limit(per_class))
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id").select("quality", "text")
     ship(docs.sparkSession)
-    rows = sample.mapInArrow(_features_of, "quality int, x binary").toPandas()
+    rows = sample.mapInArrow(_features_of, "quality int, x binary").toArrow().to_pandas()
     if not len(rows):
         return None
     rows = rows.sort_values(["quality", "x"])  # the same order on every run
