@@ -10,7 +10,8 @@ again, so a document can be taken up to three times.
 
 No task ever holds a whole source: running totals are made of two parts, a
 window inside a slice of the hash range (or of the finish-time range) and a
-small table of slice sums.
+small table of slice sums.  What comes out is the last place taken in each turn
+of each queue; texts are never shuffled.
 
 Defined cases: a null text has size 0; documents of size 0 are never taken
 (taken 0); a null id is an id like any other; rows that agree in source, id
@@ -72,14 +73,20 @@ def _running(df: DataFrame, group: list[str], slice_: str, order: list[Column],
             .drop("_within", "_offset", *[f"_o_{c}" for c in (*group, slice_)]))
 
 
+def _queue(seed: int, id_: Column) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_.cast("string"), F.lit("null"))).cast("binary"))
+
+
 def fair_queue(units: DataFrame, seed: int = 7, weights: tuple[int, ...] = (1, 2, 3), slices: int = SLICES) -> DataFrame:
     """units(source, id, size, words): distinct keys and their total words.
 
-    Returns the same with source_size, target and times (how often it is taken).
+    Returns a row for each source: source_size, target, and cuts, the last place
+    (queue, id, size) taken in each turn of its queue, MAX_REPEATS at most.  As
+    finish times grow along a queue, what the budget takes of a turn is all up
+    to that place; so rows need no join with each other's plans, only with their source.
     """
     targets = source_targets(units, weights)
-    queue = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("null"))).cast("binary"))
-    q = units.withColumn("queue", queue)
+    q = units.withColumn("queue", _queue(seed, F.col("id")))
     q = q.withColumn("slice", F.floor(F.conv(F.substring("queue", 1, 8), 16, 10).cast("long") * slices / F.lit(1 << 32)))
     order = [F.col("queue"), F.col("id").asc_nulls_first(), F.col("size")]
     q = _running(q, ["source"], "slice", order, "words", "upto").drop("slice")
@@ -88,22 +95,22 @@ def fair_queue(units: DataFrame, seed: int = 7, weights: tuple[int, ...] = (1, 2
     turns = F.least(F.lit(MAX_REPEATS), F.ceil(F.col("target") / F.col("source_size"))).cast("int")
     items = (q.filter("words > 0").withColumn("turn", F.explode(F.sequence(F.lit(0), turns - 1)))
              .withColumn("finish", (F.col("turn") * F.col("source_size") + F.col("upto")).cast("double") / F.col("target"))
-             .select("source", "id", "size", "words", "turn", "finish"))
+             .select("source", "queue", "id", "size", "words", "turn", "finish"))
     # equal slices up to time 1, where the budget ends but for a few documents; beyond it ever longer ones
     items = items.withColumn("slice", F.when(F.col("finish") <= 1, F.floor(F.col("finish") * slices))
                              .otherwise(slices + F.floor(F.log("finish") * slices)).cast("long"))
     order = [F.col("finish"), F.col("source").asc_nulls_last(), F.col("id").asc_nulls_first(), F.col("size"), F.col("turn")]
     ranked = _running(items, [], "slice", order, "words", "total")
     budget = targets.agg(F.sum("source_size").alias("budget"))
-    taken = (ranked.crossJoin(F.broadcast(budget)).filter("total <= budget")  # one row
-             .groupBy("source", "id", "size").agg(F.count("*").alias("times")))
-    k = taken.select(F.col("source").alias("_s"), F.col("id").alias("_i"), F.col("size").alias("_z"), "times")
-    return (q.join(k, q["source"].eqNullSafe(k["_s"]) & q["id"].eqNullSafe(k["_i"]) & (q["size"] == k["_z"]), "left")
-            .select("source", "id", "size", "source_size", "target", F.coalesce("times", F.lit(0)).alias("times")))
+    last = (ranked.crossJoin(F.broadcast(budget)).filter("total <= budget")  # one row
+            .groupBy("source", "turn").agg(F.max(F.struct("queue", "id", "size")).alias("last")))
+    cuts = last.groupBy(F.col("source").alias("_s")).agg(F.collect_list("last").alias("cuts"))
+    return (targets.join(cuts, targets["source"].eqNullSafe(cuts["_s"]), "left")
+            .select("source", "source_size", "target", "cuts"))
 
 
 def mix(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] = (1, 2, 3), id_col: str = "doc_id",
-        text_col: str = "text", source_col: str = "source", carry: bool = True) -> DataFrame:
+        text_col: str = "text", source_col: str = "source", carry: bool = True, slices: int = SLICES) -> DataFrame:
     """Every row of docs with its size, its source's size and target, and times taken.
 
     Returns columns row (the whole row as a struct, if ``carry``), source, id,
@@ -117,10 +124,12 @@ def mix(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] = (1, 2, 3), id
     else:
         units = stash(base.drop("row"), "mix_sizes")
     units = units.groupBy("source", "id", "size").agg((F.count("*") * F.col("size")).alias("words"))
-    plan = stash(fair_queue(units, seed, weights), "mix_plan").select(
-        F.col("source").alias("_s"), F.col("id").alias("_i"), F.col("size").alias("_z"), "source_size", "target", "times")
-    return (base.join(plan, base["id"].eqNullSafe(plan["_i"]) & base["source"].eqNullSafe(plan["_s"])
-                      & (base["size"] == plan["_z"]), "left").drop("_s", "_i", "_z"))
+    # written, so that Spark knows its size (a row for each source) when it plans the join
+    plan = stash(fair_queue(units, seed, weights, slices), "mix_plan").withColumnRenamed("source", "_s")
+    place = F.struct(_queue(seed, F.col("id")).alias("queue"), "id", "size")
+    times = F.when(F.col("size") > 0, F.size(F.filter(F.coalesce("cuts", F.array()), lambda c: F.col("_place") <= c))).otherwise(0)
+    return (base.withColumn("_place", place).join(plan, base["source"].eqNullSafe(plan["_s"]), "left")
+            .withColumn("times", times).drop("_s", "cuts", "_place"))
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
