@@ -38,7 +38,7 @@ SHOPEE_ITEM = ("itemid STRING, item_id STRING, shopid STRING, shop_id STRING, na
                "historical_sold STRING, liked_count STRING, item_rating STRUCT<rating_star:STRING>, discount STRING, "
                "shop_location STRING, image STRING")
 # Where the payloads hold their items.
-TOP = "listings STRING, data STRING, mods STRING, items STRING"
+TOP = "listings STRING, data STRING, mods STRING, items STRING, _corrupt_record STRING"
 
 LINEAGE = ["url_key", "page", "fetched_at", "item_pos"]
 
@@ -62,7 +62,8 @@ def _with_items(landing: DataFrame) -> DataFrame:
     items = (F.when(platform == "Tiki", F.when(_given(top["listings"]), top["listings"]).otherwise(top["data"]))
              .when(platform == "Lazada", inner["listItems"])
              .when(platform == "Shopee", F.when(_given(top["items"]), top["items"]).otherwise(inner["items"])))
-    return df.withColumn("_items", items).drop("_top")
+    broken = top.isNull() | top["_corrupt_record"].isNotNull()
+    return df.withColumns({"_items": items, "_broken": broken}).drop("_top")
 
 
 def split_malformed(landing: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -78,12 +79,12 @@ def split_malformed(landing: DataFrame) -> tuple[DataFrame, DataFrame]:
     items, holder = F.col("_items"), F.col("_holder")
     odd = (_given(items) & ~F.ltrim(items).startswith("[")) | ((F.col("platform") == "Lazada") & _given(holder) & ~F.ltrim(holder).startswith("{"))
     reason = (F.when(~F.coalesce(body.startswith("{"), F.lit(False)), F.lit("not_json"))
-              .when(F.expr("json_object_keys(body)").isNull(), F.lit("malformed"))
+              .when(F.col("_broken"), F.lit("malformed"))
               .when(~body.endswith("}"), F.lit("trailing_text"))
               .when(F.coalesce(odd, F.lit(False)), F.lit("not_a_list")))
     tagged = _with_items(landing).withColumn("reason", reason)
-    good = tagged.where(F.col("reason").isNull()).drop("reason", "_holder")
-    bad = tagged.where(F.col("reason").isNotNull()).drop("_items", "_holder")
+    good = tagged.where(F.col("reason").isNull()).drop("reason", "_holder", "_broken")
+    bad = tagged.where(F.col("reason").isNotNull()).drop("_items", "_holder", "_broken")
     return good, bad
 
 
