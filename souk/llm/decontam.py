@@ -6,9 +6,9 @@
 2. Where a document's runs of words are in the filter, the passage around them
    (wide enough for the longest item) is kept; hits close to each other share a
    passage.  All else of the document stays where it is.
-3. Passages and items meet by equal seeds.  A seed is rare if it stands in few
-   passages; a passage is aligned with an item if they share a rare seed, or
-   two seeds of any frequency.
+3. Distinct passages and items meet by equal seeds: a passage is aligned with
+   every item it shares a seed with, however often the seed or the passage
+   stands in the documents.
 4. Smith-Waterman on words (match 2, mismatch -1, gap -1), divided by the score
    of the whole item, so 1 is a full copy; THRESHOLD and more is a leak.
 
@@ -31,8 +31,6 @@ SEED = 4
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, -1, 1
 FILTER_BITS = 23
-#: a seed is rare if it stands in up to this many passages, or one in RARE_SHARE documents
-RARE, RARE_SHARE = 20, 1000
 
 
 def grams(words: list[str], n: int) -> np.ndarray:
@@ -129,12 +127,10 @@ def _aligned(threshold: float):
         for b in sliced(batches):
             found = [align(i.split(" "), p.split(" ")) for i, p in zip(b.column("item").to_pylist(), b.column("passage").to_pylist(), strict=True)]
             keep = pa.array([s >= threshold for s, _, _ in found], pa.bool_())
-            start = b.column("start").to_pylist()
             out = pa.record_batch([
-                b.column("id"), b.column("fp"), b.column("item_id"), pa.array([s for s, _, _ in found], pa.float64()),
-                pa.array([x + f[1] for x, f in zip(start, found, strict=True)], pa.int64()),
-                pa.array([x + f[2] for x, f in zip(start, found, strict=True)], pa.int64())],
-                names=["id", "fp", "item_id", "score", "first_word", "end_word"])
+                b.column("ph"), b.column("item_id"), pa.array([s for s, _, _ in found], pa.float64()),
+                pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.int64())],
+                names=["ph", "item_id", "score", "from", "to"])
             yield out.filter(keep)
     return run
 
@@ -161,18 +157,14 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, id_co
     kind_d = base.schema["id"].dataType.simpleString()
     found = stash(base.select("id", "fp", "text").mapInArrow(
         _passages(bits, sorted(sizes), reach), f"id {kind_d}, fp binary, start bigint, passage string, seeds array<bigint>"), "decontam_passages")
-    hits = found.select("id", "fp", "start", F.explode("seeds").alias("seed"))
-    often = hits.groupBy("seed").agg(F.count("*").alias("n"))
-    limit = max(RARE, docs.count() // RARE_SHARE)
-    rare = by_seed.join(often.withColumnRenamed("seed", "_s"), F.col("seed") == F.col("_s")).select("seed", "item_id", "item", (F.col("n") <= limit).alias("rare"))
-    pairs = (hits.join(rare, "seed").groupBy("id", "fp", "start", "item_id", "item")
-             .agg(F.count("*").alias("shared"), F.max("rare").alias("rare"), F.max(F.size(F.split("item", " "))).alias("length"))
-             .filter("rare or shared > 1"))
-    p = found.select(F.col("id").alias("_i"), F.col("fp").alias("_f"), F.col("start").alias("_st"), "passage")
-    todo = pairs.join(p, pairs["id"].eqNullSafe(p["_i"]) & (pairs["fp"] == p["_f"]) & (pairs["start"] == p["_st"]))
-    # rows equal in id and text repeat a passage: align it once
-    todo = todo.select("id", "fp", "start", "item_id", "item", "passage").distinct()
-    scored = todo.mapInArrow(_aligned(threshold), f"id {kind_d}, fp binary, item_id {kind}, score double, first_word bigint, end_word bigint")
+    # copies repeat a passage: each distinct one is aligned once, with every item it shares a seed with
+    found = found.withColumn("ph", fingerprint(F.col("passage")))
+    distinct = found.groupBy("ph").agg(F.first("passage").alias("passage"), F.first("seeds").alias("seeds"))
+    todo = (distinct.select("ph", "passage", F.explode("seeds").alias("seed")).join(by_seed, "seed")
+            .select("ph", "passage", "item_id", "item").distinct())
+    scored = stash(todo.mapInArrow(_aligned(threshold), f"ph binary, item_id {kind}, score double, from bigint, to bigint"), "decontam_scored")
+    scored = (found.select("id", "fp", "start", "ph").join(scored, "ph")
+              .select("id", "fp", "item_id", "score", (F.col("start") + F.col("from")).alias("first_word"), (F.col("start") + F.col("to")).alias("end_word")))
     best = F.max(F.struct("score", (-F.col("first_word")).alias("o"), "end_word")).alias("b")
     return (scored.groupBy("id", "fp", "item_id").agg(best)
             .select("id", "fp", "item_id", F.col("b.score").alias("score"), (-F.col("b.o")).alias("first_word"), F.col("b.end_word").alias("end_word")))

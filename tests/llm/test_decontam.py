@@ -68,6 +68,15 @@ def test_equals_brute_force(spark, docs):
     assert clean.columns == [*d.columns, "fp", "id"]
 
 
+def test_copies_do_not_hide_a_leak(spark, docs):
+    item = words(15, 7)
+    leak = ["x" if k in (4, 8, 12) else w for k, w in enumerate(item)]  # one intact run of four words
+    rows = [(i, " ".join(words(40, 1) + leak + words(40, 2)), "en", "s") for i in range(30)] + [(100 + i, f"so a tiny item {i}", "en", "s") for i in range(30)]
+    b = spark.createDataFrame([(1, " ".join(item)), (2, "a tiny item")], "item_id long, text string")
+    got = {(r["id"], r["item_id"]): r["score"] for r in D.leaks(docs(rows), b).collect()}
+    assert got == {(i, 1): slow_align(item, leak) for i in range(30)} | {(100 + i, 2): 1.0 for i in range(30)}
+
+
 def test_empty(spark, docs):
     b = spark.createDataFrame([], "item_id long, text string")
     assert D.leaks(docs([(1, "a b c d e", "en", "s")]), b).count() == 0
