@@ -77,6 +77,35 @@ def test_copies_do_not_hide_a_leak(spark, docs):
     assert got == {(i, 1): slow_align(item, leak) for i in range(30)} | {(100 + i, 2): 1.0 for i in range(30)}
 
 
+def test_recall_with_every_kind_of_edit(spark, docs):
+    r = random.Random(11)
+    items = [(i, " ".join(words((15, 18, 24, 37, 60)[i % 5], 500 + i))) for i in range(20)] + [(100 + n, " ".join(words(n, 900 + n))) for n in range(1, 9)]
+    rows = []
+    for i in range(300):
+        item = items[i % len(items)][1].split()
+        cut = r.randrange(5)
+        if cut == 0:  # words 4, 8, 12 ...: no run of four is left
+            leak = ["x" if k % 4 == 3 else w for k, w in enumerate(item)]
+        elif cut == 1:
+            leak = ["x" if r.random() < 0.3 else w for w in item]
+        elif cut == 2:  # a strange word after each: no two words stay together
+            leak = [y for w in item for y in (w, "x")][:-1]
+        elif cut == 3:
+            leak = edited(item, i, r.choice([2, 3, 4]))
+        else:
+            leak = [w for k, w in enumerate(item) if k % 3]
+        rows.append((i, " ".join(words(30, 2000 + i) + leak + words(30, 3000 + i)), "en", "s"))
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = {(x["id"], x["item_id"]): x["score"] for x in D.leaks(docs(rows), b).collect()}
+    want = {}
+    for i, t, *_ in rows:
+        for j, x in items:
+            score = D.align(D.words_of(x), D.words_of(t))[0]
+            if score >= D.THRESHOLD:
+                want[(i, j)] = score
+    assert len(want) > 250 and got == want
+
+
 def test_empty(spark, docs):
     b = spark.createDataFrame([], "item_id long, text string")
     assert D.leaks(docs([(1, "a b c d e", "en", "s")]), b).count() == 0
