@@ -15,7 +15,8 @@ of each queue; texts are never shuffled.
 
 Defined cases: a null text has size 0; documents of size 0 are never taken
 (taken 0); a null id is an id like any other; rows that agree in source, id
-and size are taken or left together; an empty table gives an empty result.
+and text are queued one by one, and any of them stands for any other; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 MAX_REPEATS = 3
 #: slices of the hash range within a source, and of the finish-time range
 SLICES = 1024
+#: copies of a row that a task makes in a go
+CHUNK = 64
 
 
 def word_count(text: Column) -> Column:
@@ -78,32 +81,37 @@ def _queue(seed: int, id_: Column) -> Column:
 
 
 def fair_queue(units: DataFrame, seed: int = 7, weights: tuple[int, ...] = (1, 2, 3), slices: int = SLICES) -> DataFrame:
-    """units(source, id, size, words): distinct keys and their total words.
+    """units(source, id, size, hash, copies, words): distinct keys, their number and total words.
 
     Returns a row for each source: source_size, target, and cuts, the last place
-    (queue, id, size) taken in each turn of its queue, MAX_REPEATS at most.  As
-    finish times grow along a queue, what the budget takes of a turn is all up
-    to that place; so rows need no join with each other's plans, only with their source.
+    (queue, id, size, hash) taken in each turn of its queue, MAX_REPEATS at most,
+    with the number of its copies that are taken and of all.  As finish times grow
+    along a queue, what the budget takes of a turn is all up to that place; so rows
+    need no join with each other's plans, only with their source.
     """
     targets = source_targets(units, weights)
     q = units.withColumn("queue", _queue(seed, F.col("id")))
     q = q.withColumn("slice", F.floor(F.conv(F.substring("queue", 1, 8), 16, 10).cast("long") * slices / F.lit(1 << 32)))
-    order = [F.col("queue"), F.col("id").asc_nulls_first(), F.col("size")]
+    order = [F.col("queue"), F.col("id").asc_nulls_first(), F.col("size"), F.col("hash")]
     q = _running(q, ["source"], "slice", order, "words", "upto").drop("slice")
     t = targets.select(F.col("source").alias("_s"), "source_size", "target")
     q = q.join(t, q["source"].eqNullSafe(t["_s"]), "left").drop("_s")
     turns = F.least(F.lit(MAX_REPEATS), F.ceil(F.col("target") / F.col("source_size"))).cast("int")
-    items = (q.filter("words > 0").withColumn("turn", F.explode(F.sequence(F.lit(0), turns - 1)))
-             .withColumn("finish", (F.col("turn") * F.col("source_size") + F.col("upto")).cast("double") / F.col("target"))
-             .select("source", "queue", "id", "size", "words", "turn", "finish"))
+    # the copies of a key stand one behind the other; they are made in short runs, dealt to all tasks
+    runs = (q.filter("words > 0").withColumn("turn", F.explode(F.sequence(F.lit(0), turns - 1)))
+            .withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / CHUNK))))
+            .repartition("source", "queue", "id", "size", "hash", "turn", "run"))
+    items = (runs.withColumn("copy", F.explode(F.sequence(F.col("run") * CHUNK + 1, F.least("copies", (F.col("run") + 1) * CHUNK))))
+             .withColumn("finish", (F.col("turn") * F.col("source_size") + F.col("upto") - F.col("words") + F.col("copy") * F.col("size")).cast("double") / F.col("target"))
+             .select("source", "queue", "id", "size", "hash", "copy", "copies", "turn", "finish"))
     # equal slices up to time 1, where the budget ends but for a few documents; beyond it ever longer ones
     items = items.withColumn("slice", F.when(F.col("finish") <= 1, F.floor(F.col("finish") * slices))
                              .otherwise(slices + F.floor(F.log("finish") * slices)).cast("long"))
-    order = [F.col("finish"), F.col("source").asc_nulls_last(), F.col("id").asc_nulls_first(), F.col("size"), F.col("turn")]
-    ranked = _running(items, [], "slice", order, "words", "total")
+    order = [F.col("finish"), F.col("source").asc_nulls_last(), F.col("id").asc_nulls_first(), F.col("size"), F.col("turn"), F.col("hash"), F.col("copy")]
+    ranked = _running(items, [], "slice", order, "size", "total")
     budget = targets.agg(F.sum("source_size").alias("budget"))
     last = (ranked.crossJoin(F.broadcast(budget)).filter("total <= budget")  # one row
-            .groupBy("source", "turn").agg(F.max(F.struct("queue", "id", "size")).alias("last")))
+            .groupBy("source", "turn").agg(F.max(F.struct("queue", "id", "size", "hash", "copy", "copies")).alias("last")))
     cuts = last.groupBy(F.col("source").alias("_s")).agg(F.collect_list("last").alias("cuts"))
     return (targets.join(cuts, targets["source"].eqNullSafe(cuts["_s"]), "left")
             .select("source", "source_size", "target", "cuts"))
@@ -117,19 +125,37 @@ def mix(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] = (1, 2, 3), id
     size, source_size, target, times.
     """
     base = docs.select(F.col(source_col).alias("source"), F.col(id_col).alias("id"), word_count(F.col(text_col)).alias("size"),
-                       *([packed(docs, "row")] if carry else []))
+                       F.xxhash64(F.col(text_col)).alias("_hash"), *([packed(docs, "row")] if carry else []))
     if not carry:  # narrow: counted once, read several times
         base = stash(base, "mix_sizes")
         units = base
     else:
         units = stash(base.drop("row"), "mix_sizes")
-    units = units.groupBy("source", "id", "size").agg((F.count("*") * F.col("size")).alias("words"))
+    units = (units.groupBy("source", "id", "size", F.col("_hash").alias("hash")).agg(F.count("*").alias("copies"))
+             .withColumn("words", F.col("copies") * F.col("size")))
     # written, so that Spark knows its size (a row for each source) when it plans the join
     plan = stash(fair_queue(units, seed, weights, slices), "mix_plan").withColumnRenamed("source", "_s")
-    place = F.struct(_queue(seed, F.col("id")).alias("queue"), "id", "size")
-    times = F.when(F.col("size") > 0, F.size(F.filter(F.coalesce("cuts", F.array()), lambda c: F.col("_place") <= c))).otherwise(0)
-    return (base.withColumn("_place", place).join(plan, base["source"].eqNullSafe(plan["_s"]), "left")
-            .withColumn("times", times).drop("_s", "cuts", "_place"))
+    place = F.struct(_queue(seed, F.col("id")).alias("queue"), "id", "size", F.col("_hash").alias("hash"))
+    key = lambda c: F.struct(c["queue"].alias("queue"), c["id"].alias("id"), c["size"].alias("size"), c["hash"].alias("hash"))
+    cuts = F.coalesce("cuts", F.array())
+    rows = base.withColumn("_place", place).join(plan, base["source"].eqNullSafe(plan["_s"]), "left")
+    split = lambda c: (c["copy"] < c["copies"])
+    gone = ["_s", "cuts", "_place", "_hash"]
+
+    def times(number):
+        """How many turns take the row that is the number-th copy of its key."""
+        taken = F.filter(cuts, lambda c: (F.col("_place") < key(c)) | ((F.col("_place") == key(c)) & (~split(c) | (number <= c["copy"]))))
+        return F.when(F.col("size") > 0, F.size(taken)).otherwise(0)
+
+    if plan.filter(F.exists(cuts, split)).isEmpty():
+        return rows.withColumn("times", times(F.lit(1))).drop(*gone)
+    # only copies of a key at a cut need a number: counted in slices of rows, as one key may hold any share of them
+    among = F.exists(cuts, lambda c: split(c) & (F.col("_place") == key(c)))
+    some = stash(rows.filter(among).withColumn("_slice", F.pmod(F.monotonically_increasing_id(), F.lit(slices))).withColumn("_one", F.lit(1)), "mix_copies")
+    some = some.withColumn("_order", F.lit(0))
+    some = _running(some, ["source", "id", "size", "_hash"], "_slice", [F.col("_order")], "_one", "_number")
+    some = some.withColumn("times", times(F.col("_number"))).drop(*gone, "_slice", "_one", "_order", "_number")
+    return rows.filter(~among).withColumn("times", times(F.lit(1))).drop(*gone).unionByName(some)
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:

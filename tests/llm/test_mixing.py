@@ -57,6 +57,26 @@ def test_slices_do_not_change_the_mix(docs):
     assert runs[0] == runs[1] == runs[2]
 
 
+def test_copies_are_queued_one_by_one(docs):
+    """A key with a third of all rows, null ids of one text, and a source that is one key: all near their targets."""
+    rows = [(i, " ".join(words(1 + i % 9, i)), "en", f"s{i % 2}") for i in range(300)]
+    rows += [(5000, "again and again", "en", "s0")] * 400 + [(None, "no id here", "en", "s1")] * 200 + [(6000, "all the same", "en", "a")] * 300
+    rows += [(5000, "other text entirely", "en", "s0")] * 100
+    d = docs(rows)
+    runs = [mixing.mix(d, carry=carry, slices=k).collect() for carry, k in ((False, 1), (False, 1024), (True, 7))]
+    for got in runs:
+        assert len(got) == len(rows)
+        taken, target, total = defaultdict(int), {}, 0
+        for r in got:
+            taken[r["source"]] += r["times"] * r["size"]
+            target[r["source"]] = r["target"]
+            total += r["size"]
+        assert all(abs(taken[s] - t) <= 10 for s, t in target.items())
+        assert total - 10 <= sum(taken.values()) <= total
+    count = [sorted((str((r["source"], r["id"], r["size"], r["times"]))) for r in got) for got in runs]
+    assert count[0] == count[1] == count[2]
+
+
 def test_mixed_rows_repeat_and_keep_columns(docs):
     d = table(docs).withColumn("size", F.lit(5)).withColumn("slice", F.lit("x"))
     m = mixing.mixed_rows(d)
