@@ -17,6 +17,11 @@ security numbers (valid areas, groups, serials); phone numbers of North America
 stay); payment cards (13 to 19 digits, Luhn; the first digit stays, the check
 digit is made anew).  Separators stay as they are.
 
+A card or IBAN that fails its check may have taken in what follows it: the
+longest part up to a separator that passes is the value, and the text behind it
+is searched anew.  A number with a country code of PLANS ends where the digits
+of that country do.
+
 Defined cases: a null text stays null with 0 replaced; an empty text and one
 without such values stay as they are; what fails its check stays; repeated rows
 get equal results; an empty table gives no rows.
@@ -42,6 +47,12 @@ ABROAD = r"(?<![\w+])\+[1-9]\d{0,2}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\w)"
 CARD = r"(?<![\w-])\d(?:[ -]?\d){12,18}(?!\w|-\d)"
 ANY = "|".join((EMAIL, IBAN, IPV4, DATE, SSN, PHONE, ABROAD, CARD))
 
+#: digits after the country code (ITU-T E.164 numbering plans of one or two lengths); other countries: as many as stand together
+PLANS = {"1": (10,), "7": (10,), "31": (9,), "32": (8, 9), "33": (9,), "34": (9,), "41": (9,), "44": (9, 10), "45": (8,), "47": (8,), "48": (9,),
+         "52": (10,), "55": (10, 11), "61": (9,), "81": (9, 10), "86": (10, 11), "90": (10,), "91": (10,), "351": (9,), "420": (9,)}
+#: written behind a value that ends within a match; the first also stands for itself, with the second behind it
+MARK, ITSELF, END = "\ufdd0", "\ufdd1", "\ufdd2"
+
 #: a Gregorian cycle of 400 years has 146,097 = 189 * 773 days
 CYCLE, CYCLE_A, CYCLE_B = 146097, 189, 773
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -237,16 +248,53 @@ def pseudonym(m: Column, key: str = KEY, inverse: bool = False) -> Column:
                                   F.when(~m.startswith("+"), _card(m, key, inverse)))))
 
 
+def _value_end(m: Column) -> Column:
+    """Where the value in a match ends if something else follows it within the match, else 0."""
+    apart = lambda k: F.substring(m, k + 1, F.lit(1)).rlike("[ .-]") & ~F.substring(m, k, F.lit(1)).rlike("[ .-]")
+    ends = F.filter(F.sequence(F.length(m), F.lit(1), F.lit(-1)), lambda k: (k == F.length(m)) | apart(k))
+    to = lambda k: F.substring(m, F.lit(1), k)
+    longest = lambda good: F.coalesce(F.get(F.filter(ends, good), F.lit(0)), F.lit(0))
+    card = lambda k: _let(_digits(to(k)), lambda d: F.size(d).between(13, 19) & (_luhn(d) % 10 == 0))
+    iban = lambda k: _let(F.translate(to(k), " ", ""), lambda s: F.length(s).between(15, 34)
+                          & (_mod97(F.concat(F.substring(s, 5, 40), F.substring(s, 1, 4))) == 1))
+    plans = "|".join(f"{c}(?:{'|'.join(f'[0-9]{{{n}}}' for n in ns)})" for c, ns in PLANS.items())
+    phone = lambda k: F.regexp_replace(to(k), "[^0-9]", "").rlike(f"^(?:{plans})$")
+    # a 0 in brackets is dialled at home only: it is no digit of the plan, so the match stays whole
+    end = (F.when(m.startswith("+"), F.when(m.contains("(0)"), 0).otherwise(longest(phone)))
+           .when(m.contains("@") | m.rlike(f"^(?:{IPV4}|{DATE}|{SSN}|{PHONE})$"), 0)
+           .when(m.rlike("^[A-Z]"), longest(iban)).when(m.rlike("^[0-9]"), longest(card)).otherwise(0))
+    return _let(end, lambda k: F.when(k < F.length(m), k).otherwise(0))
+
+
+def _marked(text: Column) -> Column:
+    """text with a mark behind every value that ends within a match."""
+    def put(found):
+        cut = F.transform(found, lambda m: _let(_value_end(m), lambda k: F.when(k > 0, F.concat(F.substring(m, F.lit(1), k), F.lit(MARK + END), F.substring(m, k + 1, F.length(m)))).otherwise(m)))
+        return _let(cut, lambda c: F.array_join(F.transform(F.split(text, ANY, -1), lambda g, i: F.concat(g, F.coalesce(F.get(c, i), F.lit("")))), ""))
+    return _let(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), put)
+
+
 def pseudonymise(docs: DataFrame, key: str = KEY, inverse: bool = False, text_col: str = "text") -> DataFrame:
     """row (the whole row as a struct), masked (the text with pseudonyms), replaced (how many values)."""
     rows = docs.select(packed(docs, "row"))
     text = F.col(f"row.`{text_col}`")
     # most texts hold nothing of the kind: one plain search decides
     rows = rows.withColumn("_found", F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))))
+    rows = rows.withColumn("_over", F.coalesce(F.exists("_found", lambda m: _value_end(m) > 0), F.lit(False)))
+    # what follows a value is searched anew, and may hold one that ends within a match: at most a round for each separator
+    rounds = F.sequence(F.lit(0), F.size(F.regexp_extract_all(text, F.lit("[0-9A-Z)][ .-]"), F.lit(0))))
+    start = F.struct(F.replace(text, F.lit(MARK), F.lit(MARK + ITSELF)).alias("t"), F.lit(False).alias("done"))
+
+    def step(a, _):
+        return F.when(a["done"], a).otherwise(_let(_marked(a["t"]), lambda t: F.struct(t.alias("t"), (t == a["t"]).alias("done"))))
+
+    rows = rows.withColumn("_text", F.when(F.col("_over"), F.aggregate(rounds, start, step, lambda a: a["t"])).otherwise(text))
+    rows = rows.withColumn("_found", F.when(F.col("_over"), F.regexp_extract_all("_text", F.lit(ANY), F.lit(0))).otherwise(F.col("_found")))
     rows = rows.withColumn("_new", F.transform("_found", lambda m: pseudonym(m, key, inverse)))
-    gaps = F.split(text, ANY, -1)
+    gaps = F.split("_text", ANY, -1)
     put = lambda g, i: F.concat(g, F.coalesce(F.get("_new", i), F.get("_found", i), F.lit("")))
     masked = F.when(F.size("_found") > 0, F.array_join(F.transform(gaps, put), "")).otherwise(text)
+    masked = F.when(F.col("_over"), F.replace(F.replace(masked, F.lit(MARK + END), F.lit("")), F.lit(MARK + ITSELF), F.lit(MARK))).otherwise(masked)
     return rows.select("row", masked.alias("masked"), F.coalesce(F.size(F.filter("_new", lambda x: x.isNotNull())), F.lit(0)).alias("replaced"))
 
 

@@ -58,6 +58,16 @@ def test_linked_across_documents_and_defined_cases(spark):
     assert VALUES[5] not in out[3]
 
 
+def test_what_follows_a_value_does_not_hide_it(spark):
+    card, iban, phone, date = "4111 1111 1111 1111", "ES91 2100 0418 4502 0005 1332", "+33 6 12 34 56 78", "12.05.2024"
+    c, plain, i, p, d = masked(spark, [card, "4111111111111111", iban, phone, date])
+    assert c != card and i != iban and p != phone
+    texts = [f"{card} 12/27", "4111111111111111 2 items", f"{iban} THE", f"{phone} 12 items", f"4111111111111111 {date}",
+             f"\ufdd0 {card} 12/27 {iban} THE\ufdd0\ufdd2", f"{phone} 99 and {phone}"]
+    assert masked(spark, texts) == [f"{c} 12/27", f"{plain} 2 items", f"{i} THE", f"{p} 12 items", f"{plain} {d}",
+                                    f"\ufdd0 {c} 12/27 {i} THE\ufdd0\ufdd2", f"{p} 99 and {p}"]
+
+
 def test_feistel_is_a_permutation(spark):
     for sizes in ([7], [5, 3], [4, 3, 6]):
         d = spark.range(1).select(F.array().cast("array<int>").alias("v"))
