@@ -9,12 +9,15 @@ level turn and identifier decide.  Every call is
 written as canonical JSON (sorted keys, no white space, normal numbers).
 
 Schemas are JSON Schema objects; ``properties`` with ``type`` (a name) and
-``enum`` (of strings), ``required`` and ``additionalProperties`` are checked.
+``enum`` (of strings), ``required`` and ``additionalProperties`` (true or false)
+are checked.  Any other keyword that could refuse arguments (nested properties,
+items, bounds, patterns, lists of types ...) is named in the errors as
+``unchecked``, so that no call passes as valid under a rule that was not read.
 
 Defined cases: a null conversation or call identifier links nothing (the row is
 kept, unlinked); if identifiers repeat within a conversation the call (result)
 of the lowest turn counts, ties by its content, and the other calls are reported as
-``duplicate``; a result without call is reported as ``orphan``; arguments that
+``duplicate``, the other results as ``orphan`` with the error ``duplicate result``; a result without call is reported as ``orphan``; arguments that
 are null or no JSON object are invalid; a tool without schema is invalid;
 calls that wait for each other in a circle, or for a call that does, get the
 level -1 and come last; waiting for an unknown call is an error that does not
@@ -29,6 +32,9 @@ from pyspark.sql import functions as F
 from .common import stash, table
 
 SCHEMA = "struct<properties:map<string,struct<type:string,enum:array<string>>>,required:array<string>,additionalProperties:boolean>"
+#: what describes and refuses nothing
+NOTES = ["$schema", "$id", "$comment", "title", "description", "default", "examples", "deprecated", "readOnly", "writeOnly"]
+TYPES = ["string", "boolean", "null", "integer", "number", "array", "object"]
 #: turns of a conversation that are numbered together
 TURNS = 1024
 
@@ -65,6 +71,32 @@ def argument_errors(arguments: Column, schema: Column) -> Column:
             .otherwise(F.array_sort(F.concat(missing, unknown, wrong, outside))))
 
 
+def unchecked_keywords(schema: Column) -> Column:
+    """Sorted list of the keywords of a schema (JSON text) that argument_errors does not check."""
+    empty = F.array().cast("array<string>")
+    words = lambda names: F.array(*[F.lit(n) for n in names])
+    top = F.coalesce(F.from_json(schema, "map<string,variant>"), F.from_json(F.lit("{}"), "map<string,variant>"))
+    props = F.from_json(F.get_json_object(schema, "$.properties"), "map<string,map<string,variant>>")
+    kind = lambda m, k: F.schema_of_variant(F.element_at(m, F.lit(k)))
+    text = lambda m, k: F.try_variant_get(F.element_at(m, F.lit(k)), "$", "string")
+    has = lambda m, k: F.map_contains_key(m, F.lit(k))
+    if_ = lambda when, k: F.when(F.coalesce(when, F.lit(False)), F.array(F.lit(k))).otherwise(empty)
+    outer = F.concat(F.array_except(F.map_keys(top), words(["type", "properties", "required", "additionalProperties", *NOTES])),
+                     if_(has(top, "type") & ~text(top, "type").eqNullSafe(F.lit("object")), "type"),
+                     if_(has(top, "additionalProperties") & (kind(top, "additionalProperties") != "BOOLEAN"), "additionalProperties"),
+                     if_(has(top, "properties") & (props.isNull() | F.exists(F.map_values(props), lambda p: p.isNull())), "properties"))
+
+    def inner(name: Column, p: Column) -> Column:
+        found = F.concat(F.array_except(F.map_keys(p), words(["type", "enum", *NOTES])),
+                         if_(has(p, "type") & ~((kind(p, "type") == "STRING") & text(p, "type").isin(TYPES)), "type"),
+                         if_(has(p, "enum") & (kind(p, "enum") != "ARRAY<STRING>"), "enum"))
+        return F.transform(found, lambda k: F.concat(k, F.lit(" of "), name))
+
+    below = F.flatten(F.transform(F.map_entries(F.map_filter(F.coalesce(props, F.create_map().cast("map<string,map<string,variant>>")), lambda _, p: p.isNotNull())),
+                                  lambda e: inner(e["key"], e["value"])))
+    return F.transform(F.array_sort(F.concat(outer, below)), lambda k: F.concat(F.lit("unchecked "), k))
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """calls(conv_id, call_id, after array<string>) -> conv_id, call_id, level, unknown (calls it waits for that do not exist)."""
     nodes = calls.select("conv_id", "call_id")
@@ -118,12 +150,13 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     results = results.select("conv_id", "turn", "call_id", "content")
     first = stash(_first(calls, "turn", "name", "arguments"), "calls")
     answer = _first(results, "turn", "content").select("conv_id", "call_id", "content", F.col("turn").alias("answered"))
-    tool = schemas.filter("name is not null").groupBy("name").agg(F.min("schema").alias("schema"))
+    tool = schemas.filter("name is not null").groupBy("name").agg(F.min("schema").alias("schema")).withColumn("unchecked", unchecked_keywords(F.col("schema")))
     ordered = _positions(first.select("conv_id", "call_id", "turn").join(levels(first), ["conv_id", "call_id"]))
 
     linked = (first.join(answer, ["conv_id", "call_id"], "left").join(tool, "name", "left")
               .join(ordered.drop("turn"), ["conv_id", "call_id"])
-              .withColumn("errors", F.concat(argument_errors(F.col("arguments"), F.col("schema")), F.coalesce("unknown", F.array().cast("array<string>"))))
+              .withColumn("errors", F.concat(argument_errors(F.col("arguments"), F.col("schema")),
+                                              F.coalesce("unchecked", F.array().cast("array<string>")), F.coalesce("unknown", F.array().cast("array<string>"))))
               .withColumn("status", F.when(F.col("answered").isNotNull() | F.col("content").isNotNull(), "linked").otherwise("unanswered")))
     # keys in their order; the arguments are parsed, and so written canonically, or kept as text if they are no JSON
     arguments = F.coalesce(F.try_parse_json("arguments"), F.col("arguments").cast("variant")).alias("arguments")
@@ -143,7 +176,11 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     no_id = bare(extra.filter(~named), "unanswered")
     duplicates = bare(extra.filter(named), "duplicate")
     orphans = bare(results.join(first.select("conv_id", "call_id"), ["conv_id", "call_id"], "left_anti"), "orphan")
-    return linked.unionByName(no_id).unionByName(duplicates).unionByName(orphans)
+    # of the results of a call all but the one that counts
+    more = (results.groupBy("conv_id", "call_id", "turn").agg(F.count("*").alias("n")).join(answer.select("conv_id", "call_id", "answered"), ["conv_id", "call_id"])
+            .join(first.select("conv_id", "call_id"), ["conv_id", "call_id"]).withColumn("n", F.col("n") - F.col("turn").eqNullSafe(F.col("answered")).cast("int"))
+            .filter("n > 0").withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))))
+    return linked.unionByName(no_id).unionByName(duplicates).unionByName(bare(more, "orphan").withColumn("errors", F.array(F.lit("duplicate result")))).unionByName(orphans)
 
 
 def conversation_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -95,3 +95,26 @@ def test_stand_in_keeps_every_message(spark, sf_small):
     m = spark.read.parquet(f"{sf_small}/conversations.parquet")
     calls, results = T.conversation_calls(m)
     assert calls.count() == results.count() == m.count()
+
+
+def test_every_result_is_reported(spark):
+    calls = [(1, 0, "a", "tool", '{"q":"x"}', [])]
+    results = [(1, 1, "a", "one"), (1, 1, "a", "one"), (1, 1, "a", "two"), (1, 2, "a", None), (None, 1, "a", "x"), (1, None, "a", "z"), (1, 3, "b", "lost")]
+    got = T.link(spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS), spark.createDataFrame([("tool", json.dumps(RULE))], "name string, schema string")).collect()
+    assert sorted((str(r["conv_id"]), r["call_id"], str(r["turn"]), r["errors"][0] if r["errors"] else r["status"]) for r in got) == sorted(
+        [("1", "a", "0", "linked"), ("1", "a", "1", "duplicate result"), ("1", "a", "1", "duplicate result"), ("1", "a", "1", "duplicate result"),
+         ("1", "a", "2", "duplicate result"), ("None", "a", "1", "orphan"), ("1", "b", "3", "orphan")])
+
+
+def test_unchecked_keywords_are_named(spark):
+    rules = {"nested": {"properties": {"o": {"type": "object", "properties": {"x": {"type": "integer"}}, "required": ["x"]}}},
+             "bounds": {"properties": {"n": {"type": "integer", "minimum": 3}, "t": {"type": ["string", "null"]}, "e": {"enum": [1, 2]}}, "minProperties": 1},
+             "plain": {**RULE, "title": "t"}, "odd": {"properties": {"x": False}, "additionalProperties": {"type": "string"}}}
+    d = spark.createDataFrame([(k, json.dumps(v)) for k, v in rules.items()], "name string, schema string")
+    got = {r["name"]: r["u"] for r in d.select("name", T.unchecked_keywords(d["schema"]).alias("u")).collect()}
+    assert got == {"nested": ["unchecked properties of o", "unchecked required of o"], "plain": [],
+                   "bounds": ["unchecked enum of e", "unchecked minProperties", "unchecked minimum of n", "unchecked type of t"],
+                   "odd": ["unchecked additionalProperties", "unchecked properties"]}
+    calls = [(1, 0, "a", "nested", '{"o":{"x":"no"}}', []), (1, 1, "b", "plain", '{"q":"x"}', [])]
+    out = T.link(spark.createDataFrame(calls, CALLS), spark.createDataFrame([], RESULTS), d).collect()
+    assert {r["call_id"]: (r["valid"], r["errors"]) for r in out} == {"a": (False, got["nested"]), "b": (True, [])}
