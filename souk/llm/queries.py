@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import ann, decontam, html_text, langid, mixing, neardup, pseudonyms, quality, sharding, toolcalls
+from . import (ann, decontam, html_text, kmeans, langid, mixing, neardup, pseudonyms, quality, repeats, sharding, spelling,
+               toolcalls)
 
 QUERIES = {
     "op1_tool_calls": toolcalls.op1,
@@ -15,9 +16,15 @@ QUERIES = {
     "op8_language_id": langid.op8,
     "op9_minhash_neardup": neardup.op9,
     "op10_mixing": mixing.op10,
+    "op11_repeats": repeats.op11,
+    "op12_spelling": spelling.op12,
+    "op13_centroids": kmeans.op13,
 }
 
 ORACLE = {
     "op1_tool_calls": toolcalls.SQL,
     "op10_mixing": mixing.SQL,
+    "op11_repeats": repeats.SQL,
+    "op12_spelling": spelling.SQL,
+    "op13_centroids": kmeans.SQL,
 }
