@@ -22,11 +22,16 @@ SHAPES = {
     "op6_sharding": {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"},
     "op8_language_id": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
     "op10_mixing": {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
+    "op11_repeats": {"doc_id": "bigint", "n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string"},
+}
+KINDS = {
+    "op12_spelling": {"word": "string", "form": "string", "root": "string", "n": "bigint", "n_near": "bigint", "form_n": "bigint"},
+    "op13_centroids": {"vec_id": "bigint", "cluster": "int", "distance": "bigint", "cluster_inertia": "bigint", "inertia": "bigint", "centroid_sha256": "string"},
 }
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
@@ -49,6 +54,11 @@ def test_contract(spark, sf_small, name):
         assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % n == k) for r in rows)
 
 
+@pytest.mark.parametrize("name", sorted(KINDS))
+def test_columns(spark, sf_small, name):
+    assert dict(QUERIES[name](spark, sf_small).dtypes) == KINDS[name]
+
+
 def test_held_out_quality(spark):
     sf = "/root/testdata/sf0.01"
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
@@ -66,7 +76,7 @@ def test_held_out_language(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_equals_its_sql(spark, sf_small, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_small}/{t}.parquet'")
     df = QUERIES[name](spark, sf_small)
     got = sorted(map(str, (tuple(r) for r in df.collect())))
