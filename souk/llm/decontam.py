@@ -27,15 +27,17 @@ null ids are ids like any other; empty tables give no rows.
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import packed, ship, sliced, stash, table
-from .neardup import MIX, PRIME, WORD, _hashes, fingerprint, mixed, split_by_members
+from .neardup import MIX, PRIME, fingerprint, mixed, split_by_members
 
 #: words of a seed
 SEED = 2
@@ -46,6 +48,22 @@ FILTER_BITS = 23
 CLASSES = 8
 
 
+WORD = re.compile(r"\w+")
+
+
+class _WordHashes(dict):
+    """64-bit hash of a word; forgets all when it holds 20,000 words (more would leave the processor's cache)."""
+
+    def __missing__(self, word):
+        if len(self) > 20_000:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
+_hashes = _WordHashes()
+
+
 def seeds_of(words: list[str], single: bool) -> np.ndarray:
     """A row for each place: the hashes of the seeds that begin there (0: none); single words or pairs."""
     w = np.array([_hashes[x] for x in words], np.uint64)

@@ -12,8 +12,8 @@
    in a bucket.
 3. Within a bucket, texts whose samples agree in LOOSE of all cases or more are
    linked; the components of these links are candidate groups.  Buckets and
-   groups larger than BLOCK texts are compared block by block, so that no task
-   holds more than two blocks; what leaves a task is a spanning forest, not all
+   groups larger than BLOCK texts (verified: or BLOCK_BYTES) are compared block
+   by block, so that no task holds more than two blocks; what leaves a task is a spanning forest, not all
    pairs.
 4. Within a candidate group, the exact weighted Jaccard similarity of every pair
    decides (0.8 or more); the components of those links are the classes.
@@ -27,14 +27,12 @@ empty table gives no rows.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bytewords import hash_spans, run_hashes, spans
 from .common import packed, ship, sliced, stash, table
 from .components import components
 
@@ -43,13 +41,14 @@ THRESHOLD = 0.8
 BANDS, ROWS = 18, 6
 SAMPLES = BANDS * ROWS
 LOOSE = 0.64  # four standard deviations of 108 draws below 0.8
-BLOCK = 1024
+BLOCK = 512  # texts of a block ...
+BLOCK_BYTES = 4 << 20  # ... and the bytes of their texts, on the average
+PIECE = 1 << 18  # code points whose words are found at a time
 SKETCH = 1 << 17
 IDF_RANGE = 0.2
 FILTER_BITS = 26
 DRAWS = 1 << 13  # rows of random variates; a shingle's row is chosen by its hash
 
-WORD = re.compile(r"\w+")
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 
@@ -60,30 +59,44 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-class _WordHashes(dict):
-    """64-bit hash of a word; forgets all when it holds 20,000 words (more would leave the processor's cache)."""
+_letters: list[np.ndarray] = []
+
+
+def letters() -> np.ndarray:
+    """For every code point whether it is part of a word: letters, digits, underscore."""
+    if not _letters:
+        table = np.fromiter((chr(c).isalnum() for c in range(0x110000)), bool, 0x110000)
+        table[ord("_")] = True
+        _letters.append(table)
+    return _letters[0]
 
-    def __missing__(self, word):
-        if len(self) > 20_000:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
 
+def _shingled(texts: list[str], size: int):
+    points = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    starts, stops = spans(letters()[points], np.zeros(0, np.int64))  # the line break ends a text's last word
+    words = hash_spans(points, starts, stops)
+    runs = run_hashes(words, size)
+    bounds = np.searchsorted(starts, np.concatenate([[0], ends]))
+    for lo, hi in zip(bounds, bounds[1:]):
+        yield runs[lo:hi - size + 1] if hi - lo >= size else run_hashes(words[lo:hi], hi - lo) if hi > lo else words[:0]
 
-_hashes = _WordHashes()
+
+def all_shingles(texts, size: int = SHINGLE):
+    """For each text the hashes of its runs of ``size`` words, with repeats; one hash if there are fewer words."""
+    held, n = [], 0
+    for t in texts:
+        held.append(t.lower() if t else "")
+        n += len(held[-1])
+        if n > PIECE:
+            yield from _shingled(held, size)
+            held, n = [], 0
+    if held:
+        yield from _shingled(held, size)
 
 
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
-    """Hashes of the runs of ``size`` words, with repeats; one hash if there are fewer words."""
-    words = WORD.findall(text.lower()) if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    w = np.array([_hashes[x] for x in words], np.uint64)
-    n = max(1, len(w) - size + 1)
-    out = np.full(n, len(w) if len(w) < size else size, np.uint64)
-    for k in range(min(size, len(w))):
-        out = out * PRIME + w[k:k + n]
-    return mixed(out)
+    return next(all_shingles([text], size))
 
 
 class Weights:
@@ -108,8 +121,8 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     def count(batches):
         cells, n, held, size = np.zeros(SKETCH + 1, np.int64), 0, [], 0
         for b in sliced(batches):
-            for t in b.column(0).to_pylist():
-                h = np.unique(shingles(t))
+            for h in all_shingles(b.column(0).to_pylist()):
+                h = np.unique(h)
                 held.append(((h >> np.uint64(20)) & np.uint64(SKETCH - 1)).astype(np.int64))
                 size += len(h)
                 n += 1
@@ -192,11 +205,12 @@ def _signer(weights: Weights):
     def sign(batches):
         sampler = Sampler(weights)
         for b in sliced(batches):
-            draws = [sampler.sample(shingles(t)) for t in b.column("text").to_pylist()]
+            texts = b.column("text").to_pylist()
+            draws = [sampler.sample(h) for h in all_shingles(texts)]
             yield pa.record_batch([
-                b.column("fp"),
+                b.column("fp"), pa.array([len(t) if t else 0 for t in texts], pa.int64()),
                 pa.array([None if d is None else d.astype(np.uint8).tobytes() for d in draws], pa.binary()),
-                pa.array([[] if d is None else bands_of(d) for d in draws], pa.list_(pa.int64()))], names=["fp", "sig", "bands"])
+                pa.array([[] if d is None else bands_of(d) for d in draws], pa.list_(pa.int64()))], names=["fp", "size", "sig", "bands"])
     return sign
 
 
@@ -250,9 +264,9 @@ def _agreeing(groups):
     yield _edge_batch(out)
 
 
-def _blocks(df: DataFrame, group: str, size: str, block: int) -> DataFrame:
-    """Deal each group's rows to pairs (i, j) of its blocks; a group of up to ``block`` rows is one pair."""
-    n = F.ceil(F.col(size) / block).cast("int")
+def _blocks(df: DataFrame, group: str, blocks: Column) -> DataFrame:
+    """Deal each group's rows to pairs (i, j) of its blocks; a group of one block is one pair."""
+    n = blocks.cast("int")
     own = F.pmod(F.xxhash64("fp", group), n).cast("int")
     other = F.explode(F.sequence(F.lit(0), n - 1))
     return (df.withColumn("_own", own).withColumn("_other", other)
@@ -260,8 +274,12 @@ def _blocks(df: DataFrame, group: str, size: str, block: int) -> DataFrame:
 
 
 def elements(text: str, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
-    """A text as a weighted set: the n-th copy of a shingle is an element of its own, so min(tf, tf') counts common ones."""
-    h, tf = np.unique(shingles(text), return_counts=True)
+    return weighted(shingles(text), weights)
+
+
+def weighted(h: np.ndarray, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles as a weighted set: the n-th copy of a shingle is an element of its own, so min(tf, tf') counts common ones."""
+    h, tf = np.unique(h, return_counts=True)
     w = weights.of(h)
     if tf.max(initial=1) > 1:
         copy = np.concatenate([np.arange(k, dtype=np.uint64) for k in tf])
@@ -270,7 +288,7 @@ def elements(text: str, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
     return h, w
 
 
-def similarities(sets: list[tuple[np.ndarray, np.ndarray]], chunk: int = 4096) -> np.ndarray:
+def similarities(sets: list[tuple[np.ndarray, np.ndarray]], chunk: int = 1024) -> np.ndarray:
     """Weighted Jaccard similarity of all pairs of a block, by products over the shared elements."""
     n = len(sets)
     doc = np.repeat(np.arange(n), [len(h) for h, _ in sets])
@@ -299,7 +317,7 @@ def _verifier(weights: Weights, threshold: float):
         fp = t.column("fp").to_pylist()
         pairs = []
         if len(fp) > 1:
-            near = similarities([elements(x, weights) for x in t.column("text").to_pylist()]) >= threshold - 1e-9
+            near = similarities([weighted(h, weights) for h in all_shingles(t.column("text").to_pylist())]) >= threshold - 1e-9
             np.fill_diagonal(near, True)
             pairs = [(fp[x], fp[y]) for x, y in _forest(near)]
         return pa.Table.from_batches([_edge_batch(pairs)])
@@ -350,26 +368,28 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id
     ship(docs.sparkSession)
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("fp", fingerprint(F.col("text")))
     weights = Weights(*document_frequencies(base.select("text")))
-    signed = base.select("fp", "text").mapInArrow(_signer(weights), "fp binary, sig binary, bands array<bigint>")
-    nodes = stash(signed.filter("sig is not null").groupBy("fp").agg(F.min(F.struct("sig", "bands")).alias("s"))
-                  .select("fp", "s.sig", "s.bands"), "neardup_nodes")
+    signed = base.select("fp", "text").mapInArrow(_signer(weights), "fp binary, size bigint, sig binary, bands array<bigint>")
+    nodes = stash(signed.filter("sig is not null").groupBy("fp").agg(F.min(F.struct("sig", "bands", "size")).alias("s"))
+                  .select("fp", "s.sig", "s.bands", "s.size"), "neardup_nodes")
     bucket = nodes.select("fp", F.explode("bands").alias("key"))
     full = bucket.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     meeting = stash(bucket.join(full, "key"), "neardup_buckets")
-    dealt = _blocks(meeting, "key", "n", block).join(nodes.select("fp", "sig"), "fp")
+    dealt = _blocks(meeting, "key", F.ceil(F.col("n") / block)).join(nodes.select("fp", "sig"), "fp")
     links = (dealt.select("key", "i", "j", "fp", "sig").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "fp")
              .mapInArrow(_agreeing, EDGES))
     groups = components(links)
-    sizes = groups.groupBy("root").agg(F.count("*").alias("n"))
-    named = stash(groups.withColumnRenamed("node", "fp").join(sizes, "root"), "neardup_groups")
+    groups = stash(groups.withColumnRenamed("node", "fp").join(nodes.select("fp", "size"), "fp"), "neardup_sized")
+    share = F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("size") / BLOCK_BYTES))
+    sizes = stash(groups.groupBy("root").agg(share.alias("blocks")), "neardup_sizes")
+    named = stash(groups.select("fp", "root").join(sizes, "root"), "neardup_groups")
     # one row with the text of every grouped fingerprint
     one = base.select("fp", "id").join(named.select("fp"), "fp", "left_semi").groupBy("fp").agg(F.min("id").alias("id"))
     one = stash(one.join(named, "fp"), "neardup_members")
     kind = base.schema["id"].dataType.simpleString()
     t = base.select("id", "fp", "text").mapInArrow(_members(member_filter(one.select("fp"))), f"id {kind}, fp binary, text string")
     members = (t.join(one.withColumnsRenamed({"fp": "_f", "id": "_i"}), t["fp"].eqNullSafe(F.col("_f")) & t["id"].eqNullSafe(F.col("_i")))
-               .select("fp", "root", "n", "text").dropDuplicates(["fp"]))
-    verified = (_blocks(members, "root", "n", block).groupBy("root", "i", "j")
+               .select("fp", "root", "blocks", "text").dropDuplicates(["fp"]))
+    verified = (_blocks(members, "root", F.col("blocks")).groupBy("root", "i", "j")
                 .applyInArrow(_verifier(weights, threshold), EDGES))
     return components(verified).withColumnRenamed("node", "fp")
 

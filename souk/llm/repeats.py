@@ -145,8 +145,9 @@ def _cut(window: int):
 
 
 def _repeated(anchors: DataFrame) -> DataFrame:
-    """Anchors that stand under two ids at least."""
-    return anchors.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z").select("h")
+    """Anchors that stand under two ids at least; written, so that both sides of the join with them are plain
+    and a frequent anchor can be split."""
+    return stash(anchors.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z").select("h"), "repeats_repeated")
 
 
 def _known(anchors: DataFrame, repeated: DataFrame) -> DataFrame:
@@ -185,7 +186,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_
     found = stash(texts.join(known, ["id", "fp"]).select("id", "number", "text", "known")
                   .mapInArrow(_windows(steps[-2] if len(steps) > 1 else window, window),
                               f"id {kind}, number bigint, h bigint, g bigint, at int"), "repeats_windows")
-    least = found.groupBy("h", "g").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z").select("h", "g", "a")
+    least = stash(found.groupBy("h", "g").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z").select("h", "g", "a"), "repeats_least")
     starts = found.join(least, ["h", "g"]).filter("a < id").groupBy("id", "number").agg(F.collect_list("at").alias("starts"))
     cut = stash(texts.join(starts, ["id", "number"]).select("id", "fp", "text", "starts")
                 .mapInArrow(_cut(window), f"id {kind}, fp binary, spans array<struct<start:int,end:int>>, n_removed bigint, kept string, sha string"),
