@@ -51,9 +51,14 @@ def compile_rules(rules=DEFAULT_RULES, default: str = LABEL_NORMAL) -> Column:
 def label_products(df: DataFrame, th=None, rules=DEFAULT_RULES, default: str = LABEL_NORMAL,
                    label_col: str = "label") -> DataFrame:
     """Append ``label``.  Thresholds are computed from ``df`` unless given
-    (dict, or DataFrame of exactly one row, which is joined to every row)."""
+    (dict, or DataFrame of exactly one row, which is joined to every row).
+
+    Computed thresholds are one row of a few numbers; they are worked out once,
+    here, and stand in the plan as constants, so no later action repeats them and
+    what does not read the label carries nothing of them.
+    """
     if th is None:
-        th = thresholds(df)
+        th = thresholds(df).first().asDict()
     names = list(th) if isinstance(th, dict) else th.columns
     clash = [k for k in names if k in df.columns]
     if clash:

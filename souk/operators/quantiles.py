@@ -4,9 +4,8 @@ Spark's ``percentile`` aggregate merges every distinct value of a group into
 one task.  Here the work is spread out:
 
 1. count rows per distinct (group, column, value)  – partial aggregation;
-2. range-partition those counts by (group, column, value) and pin the
-   partition id with a reliable checkpoint (so a retried task sees the same
-   layout);
+2. range-partition those counts by (group, column, value) and write them with
+   their partition id as Parquet (so a retried task sees the same layout);
 3. per (partition, group, column) totals -> running offsets across partitions
    (at most #partitions rows per group);
 4. rank interval of every distinct value = offset + running sum inside its
@@ -23,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from souk.session import hand_off
+
 
 def quantiles(df: DataFrame, specs: list[tuple[str, str, float]], by: list[str] | tuple = (),
               num_partitions: int | None = None, checkpoint: bool = True, weight: str | None = None) -> DataFrame:
@@ -47,7 +48,7 @@ def quantiles(df: DataFrame, specs: list[tuple[str, str, float]], by: list[str]
               else counts.repartitionByRange(*keys))
     ranged = ranged.withColumn("_pid", F.spark_partition_id())
     if checkpoint:
-        ranged = ranged.checkpoint(eager=True)
+        ranged = hand_off(ranged, "ranged_counts")
 
     grp = [*by, "k"]
     part = ranged.groupBy("_pid", *grp).agg(F.sum("c").alias("_pc"))

@@ -52,6 +52,38 @@ def scatter_data(df: DataFrame, x: str, y: str, hue: str) -> DataFrame:
     return df.select(x, y, hue)
 
 
+def scatter_bins(df: DataFrame, x: str, y: str, hue: str, bins: tuple[int, int] = (40, 40)) -> DataFrame:
+    """The scatter as a grid: rows of every cell and hue that has any.
+
+    Cells are of equal width over [min, max] of each axis, the last one closed on
+    the right; columns: x_bin, y_bin (1-based), hue, n.  Rows without both
+    values are left out, as a scatter leaves them out.  At most bins x bins x
+    hues rows, whatever the input.
+    """
+    v = [F.col(c).cast("double") for c in (x, y)]
+    rows = df.where(F.nanvl(v[0], F.lit(None)).isNotNull() & F.nanvl(v[1], F.lit(None)).isNotNull())
+    r = rows.agg(F.min(v[0]).alias("x0"), F.max(v[0]).alias("x1"), F.min(v[1]).alias("y0"), F.max(v[1]).alias("y1")).first()
+    cells = []
+    for c, (lo, hi), n in zip(v, ((r["x0"], r["x1"]), (r["y0"], r["y1"])), bins, strict=True):
+        if lo is None or lo == hi:  # no rows, or all on one line
+            cells.append(F.lit(1))
+        else:
+            at = F.floor((c - F.lit(lo)) * (F.lit(float(n)) / (F.lit(hi) - F.lit(lo))))
+            cells.append((F.least(at, F.lit(n - 1)) + 1).cast("int"))
+    return rows.groupBy(cells[0].alias("x_bin"), cells[1].alias("y_bin"), hue).agg(F.count(F.lit(1)).alias("n"))
+
+
+def scatter_sample(df: DataFrame, x: str, y: str, hue: str, row_id: list[str], max_rows: int = 5000, seed: int = 0) -> DataFrame:
+    """A bounded, repeatable sample of the scatter's points: the ``max_rows`` rows of smallest md5 of row id and seed.
+
+    The hash alone decides, so partitions and order do not matter; every task
+    keeps ``max_rows`` rows at most.  Ties (rows with equal ids) go by the values.
+    """
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in row_id], F.lit(str(seed)))
+    rows = df.select(F.md5(text.cast("binary")).alias("_h"), x, y, hue)
+    return rows.orderBy("_h", F.asc_nulls_first(x), F.asc_nulls_first(y), F.asc_nulls_first(hue)).limit(max_rows).drop("_h")
+
+
 def null_audit(df: DataFrame, stage: str | None = None) -> DataFrame:
     """NULL count of every column: one aggregate pass, then one row per column."""
     cols = df.columns

@@ -37,23 +37,37 @@ def histogram_edges(lo: float, hi: float) -> tuple[float, float]:
     return lo, hi
 
 
+def value_counts(df: DataFrame, keys: list[str], y: str) -> DataFrame:
+    """Rows of every group and distinct finite value of ``y``: keys, _y, _c.
+
+    One pass over the rows with partial aggregation; written, because several
+    steps read it.
+    """
+    v = F.col(y).cast("double").alias("_y")
+    return hand_off(df.where(_finite(y)).groupBy(*keys, v).agg(F.count(F.lit(1)).alias("_c")), "value_counts")
+
+
 def histogram(df: DataFrame, col: str, bins: int = 30, digits: int = 6) -> DataFrame:
     """Equal-width histogram over [min, max]; the last bin is closed on the right.
 
     Columns: bin (1-based), bin_lo, bin_hi, n.  Every bin is present, empty
     ones with n = 0.
     """
-    spark = df.sparkSession
-    lo, hi, n = column_range(df, col)
-    grid = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
-    if n == 0:
+    return histogram_of(value_counts(df, [], col), bins, digits)
+
+
+def histogram_of(counts: DataFrame, bins: int = 30, digits: int = 6) -> DataFrame:
+    """The histogram of a table of values and their counts (_y, _c)."""
+    grid = counts.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    x, c = F.col("_y"), F.col("_c")
+    r = counts.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    if r["lo"] is None:
         return grid.select("bin", F.lit(None).cast("double").alias("bin_lo"),
                            F.lit(None).cast("double").alias("bin_hi"), F.lit(0).cast("bigint").alias("n"))
-    lo, hi = histogram_edges(lo, hi)
-    x = F.col(col).cast("double")
+    lo, hi = histogram_edges(r["lo"], r["hi"])
     idx = F.floor((x - F.lit(lo)) * (F.lit(float(bins)) / (F.lit(hi) - F.lit(lo))))
     b = (F.least(idx, F.lit(bins - 1)) + 1).cast("int")
-    counts = df.where(_finite(col)).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    found = counts.groupBy(b.alias("bin")).agg(F.sum(c).alias("n"))
     step = (F.lit(hi) - F.lit(lo)) / F.lit(float(bins))
     edges = grid.select(
         "bin",
@@ -61,31 +75,32 @@ def histogram(df: DataFrame, col: str, bins: int = 30, digits: int = 6) -> DataF
         F.round(F.when(F.col("bin") == bins, F.lit(hi)).otherwise(F.lit(lo) + F.col("bin") * step),
                 digits).alias("bin_hi"),
     )
-    return edges.join(counts, "bin", "left").select(
+    return edges.join(found, "bin", "left").select(
         "bin", "bin_lo", "bin_hi", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
-def value_counts(df: DataFrame, keys: list[str], y: str) -> DataFrame:
-    """Rows of every group and distinct finite value of ``y``: keys, _y, _c.
-
-    One pass over the rows with partial aggregation; written, because several
-    steps read it.
-    """
-    v = F.col(y).cast("double").alias("_y")
-    return hand_off(df.where(_finite(y)).groupBy(*keys, v).agg(F.count(F.lit(1)).alias("_c")), "value_counts")
-
-
 def kde_curve(df: DataFrame, col: str, grid: int = 200, bins: int = 30, digits: int = 6) -> DataFrame:
     """Gaussian KDE over [min, max] on ``grid`` points, Scott's bandwidth
     (n^(-1/5) x sample stddev), scaled to histogram counts (x n x bin width).
 
-    Works on distinct values weighted by their count: one pass over the rows
-    counts them; every distinct value then adds its kernel to ``grid`` running
-    sums (one aggregate, no row per value and grid point).
+    Works on distinct values weighted by their count: one pass over the rows counts them.
     Columns: grid_idx (0-based), x, density (count scale).
     """
-    spark = df.sparkSession
-    counts = value_counts(df, [], col)
+    return kde_of(value_counts(df, [], col), grid, bins, digits)
+
+
+#: sums of one aggregate of the KDE; more than 100 fields would leave whole-stage code generation
+KDE_BLOCK = 25
+
+
+def kde_of(counts: DataFrame, grid: int = 200, bins: int = 30, digits: int = 6) -> DataFrame:
+    """The KDE curve of a table of values and their counts (_y, _c).
+
+    The grid is cut into blocks of KDE_BLOCK points.  Every distinct value meets
+    each block once and adds its kernel to the block's running sums, in one
+    partially aggregated pass within generated code.
+    """
+    spark = counts.sparkSession
     c, v = F.col("_c"), F.col("_y")
     first = counts.agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.sum(c).alias("n"), F.sum(c * v).alias("s")).first()
     n = int(first["n"] or 0)
@@ -101,11 +116,16 @@ def kde_curve(df: DataFrame, col: str, grid: int = 200, bins: int = 30, digits:
     scale = n * (bhi - blo) / bins
     norm = 1.0 / (n * h * math.sqrt(2 * math.pi))
     step = (hi - lo) / (grid - 1)
-    xs = [hi if i == grid - 1 else lo + i * step for i in range(grid)]
-    sums = counts.agg(*[F.sum(c * F.exp(F.lit(-0.5) * F.pow((F.lit(x) - v) / F.lit(h), 2))).alias(f"s{i}") for i, x in enumerate(xs)])
-    points = F.array(*[F.struct(F.lit(i).alias("grid_idx"), F.lit(x).alias("x"), F.col(f"s{i}").alias("s")) for i, x in enumerate(xs)])
-    return sums.select(F.inline(points)).select(
-        "grid_idx", F.round("x", digits).alias("x"), F.round(F.col("s") * F.lit(norm * scale), digits).alias("density"))
+
+    blocks = -(-grid // KDE_BLOCK)
+    each = counts.select(v, c, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_b"))
+    each = each.select("_b", c, ((F.lit(lo) + F.col("_b") * F.lit(KDE_BLOCK * step) - v) / F.lit(h)).alias("_t"))
+    at = [F.col("_t") + F.lit(j * step / h) for j in range(KDE_BLOCK)]
+    sums = each.groupBy("_b").agg(*[F.sum(c * F.exp(F.lit(-0.5) * t * t)).alias(f"s{j}") for j, t in enumerate(at)])
+    points = F.array(*[F.struct((F.col("_b") * KDE_BLOCK + j).cast("int").alias("grid_idx"), F.col(f"s{j}").alias("s")) for j in range(KDE_BLOCK)])
+    x = F.when(F.col("grid_idx") == grid - 1, F.lit(hi)).otherwise(F.lit(lo) + F.col("grid_idx") * F.lit(step))
+    return (sums.select(F.inline(points)).where(F.col("grid_idx") < grid)
+            .select("grid_idx", F.round(x, digits).alias("x"), F.round(F.col("s") * F.lit(norm * scale), digits).alias("density")))
 
 
 def _same_group(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -128,7 +148,11 @@ def box_stats(df: DataFrame, group: str, y: str, whis: float = 1.5, digits: int
     The rows are read once, into counts of distinct values; quartiles, fences
     and sums come from the counts.
     """
-    counts = value_counts(df, [group], y)
+    return box_of(value_counts(df, [group], y), group, whis, digits)
+
+
+def box_of(counts: DataFrame, group: str, whis: float = 1.5, digits: int = 6) -> DataFrame:
+    """Box-plot statistics of a table of values and their counts (group, _y, _c)."""
     q = quantiles(counts, [("q1", "_y", 0.25), ("med", "_y", 0.5), ("q3", "_y", 0.75)], by=[group], weight="_c")
     j = _same_group(counts, q, [group])
     lo_f, hi_f = _fences(whis)
@@ -160,6 +184,28 @@ def box_outliers(df: DataFrame, group: str, y: str, keep: list[str], whis: float
             .select(group, *keep, v.alias(y)))
 
 
+def outliers_of(counts: DataFrame, group: str, y: str, whis: float = 1.5) -> DataFrame:
+    """The fliers of a box plot from a table of counts (group, _y, _c): group, value and how many rows have it."""
+    q = quantiles(counts, [("q1", "_y", 0.25), ("q3", "_y", 0.75)], by=[group], weight="_c")
+    lo_f, hi_f = _fences(whis)
+    v = F.col("_y")
+    return _same_group(counts, q, [group]).where((v < lo_f) | (v > hi_f)).select(group, v.alias(y), F.col("_c").alias("n"))
+
+
+def mean_of(counts: DataFrame, group: str, out: str = "mean", z: float | None = None, digits: int = 6) -> DataFrame:
+    """Mean of a table of counts (group, _y, _c), with the normal confidence interval if ``z`` is given."""
+    v, c = F.col("_y"), F.col("_c")
+    a = counts.groupBy(group).agg(F.sum(c).alias("n"), (F.sum(v * c) / F.sum(c)).alias("m"))
+    if z is None:
+        return a.select(group, F.round("m", digits).alias(out), "n")
+    square = _same_group(counts, a, [group]).groupBy(group).agg(F.sum(c * (v - F.col("m")) * (v - F.col("m"))).alias("q"))
+    a = _same_group(a, square, [group])
+    n = F.col("n").cast("double")
+    half = F.lit(z) * F.sqrt(F.col("q") / F.when(n > 1, n - 1)) / F.sqrt(n)
+    return a.select(group, "n", F.round("m", digits).alias(out), F.round(F.col("m") - half, digits).alias("ci_lo"),
+                    F.round(F.col("m") + half, digits).alias("ci_hi"))
+
+
 def group_mean(df: DataFrame, keys: list[str], y: str, out: str = "mean", digits: int = 6) -> DataFrame:
     return df.groupBy(*keys).agg(F.round(F.avg(F.col(y).cast("double")), digits).alias(out),
                                  F.count(F.col(y)).alias("n"))
@@ -194,10 +240,18 @@ def _poisson1(u):
     return w
 
 
+def _text(*parts):
+    """The parts joined by "|", NULL as ""; a part is a column name, a Column or a number."""
+    return F.concat_ws("|", *[F.lit(str(p)) if isinstance(p, int) else F.coalesce((F.col(p) if isinstance(p, str) else p).cast("string"), F.lit("")) for p in parts])
+
+
 def _hash_number(digits: int, *parts):
-    """The first ``digits`` hex digits of md5 of the parts (joined by "|", NULL as "") as a number."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(p).cast("string"), F.lit("")) if isinstance(p, str) else F.lit(str(p)) for p in parts])
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, digits), 16, 10).cast("bigint")
+    """The first ``digits`` hex digits of md5 of the parts as a number."""
+    return F.conv(F.substring(F.md5(_text(*parts).cast("binary")), 1, digits), 16, 10).cast("bigint")
+
+
+#: draws out of one SHA-256 digest, of 13 hex digits (52 bits) each
+DRAWS = 4
 
 
 def mean_ci_bootstrap(df: DataFrame, keys: list[str], y: str, row_id: list[str], n_boot: int = 1000,
@@ -206,22 +260,38 @@ def mean_ci_bootstrap(df: DataFrame, keys: list[str], y: str, row_id: list[str],
 
     Rows are dealt by a hash of ``row_id`` to ``blocks`` random blocks (the same
     number at every size) and summed per group and block in one partially
-    aggregated pass.  Each replicate gives every block a Poisson(1) weight from
-    a hash of group, block, replicate and seed, so it is repeatable whatever the
-    partitioning.  Replicate mean = sum(w * block sum) / sum(w * block count);
-    the interval is the (1-level)/2 and (1+level)/2 quantiles of the replicate
-    means.  Blocks are random subsets, so the variance of the mean is that of
-    the rows; the replicates cost groups x blocks x n_boot whatever the size.
+    aggregated pass.  Each replicate gives every block a Poisson(1) weight; one
+    digest of group, block, replicates and seed gives the weights of DRAWS
+    replicates, so they are repeatable whatever the partitioning.  A group's
+    blocks are one array (``blocks`` pairs at most), which each task folds into
+    its replicates' sums; no row is made for a block and replicate.
+    Replicate mean = sum(w * block sum) / sum(w * block count); the interval is
+    the (1-level)/2 and (1+level)/2 quantiles of the replicate means.  Blocks are
+    random subsets, so the variance of the mean is that of the rows.
     """
+    spark = df.sparkSession
     v = F.col(y).cast("double")
     blk = (_hash_number(8, *row_id, seed) % blocks).alias("_blk")
     sums = df.where(_finite(y)).groupBy(*keys, blk).agg(F.sum(v).alias("_s"), F.count(v).alias("_c"))
-    reps = sums.select(*keys, "_blk", "_s", "_c", F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("_b"))
-    u = _hash_number(13, *keys, "_blk", "_b", seed).cast("double") / F.lit(float(1 << 52))
-    reps = reps.withColumn("_w", _poisson1(u))
-    per = reps.groupBy(*keys, "_b").agg(F.sum(F.col("_w") * F.col("_s")).alias("_ws"),
-                                        F.sum(F.col("_w") * F.col("_c")).alias("_wc"))
-    per = per.where(F.col("_wc") > 0).withColumn("_m", F.col("_ws") / F.col("_wc"))
+    folded = sums.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_blk", "_s", F.col("_c").cast("double").alias("_c")))).alias("_v"))
+    turns = -(-n_boot // DRAWS)
+    # a row per group and turn: the turns are the units of work, dealt to all cores
+    reps = (folded.select(*keys, "_v", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("_turn"))
+            .repartition(max(1, spark.sparkContext.defaultParallelism), *keys, "_turn"))
+    digest = F.transform("_v", lambda b: F.struct(b["_s"].alias("s"), b["_c"].alias("c"),
+                                                  F.sha2(_text(*keys, b["_blk"], "_turn", seed).cast("binary"), 256).alias("h")))
+    weight = lambda part: _poisson1(part)
+    uniform = lambda h, k: F.conv(F.substring(h, 1 + 13 * k, 13), 16, 10).cast("bigint").cast("double") / F.lit(float(1 << 52))
+    weights = F.transform(digest, lambda b: F.struct(b["s"].alias("s"), b["c"].alias("c"),
+                                                     F.transform(F.array(*[uniform(b["h"], k) for k in range(DRAWS)]), weight).alias("w")))
+    zero = F.array(*[F.lit(0.0) for _ in range(2 * DRAWS)])
+    total = F.aggregate(weights, zero, lambda acc, b: F.array(
+        *[F.get(acc, F.lit(k)) + F.get(b["w"], F.lit(k)) * b["s"] for k in range(DRAWS)],
+        *[F.get(acc, F.lit(DRAWS + k)) + F.get(b["w"], F.lit(k)) * b["c"] for k in range(DRAWS)]))
+    per = reps.select(*keys, "_turn", total.alias("_t"))
+    per = per.select(*keys, F.inline(F.array(*[F.struct(
+        (F.col("_turn") * DRAWS + k).alias("_b"), F.get("_t", F.lit(k)).alias("_ws"), F.get("_t", F.lit(DRAWS + k)).alias("_wc")) for k in range(DRAWS)])))
+    per = per.where((F.col("_b") < n_boot) & (F.col("_wc") > 0)).withColumn("_m", F.col("_ws") / F.col("_wc"))
     lo_q, hi_q = (1 - level) / 2, (1 + level) / 2
     ci = quantiles(per, [("ci_lo", "_m", lo_q), ("ci_hi", "_m", hi_q)], by=keys)
     means = df.groupBy(*keys).agg(F.avg(v).alias("mean"), F.count(v).alias("n"))
@@ -230,5 +300,5 @@ def mean_ci_bootstrap(df: DataFrame, keys: list[str], y: str, row_id: list[str],
         F.round("ci_lo", digits).alias("ci_lo"), F.round("ci_hi", digits).alias("ci_hi"))
 
 
-__all__ = ["column_range", "histogram", "value_counts", "kde_curve", "box_stats", "box_outliers", "group_mean",
-           "mean_ci_normal", "mean_ci_bootstrap"]
+__all__ = ["column_range", "histogram", "histogram_of", "value_counts", "kde_curve", "kde_of", "box_stats", "box_of", "box_outliers",
+           "outliers_of", "group_mean", "mean_of", "mean_ci_normal", "mean_ci_bootstrap"]

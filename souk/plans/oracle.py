@@ -288,6 +288,7 @@ pay AS (
   UNION ALL SELECT DISTINCT 'Tiki', {TIKI_KEY}, {TIKI_PAGE}, l_orderkey FROM base WHERE l_suppkey % 3 = 1 AND l_orderkey % {FX.TIKI_TEXT_MOD} = 1
   UNION ALL SELECT DISTINCT 'Tiki', {TIKI_KEY}, {TIKI_PAGE}, l_orderkey FROM base WHERE l_suppkey % 3 = 1 AND l_orderkey % {FX.TIKI_OBJECT_MOD} = 1
   UNION ALL SELECT 'Lazada', {LZ_KEY}, {LZ_PAGE}, l_orderkey FROM lz_orders WHERE l_orderkey % {FX.TRAILING_MOD} = 1
+  UNION ALL SELECT 'Lazada', {LZ_KEY}, {LZ_PAGE}, l_orderkey FROM lz_orders WHERE l_orderkey % {FX.SECOND_MOD} BETWEEN 1 AND 4
   UNION ALL SELECT DISTINCT 'Shopee', '{FX.SHOPEE_KEY}', {SP_PAGE}, l_orderkey FROM base WHERE l_suppkey % 3 = 2
   UNION ALL SELECT DISTINCT 'Shopee', '{FX.SHOPEE_KEY}', {SP_PAGE}, l_orderkey FROM base WHERE l_suppkey % 3 = 2 AND l_orderkey % {FX.SHOPEE_OBJECT_MOD} = 1)
 """

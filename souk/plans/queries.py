@@ -373,8 +373,10 @@ def _poisson_sql(u: str) -> str:
 @query("avg_sold_ci_boot", O.with_ctes("labeled", f"""
 , blk AS (SELECT label, ('0x' || substr(md5(product_url || '|42'), 1, 8))::BIGINT % 1024 AS b,
                  sum(quantity_sold_value::DOUBLE) AS s, count(quantity_sold_value) AS c FROM labeled GROUP BY 1, 2),
-rep AS (SELECT label, r.i, s, c, ('0x' || substr(md5(label || '|' || b::VARCHAR || '|' || r.i::VARCHAR || '|42'), 1, 13))::BIGINT::DOUBLE
-               / 4503599627370496::DOUBLE AS u FROM blk CROSS JOIN range(1, 1001) AS r(i)),
+dig AS (SELECT label, s, c, r.t, sha256(label || '|' || b::VARCHAR || '|' || r.t::VARCHAR || '|42') AS h
+        FROM blk CROSS JOIN range(0, 250) AS r(t)),
+rep AS (SELECT label, t * 4 + k.k AS i, s, c, ('0x' || substr(h, 1 + 13 * k.k::INT, 13))::BIGINT::DOUBLE / 4503599627370496::DOUBLE AS u
+        FROM dig CROSS JOIN range(0, 4) AS k(k)),
 m AS (SELECT label, i, sum(w * s) / sum(w * c) AS m FROM (SELECT *, {_poisson_sql('u')} AS w FROM rep)
       GROUP BY label, i HAVING sum(w * c) > 0),
 ci AS (SELECT label, quantile_cont(m, 0.025) AS lo, quantile_cont(m, 0.975) AS hi FROM m GROUP BY label)
@@ -423,6 +425,28 @@ def q_price_vs_sold(spark, sf_dir):
     return report.scatter_data(lab, "current_price", "sold", "label")
 
 
+@query("price_sold_bins", O.with_ctes("labeled", """
+, p AS (SELECT current_price::DOUBLE AS x, quantity_sold_value::DOUBLE AS y, label FROM labeled
+        WHERE current_price IS NOT NULL AND NOT isnan(current_price::DOUBLE) AND quantity_sold_value IS NOT NULL),
+r AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM p)
+SELECT CAST(least(floor((x - x0) * (40::DOUBLE / (x1 - x0))), 39) + 1 AS INTEGER) AS x_bin,
+       CAST(least(floor((y - y0) * (40::DOUBLE / (y1 - y0))), 39) + 1 AS INTEGER) AS y_bin, label, count(*) AS n
+FROM p, r GROUP BY ALL"""))
+def q_price_sold_bins(spark, sf_dir):
+    """The price / sold scatter as a 40 x 40 grid of counts per label."""
+    lab = P.labeled(spark, sf_dir).withColumn("sold", F.col("quantity_sold_value"))
+    return report.scatter_bins(lab, "current_price", "sold", "label")
+
+
+@query("price_sold_sample", O.with_ctes("labeled", """
+SELECT current_price, quantity_sold_value AS sold, label FROM labeled
+ORDER BY md5(product_url || '|7'), current_price NULLS FIRST, quantity_sold_value NULLS FIRST, label NULLS FIRST LIMIT 2000"""))
+def q_price_sold_sample(spark, sf_dir):
+    """A bounded sample of the scatter: the 2,000 rows of smallest seeded hash."""
+    lab = P.labeled(spark, sf_dir).withColumn("sold", F.col("quantity_sold_value"))
+    return report.scatter_sample(lab, "current_price", "sold", "label", row_id=["product_url"], max_rows=2000, seed=7)
+
+
 @query("preview", O.with_ctes("raw", "SELECT * FROM raw ORDER BY crawl_date, ord_key, ord_line, id LIMIT 5"))
 def q_preview(spark, sf_dir):
     return report.preview(raw_listing_rows(spark, sf_dir), RAW_ORDER, 5)
@@ -482,6 +506,8 @@ SELECT 'Lazada', {O.LZ_KEY}, {O.LZ_PAGE}, 'malformed' FROM lz_orders WHERE {O.LZ
 UNION ALL
 SELECT 'Lazada', {O.LZ_KEY}, {O.LZ_PAGE}, 'trailing_text' FROM lz_orders WHERE l_orderkey % {O.FX.TRAILING_MOD} = 1
 UNION ALL
+SELECT 'Lazada', {O.LZ_KEY}, {O.LZ_PAGE}, 'trailing_text' FROM lz_orders WHERE l_orderkey % {O.FX.SECOND_MOD} BETWEEN 1 AND 4
+UNION ALL
 SELECT platform, url_key, page, 'not_a_list' FROM (
   SELECT DISTINCT 'Tiki' AS platform, {O.TIKI_KEY} AS url_key, {O.TIKI_PAGE} AS page, l_orderkey FROM base
     WHERE l_suppkey % 3 = 1 AND l_orderkey % {O.FX.TIKI_TEXT_MOD} = 1
@@ -490,7 +516,7 @@ SELECT platform, url_key, page, 'not_a_list' FROM (
   UNION ALL SELECT DISTINCT 'Shopee', '{O.FX.SHOPEE_KEY}', {O.SP_PAGE}, l_orderkey FROM base
     WHERE l_suppkey % 3 = 2 AND l_orderkey % {O.FX.SHOPEE_OBJECT_MOD} = 1)"""))
 def q_ingest_quarantine(spark, sf_dir):
-    """Payloads that are not JSON objects, with the reason."""
+    """Payloads that are not one whole JSON object with a list of items, with the reason."""
     return _ingested(spark, sf_dir)["quarantine"].select("platform", "url_key", "page", "reason")
 
 
@@ -578,31 +604,75 @@ def q_landing_to_labels(spark, sf_dir):
     return report.crawl_summary(lab, keys=("platform", "label")).withColumnRenamed("n_rows", "n")
 
 
-_REPORT_SQL = """
-, qp AS (SELECT label, quantile_cont(current_price, 0.25) AS q1, quantile_cont(current_price, 0.75) AS q3,
-                quantile_cont(rating_score, 0.25) AS r1, quantile_cont(rating_score, 0.75) AS r3 FROM labeled GROUP BY label),
-o AS (SELECT count(*) FILTER (WHERE current_price < q1 - 1.5 * (q3 - q1) OR current_price > q3 + 1.5 * (q3 - q1)) AS price,
-             count(*) FILTER (WHERE rating_score < r1 - 1.5 * (r3 - r1) OR rating_score > r3 + 1.5 * (r3 - r1)) AS rating
-      FROM labeled l JOIN qp ON qp.label IS NOT DISTINCT FROM l.label),
-g AS (SELECT count(DISTINCT label) AS n FROM labeled),
-t AS (SELECT count(*) AS n FROM (SELECT DISTINCT label, product_name FROM (
-  SELECT *, row_number() OVER (PARTITION BY label ORDER BY quantity_sold_value DESC NULLS LAST, product_url) AS rn FROM labeled) WHERE rn <= 3))
-SELECT 'labeled' AS dataset, count(*) AS n FROM labeled
-UNION ALL SELECT 'price_vs_sold', count(*) FROM labeled
-UNION ALL SELECT x.dataset, g.n FROM g, (VALUES ('label_distribution'), ('price_by_label'), ('rating_by_label'), ('avg_sold_by_label'), ('avg_sold_ci')) AS x(dataset)
-UNION ALL SELECT 'price_histogram', 30 UNION ALL SELECT 'price_kde', 200
-UNION ALL SELECT 'price_outliers', price FROM o UNION ALL SELECT 'rating_outliers', rating FROM o
-UNION ALL SELECT 'top_products', n FROM t"""
-
-
-@query("report_run", O.ingest_chain("labeled", _REPORT_SQL))
+def _report_sql() -> str:
+    """Every chart's values as rows (dataset, item, measure, value), from plain SQL over the labelled rows."""
+    def box(name: str, y: str) -> str:
+        return f"""{name}_q AS (SELECT label, quantile_cont({y}, 0.25) AS q1, quantile_cont({y}, 0.5) AS med, quantile_cont({y}, 0.75) AS q3 FROM labeled GROUP BY label),
+{name}_j AS (SELECT l.label, l.{y} AS y, q1, med, q3, q1 - 1.5 * (q3 - q1) AS lof, q3 + 1.5 * (q3 - q1) AS hif FROM labeled l JOIN {name}_q USING (label)),
+{name}_b AS (SELECT label, any_value(q1) AS q1, any_value(med) AS median, any_value(q3) AS q3,
+  greatest(0, count(*) FILTER (WHERE y < lof OR y > hif))::DOUBLE AS n_outliers, avg(y) AS mean,
+  CASE WHEN min(y) FILTER (WHERE y >= lof) > any_value(q1) THEN any_value(q1) ELSE coalesce(min(y) FILTER (WHERE y >= lof), any_value(q1)) END AS whislo,
+  CASE WHEN max(y) FILTER (WHERE y <= hif) < any_value(q3) THEN any_value(q3) ELSE coalesce(max(y) FILTER (WHERE y <= hif), any_value(q3)) END AS whishi
+  FROM {name}_j GROUP BY label)"""
+
+    def rows(dataset: str, item: str, source: str, measures: str) -> str:
+        return "\nUNION ALL ".join(f"SELECT '{dataset}' AS dataset, {item} AS item, '{m}' AS measure, round(({m})::DOUBLE, 4) AS value FROM {source}"
+                                   for m in measures.split())
+    boxes = "q1 median q3 whislo whishi n_outliers mean"
+    hist = _HIST.split("SELECT bins.bin", 1)
+    kde = _KDE.split("SELECT grid_idx, round(x, 6)", 1)
+    # both start with a CTE named st; the second one is renamed
+    kde_ctes = kde[0].replace(", st AS", ", kst AS", 1).replace("FROM st)", "FROM kst)")
+    return f"""{hist[0]}, hist AS (SELECT bins.bin{hist[1]}){kde_ctes}, kde AS (SELECT grid_idx, round(x, 6){kde[1]}),
+{box('pr', 'current_price')}, {box('ra', 'rating_score')},
+dist AS (SELECT label, count(*) AS n, count(*) / sum(count(*)) OVER () AS share FROM labeled GROUP BY label),
+sold AS (SELECT label, avg(quantity_sold_value::DOUBLE) AS mean, avg(quantity_sold_value::DOUBLE) AS mean_sold, count(quantity_sold_value) AS n,
+  avg(quantity_sold_value::DOUBLE) - {stats.Z_95} * stddev_samp(quantity_sold_value::DOUBLE) / sqrt(count(quantity_sold_value)) AS ci_lo,
+  avg(quantity_sold_value::DOUBLE) + {stats.Z_95} * stddev_samp(quantity_sold_value::DOUBLE) / sqrt(count(quantity_sold_value)) AS ci_hi
+  FROM labeled GROUP BY label),
+pout AS (SELECT label, y, count(*) AS n FROM pr_j WHERE y < lof OR y > hif GROUP BY ALL),
+rout AS (SELECT label, y, count(*) AS n FROM ra_j WHERE y < lof OR y > hif GROUP BY ALL),
+top AS (SELECT label, product_name, avg(sold) AS mean_sold FROM (
+  SELECT label, product_name, quantity_sold_value AS sold, row_number() OVER (PARTITION BY label ORDER BY quantity_sold_value DESC NULLS LAST, product_url) AS rn
+  FROM labeled) WHERE rn <= 3 GROUP BY ALL),
+points AS (SELECT label, count(*) AS n, sum(current_price::DOUBLE) AS current_price, sum(quantity_sold_value::DOUBLE) AS sold FROM labeled GROUP BY label)
+{rows('label_distribution', 'label', 'dist', 'n share')}
+UNION ALL {rows('price_histogram', 'bin::VARCHAR', 'hist', 'bin_lo bin_hi n')}
+UNION ALL {rows('price_kde', 'grid_idx::VARCHAR', 'kde', 'x density')}
+UNION ALL {rows('price_by_label', 'label', 'pr_b', boxes)}
+UNION ALL {rows('rating_by_label', 'label', 'ra_b', boxes)}
+UNION ALL {rows('price_outliers', "label || '|' || round(y, 4)::DECIMAL(20,4)::VARCHAR", 'pout', 'n')}
+UNION ALL {rows('rating_outliers', "label || '|' || round(y, 4)::DECIMAL(20,4)::VARCHAR", 'rout', 'n')}
+UNION ALL {rows('avg_sold_ci', 'label', 'sold', 'n mean ci_lo ci_hi')}
+UNION ALL {rows('avg_sold_by_label', 'label', 'sold', 'n mean_sold')}
+UNION ALL {rows('price_vs_sold', 'label', 'points', 'n current_price sold')}
+UNION ALL {rows('top_products', "label || '|' || product_name", 'top', 'mean_sold')}
+UNION ALL {rows('labeled', 'label', 'dist', 'n')}"""
+
+
+def _values(df: DataFrame, dataset: str, item, measures: str) -> DataFrame:
+    """A chart's numbers as rows (dataset, item, measure, value)."""
+    each = F.inline(F.array(*[F.struct(F.lit(m).alias("measure"), F.round(F.col(m).cast("double"), 4).alias("value")) for m in measures.split()]))
+    return df.select(F.lit(dataset).alias("dataset"), item.cast("string").alias("item"), each)
+
+
+@query("report_run", O.ingest_chain("labeled", _report_sql()))
 def q_report_run(spark, sf_dir):
-    """All stages from landing pages to the report: rows of every dataset."""
+    """All stages from landing pages to the report: the values of every chart."""
     from functools import reduce
 
     from souk.plans.run import run
     out = run(landing_from_tables(spark, sf_dir), category_dim(spark), P.RUN_TS)
-    return reduce(DataFrame.unionByName, [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("dataset"), "n") for k, df in out.items()])
+    label, boxes = F.col("label"), "q1 median q3 whislo whishi n_outliers mean"
+    point = lambda y: F.concat_ws("|", label, F.round(y, 4).cast("decimal(20,4)").cast("string"))
+    sums = out["price_vs_sold"].groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("current_price").cast("double")).alias("current_price"),
+                                                     F.sum(F.col("sold").cast("double")).alias("sold"))
+    items = {"label_distribution": (label, "n share"), "price_histogram": (F.col("bin"), "bin_lo bin_hi n"), "price_kde": (F.col("grid_idx"), "x density"),
+             "price_by_label": (label, boxes), "rating_by_label": (label, boxes), "price_outliers": (point("current_price"), "n"),
+             "rating_outliers": (point("rating_score"), "n"), "avg_sold_ci": (label, "n mean ci_lo ci_hi"), "avg_sold_by_label": (label, "n mean_sold"),
+             "price_vs_sold": (label, "n current_price sold"), "top_products": (F.concat_ws("|", label, "product_name"), "mean_sold"), "labeled": (label, "n")}
+    out |= {"price_vs_sold": sums, "labeled": sums.select("label", "n")}
+    return reduce(DataFrame.unionByName, [_values(out[k], k, *items[k]) for k in items])
 
 
 @query("landing_to_clean", O.ingest_chain("cleaned", "SELECT * FROM cleaned"))

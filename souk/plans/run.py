@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.operators import report, stats
+from souk.operators.charts import chart_counts, of_chart, shares, without_group
 from souk.operators.clean import clean_listings
 from souk.operators.features import add_features
 from souk.operators.labels import label_products
@@ -33,20 +34,31 @@ def labeled_from_landing(landing: DataFrame, dim: DataFrame, run_ts: str, *, max
     return label_products(featured)
 
 
+CHARTS = {"price": "current_price", "rating": "rating_score", "sold": "sold"}
+
+
 def report_tables(labeled: DataFrame) -> dict[str, DataFrame]:
-    """Datasets behind the seven charts, outliers and confidence intervals included."""
+    """Datasets behind the seven charts, outliers and confidence intervals included.
+
+    The rows are counted once (``chart_counts``); every chart of a distribution
+    is worked out from the counts.  Only the charts that show rows read them: the
+    top products and the scatter.
+    """
     with_sold = labeled.withColumn("sold", labeled["quantity_sold_value"])
+    counts = chart_counts(with_sold, "label", CHARTS)
+    price, rating, sold = (of_chart(counts, c) for c in CHARTS)
+    all_prices = without_group(price)
     top = report.top_k_per_group(with_sold, "label", [F.desc_nulls_last("sold"), F.asc("product_url")], k=3)
     return {
-        "label_distribution": report.label_distribution(labeled),
-        "price_histogram": stats.histogram(labeled, "current_price"),
-        "price_kde": stats.kde_curve(labeled, "current_price"),
-        "price_by_label": stats.box_stats(labeled, "label", "current_price"),
-        "rating_by_label": stats.box_stats(labeled, "label", "rating_score"),
-        "price_outliers": stats.box_outliers(labeled, "label", "current_price", keep=["product_url"]),
-        "rating_outliers": stats.box_outliers(labeled, "label", "rating_score", keep=["product_url"]),
-        "avg_sold_ci": stats.mean_ci_normal(with_sold, ["label"], "sold"),
-        "avg_sold_by_label": stats.group_mean(with_sold, ["label"], "sold", out="mean_sold"),
+        "label_distribution": shares(counts, "label", "price"),
+        "price_histogram": stats.histogram_of(all_prices),
+        "price_kde": stats.kde_of(all_prices),
+        "price_by_label": stats.box_of(price, "label"),
+        "rating_by_label": stats.box_of(rating, "label"),
+        "price_outliers": stats.outliers_of(price, "label", "current_price"),
+        "rating_outliers": stats.outliers_of(rating, "label", "rating_score"),
+        "avg_sold_ci": stats.mean_of(sold, "label", z=stats.Z_95),
+        "avg_sold_by_label": stats.mean_of(sold, "label", out="mean_sold"),
         "price_vs_sold": report.scatter_data(with_sold, "current_price", "sold", "label"),
         "top_products": stats.group_mean(top, ["label", "product_name"], "sold", out="mean_sold"),
     }

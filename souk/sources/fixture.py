@@ -91,6 +91,7 @@ LAZADA_BAD_MOD, LAZADA_BAD_REM = 41, 4
 SHOPEE_KEY, SHOPEE_PAGE_DIV, SHOPEE_PAGES = "may-anh", 7, 30
 ODD_MOD, ODD_REM = 8, 3  # pages whose item array also holds text, a number, NULL (and, for Tiki, {})
 TIKI_TEXT_MOD, TIKI_OBJECT_MOD, SHOPEE_OBJECT_MOD, TRAILING_MOD = 43, 47, 53, 59  # extra pages that hold no list, or more than an object
+SECOND_MOD = 61  # extra pages with a second object, a bracket or text that ends in "}" behind the first
 TIKI_TEXT_BODY = '{"listings":"blocked"}'
 TIKI_OBJECT_BODY = '{"listings":{"id":1}}'
 SHOPEE_OBJECT_BODY = '{"items":{"itemid":1}}'
@@ -251,6 +252,8 @@ def landing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         F.regexp_replace(ljson, "}$", "")))
               .unionByName(lazada_pages(lz.where(o % TRAILING_MOD == 1), lazada_item_key,
                                         F.concat(ljson, F.lit(" <html>")))))
+    for k, behind in enumerate((F.concat(F.lit(" "), ljson), F.concat(F.lit(", "), ljson), F.lit(" x}"), F.concat(F.lit("], ["), ljson)), 1):
+        lazada = lazada.unionByName(lazada_pages(lz.where(o % SECOND_MOD == k), lazada_item_key, F.concat(ljson, behind)))
 
     wrap = (o + ln) % 2 == 0
     basic_fields = [

@@ -38,7 +38,8 @@ SHOPEE_ITEM = ("itemid STRING, item_id STRING, shopid STRING, shop_id STRING, na
                "historical_sold STRING, liked_count STRING, item_rating STRUCT<rating_star:STRING>, discount STRING, "
                "shop_location STRING, image STRING")
 # Where the payloads hold their items.
-TOP = "listings STRING, data STRING, mods STRING, items STRING, _corrupt_record STRING"
+PLACES = "listings STRING, data STRING, mods STRING, items STRING"
+TOP = f"{PLACES}, _corrupt_record STRING"
 
 LINEAGE = ["url_key", "page", "fetched_at", "item_pos"]
 
@@ -48,13 +49,28 @@ def _given(text: Column) -> Column:
     return F.coalesce(~text.rlike(r"^\s*(null|false|0|\[\s*\]|\{\s*\})?\s*$"), F.lit(False))
 
 
+def _whole_object(body: Column) -> Column:
+    """The body's fields if it is one JSON object and nothing else, else NULL.
+
+    The body is read as the first of two elements of an array; the second holds a
+    mark made from the body.  Anything behind the object (a second object, text,
+    a bracket that ends the array early) leaves another number of elements, or
+    no mark in second place.
+    """
+    mark = F.xxhash64(body).cast("string")
+    both = F.from_json(F.concat(F.lit("["), body, F.lit(',{"_end":"'), mark, F.lit('"}]')),
+                       f"ARRAY<STRUCT<{PLACES.replace(' STRING', ':STRING')}, _end:STRING>>", {"allowSingleQuotes": "false"})
+    return F.when((F.size(both) == 2) & (F.get(both, F.lit(1))["_end"] == mark), F.get(both, F.lit(0)))
+
+
 def _with_items(landing: DataFrame) -> DataFrame:
-    """Adds ``_items`` (the value at the platform's place for items, as JSON text) and ``_holder`` (what it stands in).
+    """Adds ``_items`` (the value at the platform's place for items, as JSON text), ``_holder`` (what it stands in)
+    and ``_broken`` (the body is not one whole JSON object; such a body has no items).
 
     Tiki: ``listings``, or ``data`` when that is missing or empty.  Lazada:
     ``mods.listItems``.  Shopee: ``items``, or ``data.items``.
     """
-    df = landing.withColumn("_top", F.from_json("body", TOP))
+    df = landing.withColumn("_top", _whole_object(F.col("body")))
     top = F.col("_top")
     platform = F.col("platform")
     df = df.withColumn("_holder", F.when(platform == "Lazada", top["mods"]).when((platform == "Shopee") & ~_given(top["items"]), top["data"]))
@@ -62,25 +78,25 @@ def _with_items(landing: DataFrame) -> DataFrame:
     items = (F.when(platform == "Tiki", F.when(_given(top["listings"]), top["listings"]).otherwise(top["data"]))
              .when(platform == "Lazada", inner["listItems"])
              .when(platform == "Shopee", F.when(_given(top["items"]), top["items"]).otherwise(inner["items"])))
-    broken = top.isNull() | top["_corrupt_record"].isNotNull()
-    return df.withColumns({"_items": items, "_broken": broken}).drop("_top")
+    return df.withColumns({"_items": items, "_broken": top.isNull()}).drop("_top")
 
 
 def split_malformed(landing: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split a landing table into (parseable pages, quarantine).
 
     Quarantined rows carry ``reason``: ``not_json`` when the trimmed body does
-    not start with "{" (e.g. an HTML block page), ``malformed`` when it is no
-    valid JSON object, ``trailing_text`` when something follows the object,
-    ``not_a_list`` when something other than an array stands where the
-    platform's items should be.  Good pages keep the items' text in ``_items``.
+    not start with "{" (e.g. an HTML block page), ``malformed`` when it does not
+    begin with a valid JSON object, ``trailing_text`` when anything follows the
+    object (text, a bracket, a second object), ``not_a_list`` when something
+    other than an array stands where the platform's items should be.  Good pages
+    keep the items' text in ``_items``.
     """
-    body = strip_ws(F.col("body"))
     items, holder = F.col("_items"), F.col("_holder")
     odd = (_given(items) & ~F.ltrim(items).startswith("[")) | ((F.col("platform") == "Lazada") & _given(holder) & ~F.ltrim(holder).startswith("{"))
-    reason = (F.when(~F.coalesce(body.startswith("{"), F.lit(False)), F.lit("not_json"))
-              .when(F.col("_broken"), F.lit("malformed"))
-              .when(~body.endswith("}"), F.lit("trailing_text"))
+    first = F.from_json("body", TOP, {"allowSingleQuotes": "false"})  # evaluated for broken bodies only
+    broken = F.when(first.isNull() | first["_corrupt_record"].isNotNull(), F.lit("malformed")).otherwise(F.lit("trailing_text"))
+    reason = (F.when(~F.coalesce(strip_ws(F.col("body")).startswith("{"), F.lit(False)), F.lit("not_json"))
+              .when(F.col("_broken"), broken)
               .when(F.coalesce(odd, F.lit(False)), F.lit("not_a_list")))
     tagged = _with_items(landing).withColumn("reason", reason)
     good = tagged.where(F.col("reason").isNull()).drop("reason", "_holder", "_broken")
