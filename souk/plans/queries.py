@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from souk.functions import (clip, first_truthy, parse_money, parse_percent, rating_trunc, safe_name,
                             sold_text_count, to_count, to_number, url_key, url_repair)
@@ -21,7 +22,7 @@ from souk.plans import oracle as O
 from souk.plans import stages as P
 from souk.plans.ingest import ingest, merged_listings
 from souk.plans.run import labeled_from_landing
-from souk.session import scratch_path
+from souk.session import hand_off, scratch_path
 from souk.sources.categories import category_dim
 from souk.sources.files import PANDAS_NA_TOKENS, read_table, write_table
 from souk.sources.fixture import RAW_ORDER, landing_from_tables, raw_listing_rows, table
@@ -704,11 +705,35 @@ def _na_sql(col: str) -> str:
     return f"CASE WHEN CAST({col} AS VARCHAR) IN ({toks}) THEN NULL ELSE CAST({col} AS VARCHAR) END AS {col}"
 
 
-@query("src_csv", O.with_ctes("raw", f"SELECT {', '.join(_na_sql(c) for c in _RAW_COLS)} FROM raw"))
-def q_src_csv(spark, sf_dir):
-    """Raw rows written as CSV with a header and read back as text; missing-value text becomes NULL."""
-    from pyspark.sql import types as T
+_NOTE_SQL = r"""'  ' || coalesce(name, '') || chr(10) || 'say "' || coalesce(brand, '') || '", ' || chr(13) || chr(10) || '\n \\' || chr(13) || coalesce(seller_name, '') || ' ' || chr(10) AS note"""
+
+
+@query("src_json_array", O.with_ctes("raw", f"SELECT {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in _RAW_COLS)} FROM raw"))
+def q_src_json_array(spark, sf_dir):
+    """Raw rows as indented JSON arrays, a file a task, read back with every array split at its records."""
     raw = raw_listing_rows(spark, sf_dir)
+    cols = [F.col(c).cast("string").alias(c) for c in _RAW_COLS]
+    record = F.concat(F.lit("  "), F.regexp_replace(F.to_json(F.struct(*cols), {"pretty": "true", "ignoreNullFields": "false"}), "\n", "\n  "))
+    path = scratch_path(spark, "raw_arrays.json")
+    # the arrays' brackets go around each task's first and last record
+    rows = raw.select(record.alias("value"), F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at"))
+    rows = hand_off(rows, "records")
+    ends = rows.groupBy("_part").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+    marked = rows.join(ends, "_part").select("_part", "_at", F.concat(
+        F.when(F.col("_at") == F.col("_first"), F.lit("[\n")).otherwise(F.lit("")), "value",
+        F.when(F.col("_at") == F.col("_last"), F.lit("\n]")).otherwise(F.lit(","))).alias("value"))
+    marked.repartition("_part").sortWithinPartitions("_part", "_at").drop("_at").write.partitionBy("_part").text(path)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in _RAW_COLS])
+    return read_table(spark, f"{path}/*", fmt="json", schema=schema, multi_line=True)
+
+
+@query("src_csv", O.with_ctes("raw", f"SELECT {', '.join(_na_sql(c) for c in _RAW_COLS)}, {_NOTE_SQL} FROM raw"))
+def q_src_csv(spark, sf_dir):
+    """Raw rows, and a text with line breaks, quotes, backslashes and blanks, written as CSV with a header and read
+    back as text; missing-value text becomes NULL."""
+    part = lambda c: F.coalesce(F.col(c), F.lit(""))
+    note = F.concat(F.lit("  "), part("name"), F.lit('\nsay "'), part("brand"), F.lit('", \r\n\\n \\\\\r'), part("seller_name"), F.lit(" \n"))
+    raw = raw_listing_rows(spark, sf_dir).withColumn("note", note)
     path = write_table(raw, scratch_path(spark, "raw.csv"), fmt="csv")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in raw.columns])
     return read_table(spark, path, schema=schema)
@@ -740,7 +765,7 @@ def _stream_slices(spark, sf_dir, n_slices: int = 4):
     return [land.where((ts >= lo + i * step) & (ts < lo + (i + 1) * step)) for i in range(n_slices)]
 
 
-def _stream_sink(spark, sf_dir, watermark=None) -> str:
+def _stream_sink(spark, sf_dir, watermark=None, target=None) -> str:
     """Land each slice, then rerun the streaming job from the same checkpoint
     (trigger once, resume): every rerun reads only the newly landed files."""
     from souk.streaming.ingest import stream_ingest
@@ -748,7 +773,7 @@ def _stream_sink(spark, sf_dir, watermark=None) -> str:
                     scratch_path(spark, "stream_ck"))
     for part in _stream_slices(spark, sf_dir):
         part.write.mode("append").json(src)
-        stream_ingest(spark, src, out, ck, watermark=watermark)
+        stream_ingest(spark, src, out, ck, watermark=watermark, target=target)
     return out
 
 
@@ -794,3 +819,10 @@ def q_stream_target(spark, sf_dir):
     """The first 800 rows of the ingested table, in arrival order (the run's target count)."""
     from souk.streaming.ingest import read_sink
     return read_sink(spark, _stream_sink(spark, sf_dir), limit=800).select(*SHOPEE_OUT)
+
+
+@query("stream_stops_at_target", ORACLE["stream_target"])
+def q_stream_stops_at_target(spark, sf_dir):
+    """A stream that ends by itself when its sink holds 800 rows: the whole sink."""
+    from souk.streaming.ingest import read_sink
+    return read_sink(spark, _stream_sink(spark, sf_dir, target=800)).select(*SHOPEE_OUT)

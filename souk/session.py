@@ -140,6 +140,11 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     folder = "/".join([base, "souk", uuid.uuid4().hex])
     _SCRATCH.append(folder)
+    # whoever does not call clean_scratch still leaves nothing behind: the folder goes when the application ends
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
     return "/".join([folder, *parts])
 
 

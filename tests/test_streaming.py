@@ -81,3 +81,44 @@ def test_watermark_bounds_state(spark):
     ids = sorted(r.itemid for r in spark.read.parquet(out).collect())
     # item 1 left the state hours ago, so it is written again; item 2 is still remembered
     assert ids == ["1", "1", "2"]
+
+
+def test_what_was_seen_is_state_and_not_the_sink(spark):
+    """A batch that writes to another sink still knows the ids: nothing of the first sink is read."""
+    d = tempfile.mkdtemp(prefix="souk-stream-")
+    src, ck = f"{d}/in", f"{d}/ck"
+    _write(src, [_page(1, "2024-01-01T00:00:00", [1, 2, 3])])
+    stream_ingest(spark, src, f"{d}/first", ck)
+    _write(src, [_page(2, "2024-01-01T00:02:00", [3, 9, 1])])
+    q = stream_ingest(spark, src, f"{d}/second", ck)
+    assert [r.itemid for r in spark.read.parquet(f"{d}/second").collect()] == ["9"]
+    state = q.lastProgress["stateOperators"][0] if q.lastProgress["stateOperators"] else q.recentProgress[0]["stateOperators"][0]
+    assert state["numRowsTotal"] == 4 and "rocksdb" in str(state["customMetrics"]).lower()
+
+
+def test_watermark_reads_late_folders_only(spark):
+    from souk.streaming.ingest import written_lately
+    d = tempfile.mkdtemp(prefix="souk-stream-")
+    src, out, ck = f"{d}/in", f"{d}/out", f"{d}/ck"
+    for k in range(5):
+        _write(src, [_page(k, f"2024-01-01T{2 * k:02d}:00:00", [k])])
+        stream_ingest(spark, src, out, ck, watermark="1 hour")
+    seen = written_lately(spark, out, 5, "1 hour", spark.read.parquet(out).drop("batch_id").schema)
+    assert len(seen.inputFiles()) >= 1 and all("batch_id=4" in f for f in seen.inputFiles())
+    assert [r.itemid for r in seen.collect()] == ["4"]
+    assert written_lately(spark, out, 0, "1 hour", seen.schema) is None
+
+
+def test_a_stream_ends_at_its_target(spark):
+    d = tempfile.mkdtemp(prefix="souk-stream-")
+    src, out, ck = f"{d}/in", f"{d}/out", f"{d}/ck"
+    for k in range(6):
+        _write(src, [_page(k, f"2024-01-01T00:0{k}:00", [10 * k + j + 1 for j in range(4)])])
+    q = stream_ingest(spark, src, out, ck, files_per_batch=1, target=10)
+    assert not q.isActive
+    got = spark.read.parquet(out).orderBy("fetched_at", "item_pos").collect()
+    assert [r.itemid for r in got] == ["1", "2", "3", "4", "11", "12", "13", "14", "21", "22"]
+    again = stream_ingest(spark, src, out, ck, files_per_batch=1, target=10)  # what is full stays as it is
+    assert not again.isActive and spark.read.parquet(out).count() == 10
+    running = stream_ingest(spark, src, f"{d}/out2", f"{d}/ck2", files_per_batch=1, target=10, available_now=False)
+    assert running.awaitTermination(120) and spark.read.parquet(f"{d}/out2").count() == 10
