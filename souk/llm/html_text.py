@@ -1,14 +1,22 @@
 """Main text of web pages, by tag-path ratios.
 
 A page is read into text nodes, each with the path of tags from the root to it.
-What can only be furniture by its tag, role, class or id (menus, headers and
-footers of the page, sidebars, notices, adverts, forms, scripts, styles, reader
-comments) is set aside.  For every path of what is left, the length of its text
-and its punctuation per node are aggregated; along the page both ratios are
-smoothed with a Gaussian, fused by their product, and thresholded; the nodes
-above the threshold are content.  The element that holds nearly all of it is the
-article, and its blocks, short ones too, are the text.  A block most of whose
-text stands in links is a menu.
+What can only be furniture by its tag, role or being hidden (menus, headers and
+footers of the page, sidebars, forms, scripts, styles) is set aside.  For every
+path of what is left, the length of its text and its punctuation per node are
+aggregated; along the page both ratios are smoothed with a Gaussian and fused by
+their product (with the path's own length ratio); text in links scores nothing.  A class or
+id that names furniture makes a path of its own and lowers its score; it deletes
+nothing by itself, so a wrapper that is called "has-sidebar" lowers all alike.
+The mean score of a path against the page's decides: paths above the threshold
+are content.
+
+The article is the smallest element that holds nearly all content, or the
+article element around that.  Of its parts, those with content stay, and so does
+what lies between them.  Before the first and behind the last, headings and
+short paragraphs, lists and tables stay; boxes without content or heading, lists
+of links (outside an article element), and what is named as furniture go.  A
+headline before the article belongs to it.
 
 Character references are decoded, white space in a block becomes one space,
 blocks are trimmed and joined by a blank line.
@@ -53,40 +61,49 @@ ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "aler
 MARKS = {"nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "masthead", "footer", "sidebar", "widget", "ad", "ads", "advert", "adverts",
          "advertisement", "advertising", "banner", "sponsor", "sponsored", "promo", "promotion", "notice", "notices", "cookie", "cookies", "consent", "gdpr",
          "popup", "modal", "overlay", "newsletter", "subscribe", "share", "sharing", "social", "related", "recommended", "comment", "comments",
-         "disqus", "reply", "replies", "login", "signup", "search", "toolbar", "pagination", "pager", "alert", "skip", "topbar", "toc"}
+         "disqus", "discussion", "responses", "reply", "replies", "login", "signup", "search", "toolbar", "pagination", "pager", "alert", "skip", "topbar", "toc"}
 ARTICLE = {"article", "main"}
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 #: share of the content text that the article's element must hold
 MOST = 0.9
+#: what a class or id that names furniture leaves of a path's score
+MARKED = 0.05
+#: a path is content if its mean score is at least this share of the page's
+THRESHOLD = 0.5
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: tags whose class or id says nothing: a paragraph, heading, item or cell is no box of furniture
+PLAIN = {"html", "body", "main", "p", "li", "dt", "dd", "td", "th", "tr", "pre", "blockquote", "figure", "figcaption", *HEADINGS}
+BOXES = {"div", "section", "center"}
 #: elements deeper than this are read as if they stood at this depth, as browsers do
 DEPTH = 512
 
 
 class Node:
-    __slots__ = ("tag", "parent", "path", "out", "article", "block")
+    __slots__ = ("tag", "parent", "path", "out", "article", "block", "marked")
 
-    def __init__(self, tag, parent, path, out, article, block):
-        self.tag, self.parent, self.path, self.out, self.article, self.block = tag, parent, path, out, article, block
+    def __init__(self, tag, parent, path, out, article, block, marked=False):
+        self.tag, self.parent, self.path, self.out, self.article, self.block, self.marked = tag, parent, path, out, article, block, marked
 
 
-def _is_furniture(tag: str, attributes: str, inside_article: bool) -> bool:
+def _kind(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
+    """Whether an element is furniture, and whether a class or id names it so."""
     if tag in FURNITURE or tag == "header" and not inside_article:
-        return True
+        return True, False
     if not attributes or attributes.isspace():
-        return False
+        return False, False
+    marked = False
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return True, False
         if name == "role" and value.lower() in ROLES:
-            return True
+            return True, False
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-        if name in ("class", "id") and tag not in ("html", "body", *ARTICLE):
+            return True, False
+        if name in ("class", "id") and tag not in PLAIN and tag not in INLINE:
             words = {w.lower() for w in TOKEN.findall(value)}
-            if words & MARKS or "header" in words and not inside_article:
-                return True
-    return False
+            marked = marked or bool(words & MARKS) or "header" in words and not inside_article
+    return False, marked
 
 
 def text_nodes(page: str):
@@ -146,7 +163,8 @@ def text_nodes(page: str):
                     break
         top = stack[-1]
         article = top.article or tag in ARTICLE
-        node = Node(tag, top, f"{top.path}/{tag}", top.out or _is_furniture(tag, attributes, top.article), article, tag not in INLINE)
+        furniture, marked = _kind(tag, attributes, top.article)
+        node = Node(tag, top, f"{top.path}/{tag}{'!' if marked else ''}", top.out or furniture, article, tag not in INLINE, marked)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, pos)
             pos = end.end() if end else n
@@ -156,7 +174,7 @@ def text_nodes(page: str):
 
 
 def content_scores(nodes) -> np.ndarray:
-    """Fused, smoothed ratio of every text node's path: text per node times punctuation per node."""
+    """Fused, smoothed ratio of every text node's path: text per node times punctuation per node, less links and marks."""
     size, marks, count = defaultdict(int), defaultdict(int), defaultdict(int)
     for element, _, s in nodes:
         size[element.path] += len(s)
@@ -168,7 +186,9 @@ def content_scores(nodes) -> np.ndarray:
     kernel = np.exp(-0.5 * (np.arange(-2, 3) / 1.0) ** 2)
     kernel /= kernel.sum()
     smooth = lambda v: np.convolve(np.pad(v, 2, "edge"), kernel, "valid")
-    return smooth(text) * (1 + smooth(mark))
+    lowered = np.array([(0.0 if "/a/" in f"{p}/" else 1.0) * MARKED ** p.count("!") for p in paths])
+    # a path's own ratio keeps a short box from being carried by its long neighbours
+    return np.sqrt(text * smooth(text)) * (1 + smooth(mark)) * lowered
 
 
 def _up(element):
@@ -177,41 +197,75 @@ def _up(element):
         element = element.parent
 
 
+def content_paths(nodes) -> set[str]:
+    """The paths whose nodes' mean score reaches THRESHOLD of the page's mean; all of them if no node has a score."""
+    score = content_scores(nodes)
+    by = defaultdict(list)
+    for (element, _, _), v in zip(nodes, score, strict=True):
+        by[element.path].append(v)
+    least = THRESHOLD * score.mean()
+    return {p for p, v in by.items() if np.mean(v) >= least}
+
+
 def main_text(page: str | None) -> str:
     every = text_nodes(page) if page else []
     nodes = [x for x in every if x[2].strip()]
     if not nodes:
         return ""
-    score = content_scores(nodes)
-    content = score >= 0.5 * score.mean()
-    # text of the content nodes below each element
-    held, total = defaultdict(int), 0
-    for (element, _, s), good in zip(nodes, content, strict=True):
-        if good:
-            total += len(s)
-            for e in _up(element):
-                held[e] += len(s)
-    # the deepest element that holds nearly all of it, seen from the longest content node
-    longest = max((len(s), -k) for k, ((_, _, s), good) in enumerate(zip(nodes, content, strict=True)) if good)
-    chain = list(_up(nodes[-longest[1]][0]))
-    at = next(k for k, e in enumerate(chain) if held[e] >= MOST * total)
-    # a heading or a short line beside the long text belongs to it: go up to the article, or to the outermost part of the body
-    article = [e for e in chain[at:] if e.tag in ARTICLE]
-    inner = [e for e in chain[at:] if e.tag not in ("", "html", "body")]
-    root = article[0] if article else inner[-1] if inner else chain[-1]
-
-    blocks, linked = defaultdict(list), defaultdict(int)
+    content = content_paths(nodes)
+    good = [(e, block, s) for e, block, s in nodes if e.path in content]
+    held, total = defaultdict(int), sum(len(s) for _, _, s in good)
+    for element, _, s in good:
+        for e in _up(element):
+            held[e] += len(s)
+    # the smallest element that holds nearly all of it, seen from the longest content node
+    longest = max(good, key=lambda x: len(x[2]))[0]
+    chain = [e for e in _up(longest) if held[e] >= MOST * total]
+    article = next((e for e in chain if e.tag == "article"), None)
+    root = article or next((e for e in chain if e.block or e.parent is None), chain[-1])
+
+    # blocks in page order, with their text, its share in links, and the part of the article they stand in
+    text, linked, place = defaultdict(list), defaultdict(int), {}
     for element, block, s in every:
+        text[block].append(s)
         above = list(_up(element))
-        if root in above:
-            blocks[block].append(s)
-            linked[block] += len(s.strip()) if any(e.tag == "a" for e in above) else 0
-    out = []
-    for k in sorted(blocks):
-        line = " ".join("".join(blocks[k]).split())
-        if line and linked[k] <= 0.5 * len(line):
-            out.append(line)
-    return "\n\n".join(out)
+        linked[block] += len(s.strip()) if any(e.tag == "a" for e in above) else 0
+        if s.strip() and block not in place:
+            place[block] = above
+    blocks = sorted(place)
+    lines = {k: " ".join("".join(text[k]).split()) for k in blocks}
+    with_content = {block for _, block, _ in good}
+    part = {k: place[k][max(0, place[k].index(root) - 1)] if root in place[k] else None for k in blocks}
+    inside = [k for k in blocks if part[k] is not None]
+    size, links, heads, full = defaultdict(int), defaultdict(int), set(), set()
+    for k in inside:
+        for e in place[k]:
+            size[e] += len(lines[k])
+            links[e] += linked[k]
+            if any(x.tag in HEADINGS for x in place[k]):
+                heads.add(e)
+            if k in with_content:
+                full.add(e)
+    core = [k for k in inside if k in with_content]
+
+    def stays(k: int) -> bool:
+        within = place[k][:place[k].index(root)]
+        if any(e.marked and e not in full for e in within):
+            return False
+        p = part[k]
+        if p is root or p in full or core[0] < k < core[-1]:
+            return True
+        if p.tag in BOXES and article is None and p not in heads:
+            return False
+        own = p.tag in HEADINGS or p.tag == "p" or article is not None
+        return own or links[p] <= 0.5 * size[p]
+
+    out = [k for k in inside if stays(k)]
+    if not any(x.tag in HEADINGS for k in out if k < core[0] for x in place[k]):
+        # a headline that stands before the article's element
+        before = [k for k in blocks if k < core[0] and part[k] is None and any(x.tag == "h1" for x in place[k]) and not any(x.marked for x in place[k] if x not in chain)]
+        out = before[-1:] + out
+    return "\n\n".join(lines[k] for k in out if lines[k])
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

@@ -43,3 +43,58 @@ def test_query_rows(spark):
     out = H.extract(t).select("row.page_id", "main_text").collect()
     assert sorted(map(str, out)) == sorted(map(str, [(1, "a, b."), (1, "a, b."), (2, ""), (None, "")])) or len(out) == 4
     assert H.extract(t.limit(0)).count() == 0
+
+
+LONG = "".join(f"<p>Paragraph number {k} of the story, which goes on, as stories do; it has an end.</p>" for k in range(6))
+TEXT = [f"Paragraph number {k} of the story, which goes on, as stories do; it has an end." for k in range(6)]
+MENU = "".join(f"<li><a href=/{k}>Item {k}</a></li>" for k in range(8))
+
+
+def lines(body):
+    return H.main_text(f"<html><head><title>t</title></head><body>{body}</body></html>").split("\n\n")
+
+
+def test_a_wrapper_named_after_furniture_loses_nothing():
+    assert lines(f'<div class="has-sidebar"><div>{LONG}</div></div>') == TEXT
+    assert lines(f'<div class="page no-comments"><div class="widget-free"><h1>Head</h1>{LONG}</div><div class="comments"><p>Nice, really, yes.</p></div></div>') == ["Head", *TEXT]
+
+
+@pytest.mark.parametrize("holder", ["div", "main", "body"])
+def test_unknown_class_names(holder):
+    inner = (f'<ul class="css-1ab2">{MENU}</ul><div class="x9"><a href=/>Home</a> <a href=/b>About us</a></div>'
+             f'<h1>Head</h1>{LONG}<div class="css-7">Accept all</div>')
+    assert lines(inner if holder == "body" else f"<{holder}>{inner}</{holder}>") == ["Head", *TEXT]
+    with_comments = inner + '<div class="discussion"><p>I liked it, very much, as I said.</p><p>Me too, and more.</p></div>'
+    assert lines(with_comments if holder == "body" else f"<{holder}>{with_comments}</{holder}>") == ["Head", *TEXT]
+
+
+def test_linked_headlines_sources_and_marked_headings_stay():
+    sources = "<p><a href=/s>The source, a page elsewhere</a></p><ul><li><a href=/1>First source</a></li><li><a href=/2>Second</a></li></ul>"
+    got = lines(f'<nav>{MENU}</nav><article><h1><a href=/>Linked head</a></h1>{LONG}<h2 id="market-share">Market share</h2>'
+                f'<p class="search-results">Found, at last.</p>{sources}</article>')
+    assert got == ["Linked head", *TEXT, "Market share", "Found, at last.", "The source, a page elsewhere", "First source", "Second"]
+
+
+def test_short_blocks_between_content_stay():
+    got = lines(f"<div><h1>H</h1>{LONG}<h3>Mid</h3><ul><li>one<li>two</ul><blockquote>short</blockquote>{LONG}</div><div>Ads, all day.</div>")
+    assert got == ["H", *TEXT, "Mid", "one", "two", "short", *TEXT]
+
+
+def test_a_headline_before_the_body():
+    assert lines(f'<div class="top"><h1>Head</h1></div><div class="b"><div>{LONG}</div></div>') == ["Head", *TEXT]
+
+
+def test_the_scores_decide(monkeypatch):
+    page = f'<div><div class="x1">Cheap, fine</div><h1>Head</h1>{LONG}<div class="x2">Yes</div></div>'
+    assert lines(page) == ["Head", *TEXT]
+    monkeypatch.setattr(H, "content_scores", lambda nodes: H.np.ones(len(nodes)))
+    assert lines(page) == ["Cheap, fine", "Head", *TEXT, "Yes"]
+
+
+def test_given_pages_keep_their_article(spark):
+    import html as h
+    import re
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        body = re.search(r"<article>(.*)</article>", r["html"], re.S)[1]
+        want = [" ".join(h.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br>", " ", x))).split()) for x in re.split(r"</?(?:p|h1)>", body)]
+        assert H.main_text(r["html"]).split("\n\n") == [w for w in want if w]
