@@ -67,9 +67,9 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 #: share of the content text that the article's element must hold
 MOST = 0.9
 #: what a class or id that names furniture leaves of a path's score
-MARKED = 0.05
-#: a path is content if its mean score is at least this share of the page's
-THRESHOLD = 0.5
+MARKED = 0.02
+#: a path is content if its mean score is at least this share of the page's, weighted by text
+THRESHOLD = 0.3
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: tags whose class or id says nothing: a paragraph, heading, item or cell is no box of furniture
 PLAIN = {"html", "body", "main", "p", "li", "dt", "dd", "td", "th", "tr", "pre", "blockquote", "figure", "figcaption", *HEADINGS}
@@ -198,12 +198,12 @@ def _up(element):
 
 
 def content_paths(nodes) -> set[str]:
-    """The paths whose nodes' mean score reaches THRESHOLD of the page's mean; all of them if no node has a score."""
+    """The paths whose nodes' mean score reaches THRESHOLD of the mean over the page's text; all of them if no node has a score."""
     score = content_scores(nodes)
     by = defaultdict(list)
     for (element, _, _), v in zip(nodes, score, strict=True):
         by[element.path].append(v)
-    least = THRESHOLD * score.mean()
+    least = THRESHOLD * np.average(score, weights=[len(s) for _, _, s in nodes])
     return {p for p, v in by.items() if np.mean(v) >= least}
 
 
