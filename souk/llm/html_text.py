@@ -204,7 +204,10 @@ def content_paths(nodes) -> set[str]:
     for (element, _, _), v in zip(nodes, score, strict=True):
         by[element.path].append(v)
     least = THRESHOLD * np.average(score, weights=[len(s) for _, _, s in nodes])
-    return {p for p, v in by.items() if np.mean(v) >= least}
+    mean = {p: np.mean(v) for p, v in by.items()}
+    # a path that is named as furniture competes with the best of those that are less so, however short these are
+    rival = lambda p: max((m for q, m in mean.items() if q.count("!") < p.count("!")), default=0.0)
+    return {p for p, m in mean.items() if m >= least and m >= THRESHOLD * rival(p)} or set(mean)
 
 
 def main_text(page: str | None) -> str:
