@@ -617,7 +617,7 @@ def _report_sql() -> str:
   FROM {name}_j GROUP BY label)"""
 
     def rows(dataset: str, item: str, source: str, measures: str) -> str:
-        return "\nUNION ALL ".join(f"SELECT '{dataset}' AS dataset, {item} AS item, '{m}' AS measure, round(({m})::DOUBLE, 4) AS value FROM {source}"
+        return "\nUNION ALL ".join(f"SELECT '{dataset}' AS dataset, {item} AS item, '{m}' AS measure, round(({m})::DOUBLE, 6) AS value FROM {source}"
                                    for m in measures.split())
     boxes = "q1 median q3 whislo whishi n_outliers mean"
     hist = _HIST.split("SELECT bins.bin", 1)
@@ -653,7 +653,7 @@ UNION ALL {rows('labeled', 'label', 'dist', 'n')}"""
 
 def _values(df: DataFrame, dataset: str, item, measures: str) -> DataFrame:
     """A chart's numbers as rows (dataset, item, measure, value)."""
-    each = F.inline(F.array(*[F.struct(F.lit(m).alias("measure"), F.round(F.col(m).cast("double"), 4).alias("value")) for m in measures.split()]))
+    each = F.inline(F.array(*[F.struct(F.lit(m).alias("measure"), F.round(F.col(m).cast("double"), 6).alias("value")) for m in measures.split()]))
     return df.select(F.lit(dataset).alias("dataset"), item.cast("string").alias("item"), each)
 
 
