@@ -1,24 +1,21 @@
 """Chat formatting, tool-call linking (DataFrame functions only).
 
 Calls and results meet by conversation and call identifier in a hash-partitioned
-join.  Arguments are validated against the tool's JSON schema.  Calls are
-ordered topologically: a call's level is one more than the highest level among
-the calls of its conversation that it waits for, found round by round with one
-join a round (Kahn; as many rounds as the longest chain has calls); within a
-level turn and identifier decide.  Every call is
-written as canonical JSON (sorted keys, no white space, normal numbers).
-
-Schemas are JSON Schema objects; ``properties`` with ``type`` (a name) and
-``enum`` (of strings), ``required`` and ``additionalProperties`` (true or false)
-are checked.  Any other keyword that could refuse arguments (nested properties,
-items, bounds, patterns, lists of types ...) is named in the errors as
-``unchecked``, so that no call passes as valid under a rule that was not read.
+join.  Arguments are validated against the tool's JSON schema (``schemas.py``).
+Calls are ordered topologically: a call's level is one more than the highest level
+among the calls of its conversation that it waits for.  Chains of calls that wait
+for one call each are followed by pointer jumping, so a chain of n calls takes
+log n joins; calls that wait for several are levelled round by round (Kahn), as many
+rounds as the longest chain of such calls has; within a level turn and
+identifier decide.  Every call is written as canonical JSON (sorted keys, no white
+space, one form for each number).
 
 Defined cases: a null conversation or call identifier links nothing (the row is
 kept, unlinked); if identifiers repeat within a conversation the call (result)
 of the lowest turn counts, ties by its content, and the other calls are reported as
 ``duplicate``, the other results as ``orphan`` with the error ``duplicate result``; a result without call is reported as ``orphan``; arguments that
-are null or no JSON object are invalid; a tool without schema is invalid;
+are null or no JSON object are invalid; a tool without schema, or with one that
+cannot be read, is invalid;
 calls that wait for each other in a circle, or for a call that does, get the
 level -1 and come last; waiting for an unknown call is an error that does not
 change the order; empty tables give no rows; extra columns are not read.
@@ -26,15 +23,12 @@ change the order; empty tables give no rows; extra columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stash, table
+from .schemas import argument_errors, canonical_json, rules
 
-SCHEMA = "struct<properties:map<string,struct<type:string,enum:array<string>>>,required:array<string>,additionalProperties:boolean>"
-#: what describes and refuses nothing
-NOTES = ["$schema", "$id", "$comment", "title", "description", "default", "examples", "deprecated", "readOnly", "writeOnly"]
-TYPES = ["string", "boolean", "null", "integer", "number", "array", "object"]
 #: turns of a conversation that are numbered together
 TURNS = 1024
 
@@ -46,55 +40,59 @@ def _first(df: DataFrame, *order: str) -> DataFrame:
             .agg(F.min(F.struct(*order, *rest)).alias("r")).select("conv_id", "call_id", "r.*"))
 
 
-def argument_errors(arguments: Column, schema: Column) -> Column:
-    """Sorted list of what is wrong with the arguments (JSON text) under the schema (JSON text)."""
-    args = F.from_json(arguments, "map<string,variant>")
-    rule = F.from_json(schema, SCHEMA)
-    kind = F.transform_values(args, lambda _, v: F.schema_of_variant(v))
-    fits = lambda k, want: (
-        F.when(want == "string", k == "STRING").when(want == "boolean", k == "BOOLEAN").when(want == "null", k == "VOID")
-        .when(want == "integer", k.rlike(r"^(BIGINT|DECIMAL\(\d+,0\))$")).when(want == "number", k.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"))
-        .when(want == "array", k.startswith("ARRAY")).when(want == "object", k.startswith("OBJECT")).otherwise(True))
-    names = F.map_keys(rule["properties"])
-    empty = F.array().cast("array<string>")
-    missing = F.transform(F.filter(F.coalesce(rule["required"], empty), lambda n: ~F.map_contains_key(args, n)), lambda n: F.concat(F.lit("missing "), n))
-    unknown = F.when(rule["additionalProperties"] == F.lit(False),
-                     F.transform(F.array_except(F.map_keys(args), F.coalesce(names, empty)), lambda n: F.concat(F.lit("unknown "), n))).otherwise(empty)
-    given = F.filter(F.coalesce(names, empty), lambda n: F.map_contains_key(args, n))
-    wrong = F.transform(F.filter(given, lambda n: ~fits(F.element_at(kind, n), F.element_at(rule["properties"], n)["type"])), lambda n: F.concat(F.lit("type "), n))
-    choices = lambda n: F.element_at(rule["properties"], n)["enum"]
-    chosen = lambda n: F.variant_get(F.element_at(args, n), "$", "string")
-    outside = F.transform(F.filter(given, lambda n: choices(n).isNotNull() & ~F.array_contains(choices(n), chosen(n))), lambda n: F.concat(F.lit("enum "), n))
-    parsed = F.try_parse_json(arguments)
-    return (F.when(schema.isNull(), F.array(F.lit("no schema")))
-            .when(parsed.isNull() | ~F.schema_of_variant(parsed).startswith("OBJECT"), F.array(F.lit("not an object")))
-            .otherwise(F.array_sort(F.concat(missing, unknown, wrong, outside))))
-
-
-def unchecked_keywords(schema: Column) -> Column:
-    """Sorted list of the keywords of a schema (JSON text) that argument_errors does not check."""
-    empty = F.array().cast("array<string>")
-    words = lambda names: F.array(*[F.lit(n) for n in names])
-    top = F.coalesce(F.from_json(schema, "map<string,variant>"), F.from_json(F.lit("{}"), "map<string,variant>"))
-    props = F.from_json(F.get_json_object(schema, "$.properties"), "map<string,map<string,variant>>")
-    kind = lambda m, k: F.schema_of_variant(F.element_at(m, F.lit(k)))
-    text = lambda m, k: F.try_variant_get(F.element_at(m, F.lit(k)), "$", "string")
-    has = lambda m, k: F.map_contains_key(m, F.lit(k))
-    if_ = lambda when, k: F.when(F.coalesce(when, F.lit(False)), F.array(F.lit(k))).otherwise(empty)
-    outer = F.concat(F.array_except(F.map_keys(top), words(["type", "properties", "required", "additionalProperties", *NOTES])),
-                     if_(has(top, "type") & ~text(top, "type").eqNullSafe(F.lit("object")), "type"),
-                     if_(has(top, "additionalProperties") & (kind(top, "additionalProperties") != "BOOLEAN"), "additionalProperties"),
-                     if_(has(top, "properties") & (props.isNull() | F.exists(F.map_values(props), lambda p: p.isNull())), "properties"))
-
-    def inner(name: Column, p: Column) -> Column:
-        found = F.concat(F.array_except(F.map_keys(p), words(["type", "enum", *NOTES])),
-                         if_(has(p, "type") & ~((kind(p, "type") == "STRING") & text(p, "type").isin(TYPES)), "type"),
-                         if_(has(p, "enum") & (kind(p, "enum") != "ARRAY<STRING>"), "enum"))
-        return F.transform(found, lambda k: F.concat(k, F.lit(" of "), name))
-
-    below = F.flatten(F.transform(F.map_entries(F.map_filter(F.coalesce(props, F.create_map().cast("map<string,map<string,variant>>")), lambda _, p: p.isNotNull())),
-                                  lambda e: inner(e["key"], e["value"])))
-    return F.transform(F.array_sort(F.concat(outer, below)), lambda k: F.concat(F.lit("unchecked "), k))
+def _chains(edges: DataFrame, waits: DataFrame) -> DataFrame:
+    """Of every call with one wait: the first call behind it that has none or several (``end``), and how far it is.
+
+    ``open`` marks calls whose chain never ends (it leads into a circle).
+    """
+    only = waits.filter("n = 1").select("conv_id", "call_id")
+    at = stash(edges.join(only, ["conv_id", "call_id"]).select("conv_id", "call_id", F.col("wait").alias("end"), F.lit(1).cast("long").alias("steps"),
+                                                               F.lit(True).alias("open")), "call_chains")
+    most = at.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    reach = 1
+    while True:
+        ahead = at.select("conv_id", F.col("call_id").alias("end"), F.col("end").alias("_end"), F.col("steps").alias("_steps"))
+        at = stash(at.join(ahead, ["conv_id", "end"], "left").select(
+            "conv_id", "call_id", F.coalesce("_end", "end").alias("end"), (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"),
+            F.col("_end").isNotNull().alias("open")), "call_chains")
+        if reach > most or at.filter("open").isEmpty():
+            return at
+        reach *= 2
+
+
+def _joins(edges: DataFrame, waits: DataFrame, chains: DataFrame) -> DataFrame:
+    """conv_id, call_id, level of every call that waits for several (-1 for circles), round by round."""
+    several = waits.filter("n > 1").select("conv_id", "call_id")
+    way = chains.select("conv_id", F.col("call_id").alias("wait"), "end", "steps", F.col("open").alias("stuck"))
+    known = several.select("conv_id", F.col("call_id").alias("end"), F.lit(True).alias("later"))
+    left = (edges.join(several, ["conv_id", "call_id"]).join(way, ["conv_id", "wait"], "left")
+            .select("conv_id", "call_id", F.coalesce("end", "wait").alias("end"), (F.coalesce("steps", F.lit(0)) + 1).cast("long").alias("level"),
+                    F.coalesce("stuck", F.lit(False)).alias("stuck"))
+            .join(known, ["conv_id", "end"], "left")
+            .select("conv_id", "call_id", F.when(F.col("later"), F.col("end")).alias("end"), "level", "stuck"))
+    left = stash(left, "call_joins")
+    done, rounds = [], 0
+    while True:
+        state = left.groupBy("conv_id", "call_id").agg(F.max(F.col("end").isNotNull() | F.col("stuck")).alias("_held"), F.max("level").alias("level"))
+        now = stash(state.filter("not _held").drop("_held"), "call_level")
+        if now.isEmpty():
+            break
+        done.append(now)
+        if len(done) == 16:
+            done = [stash(_union(done), "call_levels")]
+        found = now.select("conv_id", F.col("call_id").alias("end"), F.col("level").alias("_level"))
+        left = stash(left.join(now.select("conv_id", "call_id"), ["conv_id", "call_id"], "left_anti").join(found, ["conv_id", "end"], "left")
+                     .select("conv_id", "call_id", F.when(F.col("_level").isNull(), F.col("end")).alias("end"),
+                             (F.col("level") + F.coalesce("_level", F.lit(0))).alias("level"), "stuck"), "call_joins")
+    circles = left.select("conv_id", "call_id", F.lit(-1).cast("long").alias("level")).distinct()
+    return stash(_union([*done, circles]), "call_levels")
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -105,24 +103,16 @@ def levels(calls: DataFrame) -> DataFrame:
     edges = stash(waits.join(known, ["conv_id", "wait"]), "call_edges")
     unknown = (waits.join(known, ["conv_id", "wait"], "left_anti").groupBy("conv_id", "call_id")
                .agg(F.array_sort(F.collect_list(F.concat(F.lit("waits for unknown "), F.col("wait")))).alias("unknown")))
-    done = None
-    level = 0
-    while True:
-        # what still waits for something open stays open; the rest of the open calls get this level
-        blocked = edges.select("conv_id", "call_id").distinct()
-        open_ = nodes if done is None else pending
-        now = stash(open_.join(blocked, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(level)), "call_level")
-        if now.isEmpty():
-            break
-        done = now if done is None else done.unionAll(now)
-        pending = stash(open_.join(blocked, ["conv_id", "call_id"], "left_semi"), "call_pending")
-        edges = stash(edges.join(now.select("conv_id", F.col("call_id").alias("wait")), ["conv_id", "wait"], "left_anti"), "call_edges")
-        level += 1
-    if done is None:
-        done = nodes.withColumn("level", F.lit(0)).limit(0)
-        pending = nodes
-    everything = done.unionAll(pending.withColumn("level", F.lit(-1)))
-    return everything.join(unknown, ["conv_id", "call_id"], "left")
+    number = edges.groupBy("conv_id", "call_id").agg(F.count("*").alias("n"))
+    chains = _chains(edges, number)
+    joins = _joins(edges, number, chains)
+    behind = joins.select("conv_id", F.col("call_id").alias("end"), F.col("level").alias("_level"))
+    singles = (chains.join(behind, ["conv_id", "end"], "left")
+               .select("conv_id", "call_id", F.when(F.col("open") | (F.col("_level") < 0), F.lit(-1))
+                       .otherwise(F.col("steps") + F.coalesce("_level", F.lit(0))).cast("long").alias("level")))
+    return (nodes.join(singles.unionByName(joins), ["conv_id", "call_id"], "left")
+            .select("conv_id", "call_id", F.coalesce("level", F.lit(0)).cast("int").alias("level"))
+            .join(unknown, ["conv_id", "call_id"], "left"))
 
 
 def _positions(df: DataFrame) -> DataFrame:
@@ -150,19 +140,20 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     results = results.select("conv_id", "turn", "call_id", "content")
     first = stash(_first(calls, "turn", "name", "arguments"), "calls")
     answer = _first(results, "turn", "content").select("conv_id", "call_id", "content", F.col("turn").alias("answered"))
-    tool = schemas.filter("name is not null").groupBy("name").agg(F.min("schema").alias("schema")).withColumn("unchecked", unchecked_keywords(F.col("schema")))
+    tool = rules(schemas.filter("name is not null").groupBy("name").agg(F.min("schema").alias("schema")))
     ordered = _positions(first.select("conv_id", "call_id", "turn").join(levels(first), ["conv_id", "call_id"]))
 
-    linked = (first.join(answer, ["conv_id", "call_id"], "left").join(tool, "name", "left")
+    judged = argument_errors(first.select("conv_id", "call_id", "name", "arguments"), tool)
+    linked = (first.join(answer, ["conv_id", "call_id"], "left").join(judged, ["conv_id", "call_id"])
               .join(ordered.drop("turn"), ["conv_id", "call_id"])
-              .withColumn("errors", F.concat(argument_errors(F.col("arguments"), F.col("schema")),
-                                              F.coalesce("unchecked", F.array().cast("array<string>")), F.coalesce("unknown", F.array().cast("array<string>"))))
+              .withColumn("errors", F.concat("wrong", F.coalesce("unknown", F.array().cast("array<string>"))))
               .withColumn("status", F.when(F.col("answered").isNotNull() | F.col("content").isNotNull(), "linked").otherwise("unanswered")))
-    # keys in their order; the arguments are parsed, and so written canonically, or kept as text if they are no JSON
-    arguments = F.coalesce(F.try_parse_json("arguments"), F.col("arguments").cast("variant")).alias("arguments")
+    # keys in their order; the arguments are written canonically, or kept as text if they are no JSON
     waits = F.array_sort(F.array_distinct(F.filter(F.coalesce("after", F.array().cast("array<string>")), lambda x: x.isNotNull()))).alias("after")
-    linked = linked.withColumn("json", F.to_json(F.struct(
-        waits, arguments, F.col("call_id").alias("id"), "name", "position", F.col("content").alias("result")), {"ignoreNullFields": "false"}))
+    whole = lambda *cols: F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+    head, tail = whole(waits), whole(F.col("call_id").alias("id"), "name", "position", F.col("content").alias("result"))
+    text = F.coalesce(canonical_json(F.col("arguments")), F.to_json(F.col("arguments").cast("variant")), F.lit("null"))
+    linked = linked.withColumn("json", F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"arguments":'), text, F.lit(","), F.substring(tail, 2, 2147483647)))
     linked = linked.select("conv_id", "call_id", "turn", "status", "level", "position", (F.size("errors") == 0).alias("valid"), "errors", "json")
 
     bare = lambda df, status: df.select("conv_id", "call_id", "turn", F.lit(status).alias("status"), F.lit(None).cast("int").alias("level"),

@@ -106,15 +106,66 @@ def test_every_result_is_reported(spark):
          ("1", "a", "2", "duplicate result"), ("None", "a", "1", "orphan"), ("1", "b", "3", "orphan")])
 
 
-def test_unchecked_keywords_are_named(spark):
-    rules = {"nested": {"properties": {"o": {"type": "object", "properties": {"x": {"type": "integer"}}, "required": ["x"]}}},
-             "bounds": {"properties": {"n": {"type": "integer", "minimum": 3}, "t": {"type": ["string", "null"]}, "e": {"enum": [1, 2]}}, "minProperties": 1},
-             "plain": {**RULE, "title": "t"}, "odd": {"properties": {"x": False}, "additionalProperties": {"type": "string"}}}
-    d = spark.createDataFrame([(k, json.dumps(v)) for k, v in rules.items()], "name string, schema string")
-    got = {r["name"]: r["u"] for r in d.select("name", T.unchecked_keywords(d["schema"]).alias("u")).collect()}
-    assert got == {"nested": ["unchecked properties of o", "unchecked required of o"], "plain": [],
-                   "bounds": ["unchecked enum of e", "unchecked minProperties", "unchecked minimum of n", "unchecked type of t"],
-                   "odd": ["unchecked additionalProperties", "unchecked properties"]}
-    calls = [(1, 0, "a", "nested", '{"o":{"x":"no"}}', []), (1, 1, "b", "plain", '{"q":"x"}', [])]
-    out = T.link(spark.createDataFrame(calls, CALLS), spark.createDataFrame([], RESULTS), d).collect()
-    assert {r["call_id"]: (r["valid"], r["errors"]) for r in out} == {"a": (False, got["nested"]), "b": (True, [])}
+def judged(spark, cases):
+    """The errors of each case (schema text, arguments text)."""
+    d = spark.createDataFrame([(f"t{i:03}", c[0]) for i, c in enumerate(cases)], "name string, schema string")
+    calls = spark.createDataFrame([(1, i, f"k{i}", f"t{i:03}", c[1], []) for i, c in enumerate(cases)], CALLS)
+    out = T.link(calls, spark.createDataFrame([], RESULTS), d).collect()
+    assert all(r["valid"] == (not r["errors"]) for r in out)
+    return [r["errors"] for r in sorted(out, key=lambda r: r["turn"])], [r["json"] for r in sorted(out, key=lambda r: r["turn"])]
+
+
+def props(**rules):
+    return json.dumps({"type": "object", "properties": rules})
+
+
+def test_schemas(spark):
+    nested = props(o={"type": "object", "properties": {"x": {"type": "integer"}, "l": {"type": "array", "items": {"type": "object", "properties": {"y": {"enum": ["a", 1]}}, "required": ["y"]}}},
+                      "required": ["x"], "additionalProperties": False})
+    odd = props(**{"a/b": {"items": {"type": "string"}}, "*": {"properties": {"~": {"type": "null"}}}})
+    cases = [
+        # a schema that cannot be read refuses, with its reason
+        ("not json", "{}", ["bad schema"]), ("[]", "{}", ["bad schema"]), ('{"required":"a"}', '{"a":1}', ["bad required"]), (None, "{}", ["no schema"]),
+        ('{"properties":{"x":3}}', '{"x":1}', ["bad schema of x"]), ('{"properties":[]}', "{}", ["bad properties"]), ('{"type":"objekt"}', "{}", ["type", "bad type"]),
+        (props(x={"minimum": "1", "maxLength": -1, "enum": 3}), '{"x":1}', ["bad enum of x", "bad maxLength of x", "bad minimum of x"]),
+        ("true", '{"x":1}', []), ("false", "{}", ["not allowed"]), ('{"anyOf":[],"title":"t"}', "{}", ["unchecked anyOf"]), (props(x={"$ref": "#"}), "{}", ["unchecked $ref of x"]),
+        ('{"additionalProperties":{"type":"string"}}', "{}", ["unchecked additionalProperties"]), (props(x=False), '{"x":1}', ["not allowed x"]), (props(x=False), "{}", []),
+        # types, values and bounds
+        (props(e={"enum": ["1"]}), '{"e":1}', ["enum e"]), (props(e={"enum": [1, None, {"b": 1, "a": [2.0]}]}), '{"e":{"a":[2],"b":1.0}}', []), (props(e={"enum": [1e2]}), '{"e":100}', []),
+        (props(e={"const": 5}), '{"e":5.0}', []), (props(e={"const": 5}), '{"e":"5"}', ["const e"]),
+        (props(a={"type": "integer"}), '{"a":' + "9" * 42 + "}", []), (props(a={"type": "integer"}), '{"a":1e2}', []), (props(a={"type": "integer"}), '{"a":1.5}', ["type a"]),
+        (props(t={"type": ["string", "null"]}), '{"t":null}', []), (props(t={"type": ["string", "null"]}), '{"t":1}', ["type t"]), (props(t={"type": "number"}), '{"t":true}', ["type t"]),
+        (props(n={"minimum": 3, "exclusiveMaximum": 4.5}), '{"n":3}', []), (props(n={"minimum": 3, "exclusiveMaximum": 4.5}), '{"n":4.5}', ["exclusiveMaximum n"]),
+        (props(n={"minimum": 3}), '{"n":2.99}', ["minimum n"]), (props(n={"minimum": 3}), '{"n":"x"}', []), (props(n={"maximum": 9007199254740993}), '{"n":9007199254740994}', ["maximum n"]),
+        (props(s={"minLength": 2, "maxLength": 3}), '{"s":"\U0001f600"}', ["minLength s"]), (props(s={"minLength": 2, "maxLength": 3}), '{"s":"abcd"}', ["maxLength s"]),
+        (props(a={"minItems": 1, "uniqueItems": True}), '{"a":[]}', ["minItems a"]), (props(a={"uniqueItems": True}), '{"a":[1,1.0]}', ["uniqueItems a"]), (props(a={"uniqueItems": True}), '{"a":[1,"1"]}', []),
+        ('{"minProperties":2}', '{"a":1}', ["minProperties"]), ('{"maxProperties":0}', '{"a":1}', ["maxProperties"]),
+        (props(d={"pattern": "^[0-9]{4}-\\d{2}$"}), '{"d":"2024-01"}', []), (props(d={"pattern": "^[0-9]{4}-\\d{2}$"}), '{"d":"2024-01\\n"}', ["pattern d"]), (props(d={"pattern": "(a"}), '{"d":"a"}', ["unchecked pattern of d"]),
+        # nested
+        (nested, '{"o":{"x":1,"l":[{"y":"a"},{"y":1}]}}', []), (nested, '{"o":{"x":"no"}}', ["type o.x"]), (nested, '{"o":{"l":[{"y":"a"},{"y":"b"},{},3],"z":1}}',
+         ["missing o.x", "unknown o.z", "enum o.l[].y", "missing o.l[].y", "type o.l[]"]), (nested, '{"o":null}', ["type o"]), (nested, "[1]", ["not an object"]), (nested, None, ["not an object"]),
+        (nested, '{"o":{"x":1},"o":{}}', ["not an object"]), (odd, '{"a/b":["x",1],"*":{"~":null},"a":{"b":1}}', ["type a/b[]"]), (odd, '{"a/b":["x"],"*":{"~":0}}', ["type *.~"]),
+    ]
+    got, _ = judged(spark, [c[:2] for c in cases])
+    for g, c in zip(got, cases, strict=True):
+        assert g == c[2], c
+
+
+def test_canonical_numbers(spark):
+    same = [("1e2", "100"), ("100.0", "100"), ("1.0", "1"), ("-0", "0"), ("-0.0", "0"), ("0.10", "0.1"), ("1E-7", "1e-7"), ("0.000001", "0.000001"), ("9" * 42, "9" * 42), ("12.5e1", "125"), ("-1.50e+1", "-15"),
+            ("1.5e300", "1.5e+300"), ("123456789012345678901234567890.125", "123456789012345678901234567890.125"), ("1e22", "1e+22"), ("5e21", "5" + "0" * 21)]
+    texts = [f'{{ "b" : [{a}, "{a}, \\"1.0"], "a":{a} }}' for a, _ in same]
+    _, got = judged(spark, [("true", t) for t in texts])
+    for g, (a, want) in zip(got, same, strict=True):
+        assert f'"arguments":{{"a":{want},"b":[{want},"{a}, \\"1.0"]}},' in g, (g, want)
+
+
+def test_long_chains(spark):
+    n = 1000
+    calls = [(1, i, f"k{i}", "t", "{}", [f"k{i - 1}"] if i else []) for i in range(n)]
+    calls += [(2, i, f"k{i}", "t", "{}", [f"k{i - 1}", f"k{i - 2}"] if i > 1 else []) for i in range(12)] + [(2, 20, "tail", "t", "{}", ["k11"])]
+    calls += [(3, i, f"k{i}", "t", "{}", [f"k{(i + 1) % 5}"]) for i in range(5)] + [(3, 9, "x", "t", "{}", ["k0"]), (3, 9, "y", "t", "{}", ["x", "z"]), (3, 9, "z", "t", "{}", []), (3, 9, "w", "t", "{}", ["y"])]
+    got = {(r["conv_id"], r["call_id"]): r["level"] for r in T.levels(spark.createDataFrame(calls, CALLS)).collect()}
+    assert all(got[1, f"k{i}"] == i for i in range(n))
+    assert [got[2, f"k{i}"] for i in range(12)] == [0, 0, *range(1, 11)] and got[2, "tail"] == 11
+    assert {c: v for (k, c), v in got.items() if k == 3} == {**{f"k{i}": -1 for i in range(5)}, "x": -1, "y": -1, "w": -1, "z": 0}
