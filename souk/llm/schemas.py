@@ -108,10 +108,9 @@ def _kind(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
-def _node(df: DataFrame) -> DataFrame:
-    """df(..., label, s variant) with the rule of the node as struct ``rule`` and what cannot be read as ``unread``."""
+def _read() -> list[Column]:
+    """Of a schema node (label, s variant, m its keywords): the struct ``rule`` and ``unread``, what cannot be read."""
     m = F.col("m")
-    df = df.withColumn("m", F.when(_kind(F.col("s")).startswith("OBJECT"), F.try_variant_get("s", "$", MAP)))
     has = lambda k: F.map_contains_key(m, F.lit(k))
     at = lambda k: F.element_at(m, F.lit(k))
     get = lambda k, t: F.try_variant_get(at(k), "$", t)
@@ -141,7 +140,7 @@ def _node(df: DataFrame) -> DataFrame:
         F.when(is_("pattern", "^STRING$") & ~get("pattern", "string").rlike(PLAIN_PATTERN), of("unchecked", "pattern")),
         *[bad(k, is_(k, number)) for k in BOUNDS], *[bad(k, is_(k, r"^(BIGINT|DECIMAL\(\d+,0\))$") & (get(k, "long") >= 0)) for k in COUNTS])),
         F.transform(F.array_except(F.coalesce(F.map_keys(m), _none()), F.array(*[F.lit(k) for k in (*READ, *NOTES)])), lambda k: of("unchecked", k)))
-    return df.withColumn("rule", rule).withColumn("unread", unread)
+    return [rule.alias("rule"), unread.alias("unread")]
 
 
 def _below(nodes: DataFrame) -> DataFrame:
@@ -173,11 +172,14 @@ class Rules:
 def rules(schemas: DataFrame) -> Rules:
     """schemas(name, schema): one row a tool."""
     roots = schemas.select("name", F.lit("").alias("path"), F.lit("").alias("label"), F.try_parse_json("schema").alias("s"), F.col("schema").isNull().alias("lacks"))
-    level = _node(_stashed(roots, "schema_0"))
+    keywords = F.when(_kind(F.col("s")).startswith("OBJECT"), F.try_variant_get("s", "$", MAP))
+    read = _read()  # one expression for all levels
+    node = lambda df: df.withColumn("m", keywords).select("*", *read)
+    level = node(_stashed(roots, "schema_0"))
     top = level.select("name", "rule", F.when(F.col("lacks"), F.array(F.lit("no schema"))).otherwise(F.col("unread")).alias("unread"))
     deeper, unread = [], [top.select("name", "unread")]
     while True:
-        level = _node(_stashed(_below(level), f"schema_{len(deeper) + 1}"))
+        level = node(_stashed(_below(level), f"schema_{len(deeper) + 1}"))
         if level.isEmpty():
             break
         deeper.append(level.select("name", "parent", "path", "label", "key", "rule"))
@@ -267,7 +269,7 @@ def argument_errors(calls: DataFrame, tools: Rules) -> DataFrame:
     names = deep.select("name").distinct()
     level = (calls.join(names, "name", "left_semi").withColumn("v", F.try_parse_json("arguments")).filter(_kind(F.col("v")).startswith("OBJECT"))
              .select("conv_id", "call_id", "name", F.lit("").alias("path"), "v"))
-    found = []
+    found, wrong = [], _wrong(F.col("v"), F.col("rule"), F.col("label"))
     for depth, nodes in enumerate(tools.deeper):
         rule = nodes.select("name", F.col("parent").alias("path"), F.col("path").alias("_path"), "label", "key", "rule")
         inside = F.when(_kind(F.col("v")).startswith("OBJECT"), F.try_variant_get("v", "$", MAP))
@@ -276,7 +278,7 @@ def argument_errors(calls: DataFrame, tools: Rules) -> DataFrame:
         value = F.when(F.col("key").isNull(), parts).otherwise(F.when(F.map_contains_key(inside, F.col("key")), F.array(F.element_at(inside, F.col("key")))))
         level = (met.select("conv_id", "call_id", "name", F.col("_path").alias("path"), "label", "rule", F.explode(value).alias("v")))
         if depth:  # the first level was checked beside the call
-            found.append(level.select("conv_id", "call_id", F.explode(_wrong(F.col("v"), F.col("rule"), F.col("label"))).alias("e")))
+            found.append(level.select("conv_id", "call_id", F.explode(wrong).alias("e")))
         level = level.select("conv_id", "call_id", "name", "path", "v")
     # the errors of a call, each place of its schema named once
     deeper = reduce(DataFrame.unionAll, found).groupBy("conv_id", "call_id").agg(F.array_sort(F.collect_set("e")).alias("deeper"))
