@@ -4,8 +4,9 @@ A text is the average of the embeddings of its subwords (every word between
 marks, and its runs of two to four characters, hashed into BUCKETS rows of DIM
 numbers); a linear layer and a softmax turn that into a probability of each
 language.  Both are trained by stochastic gradient descent in numpy on a
-bounded sample (about ``per_lang`` documents of each language, chosen by a
-seeded hash): each gives its whole text and a short run of its words.  A fifth
+bounded sample (about ``per_lang`` documents of each language, at most, chosen
+by a seeded hash of id and text; rows equal in both count once): each gives its
+whole text and a short run of its words.  A fifth
 of the sample is held back to set a temperature (so that the score is a
 probability) and the confidence below which a prediction is rejected.
 
@@ -69,8 +70,8 @@ class Model:
         self.langs, self.table, self.bias = langs, table, bias  # table: embeddings times the linear layer
         self.heat, self.floor = 1.0, 0.0
 
-    def logits(self, bag: np.ndarray) -> np.ndarray:
-        return self.table[bag].mean(0) + self.bias
+    def logits(self, buckets: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return counts @ self.table[buckets] / counts.sum() + self.bias
 
     def probabilities(self, logits: np.ndarray) -> np.ndarray:
         z = logits / self.heat
@@ -129,9 +130,18 @@ class Reader:
         return out
 
 
+def bag(words: list[str]) -> np.ndarray:
+    """Buckets of the words' subwords and how often each occurs: at most BUCKETS columns, however long the text."""
+    total = np.zeros(BUCKETS, np.int64)
+    for at in range(0, len(words), 8192):
+        total += np.bincount(subwords(words[at:at + 8192])[0], minlength=BUCKETS)
+    used = np.flatnonzero(total)
+    return np.stack([used, total[used]])
+
+
 def fit(bags: list[np.ndarray], y: np.ndarray, held: np.ndarray, langs: list[str], epochs: int = 8, batch: int = 64,
         rate: float = 20.0, seed: int = 9) -> Model:
-    """bags: subword buckets of each training row; held marks the rows kept for calibration."""
+    """bags: subword buckets of each training row with their counts; held marks the rows kept for calibration."""
     g = np.random.Generator(np.random.PCG64(seed))
     n = len(langs)
     emb = g.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
@@ -146,7 +156,7 @@ def fit(bags: list[np.ndarray], y: np.ndarray, held: np.ndarray, langs: list[str
             i = order[at:at + batch]
             x = np.zeros((len(i), BUCKETS), np.float32)
             for r, k in enumerate(i):
-                x[r] = np.bincount(bags[k], minlength=BUCKETS)
+                x[r, bags[k][0]] = bags[k][1]
             x /= x.sum(1, keepdims=True)
             hidden = x @ emb
             z = hidden @ out + bias
@@ -163,7 +173,7 @@ def fit(bags: list[np.ndarray], y: np.ndarray, held: np.ndarray, langs: list[str
     model = Model(langs, (emb @ out).astype(np.float64), bias.astype(np.float64))
     test = np.flatnonzero(held) if held.any() else rows
     if len(test):
-        z = np.stack([model.logits(bags[k]) for k in test])
+        z = np.stack([model.logits(*bags[k]) for k in test])
         loss = []
         heats = np.geomspace(0.05, 20, 60)
         for t in heats:
@@ -188,25 +198,29 @@ def _bags_of(batches):
             if not words:
                 continue
             held = pick % 5 == 0
-            out.append((lang, held, subwords(words)[0]))
+            out.append((lang, held, bag(words)))
             n = 1 + (pick >> 8) % 12
             at = (pick >> 16) % max(1, len(words) - n + 1)
-            out.append((lang, held, subwords(words[at:at + n])[0]))
-        packed_bags = [np.stack(np.unique(x[2], return_counts=True)).astype(np.int32) for x in out]
+            out.append((lang, held, bag(words[at:at + n])))
         yield pa.record_batch([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.bool_()),
-                               pa.array([x.tobytes() for x in packed_bags], pa.binary())], names=["lang", "held", "bag"])
+                               pa.array([x[2].astype(np.int32).tobytes() for x in out], pa.binary())], names=["lang", "held", "bag"])
 
 
 def train(docs: DataFrame, per_lang: int = PER_LANG, seed: int = 9, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang") -> Model | None:
-    """Fit on a sample of docs with a language: each with probability per_lang / rows of its language, by a seeded hash of id."""
+    """Fit on a sample of docs with a language: each with probability per_lang / rows of its language, by a seeded hash of id and text.
+
+    Rows equal in id, text and language are taken together and once, so a repeated row
+    cannot fill the sample; rows that share an id but hold other texts are drawn one by one.
+    """
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("lang is not null")
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
     if not counts:
         return None
-    pick = F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(1 << 40))
+    pick = F.pmod(F.xxhash64(F.lit(seed), F.col("id"), F.col("text")), F.lit(1 << 40))
     share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, per_lang / n))])[F.col("lang")]
     sample = known.withColumn("pick", pick).filter(F.col("pick") < share * F.lit(float(1 << 40))).select("lang", "pick", "text")
+    sample = sample.groupBy("lang", "pick").agg(F.min("text").alias("text"))
     sample = sample.withColumn("pick", F.pmod(F.xxhash64("pick"), F.lit(1 << 40)))  # fresh digits: the sample has small ones
     ship(docs.sparkSession)
     rows = sample.mapInArrow(_bags_of, "lang string, held boolean, bag binary").toArrow().to_pandas()
@@ -214,10 +228,7 @@ def train(docs: DataFrame, per_lang: int = PER_LANG, seed: int = 9, id_col: str
         return None
     rows = rows.sort_values(["lang", "held", "bag"], kind="stable")  # the same order on every run
     langs = sorted(rows["lang"].unique())
-    bags = []
-    for b in rows["bag"]:
-        k, n = np.frombuffer(b, np.int32).reshape(2, -1)
-        bags.append(np.repeat(k, n))
+    bags = [np.frombuffer(b, np.int32).reshape(2, -1) for b in rows["bag"]]
     return fit(bags, np.searchsorted(langs, rows["lang"].to_numpy()), rows["held"].to_numpy(), langs, seed=seed)
 
 

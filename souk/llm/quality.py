@@ -9,8 +9,9 @@ best, and squashed so that the cut lies at 0.3.
 Features use the text alone: shares of character classes and of pairs of
 adjacent classes, length, word length, and how much words and lines repeat.
 
-Training reads a bounded sample of the labelled rows (``per_class`` of each
-label, those with the smallest seeded hash); scoring reads every document.
+Training reads a bounded sample of the labelled ids (``per_class`` of each
+label, those with the smallest seeded hash) and takes one row of each, however
+often the id is repeated; scoring reads every document.
 
 Defined cases: a null text scores like the empty one; labels that are null or
 other than 0 and 1 are ignored; without rows of both labels every score is 0.5;
@@ -116,22 +117,25 @@ def fit(x: np.ndarray, y: np.ndarray, pairs: int = 40_000, epochs: int = 30, bat
 def _features_of(batches):
     for b in sliced(batches):
         x = [features(t) for t in b.column("text").to_pylist()]
-        yield pa.record_batch([b.column("quality"), pa.array([v.tobytes() for v in x], pa.binary())], names=["quality", "x"])
+        yield pa.record_batch([b.column("id"), b.column("quality"), pa.array([v.tobytes() for v in x], pa.binary())], names=["id", "quality", "x"])
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: int = 3, id_col: str = "doc_id",
           text_col: str = "text", label_col: str = "quality") -> Model | None:
     """Fit on at most ``per_class`` labelled documents of each label.
 
-    The sample's ids, at most 2 * per_class rows, are broadcast to the scan.
+    The sample's ids, at most 2 * per_class rows, are broadcast to the scan.  Rows that
+    share an id are reduced to one (the least features) where they are read, so the
+    driver gets no more rows than there are ids.
     """
     lab = (labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
            .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("quality")))
     pick = F.xxhash64(F.lit(seed), F.col("id"))
     ids = lab.filter("quality = 0").orderBy(pick).limit(per_class).unionAll(lab.filter("quality = 1").orderBy(pick).limit(per_class))
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id").select("quality", "text")
+    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id").select("id", "quality", "text")
     ship(docs.sparkSession)
-    rows = sample.mapInArrow(_features_of, "quality int, x binary").toArrow().to_pandas()
+    found = sample.mapInArrow(_features_of, T.StructType([*sample.schema.fields[:2], T.StructField("x", T.BinaryType())]))
+    rows = found.groupBy("id").agg(F.max("quality").alias("quality"), F.min("x").alias("x")).select("quality", "x").toArrow().to_pandas()
     if not len(rows):
         return None
     rows = rows.sort_values(["quality", "x"])  # the same order on every run

@@ -36,7 +36,7 @@ def test_word_cache_equals_direct_sum():
     g = np.random.default_rng(0)
     m = langid.Model(["x", "y"], g.normal(size=(langid.BUCKETS, 2)), np.zeros(2))
     t = text("aa", 3, 9000)
-    p = m.probabilities(m.logits(langid.subwords(langid.words_of(t))[0]))
+    p = m.probabilities(m.logits(*langid.bag(langid.words_of(t))))
     assert np.isclose(langid.Reader(m).predict([t])[0][1], p.max())
 
 
@@ -49,6 +49,21 @@ def test_subwords_of_a_word_do_not_depend_on_its_neighbours():
         assert len(alone) == 1 + sum(max(0, len(w) + 2 - n + 1) for n in (2, 3, 4))
 
 
+def test_the_sample_is_bounded_in_rows(docs, monkeypatch):
+    """A third of all rows share one id, another third is one row repeated: the first are sampled one by one, the others count once."""
+    rows = [(i, text(("aa", "bb")[i % 2], i, 20), ("aa", "bb")[i % 2], "s") for i in range(900)]
+    rows += [(7000, text("aa", 10_000 + i, 20), "aa", "s") for i in range(900)] + [(8000, text("bb", 77, 20), "bb", "s")] * 900
+    seen = []
+    fit = langid.fit
+    monkeypatch.setattr(langid, "fit", lambda bags, y, *a, **k: seen.append((len(bags), y)) or fit(bags, y, *a, **k))
+    model = langid.train(docs(rows), per_lang=100)
+    n, y = seen[0]
+    per = [int((y == k).sum()) // 2 for k in (0, 1)]  # a text and a short run of it
+    assert 60 <= per[0] <= 140 and 15 <= per[1] <= 60 and n == 2 * sum(per)
+    out = langid.predict(docs(rows[:200]), model)
+    assert out.filter("row.lang = lang_pred").count() >= 196
+
+
 def test_rejection_holds_its_precision(docs):
     d = table(docs)
     noisy = d.withColumn("lang", F.when(F.col("doc_id") % 7 == 0, "aa").otherwise(F.col("lang")))

@@ -28,6 +28,20 @@ def test_pairs_are_learned(spark, docs):
     assert np.allclose(again.w, model.w)
 
 
+def test_repeated_ids_give_one_row_each(spark, docs, monkeypatch):
+    """A third of all rows on one id, copies and different texts: the driver gets one row an id."""
+    base = table(docs).collect()
+    rows = [tuple(r)[:4] for r in base] + [(1, sentence(5000 + i % 40), "en", "s") for i in range(len(base) // 2)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(240)], "doc_id long, quality int")
+    seen = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda x, y, **k: seen.append((x, y)) or fit(x, y, **k))
+    for d in (docs(rows), docs(rows).repartition(5)):
+        quality.train(d, labels)
+    assert [len(y) for _, y in seen] == [240, 240]
+    assert np.array_equal(seen[0][0], seen[1][0])
+
+
 def test_bradley_terry_orders_by_strength():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(400, 6)).astype(np.float32)
