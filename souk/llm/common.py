@@ -6,7 +6,7 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from souk.session import ensure_checkpoint_dir, scratch_path
@@ -41,6 +41,22 @@ def crc_mod(col: str, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
+def running(df: DataFrame, group: list[str], slice_: str, order: list[Column], value: str, out: str) -> DataFrame:
+    """``out``: the inclusive running total of ``value`` within ``group`` in the order (slice, *order).
+
+    A task holds a slice, or the sums of a group's slices, never a whole group.
+    """
+    sums = df.groupBy(*group, slice_).agg(F.sum(value).alias("_sum"))
+    w = Window.partitionBy(*group).orderBy(slice_).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*[F.col(c).alias(f"_o_{c}") for c in (*group, slice_)],
+                          F.coalesce(F.sum("_sum").over(w), F.lit(0)).alias("_offset"))
+    on = [df[c].eqNullSafe(offsets[f"_o_{c}"]) for c in (*group, slice_)]
+    inner = Window.partitionBy(*group, slice_).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (df.withColumn("_within", F.sum(value).over(inner)).join(offsets, on, "left")
+            .withColumn(out, F.col("_offset") + F.col("_within"))
+            .drop("_within", "_offset", *[f"_o_{c}" for c in (*group, slice_)]))
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers (Spark copies the archive to every executor)."""
     sc = spark.sparkContext

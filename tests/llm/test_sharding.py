@@ -50,3 +50,36 @@ def test_files(spark, docs, tmp_path):
 
 def test_empty(docs):
     assert sharding.external_shuffle(docs([])).count() == 0
+
+
+def test_a_hot_key_is_dealt_over_buckets(docs, monkeypatch):
+    """A third of all bytes in rows equal in id and text: no bucket holds them all, and the law still holds."""
+    monkeypatch.setattr(sharding, "COPIES", 64)
+    rows = [(i, " ".join(words(20, i)), "en", "s") for i in range(1000)]
+    rows += [(None, "the same text " * 8, "en", "s")] * 400 + [(4, " ".join(words(20, 4)), "en", "s")] * 3
+    d = docs(rows)
+    out = sharding.external_shuffle(d, bucket_bytes=8192)
+    per = {r["bucket"]: r["bytes"] for r in out.groupBy("bucket").agg(F.sum(sharding.text_size(F.col("row.text"))).alias("bytes")).collect()}
+    assert max(per.values()) < 2 * 8192
+    got = sharding.digest(out).collect()
+    assert Counter((r["doc_id"], r["size"]) for r in got) == Counter((r[0], len(r[1]) + 1) for r in rows)
+    by = Counter(r["shard"] for r in got)
+    assert max(by.values()) - min(by.values()) <= 1
+    assert sorted((r["shard"], r["slot"]) for r in got) == sorted((k, i) for k in by for i in range(by[k]))
+    again = sharding.digest(sharding.external_shuffle(d.repartition(7), bucket_bytes=8192)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
+def test_offsets_of_many_blocks(docs, monkeypatch):
+    monkeypatch.setattr(sharding, "BLOCK", 3)
+    d = docs([(i, f"t {i}", "en", "s") for i in range(300)])
+    got = sharding.external_shuffle(d, shards=1, bucket_bytes=100).select("slot").collect()
+    assert sorted(r["slot"] for r in got) == list(range(300))
+
+
+def test_clashing_names(docs):
+    d = docs([(i, f"t {i}", "en", "s") for i in range(50)])
+    for c in ("bucket", "_key", "key", "row", "_n", "position", "offset"):
+        d = d.withColumn(c, F.lit("x"))
+    out = sharding.external_shuffle(d, bucket_bytes=64)
+    assert out.select("row.*").columns == d.columns and out.count() == 50
