@@ -10,7 +10,9 @@ again, so a document can be taken up to three times.
 
 No task ever holds a whole source: running totals are made of two parts, a
 window inside a slice of the hash range (or of the finish-time range) and a
-small table of slice sums.  What comes out is the last place taken in each turn
+small table of slice sums.  There are as many slices as keep a slice at
+``SLICE_ROWS`` rows.  Different texts under one id stand together in the queue;
+their totals are made the same way, in slices of the text's hash.  What comes out is the last place taken in each turn
 of each queue; texts are never shuffled.
 
 Defined cases: a null text has size 0; documents of size 0 are never taken
@@ -24,12 +26,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import packed, stash
+from .common import packed, running, stash
 
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_REPEATS = 3
-#: slices of the hash range within a source, and of the finish-time range
-SLICES = 1024
+#: slices of the hash range within a source, and of the finish-time range: this many at least, and a slice for so many rows
+SLICES, SLICE_ROWS = 1024, 20_000
 #: copies of a row that a task makes in a go
 CHUNK = 64
 
@@ -63,37 +65,39 @@ def source_targets(units: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> Da
                               F.col("weight") * F.max("level").over(everything)).alias("target"))
 
 
-def _running(df: DataFrame, group: list[str], slice_: str, order: list[Column], value: str, out: str) -> DataFrame:
-    """``out``: the inclusive running total of ``value`` within ``group`` in the order (slice, *order)."""
-    sums = df.groupBy(*group, slice_).agg(F.sum(value).alias("_sum"))
-    w = Window.partitionBy(*group).orderBy(slice_).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*[F.col(c).alias(f"_o_{c}") for c in (*group, slice_)],
-                          F.coalesce(F.sum("_sum").over(w), F.lit(0)).alias("_offset"))
-    on = [df[c].eqNullSafe(offsets[f"_o_{c}"]) for c in (*group, slice_)]
-    inner = Window.partitionBy(*group, slice_).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (df.withColumn("_within", F.sum(value).over(inner)).join(offsets, on, "left")
-            .withColumn(out, F.col("_offset") + F.col("_within"))
-            .drop("_within", "_offset", *[f"_o_{c}" for c in (*group, slice_)]))
-
-
 def _queue(seed: int, id_: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_.cast("string"), F.lit("null"))).cast("binary"))
 
 
+def _queued(units: DataFrame, seed: int, slices: int) -> DataFrame:
+    """units with queue and upto, the words of their source's queue up to and with them: by (queue, id, hash, size)."""
+    ids = units.groupBy("source", "id").agg(F.sum("words").alias("words"), F.count("*").alias("units"), *[F.max(c).alias(c) for c in ("size", "hash", "copies")])
+    ids = ids.withColumn("queue", _queue(seed, F.col("id")))
+    ids = ids.withColumn("slice", F.floor(F.conv(F.substring("queue", 1, 8), 16, 10).cast("long") * slices / F.lit(1 << 32)))
+    ids = stash(running(ids, ["source"], "slice", [F.col("queue"), F.col("id").asc_nulls_first()], "words", "upto"), "mix_queue")
+    columns = ["source", "id", "size", "hash", "copies", "words", "queue", "upto"]
+    one = ids.filter("units = 1").select(*columns)
+    many = ids.filter("units > 1").select(F.col("source").alias("_s"), F.col("id").alias("_i"), "queue", (F.col("upto") - F.col("words")).alias("_before"))
+    if many.isEmpty():
+        return one
+    # an id may hold any share of a source's rows: slices of the text's hash, which also is the order within an id
+    q = units.join(many, units["source"].eqNullSafe(many["_s"]) & units["id"].eqNullSafe(many["_i"])).drop("_s", "_i")
+    q = q.withColumn("slice", F.floor((F.col("hash").cast("double") / float(1 << 64) + 0.5) * slices))
+    q = running(q, ["source", "id"], "slice", [F.col("hash"), F.col("size")], "words", "_upto")
+    return one.unionAll(q.withColumn("upto", F.col("_before") + F.col("_upto")).select(*columns))
+
+
 def fair_queue(units: DataFrame, seed: int = 7, weights: tuple[int, ...] = (1, 2, 3), slices: int = SLICES) -> DataFrame:
     """units(source, id, size, hash, copies, words): distinct keys, their number and total words.
 
     Returns a row for each source: source_size, target, and cuts, the last place
-    (queue, id, size, hash) taken in each turn of its queue, MAX_REPEATS at most,
+    (queue, id, hash, size) taken in each turn of its queue, MAX_REPEATS at most,
     with the number of its copies that are taken and of all.  As finish times grow
     along a queue, what the budget takes of a turn is all up to that place; so rows
     need no join with each other's plans, only with their source.
     """
     targets = source_targets(units, weights)
-    q = units.withColumn("queue", _queue(seed, F.col("id")))
-    q = q.withColumn("slice", F.floor(F.conv(F.substring("queue", 1, 8), 16, 10).cast("long") * slices / F.lit(1 << 32)))
-    order = [F.col("queue"), F.col("id").asc_nulls_first(), F.col("size"), F.col("hash")]
-    q = _running(q, ["source"], "slice", order, "words", "upto").drop("slice")
+    q = _queued(units, seed, slices)
     t = targets.select(F.col("source").alias("_s"), "source_size", "target")
     q = q.join(t, q["source"].eqNullSafe(t["_s"]), "left").drop("_s")
     turns = F.least(F.lit(MAX_REPEATS), F.ceil(F.col("target") / F.col("source_size"))).cast("int")
@@ -108,19 +112,21 @@ def fair_queue(units: DataFrame, seed: int = 7, weights: tuple[int, ...] = (1, 2
     items = items.withColumn("slice", F.when(F.col("finish") <= 1, F.floor(F.col("finish") * slices))
                              .otherwise(slices + F.floor(F.log("finish") * slices)).cast("long"))
     order = [F.col("finish"), F.col("source").asc_nulls_last(), F.col("id").asc_nulls_first(), F.col("size"), F.col("turn"), F.col("hash"), F.col("copy")]
-    ranked = _running(items, [], "slice", order, "size", "total")
+    ranked = running(items, [], "slice", order, "size", "total")
     budget = targets.agg(F.sum("source_size").alias("budget"))
     last = (ranked.crossJoin(F.broadcast(budget)).filter("total <= budget")  # one row
-            .groupBy("source", "turn").agg(F.max(F.struct("queue", "id", "size", "hash", "copy", "copies")).alias("last")))
+            .groupBy("source", "turn").agg(F.max(F.struct("queue", "id", "hash", "size", "copy", "copies")).alias("last")))
     cuts = last.groupBy(F.col("source").alias("_s")).agg(F.collect_list("last").alias("cuts"))
     return (targets.join(cuts, targets["source"].eqNullSafe(cuts["_s"]), "left")
             .select("source", "source_size", "target", "cuts"))
 
 
 def mix(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] = (1, 2, 3), id_col: str = "doc_id",
-        text_col: str = "text", source_col: str = "source", carry: bool = True, slices: int = SLICES) -> DataFrame:
+        text_col: str = "text", source_col: str = "source", carry: bool = True, slices: int | None = None) -> DataFrame:
     """Every row of docs with its size, its source's size and target, and times taken.
 
+    ``slices`` only says how the running totals are divided (default: by the number of rows); it changes no result.
+
     Returns columns row (the whole row as a struct, if ``carry``), source, id,
     size, source_size, target, times.
     """
@@ -131,12 +137,13 @@ def mix(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] = (1, 2, 3), id
         units = base
     else:
         units = stash(base.drop("row"), "mix_sizes")
+    slices = slices or max(SLICES, -(-units.count() // SLICE_ROWS))
     units = (units.groupBy("source", "id", "size", F.col("_hash").alias("hash")).agg(F.count("*").alias("copies"))
              .withColumn("words", F.col("copies") * F.col("size")))
     # written, so that Spark knows its size (a row for each source) when it plans the join
     plan = stash(fair_queue(units, seed, weights, slices), "mix_plan").withColumnRenamed("source", "_s")
-    place = F.struct(_queue(seed, F.col("id")).alias("queue"), "id", "size", F.col("_hash").alias("hash"))
-    key = lambda c: F.struct(c["queue"].alias("queue"), c["id"].alias("id"), c["size"].alias("size"), c["hash"].alias("hash"))
+    place = F.struct(_queue(seed, F.col("id")).alias("queue"), "id", F.col("_hash").alias("hash"), "size")
+    key = lambda c: F.struct(c["queue"].alias("queue"), c["id"].alias("id"), c["hash"].alias("hash"), c["size"].alias("size"))
     cuts = F.coalesce("cuts", F.array())
     rows = base.withColumn("_place", place).join(plan, base["source"].eqNullSafe(plan["_s"]), "left")
     split = lambda c: (c["copy"] < c["copies"])
@@ -153,7 +160,7 @@ def mix(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] = (1, 2, 3), id
     among = F.exists(cuts, lambda c: split(c) & (F.col("_place") == key(c)))
     some = stash(rows.filter(among).withColumn("_slice", F.pmod(F.monotonically_increasing_id(), F.lit(slices))).withColumn("_one", F.lit(1)), "mix_copies")
     some = some.withColumn("_order", F.lit(0))
-    some = _running(some, ["source", "id", "size", "_hash"], "_slice", [F.col("_order")], "_one", "_number")
+    some = running(some, ["source", "id", "size", "_hash"], "_slice", [F.col("_order")], "_one", "_number")
     some = some.withColumn("times", times(F.col("_number"))).drop(*gone, "_slice", "_one", "_order", "_number")
     return rows.filter(~among).withColumn("times", times(F.lit(1))).drop(*gone).unionByName(some)
 

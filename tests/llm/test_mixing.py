@@ -1,3 +1,4 @@
+import hashlib
 import re
 from collections import defaultdict
 
@@ -77,6 +78,38 @@ def test_copies_are_queued_one_by_one(docs):
     assert count[0] == count[1] == count[2]
 
 
+def test_an_id_with_a_third_of_all_rows(docs, monkeypatch):
+    """Different texts under one id (or none) have the running totals of the whole queue, and no task has them all."""
+    rows = [(i, " ".join(words(1 + i % 9, i)), "en", f"s{i % 2}") for i in range(400)]
+    rows += [(7, " ".join(words(1 + i % 5, 9000 + i)), "en", "s1") for i in range(300)] + [(None, " ".join(words(4, 20_000 + i)), "en", "s0") for i in range(300)]
+    d = docs(rows)
+    units = (d.select("source", F.col("doc_id").alias("id"), mixing.word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("hash"))
+             .groupBy("source", "id", "size", "hash").agg(F.count("*").alias("copies")).withColumn("words", F.col("copies") * F.col("size")))
+    largest = []
+    real = mixing.running
+
+    def watched(df, group, slice_, order, value, out):
+        largest.append(df.groupBy(*group, slice_).count().agg(F.max("count")).first()[0])
+        return real(df, group, slice_, order, value, out)
+
+    monkeypatch.setattr(mixing, "running", watched)
+    got = mixing._queued(units, 7, 64).collect()
+    assert max(largest) <= 30
+    by = defaultdict(list)
+    for r in got:
+        queue = hashlib.md5(f"7:{'null' if r['id'] is None else r['id']}".encode()).hexdigest()
+        assert r["queue"] == queue
+        by[r["source"]].append((queue, r["hash"], r["size"], r["words"], r["upto"]))
+    for queue in by.values():
+        total = 0
+        for *_, n, upto in sorted(queue):
+            total += n
+            assert upto == total
+    monkeypatch.undo()
+    runs = [sorted(map(str, mixing.mix(d, carry=False, slices=k).collect())) for k in (1, 64, None)]
+    assert runs[0] == runs[1] == runs[2]
+
+
 def test_mixed_rows_repeat_and_keep_columns(docs):
     d = table(docs).withColumn("size", F.lit(5)).withColumn("slice", F.lit("x"))
     m = mixing.mixed_rows(d)
