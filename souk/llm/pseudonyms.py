@@ -22,6 +22,10 @@ longest part up to a separator that passes is the value, and the text behind it
 is searched anew.  A number with a country code of PLANS ends where the digits
 of that country do.
 
+The key is the caller's: an argument, or the Spark setting ``KEY_CONF``.  There
+is none in the source, so nobody who reads it can undo a mapping; without a
+setting a session draws one, and what it wrote cannot be undone by another.
+
 Defined cases: a null text stays null with 0 replaced; an empty text and one
 without such values stay as they are; what fails its check stays; repeated rows
 get equal results; an empty table gives no rows.
@@ -29,13 +33,16 @@ get equal results; an empty table gives no rows.
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import packed, table
 
 ROUNDS = 8
-KEY = "souk pseudonyms"
+#: the Spark setting that holds the key; a query without one gets a key of its own, kept by the session
+KEY_CONF = "spark.souk.pseudonyms.key"
 
 EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+"
 IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
@@ -236,7 +243,16 @@ def _card(m: Column, key: str, inverse: bool) -> Column:
     return _let(_digits(m), of)
 
 
-def pseudonym(m: Column, key: str = KEY, inverse: bool = False) -> Column:
+def session_key(spark) -> str:
+    """The key named by KEY_CONF; where none is set, a random one that the session keeps (equal values stay linked within it)."""
+    key = spark.conf.get(KEY_CONF, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_CONF, key)
+    return key
+
+
+def pseudonym(m: Column, key: str, inverse: bool = False) -> Column:
     """The pseudonym of one found value; null where it fails its kind's check."""
     whole = lambda p: m.rlike(f"^(?:{p})$")
     return (F.when(F.instr(m, "@") > 0, _email(m, key, inverse))
@@ -274,8 +290,9 @@ def _marked(text: Column) -> Column:
     return _let(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), put)
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, inverse: bool = False, text_col: str = "text") -> DataFrame:
-    """row (the whole row as a struct), masked (the text with pseudonyms), replaced (how many values)."""
+def pseudonymise(docs: DataFrame, key: str | None = None, inverse: bool = False, text_col: str = "text") -> DataFrame:
+    """key: the caller's secret, or the session's (``session_key``).  Returns row (the whole row as a struct), masked (the text with pseudonyms), replaced (how many values)."""
+    key = key or session_key(docs.sparkSession)
     rows = docs.select(packed(docs, "row"))
     text = F.col(f"row.`{text_col}`")
     # most texts hold nothing of the kind: one plain search decides

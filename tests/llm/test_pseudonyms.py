@@ -82,3 +82,20 @@ def test_feistel_is_a_permutation(spark):
 def test_empty(spark):
     d = spark.createDataFrame([], "doc_id long, text string, masked int")
     assert P.pseudonymise(d).count() == 0
+
+
+def test_the_key_is_the_callers(spark):
+    """An argument, else the session's setting, else one drawn once a session: nothing in the source undoes a mapping."""
+    before = spark.conf.get(P.KEY_CONF, None)
+    try:
+        spark.conf.unset(P.KEY_CONF)
+        drawn = masked(spark, VALUES)
+        assert masked(spark, VALUES) == drawn and len(spark.conf.get(P.KEY_CONF)) == 64
+        spark.conf.set(P.KEY_CONF, "one")
+        assert masked(spark, VALUES) == masked(spark, VALUES, key="one") != drawn
+        spark.conf.unset(P.KEY_CONF)
+        assert P.session_key(spark) != P.session_key(spark.newSession())
+    finally:
+        spark.conf.unset(P.KEY_CONF)
+        if before:
+            spark.conf.set(P.KEY_CONF, before)
