@@ -3,9 +3,11 @@
 A fast pseudo-rotation (three rounds of random signs and a Walsh-Hadamard
 transform) turns a unit vector; its hash is the nearest signed axis.  A table's
 bucket is the pair of axes of two rotations; every vector is stored under its own
-pair in each of ``tables`` independent tables.  A query looks under the pairs of
-highest summed components: ``probes`` of each table for up to PROBED vectors, and
-fewer by the fourth root of the excess for more, as near ones get nearer.
+pair in each of ``tables`` independent tables.  A query looks under the ``probes``
+pairs of highest summed components of each table, whatever the table's size: which
+pairs a query meets does not depend on the other rows.  (A caller who takes less
+recall for less work may pass the number of probes that ``fewer_probes`` gives for
+its table.)
 Candidates are scored by their exact inner product in double precision and the
 best ``k`` stay.
 
@@ -40,6 +42,11 @@ TABLES, PROBES, PROBED, K = 16, 320, 2048, 20
 BLOCK = 512
 
 
+def fewer_probes(number: int, probes: int = PROBES) -> int:
+    """Probes for ``number`` vectors: fewer by the fourth root of the excess over PROBED, as near ones get nearer."""
+    return math.ceil(probes * min(1.0, PROBED / max(number, 1)) ** 0.25)
+
+
 class Rotations:
     """Two pseudo-rotations a table of vectors of ``dim`` components (padded to a power of two)."""
 
@@ -185,7 +192,7 @@ def search(vectors: DataFrame, is_query, k: int = K, tables: int = TABLES, probe
     dim = base.agg(F.max(F.size("v"))).first()[0] or 1
     rot = Rotations(dim, tables, seed)
     number = base.count()
-    probes = min(math.ceil(probes * min(1.0, PROBED / max(number, 1)) ** 0.25), (2 * rot.dim) ** 2)
+    probes = min(probes, (2 * rot.dim) ** 2)
     hashed = stash(base.mapInArrow(_hashed(rot, probes), "id bigint, v binary, own array<int>, second array<int>, near array<int>, sets array<binary>"), "ann_hashed")
     pairs = lambda one, two, names: F.inline(F.arrays_zip(F.col(one).alias(names[0]), F.col(two).alias(names[1])))
     held = hashed.select(pairs("own", "second", ("bucket", "second")), "id", "v")

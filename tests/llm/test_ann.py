@@ -95,3 +95,14 @@ def test_pseudo_rotation_keeps_lengths():
 def test_empty(spark):
     t = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert ann.search(t, F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_probes_do_not_depend_on_the_number_of_vectors(spark, monkeypatch):
+    used = []
+    hashed = ann._hashed
+    monkeypatch.setattr(ann, "_hashed", lambda rot, probes: used.append(probes) or hashed(rot, probes))
+    rng = np.random.default_rng(4)
+    for n in (40, 4200):
+        x = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(rng.normal(size=(n, 16)))], "vec_id long, embedding array<double>")
+        ann.search(x, F.col("vec_id") == 20)
+    assert used == [ann.PROBES, ann.PROBES]
