@@ -47,3 +47,17 @@ def test_quantiles_and_box_hot_group(spark):
         assert box[lab].n == len(sub)
         assert box[lab].n_outliers == int(((sub.y < q1 - 1.5 * iqr) | (sub.y > q3 + 1.5 * iqr)).sum())
         assert box[lab].whishi == sub.y[sub.y <= q3 + 1.5 * iqr].max()
+
+
+def test_box_outliers_deal_no_rows_by_group(spark):
+    """The quartiles go to the rows: a label's rows never meet in one task, however large Spark takes the quartiles to be."""
+    _, df = _hot_frame(spark)
+    grp = df.withColumn("label", F.when(F.col("key") == "HOT", "HOT").otherwise("other"))
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = stats.box_outliers(grp, "label", "y", keep=["o"])
+        last = next(x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in x)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert "BroadcastHashJoin" in last
