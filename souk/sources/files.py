@@ -9,11 +9,13 @@ backslashes of values are written as ``\\n``, ``\\r`` and ``\\\\``, and a mark f
 the folder tells the reader to undo that.  So a record never spans lines, and
 the files stay splittable.  A JSON array laid out with one indent (as
 ``json.dump(indent=2)`` writes it) is split at the line that ends a record; any other array,
+text in a compressed file (an array in one is still read record by record)
 and a CSV from elsewhere whose quoted fields span lines, is read by one task a file.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 
@@ -61,15 +63,20 @@ def _fs(spark: SparkSession, path: str):
 def _head(spark: SparkSession, path: str, size: int = 64) -> bytes:
     """The first bytes of the first file with data under a path (a file, folder or glob)."""
     fs, p = _fs(spark, path)
+    codecs = spark.sparkContext._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration())
     for status in fs.globStatus(p) or []:
         files = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
         for f in files:
             if f.isFile() and f.getLen() and not f.getPath().getName().startswith(("_", ".")):
-                stream = fs.open(f.getPath())
+                stream, codec = fs.open(f.getPath()), codecs.getCodec(f.getPath())
+                if codec is not None:
+                    stream = codec.createInputStream(stream)
                 try:
-                    return bytes(b & 0xFF for b in (stream.read() for _ in range(min(size, f.getLen()))))
+                    head = bytes(itertools.takewhile(lambda b: b >= 0, (stream.read() for _ in range(size))))
                 finally:
                     stream.close()
+                if head:
+                    return head
     return b""
 
 
@@ -175,7 +182,8 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None, schema=No
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
-                mode: str = "overwrite", run_ts: str | None = None) -> str:
+                mode: str = "overwrite", run_ts: str | None = None, compression: str | None = None,
+                file_rows: int | None = None) -> str:
     """Write a stage table as a directory of files.
 
     ``csv``: header, quoted text; ``json``: JSON Lines keeping NULL fields;
@@ -187,7 +195,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     Rows are dealt by ``partition_by`` before they are written, and adaptive
     execution splits or joins what it deals by size: a folder gets as many files
     as its bytes need, a folder of a few rows one file, and a folder that holds a
-    third of all rows is written by many tasks.
+    third of all rows is written by many tasks.  ``compression`` names a codec and
+    ``file_rows`` the most rows of a file: compressed text is read by one task a
+    file, so the two go together.
     """
     parts = list(partition_by or [])
     if parts:
@@ -198,6 +208,10 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     if fmt == "csv":
         df = escape_lines(df)
     w = df.write.mode(mode)
+    if compression:
+        w = w.option("compression", compression)
+    if file_rows:
+        w = w.option("maxRecordsPerFile", file_rows)
     if run_ts is not None or parts:
         w = w.option("partitionOverwriteMode", "dynamic")
     if parts:
@@ -235,3 +249,30 @@ def refuse_overwrite(input_path: str, output_path: str) -> None:
         a, b = (os.path.realpath(x) + "/" for x in (a, b))
     if a.startswith(b) or b.startswith(a):
         raise ValueError(f"output {output_path!r} would overwrite input {input_path!r}")
+
+
+def array_lines(records: DataFrame) -> DataFrame:
+    """The lines of indented JSON arrays, one array a task, from a text column of indented records: brackets around a
+    task's records and commas between them, as the rows stream through."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def lines(batches):
+        held = None  # the last record so far: whether a comma follows it is not known yet
+        row = lambda values: pa.record_batch([values], names=["value"])
+        for b in batches:
+            if not b.num_rows:
+                continue
+            texts = b.column(0).cast(pa.string())
+            if held is None:
+                yield row(pa.array(["["]))
+            else:
+                texts = pa.concat_arrays([held, texts])
+            held = texts.slice(len(texts) - 1)
+            if len(texts) > 1:
+                yield row(pc.binary_join_element_wise(texts.slice(0, len(texts) - 1), ",", ""))
+        if held is not None:
+            yield row(held)
+            yield row(pa.array(["]"]))
+
+    return records.mapInArrow(lines, "value string")

@@ -127,3 +127,41 @@ def test_hand_offs_go_at_the_end(spark):
     assert fs.exists(p)  # registered to go with the application; clean_scratch is the earlier way
     n = clean_scratch(spark)
     assert n >= 2 and not fs.exists(p)
+
+
+def test_array_lines_are_one_array_a_task(spark, tmp_path):
+    path = str(tmp_path / "arrays.json")
+    texts = ['  {\n    "a": "%d,]"\n  }' % i for i in range(7)]
+    held = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")  # records are held over from batch to batch
+    try:
+        df = spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1)
+        FI.array_lines(df).write.text(path)
+        FI.array_lines(df.where("value is null")).write.option("compression", "gzip").text(str(tmp_path / "none.json"))
+        FI.array_lines(df).write.option("compression", "gzip").text(str(tmp_path / "packed.json"))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)
+    whole = "".join(open(f).read() for f in glob.glob(f"{path}/part-*"))
+    assert json.loads(whole) == [{"a": f"{i},]"} for i in range(7)]
+    for name in ("arrays.json", "packed.json"):
+        back = FI.read_table(spark, str(tmp_path / name), schema="a string", multi_line=True)
+        assert sorted(r.a for r in back.collect()) == [f"{i},]" for i in range(7)]
+    assert FI.read_table(spark, str(tmp_path / "none.json"), schema="a string", multi_line=True).count() == 0
+    with pytest.raises(ValueError, match="array"):
+        FI.read_table(spark, str(tmp_path / "packed.json"), schema="a string")
+
+
+def test_json_lines_in_compressed_files_of_bounded_rows(spark, tmp_path):
+    df = spark.range(25).selectExpr("id", "IF(id = 3, NULL, 'x') AS t").coalesce(1)
+    path = FI.write_table(df, str(tmp_path / "t.json"), fmt="json", compression="gzip", file_rows=10)
+    assert len(glob.glob(f"{path}/part-*.json.gz")) == 3
+    back = FI.read_table(spark, path, schema="id long, t string")
+    assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_json_queries_write_little(spark, sf_small, monkeypatch):
+    """The JSON a query writes is compressed."""
+    import souk.plans.queries as Q
+    for name in ("src_json", "src_json_array"):
+        files = Q.QUERIES[name](spark, sf_small).inputFiles()
+        assert files and all(f.endswith(".gz") for f in files)
