@@ -264,3 +264,30 @@ def test_cli_clean_features_label_report(spark, tmp_path):
     assert main(["label", str(tmp_path / "f.parquet"), str(tmp_path / "l.parquet")]) == 0
     assert main(["report", str(tmp_path / "l.parquet"), str(tmp_path / "rep")]) == 0
     assert (tmp_path / "rep" / "label_distribution").exists()
+
+
+def _optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pages_are_parsed_once(spark, sf_small):
+    """A filter on what was parsed does not parse again: each step's from_json stands in the plan once (the reason's twice)."""
+    from souk.plans.ingest import ingest
+    from souk.sources.fixture import landing_from_tables
+    spark.conf.set("spark.sql.maxPlanStringLength", str(1 << 24))
+    spark.conf.set("spark.sql.debug.maxToStringFields", "5000")
+    try:
+        parts = ingest(landing_from_tables(spark, sf_small), category_dim(spark))
+        plans = {k: _optimized(parts[k]) for k in ("tiki", "lazada", "shopee")}
+    finally:
+        spark.conf.unset("spark.sql.maxPlanStringLength")
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    for p in plans.values():
+        assert 0 < p.count("from_json") + p.count("jsontostructs") <= 8
+        assert p.count("Relation [l_orderkey") == 1  # the lineitems are read once a platform
+
+
+def test_stream_slices_share_their_pages(spark, sf_small):
+    from souk.plans.queries import _stream_slices
+    for part in _stream_slices(spark, sf_small):
+        assert "Aggregate" not in _optimized(part)
