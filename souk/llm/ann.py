@@ -14,11 +14,16 @@ best ``k`` stay.
 Rows meet under the first axis; a query brings the set of second axes it looks
 under there, and only vectors of that set are scored.
 
-A bucket meets its queries block by block, at most BLOCK vectors with BLOCK
-queries in a task's hand, so a vector that makes up a third of the table costs
-more blocks and not a larger task.  A block returns its best ``k`` of each
-query, which loses nothing.  A query that finds fewer than ``k`` looks under all
-axes, which is exact.
+A query first looks into the buckets it lies in.  Its k-th best score there is a
+floor for all its other buckets: what scores less cannot be among its best, so
+tasks hand on only what reaches the floor.  Their number does not follow the
+number of pairs scored.
+
+A bucket meets its queries block by block: BLOCK queries meet STRETCH * BLOCK
+vectors, BLOCK of them in a task's hand at a time, so a vector that makes up a
+third of the table costs more tasks and not a larger one.  Each returns its best
+``k`` of each query, which loses nothing.  A query that finds fewer than ``k``
+looks under all axes, which is exact.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components take no part, nor do rows without an id; vectors of fewer components
@@ -40,6 +45,7 @@ from .common import ship, stash, table
 
 TABLES, PROBES, PROBED, K = 16, 320, 2048, 20
 BLOCK = 512
+STRETCH = 32  # blocks of vectors that a block of queries meets one after the other
 
 
 def fewer_probes(number: int, probes: int = PROBES) -> int:
@@ -125,50 +131,84 @@ def _hashed(rot: Rotations, probes: int):
     return run
 
 
-def _best(k: int):
-    """Rows sorted by (bucket, i, j, query flag): a block of vectors, then a block of queries."""
-    def flush(ids, vs, marks, qids, qs, sets):
-        ids, qids = np.array(ids), np.array(qids)
-        x, q = (np.frombuffer(b"".join(z), np.float64).reshape(len(z), -1) for z in (vs, qs))
-        bits = np.unpackbits(np.frombuffer(b"".join(sets), np.uint8).reshape(len(sets), -1), axis=1, bitorder="little")
-        qi, xi = np.nonzero(bits[:, np.array(marks)].astype(bool) & (qids[:, None] != ids[None, :]))
+class _Block:
+    """A block of queries that meets vectors, at most ``size`` at a time, and keeps the best ``k`` of each query."""
+
+    def __init__(self, k: int, size: int):
+        self.k, self.size = k, size
+        self.asked, self.lot, self.ready = [], [], None
+        self.best = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+
+    def ask(self, i, v, seconds, floor):
+        self.asked.append((i, v, seconds, -np.inf if floor is None else floor))
+
+    def meet(self, i, v, second):
+        if self.asked:
+            self.lot.append((i, v, second))
+            if len(self.lot) == self.size:
+                self.score()
+
+    def score(self):
+        if self.ready is None:
+            ids, vs, sets, floor = zip(*self.asked, strict=True)
+            bits = np.unpackbits(np.frombuffer(b"".join(sets), np.uint8).reshape(len(sets), -1), axis=1, bitorder="little").astype(bool)
+            self.ready = np.array(ids), np.frombuffer(b"".join(vs), np.float64).reshape(len(vs), -1), bits, np.array(floor)
+        qids, q, bits, floor = self.ready
+        ids, vs, marks = zip(*self.lot, strict=True)
+        ids, x = np.array(ids), np.frombuffer(b"".join(vs), np.float64).reshape(len(vs), -1)
+        self.lot = []
+        qi, xi = np.nonzero(bits[:, np.array(marks)] & (qids[:, None] != ids[None, :]))
         # the product of a pair must not depend on its place in the block: summed row by row
         exact = np.concatenate([(q[qi[a:a + 16384]] * x[xi[a:a + 16384]]).sum(1) for a in range(0, len(qi), 16384)] or [np.zeros(0)])
-        order = np.lexsort((ids[xi], -exact, qi))
-        qi, xi, exact = qi[order], xi[order], exact[order]
-        place = np.arange(len(qi)) - np.searchsorted(qi, qi)
-        keep = place < k
-        return pa.record_batch([pa.array(qids[qi[keep]]), pa.array(ids[xi[keep]]), pa.array(exact[keep])], names=["query_id", "vec_id", "score"])
-
+        near = exact >= floor[qi]
+        qi, vid, exact = (np.concatenate(z) for z in zip(self.best, (qi[near], ids[xi[near]], exact[near]), strict=True))
+        order = np.lexsort((vid, -exact, qi))
+        qi, vid, exact = qi[order], vid[order], exact[order]
+        keep = np.arange(len(qi)) - np.searchsorted(qi, qi) < self.k
+        self.best = qi[keep], vid[keep], exact[keep]
+
+    def end(self):
+        if self.lot:
+            self.score()
+        qi, vid, exact = self.best
+        if len(qi):
+            yield pa.record_batch([pa.array(self.ready[0][qi]), pa.array(vid), pa.array(exact)], names=["query_id", "vec_id", "score"])
+
+
+def _best(k: int, block: int):
+    """Rows sorted by (bucket, i, j, vectors last): a block of queries, then the vectors it meets."""
     def run(batches):
-        held, parts = None, ([], [], [], [], [], [])
+        held, one = None, _Block(k, block)
         for b in batches:
-            for key, is_q, i, v, second, seconds in zip(zip(*(b.column(c).to_pylist() for c in ("bucket", "i", "j")), strict=True),
-                                       *(b.column(c).to_pylist() for c in ("is_query", "id", "v", "second", "seconds")), strict=True):
+            for key, is_q, i, v, second, seconds, floor in zip(zip(*(b.column(c).to_pylist() for c in ("bucket", "i", "j")), strict=True),
+                                       *(b.column(c).to_pylist() for c in ("is_query", "id", "v", "second", "seconds", "floor")), strict=True):
                 if key != held:
-                    if parts[0] and parts[3]:
-                        yield flush(*parts)
-                    held, parts = key, ([], [], [], [], [], [])
-                for part, c in zip(parts[3 * is_q:], (i, v, seconds if is_q else second), strict=False):
-                    part.append(c)
-        if parts[0] and parts[3]:
-            yield flush(*parts)
+                    yield from one.end()
+                    held, one = key, _Block(k, block)
+                if is_q:
+                    one.ask(i, v, seconds, floor)
+                else:
+                    one.meet(i, v, second)
+        yield from one.end()
     return run
 
 
 def _meet(vectors: DataFrame, queries: DataFrame, k: int, block: int) -> DataFrame:
-    """vectors(bucket, id, v, second) and queries(bucket, id, v, seconds): the best of each query, from every block of its buckets."""
+    """vectors(bucket, id, v, second) and queries(bucket, id, v, seconds, floor): the best of each query that reach its
+    floor (null: all), from every stretch of its buckets."""
     # one row per bucket: tables * 2 * dimensions at most
-    nv = vectors.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("nv"))
+    nv = vectors.groupBy("bucket").agg(F.ceil(F.count("*") / (STRETCH * block)).cast("int").alias("nv"))
     nq = queries.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("nq"))
     size = F.broadcast(nv.join(nq, "bucket"))
     mine = lambda n: F.pmod(F.xxhash64("id", "bucket"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    rows = (vectors.join(size, "bucket").select("bucket", mine("nv").alias("i"), each("nq").alias("j"), F.lit(0).alias("is_query"), "id", "v", "second", F.lit(None).cast("binary").alias("seconds"))
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    rows = (vectors.join(size, "bucket").select("bucket", mine("nv").alias("i"), each("nq").alias("j"), F.lit(0).alias("is_query"), "id", "v", "second",
+                                                none("binary", "seconds"), none("double", "floor"))
             .unionAll(queries.join(size, "bucket").select("bucket", each("nv").alias("i"), mine("nq").alias("j"), F.lit(1).alias("is_query"), "id", "v",
-                                                        F.lit(None).cast("int").alias("second"), "seconds")))
-    return (rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "is_query", "id")
-            .mapInArrow(_best(k), "query_id bigint, vec_id bigint, score double"))
+                                                        none("int", "second"), "seconds", "floor")))
+    return (rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", F.desc("is_query"), "id")
+            .mapInArrow(_best(k, block), "query_id bigint, vec_id bigint, score double"))
 
 
 def _rank(found: DataFrame, k: int) -> DataFrame:
@@ -196,11 +236,18 @@ def search(vectors: DataFrame, is_query, k: int = K, tables: int = TABLES, probe
     hashed = stash(base.mapInArrow(_hashed(rot, probes), "id bigint, v binary, own array<int>, second array<int>, near array<int>, sets array<binary>"), "ann_hashed")
     pairs = lambda one, two, names: F.inline(F.arrays_zip(F.col(one).alias(names[0]), F.col(two).alias(names[1])))
     held = hashed.select(pairs("own", "second", ("bucket", "second")), "id", "v")
-    asked = hashed.filter("near is not null").select(pairs("near", "sets", ("bucket", "seconds")), "id", "v")
-    found = stash(_rank(_meet(held, asked, k, block), k), "ann_found")
+    asking = hashed.filter("near is not null")
+    both = ("bucket", "seconds")
+    # first the buckets a query lies in; what scores less than the k-th best there cannot be among its best of all buckets
+    asked = asking.select("own", pairs("near", "sets", both), "id", "v", F.lit(None).cast("double").alias("floor"))
+    first = stash(_rank(_meet(held, asked.filter(F.array_contains("own", F.col("bucket"))), k, block), k), "ann_first")
+    floors = first.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
+    asked = asking.join(floors, "id", "left").select("own", pairs("near", "sets", both), "id", "v", "floor")
+    rest = _meet(held, asked.filter(~F.array_contains("own", F.col("bucket"))), k, block)
+    found = stash(_rank(first.select("query_id", "vec_id", "score").unionAll(rest), k), "ann_found")
 
     enough = min(k, number - 1)
-    short = (hashed.filter("near is not null").select("id", "v")
+    short = (asking.select("id", "v")
              .join(found.groupBy(F.col("query_id").alias("id")).agg(F.count("*").alias("n")), "id", "left")
              .filter(F.coalesce("n", F.lit(0)) < enough).select("id", "v"))
     short = stash(short, "ann_short")
@@ -208,10 +255,10 @@ def search(vectors: DataFrame, is_query, k: int = K, tables: int = TABLES, probe
         return found
     # the exact way for the rest: all axes of the first table hold every vector once
     every = F.explode(F.sequence(F.lit(0), F.lit(2 * rot.dim - 1)))
-    first = hashed.select(F.element_at("own", 1).alias("bucket"), "id", "v", F.element_at("second", 1).alias("second"))
+    whole = hashed.select(F.element_at("own", 1).alias("bucket"), "id", "v", F.element_at("second", 1).alias("second"))
     anywhere = F.lit(bytes([255]) * (rot.dim // 4)).alias("seconds")
-    whole = _rank(_meet(first, short.select(every.alias("bucket"), "id", "v", anywhere), k, block), k)
-    return found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(whole)
+    exact = _rank(_meet(whole, short.select(every.alias("bucket"), "id", "v", anywhere, F.lit(None).cast("double").alias("floor")), k, block), k)
+    return found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(exact)
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

@@ -106,3 +106,25 @@ def test_probes_do_not_depend_on_the_number_of_vectors(spark, monkeypatch):
         x = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(rng.normal(size=(n, 16)))], "vec_id long, embedding array<double>")
         ann.search(x, F.col("vec_id") == 20)
     assert used == [ann.PROBES, ann.PROBES]
+
+
+def test_rows_handed_on_grow_like_the_queries(spark, monkeypatch):
+    """Five times the vectors: about five times the rows that tasks hand on, the same best rows with every block size."""
+    made, meet = [], ann._meet
+
+    def counted(*a):
+        out = ann.stash(meet(*a), "counted")
+        made.append(out.count())
+        return out
+    monkeypatch.setattr(ann, "_meet", counted)
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(7500, 32))
+    totals = []
+    for n in (1500, 7500):
+        made.clear()
+        t = spark.createDataFrame([(i, [float(c) for c in x]) for i, x in enumerate(v[:n])], "vec_id long, embedding array<double>")
+        got = found(ann.search(t, F.col("vec_id") % 20 == 0, tables=4))
+        totals.append(sum(made))
+        if n == 1500:
+            assert got == found(ann.search(t, F.col("vec_id") % 20 == 0, tables=4, block=5))
+    assert totals[1] < 6 * totals[0]
