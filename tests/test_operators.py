@@ -292,3 +292,13 @@ def test_cluster_conf_sizes():
     assert c["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     small = cluster_conf(10 << 20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_dedup_takes_plain_keys_from_the_group_and_others_from_the_row(spark):
+    df = spark.createDataFrame([("a", -0.0, 1, "x"), ("a", 0.0, 2, "y"), (None, 1.0, 3, "z"), (None, 1.0, 2, None)], "k string, d double, o int, v string")
+    out = dedup_first(df, ["k", "d"], ["o"], count_col="n")
+    assert out.columns == ["k", "d", "o", "v", "n"]
+    assert sorted(map(str, (tuple(r) for r in out.collect()))) == ["('a', -0.0, 1, 'x', 2)", "(None, 1.0, 2, None, 2)"]
+    assert sorted(map(str, (tuple(r) for r in dedup_first(df, ["k"], ["o"], columns=["v", "k"]).collect()))) == ["('x', 'a')", "(None, None)"]
+    assert sorted(map(str, (tuple(r) for r in dedup_first(df.select("k"), ["k"], ["k"]).collect()))) == ["('a',)", "(None,)"]
+    assert [tuple(r) for r in dedup_first(df, ["k"], ["o"], null_policy="keep", columns=["v"]).orderBy("v").collect()] == [(None,), ("x",), ("z",)]

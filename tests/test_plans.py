@@ -68,3 +68,36 @@ def test_box_stats_reads_the_rows_once(spark, tmp_path):
 def test_raw_rows_push_filters_to_scan(spark, sf_small):
     p = plan(raw_listing_rows(spark, sf_small))
     assert "PushedFilters: [IsNotNull(l_partkey), IsNotNull(l_suppkey)]" in p
+
+
+def test_pages_are_written_out_behind_their_only_shuffle_by_order(spark, sf_small):
+    """Short rows are dealt by order, once a platform; lists of payload items are never shuffled, however large the tables."""
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(landing_from_tables(spark, sf_small))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert p.count("Exchange hashpartitioning(l_orderkey") == 3
+    assert all("collect_list" not in part.split("Union")[0] for part in p.split("Exchange hashpartitioning(l_orderkey")[3:])
+
+
+def test_survivors_are_shuffled_without_what_follows_from_them(spark, sf_small):
+    p = plan(P.cleaned(spark, sf_small))
+    below = p[p.index("Exchange hashpartitioning(product_url"):]
+    assert not any(c in below for c in ("has_discount", "is_sold", "clean_date"))
+    df = spark.range(10).select((F.col("id") % 2).alias("k"), F.col("id").alias("o"), (F.col("id") * 3).alias("v"), (F.col("id") * 5).alias("w"))
+    p = plan(dedup_first(df, ["k"], ["o"], columns=["k", "v"]))
+    assert "min_by(struct(v, v" in p and "struct(k" not in p and "* 5" not in p
+
+
+def test_facts_of_many_splits_are_not_dealt_again(spark, sf_small, tmp_path):
+    from souk.sources.fixture import table
+    assert "REPARTITION_BY_NUM" in plan(table(spark, sf_small, "lineitem"))
+    table(spark, sf_small, "lineitem").repartition(2 * spark.sparkContext.defaultParallelism, F.rand(1)).write.parquet(str(tmp_path / "lineitem.parquet"))
+    held = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))  # a split a file
+    try:
+        assert "Exchange" not in plan(table(spark, str(tmp_path), "lineitem"))
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", held)

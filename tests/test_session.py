@@ -23,3 +23,15 @@ def test_a_limit_that_is_set_stays(spark, monkeypatch):
     other.conf.set(S.METHOD_LIMIT, "4000")
     S.fit_codegen(other)
     assert other.conf.get(S.METHOD_LIMIT) == "4000"
+
+
+def test_listing_queries_start_with_enough_shuffle_partitions(spark, sf_small):
+    other = spark.newSession()
+    other.conf.set("spark.sql.shuffle.partitions", "8")
+    entry.queries()["dedup_first"](other, sf_small)
+    assert other.conf.get(S.INITIAL_PARTITIONS) == "200"
+    for key, value in (("spark.sql.shuffle.partitions", "500"), (S.INITIAL_PARTITIONS, "30")):
+        other = spark.newSession()
+        other.conf.set(key, value)
+        S.fit_shuffles(other)
+        assert other.conf.get(S.INITIAL_PARTITIONS, None) == ("30" if value == "30" else None)
