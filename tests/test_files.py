@@ -165,3 +165,10 @@ def test_json_queries_write_little(spark, sf_small, monkeypatch):
     for name in ("src_json", "src_json_array"):
         files = Q.QUERIES[name](spark, sf_small).inputFiles()
         assert files and all(f.endswith(".gz") for f in files)
+
+
+def test_the_csv_query_writes_compressed_files(spark, sf_small):
+    from souk.plans.queries import QUERIES
+    out = QUERIES["src_csv"](spark, sf_small)
+    assert out.inputFiles() and all(f.endswith(".csv.gz") for f in out.inputFiles())
+    assert out.count() > 0
