@@ -128,3 +128,24 @@ def test_rows_handed_on_grow_like_the_queries(spark, monkeypatch):
         if n == 1500:
             assert got == found(ann.search(t, F.col("vec_id") % 20 == 0, tables=4, block=5))
     assert totals[1] < 6 * totals[0]
+
+
+def test_vectors_are_shuffled_once_a_pass_and_queries_once_a_stripe(spark, monkeypatch):
+    given, meet = [], ann._meet
+    monkeypatch.setattr(ann, "_meet", lambda *a: given.append((a[0].count(), a[1].count())) or meet(*a))
+    rng = np.random.default_rng(7)
+    t = spark.createDataFrame([(i, [float(c) for c in x]) for i, x in enumerate(rng.normal(size=(900, 16)))], "vec_id long, embedding array<float>")
+    few = found(ann.search(t, F.col("vec_id") % 20 == 0, tables=4, probes=60))
+    assert given == [(900, 45)]  # one stripe
+    given.clear()
+    assert found(ann.search(t, F.col("vec_id") % 20 == 0, tables=4, probes=60, block=5)) == few
+    stripes = 2 * spark.sparkContext.defaultParallelism
+    assert given == [(900, 45), (900, 45 * (stripes - 1))]
+
+
+def test_cuts_keep_as_many_pairs_as_probes_whatever_is_equal():
+    rot = ann.Rotations(16, 3)
+    x = np.vstack([np.eye(16)[:3], np.ones((1, 16)), np.random.default_rng(8).normal(size=(3, 16))])
+    for n in (1, 7, 100, 32 * 32):
+        for _, i, _, _, _ in rot.reached(x, n, *rot.cuts(x, n)):
+            assert np.bincount(i, minlength=len(x)).tolist() == [n] * len(x)
