@@ -110,12 +110,13 @@ class Rotations:
 
     def reached(self, x: np.ndarray, n: int, sums: np.ndarray, places: np.ndarray):
         """The pairs that ``cuts`` keeps, table by table: the vectors' numbers, the pairs' first axes' ranks, and both axes."""
-        row = np.arange(len(x))
         for t in range(self.tables):
             a, b, total = self._pairs(x, t, n)
-            last = sums[row, t][:, None]
             m = a.shape[1]
-            i, at = np.nonzero((total > last) | ((total == last) & (np.arange(m * m) <= places[row, t][:, None])))
+            kept = total >= sums[:, t:t + 1]
+            for r in np.flatnonzero(kept.sum(1) > n):  # some of the pairs of equal sums are beyond the n-th
+                kept[r] &= (total[r] > sums[r, t]) | (np.arange(m * m) <= places[r, t])
+            i, at = np.nonzero(kept)
             yield t, i, at // m, a[i, at // m], b[i, at % m]
 
     def near(self, x: np.ndarray, n: int) -> tuple[list, list]:
@@ -200,10 +201,15 @@ class _Stripe:
         order = np.argsort(keys, kind="stable")
         self.keys, self.member = keys[order], (order // self.rot.tables).astype(np.int32)
         self.met = np.zeros(len(ids), bool)
+        pairs = self.rot.tables * 4 * self.rot.dim ** 2
+        self.starts = np.searchsorted(self.keys, np.arange(pairs + 1)) if pairs <= 1 << 22 else None
 
     def _under(self, keys: np.ndarray) -> np.ndarray:
         """The numbers of the vectors under any of the pairs, ascending."""
-        start, end = np.searchsorted(self.keys, keys), np.searchsorted(self.keys, keys, "right")
+        if self.starts is None:
+            start, end = np.searchsorted(self.keys, keys), np.searchsorted(self.keys, keys, "right")
+        else:
+            start, end = self.starts[keys], self.starts[keys + 1]
         n = end - start
         at = np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
         self.met[self.member[at]] = True
